@@ -18,6 +18,15 @@ def merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(other, F.col(key).eqNullSafe(F.col("_right_key")), "inner").drop("_right_key")
 
 
+def without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of ``left`` whose key does not occur in ``right``; null keys stay.
+
+    Only the distinct keys of ``right`` are moved, so a frequent key there costs
+    one row per task.
+    """
+    return left.join(right.select(key).distinct(), key, "left_anti")
+
+
 def row_hash_id(*columns: str):
     """A row id from the row's own values; no global counter is needed."""
     return F.xxhash64(*columns)

@@ -412,7 +412,7 @@ def join_left_using(r):
     "SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
 )
 def join_anti(r):
-    return r.orders.select("order_id", "customer_id").join(r.order_items.select("order_id"), "order_id", "left_anti")
+    return joins.without_match(r.orders.select("order_id", "customer_id"), r.order_items, "order_id")
 
 
 @query(
