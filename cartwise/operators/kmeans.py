@@ -5,14 +5,15 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.operators.scaling import inertia_of_one
-from cartwise.operators.silhouette import silhouette_euclidean, silhouette_squared
+from cartwise.operators.silhouette import silhouette_squared, silhouettes_euclidean
+from cartwise.session import materialise
 
 MAX_ITER = 300
 TOLERANCE = 1e-4
@@ -45,20 +46,19 @@ class Clustering:
     def inertia(self) -> float:
         return float(self.model.summary.trainingCost)
 
-    def label(self, df: DataFrame) -> DataFrame:
+    def label(self, df: DataFrame, name: str = LABEL) -> DataFrame:
         """``df`` with the cluster number of every row; all columns are kept."""
         predicted = self.model.transform(_with_vector(df, self.columns))
         number = F.array(*[F.lit(i) for i in self.order])[F.col("_prediction")]
-        return predicted.withColumn(LABEL, number).drop(VECTOR, "_prediction")
+        return predicted.withColumn(name, number).drop(VECTOR, "_prediction")
 
 
 def _with_vector(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol=VECTOR).transform(df)
 
 
-def fit(points: DataFrame, columns: list[str], k: int, seed: int = 0) -> Clustering:
-    """Fit k clusters on weighted points (see ``weighted_points``)."""
-    estimator = KMeans(
+def _estimator(k: int, seed: int) -> KMeans:
+    return KMeans(
         k=k,
         seed=seed,
         maxIter=MAX_ITER,
@@ -67,14 +67,26 @@ def fit(points: DataFrame, columns: list[str], k: int, seed: int = 0) -> Cluster
         predictionCol="_prediction",
         weightCol=WEIGHT,
     )
-    return Clustering(estimator.fit(_with_vector(points, columns)), columns)
 
 
-def fit_many(points: DataFrame, columns: list[str], ks: list[int], seed: int = 0, parallel: int = 4) -> dict[int, Clustering]:
-    """One model per k; several fits share the cluster at a time."""
-    with ThreadPoolExecutor(parallel) as pool:
-        task = inheritable_thread_target(points.sparkSession)(lambda k: fit(points, columns, k, seed))
-        return dict(zip(ks, pool.map(task, ks)))
+def fit(points: DataFrame, columns: list[str], k: int, seed: int = 0) -> Clustering:
+    """Fit k clusters on weighted points (see ``weighted_points``)."""
+    return Clustering(_estimator(k, seed).fit(_with_vector(points, columns)), columns)
+
+
+def fit_many(points: DataFrame, columns: list[str], ks: list[int], seed: int = 0, parallel: int = 8) -> dict[int, Clustering]:
+    """One model per k; several fits share the cluster at a time.
+
+    The vectors are cached once for all fits; given uncached input, every fit
+    would keep its own copy. A lost block is read again from the written table.
+    """
+    vectors = _with_vector(points, columns).select(VECTOR, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPoolExecutor(parallel) as pool:
+            task = inheritable_thread_target(points.sparkSession)(lambda k: Clustering(_estimator(k, seed).fit(vectors), columns))
+            return dict(zip(ks, pool.map(task, ks)))
+    finally:
+        vectors.unpersist()
 
 
 def elbow(points: DataFrame, columns: list[str], models: dict[int, Clustering]) -> list[tuple[int, float]]:
@@ -83,14 +95,14 @@ def elbow(points: DataFrame, columns: list[str], models: dict[int, Clustering])
     return [(1, float(one)), *[(k, m.inertia) for k, m in sorted(models.items())]]
 
 
-def silhouettes(points: DataFrame, columns: list[str], models: dict[int, Clustering], squared: bool = False) -> list[tuple]:
-    """(k, silhouette) for every model, Euclidean or squared Euclidean."""
-    scores = []
-    for k, model in sorted(models.items()):
-        labelled = model.label(points)
-        if squared:
-            row = silhouette_squared(labelled, columns, LABEL, WEIGHT).first()
-        else:
-            row = silhouette_euclidean(labelled, columns, LABEL, WEIGHT).first()
-        scores.append((k, row.silhouette))
-    return scores
+def silhouettes(points: DataFrame, columns: list[str], models: dict[int, Clustering], squared: bool = False) -> dict[int, float]:
+    """k -> silhouette for every model, Euclidean or squared Euclidean."""
+    labels = {k: f"{LABEL}_{k}" for k in sorted(models)}
+    labelled = points
+    for k, name in labels.items():
+        labelled = models[k].label(labelled, name)
+    labelled = materialise(labelled, "labelled-points")
+    if squared:
+        return {k: silhouette_squared(labelled, columns, n, WEIGHT).first().silhouette for k, n in labels.items()}
+    scores = {r.label: r.silhouette for r in silhouettes_euclidean(labelled, columns, list(labels.values()), WEIGHT).collect()}
+    return {k: scores[n] for k, n in labels.items()}

@@ -19,6 +19,7 @@ The result is the exact one; ties go to the smaller row key.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -35,12 +36,17 @@ def knn_impute(df: DataFrame, key: str, features: list[str], k: int = 2) -> Data
 
     ``df`` is read several times: hand in a written table.
     """
-    result = df
     patterns = _null_patterns(df, features)
+    # The features as they came, since distances never use a filled value.
+    result = df.withColumns({_raw(c): F.col(c) for c in features})
     for target in features:
         if any(target not in p for p in patterns) and any(target in p for p in patterns):
-            result = _impute_one(df, result, key, features, target, patterns, k)
-    return result
+            result = _fill(result, target, features, _estimates(df, key, features, target, patterns, k), df)
+    return result.drop(*[_raw(c) for c in features])
+
+
+def _raw(column: str) -> str:
+    return f"_raw_{column}"
 
 
 def _null_patterns(df: DataFrame, features: list[str]) -> list[tuple[str, ...]]:
@@ -57,51 +63,55 @@ def _has_pattern(features: list[str], pattern: tuple[str, ...]) -> Column:
     return condition
 
 
-def _impute_one(
-    source: DataFrame, result: DataFrame, key: str, features: list[str], target: str, patterns: list, k: int
-) -> DataFrame:
-    found = None
-    for receiver in [p for p in patterns if target not in p]:
-        receivers = source.where(_has_pattern(features, receiver)).select(*receiver).distinct() if receiver else None
-        candidates = None
+def _estimates(source: DataFrame, key: str, features: list[str], target: str, patterns: list, k: int) -> DataFrame | None:
+    """Estimate of ``target`` per distinct point that lacks it; None when no row can be compared."""
+    others = [c for c in features if c != target]
+    result = None
+    for receiver in [p for p in patterns if p and target not in p]:
+        receivers = source.where(_has_pattern(features, receiver)).select(*[F.col(c).cast("double") for c in receiver]).distinct()
+        found = []
         for donor in [p for p in patterns if target in p]:
             shared = [c for c in receiver if c in donor]
             if not shared:
                 continue
             donors = source.where(_has_pattern(features, donor)).select(
-                F.col(key).alias("donor"), F.col(target).cast("double").alias("value"), *[F.col(c).cast("double") for c in shared]
+                F.col(key).alias("donor"),
+                F.col(target).cast("double").alias("value"),
+                *[F.col(c).cast("double") for c in shared],
             )
-            near = nearest(receivers.select(*[F.col(c).cast("double") for c in shared]).distinct(), donors, shared, k)
+            near = nearest(receivers.select(*shared).distinct(), donors, shared, k)
             near = near.withColumn("distance", F.col("distance") * (len(features) / len(shared)))
-            pairs = receivers.join(near, [F.col(c) == F.col(f"q_{c}") for c in shared])
-            pairs = pairs.select(*receiver, "donor", "value", "distance")
-            candidates = pairs if candidates is None else candidates.unionByName(pairs)
-        if candidates is None:
+            if len(shared) == len(receiver):
+                pairs = near.withColumnsRenamed({f"q_{c}": c for c in shared})
+            else:
+                pairs = receivers.join(near, [F.col(c) == F.col(f"q_{c}") for c in shared])
+            found.append(pairs.select(*receiver, "donor", "value", "distance"))
+        if not found:
             continue
-        order = W.partitionBy(*receiver).orderBy("distance", "donor")
-        filled = (
-            candidates.withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= k)
-            .groupBy(*receiver)
-            .agg(F.avg("value").alias("filled"))
-        )
-        filled = filled.select(*[F.col(c) if c in receiver else F.lit(None).cast(source.schema[c].dataType).alias(c) for c in features if c != target], "filled")
-        found = filled if found is None else found.unionByName(filled)
+        candidates = found[0]
+        if len(found) > 1:
+            # Each donor pattern gave its k nearest; the k nearest of all are among them.
+            order = W.partitionBy(*receiver).orderBy("distance", "donor")
+            candidates = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order))
+            candidates = candidates.where(F.col("rank") <= k)
+        point = [F.col(c) if c in receiver else F.lit(None).cast("double").alias(c) for c in others]
+        estimate = candidates.groupBy(*receiver).agg(F.avg("value").alias("estimate")).select(*point, "estimate")
+        result = estimate if result is None else result.unionByName(estimate)
+    return result
 
-    mean = source.agg(F.avg(target)).scalar()
-    others = [c for c in features if c != target]
-    if found is None:
-        keyed = source.where(F.col(target).isNull()).select(key, mean.alias("filled"))
-    else:
-        joined = [F.col(f"s.{c}").eqNullSafe(F.col(f"f.{c}")) for c in others]
-        keyed = (
-            source.where(F.col(target).isNull()).select(key, *others).alias("s").join(found.alias("f"), joined, "left")
-        ).select(F.col(f"s.{key}").alias(key), F.coalesce(F.col("f.filled"), mean).alias("filled"))
-    # Rows that have the value need no partner: they bypass the join.
-    complete = result.where(F.col(target).isNotNull())
-    lacking = result.where(F.col(target).isNull()).join(keyed, key, "left")
-    value = F.col("filled").cast(result.schema[target].dataType)
-    return complete.unionByName(lacking.select(*[value.alias(c) if c == target else F.col(c) for c in result.columns]))
+
+def _fill(result: DataFrame, target: str, features: list[str], estimates: DataFrame | None, source: DataFrame) -> DataFrame:
+    """Rows that have the target pass by; the others take the estimate of their point, or the mean."""
+    lacking = result.where(F.col(_raw(target)).isNull())
+    value = source.agg(F.avg(target)).scalar()
+    if estimates is not None:
+        points = estimates.withColumnsRenamed({c: f"_at_{c}" for c in features})
+        same = [F.col(_raw(c)).cast("double").eqNullSafe(F.col(f"_at_{c}")) for c in features if c != target]
+        lacking = lacking.join(points, same, "left")
+        value = F.coalesce(F.col("estimate"), value)
+    value = value.cast(result.schema[target].dataType).alias(target)
+    lacking = lacking.select(*[value if c == target else F.col(c) for c in result.columns])
+    return result.where(F.col(_raw(target)).isNotNull()).unionByName(lacking)
 
 
 def nearest(queries: DataFrame, donors: DataFrame, axes: list[str], k: int) -> DataFrame:
@@ -126,16 +136,18 @@ def nearest(queries: DataFrame, donors: DataFrame, axes: list[str], k: int) -> D
     boxes = [f(F.col(a)).alias(f"{side}_{a}") for a in axes for side, f in (("min", F.min), ("max", F.max))]
     pyramid = materialise(rows.groupBy("level", *ids).agg(F.count(F.lit(1)).alias("n"), *boxes), "knn-cells")
 
-    # Every query starts at the one cell above the highest level.
-    start = queries.select(*[F.col(a).alias(f"q_{a}") for a in axes], *[F.lit(0).cast("long").alias(f"p_{a}") for a in axes])
+    # Every query starts at all cells of the highest level, at most four per axis.
     point = [f"q_{a}" for a in axes]
-    frontier = start
+    frontier = queries.select(*[F.col(a).alias(f"q_{a}") for a in axes])
+    for a in axes:
+        frontier = frontier.withColumn(f"p_{a}", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(BRANCHING - 1).cast("long"))))
+    top = levels - 1
     for level in reversed(range(levels)):
         children = pyramid.where(F.col("level") == level).select(
             "n",
             *ids,
             *[F.col(f"{side}_{a}") for a in axes for side in ("min", "max")],
-            *[F.floor(F.col(f"c_{a}") / BRANCHING).alias(f"p_{a}") for a in axes],
+            *[(F.col(f"c_{a}") if level == top else F.floor(F.col(f"c_{a}") / BRANCHING)).alias(f"p_{a}") for a in axes],
         )
         near, far = F.lit(0.0), F.lit(0.0)
         for a in axes:

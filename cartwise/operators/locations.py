@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.geo import geopoint, mercator_x, mercator_y
 from cartwise.operators.rows import add_column_if_missing, append_missing, delete_duplicates, missing_rows, upsert
+from cartwise.session import materialise
 
 ZIP, LAT, LNG = "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"
 
@@ -37,6 +38,19 @@ def upsert_seller_zips(located: DataFrame, sellers: DataFrame) -> DataFrame:
     return upsert(located, missing_rows(located, ZIP, sellers.select("seller_zip_code_prefix"), n=0), [ZIP])
 
 
+def located_zips(points: DataFrame, customers: DataFrame | None, sellers: DataFrame | None) -> DataFrame:
+    """The centroid table: cleaned points averaged, then customer and seller gaps filled.
+
+    Each stage is small (one row per zip) and read twice by the next, so it is written.
+    """
+    located = centroids(points)
+    if customers is not None:
+        located = fill_customer_zips(materialise(located, "centroids"), customers)
+    if sellers is not None:
+        located = upsert_seller_zips(materialise(located, "customer-zips"), sellers)
+    return located
+
+
 def with_geopoint(located: DataFrame) -> DataFrame:
     """Set the point column from the coordinates; a row without coordinates keeps what it had."""
     dtype = "struct<x:double,y:double>"

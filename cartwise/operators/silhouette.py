@@ -10,6 +10,7 @@ spread (then it comes with a guaranteed interval). Nothing is sampled.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.operators.quantiles import exact_quantiles
+from cartwise.session import materialise
 
 MAX_CLUSTERS = 100
 MAX_CELLS = 8192
@@ -73,94 +75,114 @@ def silhouette_euclidean(
     exact. Beyond, the true score lies between ``lower`` and ``upper``; a greater
     ``max_cells`` narrows them at a cost of rows x cells distances.
     """
-    points = df.groupBy(F.col(label).alias("label"), *columns).agg(F.sum(_weight(weight)).alias("w"))
-    cells = points.select("label", "w", *columns).limit(max_cells + 1).toPandas()
-    if len(cells) <= max_cells:
-        cells = cells.assign(spread=0.0)
-    else:
-        cells = _cells(points, columns, max_cells)
-    schema = "w double, score double, low double, high double"
-    scored = points.mapInPandas(_scorer(cells, columns), schema)
-    weighted = [(F.sum(F.col("w") * F.col(c)) / F.sum("w")).alias(name) for c, name in (("score", "silhouette"), ("low", "lower"), ("high", "upper"))]
-    return scored.agg(F.sum("w").cast("long").alias("n"), *weighted)
+    return silhouettes_euclidean(df, columns, [label], weight, max_cells).drop("label")
 
 
-def _cells(points: DataFrame, columns: list[str], max_cells: int) -> pd.DataFrame:
-    """Weight, mean and mean squared spread of at most ``max_cells`` cells.
-
-    Cells are boxes between quantiles of each column, per cluster.
-    """
-    labels = points.select("label").distinct().count()
-    if labels > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
-    bins = max(1, int((max_cells / labels) ** (1 / len(columns))))
+def silhouettes_euclidean(
+    df: DataFrame, columns: list[str], labels: list[str], weight: str | None = None, max_cells: int = MAX_CELLS
+) -> DataFrame:
+    """One row per label column: the same distances serve every labelling of the points."""
+    points = df.groupBy(*columns, *labels).agg(F.sum(_weight(weight)).alias("w"))
+    cells = points.limit(max_cells + 1).toPandas()
+    if len(cells) <= max_cells:
+        spread = np.zeros(len(cells))
+        summaries = [_Summary(cells[columns].to_numpy(float), spread, [_Sides(n, cells[n], cells["w"]) for n in labels])]
+        tasks = -(-len(cells) * len(cells) // 4_000_000)
+        points = points.repartition(max(1, min(tasks, df.sparkSession.sparkContext.defaultParallelism)))
+    else:
+        points = materialise(points, "silhouette-points")
+        summaries = _summarise(points, columns, labels, max_cells)
+    schema = "label string, w double, score double, low double, high double"
+    parts = points.mapInPandas(_scorer(summaries, columns), schema).groupBy("label")
+    weighted = [(F.sum(c) / F.sum("w")).alias(name) for c, name in (("score", "silhouette"), ("low", "lower"), ("high", "upper"))]
+    return parts.agg(F.sum("w").cast("long").alias("n"), *weighted)
+
+
+class _Sides:
+    """The clusters of one labelling: names, sizes, and each cell's weight in its cluster."""
+
+    def __init__(self, name: str, label: pd.Series, w: pd.Series):
+        self.name = name
+        self.clusters, code = np.unique(label.to_numpy(), return_inverse=True)
+        if not 2 <= len(self.clusters) <= MAX_CLUSTERS:
+            raise ValueError(f"a silhouette needs 2 to {MAX_CLUSTERS} clusters")
+        self.weights = np.zeros((len(label), len(self.clusters)))
+        self.weights[np.arange(len(label)), code] = w.to_numpy(float)
+        self.sizes = self.weights.sum(axis=0)
+
+
+@dataclass
+class _Summary:
+    """Cells that stand for all points: centre, mean squared distance to it, labellings."""
+
+    centers: np.ndarray
+    spread: np.ndarray
+    sides: list[_Sides]
+
+
+def _summarise(points: DataFrame, columns: list[str], labels: list[str], max_cells: int) -> list[_Summary]:
+    """At most ``max_cells`` cells per labelling: boxes between quantiles, per cluster."""
+    clusters = max(points.agg(*[F.count_distinct(n) for n in labels]).first())
+    if clusters > MAX_CLUSTERS:
+        raise ValueError(f"a silhouette needs 2 to {MAX_CLUSTERS} clusters")
+    bins = max(1, int((max_cells / clusters) ** (1 / len(columns))))
     edges = exact_quantiles(points, columns, [i / bins for i in range(1, bins)])
-    binned = points
-    for c in columns:
+    binned, places = points, [f"_bin_{c}" for c in columns]
+    for c, place in zip(columns, places):
         cuts = sorted(set(edges.get((None, c), [])))
-        place = reduce(lambda a, b: a + b, [F.when(F.col(c) > F.lit(e), 1).otherwise(0) for e in cuts], F.lit(0))
-        binned = binned.withColumn(f"_bin_{c}", place)
+        binned = binned.withColumn(place, _total([F.lit(0), *[F.when(F.col(c) > F.lit(e), 1).otherwise(0) for e in cuts]]))
     sums = [F.sum("w").alias("w")]
     for c in columns:
         sums += [F.sum(F.col("w") * F.col(c)).alias(f"s_{c}"), F.sum(F.col("w") * F.col(c) * F.col(c)).alias(f"q_{c}")]
-    table = binned.groupBy("label", *[f"_bin_{c}" for c in columns]).agg(*sums).toPandas()  # at most max_cells rows
-    spread = np.zeros(len(table))
-    cells = pd.DataFrame({"label": table["label"], "w": table["w"]})
-    for c in columns:
-        mean = table[f"s_{c}"] / table["w"]
-        spread += np.maximum((table[f"q_{c}"] / table["w"] - mean**2).to_numpy(), 0.0)
-        cells[c] = mean
-    return cells.assign(spread=spread)
-
-
-def _scorer(cells: pd.DataFrame, columns: list[str]):
-    """Per batch of points: own and nearest-other mean distance, as score and interval."""
-    labels, codes = np.unique(cells["label"].to_numpy(), return_inverse=True)
-    if len(labels) < 2:
-        raise ValueError("a silhouette needs two clusters or more")
-    order = np.argsort(codes, kind="stable")
-    centers = cells[columns].to_numpy(float)[order]
-    w = cells["w"].to_numpy(float)[order]
-    spread = cells["spread"].to_numpy(float)[order]
-    starts = np.searchsorted(codes[order], np.arange(len(labels)))
-    sizes = np.add.reduceat(w, starts)
-    coarse = bool(spread.any())
-    rows = max(1, 2_000_000 // max(1, len(cells)))
-
-    def mean_distances(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        squared = np.zeros((len(x), len(centers)))
-        for j in range(x.shape[1]):
-            difference = x[:, j, None] - centers[None, :, j]
-            squared += difference * difference
-        # The mean distance to a group lies between the distance to its mean
-        # (Jensen) and the root mean squared distance.
-        low = np.add.reduceat(np.sqrt(squared) * w, starts, axis=1)
-        high = np.add.reduceat(np.sqrt(squared + spread) * w, starts, axis=1) if coarse else low
-        return low, high
-
-    def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        top = np.maximum(a, b)
-        return np.divide(b - a, top, out=np.zeros_like(top), where=top > 0)
-
+    summaries = []
+    for label in labels:
+        table = binned.groupBy(label, *places).agg(*sums).toPandas()  # at most max_cells rows
+        means = np.column_stack([table[f"s_{c}"] / table["w"] for c in columns])
+        squares = np.column_stack([table[f"q_{c}"] / table["w"] for c in columns])
+        spread = np.maximum(squares - means**2, 0.0).sum(axis=1)
+        summaries.append(_Summary(means, spread, [_Sides(label, table[label], table["w"])]))
+    return summaries
+
+
+def _scorer(summaries: list[_Summary], columns: list[str]):
+    """Per batch of points and labelling: the weighted sums of the score and its limits."""
+    # Far from a round cell the mean distance is nearest to this share of the way
+    # from its lower to its upper limit.
     share = (len(columns) - 1) / len(columns)
 
+    def score(a: np.ndarray, b: np.ndarray, alone: np.ndarray) -> np.ndarray:
+        top = np.maximum(a, b)
+        return np.where(alone, 0.0, np.divide(b - a, top, out=np.zeros_like(top), where=top > 0))
+
+    def sums(sides: _Sides, part: pd.DataFrame, low: np.ndarray, high: np.ndarray) -> list:
+        own = np.searchsorted(sides.clusters, part[sides.name].to_numpy())
+        pick, size = (np.arange(len(part)), own), sides.sizes[own]
+        others, alone = np.maximum(size - 1, 1), size <= 1
+        a_low, a_high = low[pick] / others, high[pick] / others
+        low, high = low / sides.sizes, high / sides.sizes
+        low[pick] = high[pick] = np.inf
+        b_low, b_high = low.min(axis=1), high.min(axis=1)
+        guess = score(a_low + share * (a_high - a_low), b_low + share * (b_high - b_low), alone)
+        w = part["w"].to_numpy(float)
+        limits = score(a_high, b_low, alone), score(a_low, b_high, alone)
+        return [sides.name, w.sum(), (w * guess).sum(), *[(w * s).sum() for s in limits]]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), rows):
-                part = batch.iloc[at : at + rows]
-                own = np.searchsorted(labels, part["label"].to_numpy())
-                low, high = mean_distances(part[columns].to_numpy(float))
-                pick = np.arange(len(part)), own
-                alone = sizes[own] <= 1
-                others = np.maximum(sizes[own] - 1, 1)
-                a_low, a_high = low[pick] / others, high[pick] / others
-                low, high = low / sizes, high / sizes
-                low[pick] = high[pick] = np.inf
-                b_low, b_high = low.min(axis=1), high.min(axis=1)
-                # Far from a round cell the mean distance is nearest to this share
-                # of the way from the lower to the upper limit.
-                guess = score(a_low + share * (a_high - a_low), b_low + share * (b_high - b_low))
-                columns_out = {"score": guess, "low": score(a_high, b_low), "high": score(a_low, b_high)}
-                yield pd.DataFrame({"w": part["w"], **{c: np.where(alone, 0.0, v) for c, v in columns_out.items()}})
+            x, found = batch[columns].to_numpy(float), []
+            for summary in summaries:
+                rows = max(1, 2_000_000 // len(summary.centers))
+                for at in range(0, len(batch), rows):
+                    squared = np.zeros((len(x[at : at + rows]), len(summary.centers)))
+                    for j in range(x.shape[1]):
+                        difference = x[at : at + rows, j, None] - summary.centers[None, :, j]
+                        squared += difference * difference
+                    # The mean distance to a group lies between the distance to its
+                    # mean (Jensen) and the root mean squared distance.
+                    near = np.sqrt(squared)
+                    far = np.sqrt(squared + summary.spread) if summary.spread.any() else near
+                    for sides in summary.sides:
+                        found.append(sums(sides, batch.iloc[at : at + rows], near @ sides.weights, far @ sides.weights))
+            yield pd.DataFrame(found, columns=["label", "w", "score", "low", "high"])
 
     return run

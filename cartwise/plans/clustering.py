@@ -45,7 +45,7 @@ def sweep(prepared: Prepared, ks: range = range(2, 10), seed: int = 0, squared:
     """(k, inertia, silhouette) for k = 1 and every k in ``ks``; no silhouette at k = 1."""
     points = materialise(prepared.points, "rfm-points")
     models = fit_many(points, SCALED, list(ks), seed)
-    scores = dict(silhouettes(points, SCALED, models, squared))
+    scores = silhouettes(points, SCALED, models, squared)
     rows = [(k, inertia, scores.get(k)) for k, inertia in elbow(points, SCALED, models)]
     return prepared.table.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 

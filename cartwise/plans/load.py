@@ -6,11 +6,11 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.operators.locations import centroids, clean_points, fill_customer_zips, upsert_seller_zips, with_geopoint
+from cartwise.operators.locations import clean_points, located_zips, with_geopoint
 from cartwise.operators.quality import check_tables
 from cartwise.operators.rows import delete_duplicates
 from cartwise.schemas import ENTITIES, entity_for
-from cartwise.session import build_session
+from cartwise.session import build_session, materialise
 from cartwise.sources.csv_files import read_folder
 from cartwise.sources.tables import replace_table
 
@@ -25,30 +25,28 @@ def by_role(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return roles
 
 
-def clean(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Remove repeated reviews and points, then derive the centroid table.
+def load_folder(spark: SparkSession, folder: str, warehouse: str, file_name: str | None = None) -> dict[str, DataFrame]:
+    """Read, clean and write every table of a folder; returns the written tables by role.
 
     The order matters: points are cleaned before they are averaged, and zips that
-    lost all their points come back without a position.
+    lost all their points come back without a position. Tables that are read more
+    than once are staged, so that each CSV is parsed once.
     """
-    result = dict(tables)
-    if "order_reviews" in result:
-        result["order_reviews"] = delete_duplicates(result["order_reviews"], ["review_id"])
-    if "geolocation" in result:
-        result["geolocation"] = clean_points(result["geolocation"])
-        located = centroids(result["geolocation"])
-        if "customers" in result:
-            located = fill_customer_zips(located, result["customers"])
-        if "sellers" in result:
-            located = upsert_seller_zips(located, result["sellers"])
-        result["geolocation_bis"] = with_geopoint(located)
-    return result
+    written: dict[str, DataFrame] = {}
 
+    def save(name: str, df: DataFrame) -> None:
+        written[name] = replace_table(df, f"{warehouse.rstrip('/')}/{name}")
 
-def load_folder(spark: SparkSession, folder: str, warehouse: str, file_name: str | None = None) -> dict[str, DataFrame]:
-    """Read, clean and write every table of a folder; returns the written tables by role."""
-    raw = by_role(read_folder(spark, folder, file_name))
-    return {name: replace_table(df, f"{warehouse.rstrip('/')}/{name}") for name, df in clean(raw).items()}
+    for name, df in by_role(read_folder(spark, folder, file_name)).items():
+        if name == "order_reviews":
+            df = delete_duplicates(materialise(df, name), ["review_id"])
+        elif name == "geolocation":
+            df = clean_points(materialise(df, name))
+        save(name, df)
+    if "geolocation" in written:
+        located = located_zips(written["geolocation"], written.get("customers"), written.get("sellers"))
+        save("geolocation_bis", with_geopoint(located))
+    return written
 
 
 def main() -> None:

@@ -964,6 +964,22 @@ def rfm_payments(r):
     return rounded(views.rfm_payments(r.orders, r.order_payments, r.customers, AS_OF), 4, "monetary_value")
 
 
+@query(
+    "named_views",
+    with_roles(
+        """SELECT region, count(*) AS n_orders, round(sum(total_price), 2) AS total_price FROM person_orders GROUP BY region""",
+        "person_orders",
+    ),
+)
+def named_views(r):
+    stored = {n: getattr(r, n) for n in ("orders", "customers", "brazil_states", "order_items", "order_payments", "products")}
+    views.register_views(stored)
+    return r.spark.sql(
+        """SELECT region, count(*) AS n_orders, round(sum(total_price), 2) AS total_price
+        FROM orders_customers_items GROUP BY region"""
+    )
+
+
 # --- Scores, imputation, clustering ------------------------------------------------------------
 
 _SCORED = """SELECT customer_unique_id, recency, frequency, monetary_value, {} FROM rfm, (SELECT {} FROM rfm)"""
@@ -1030,7 +1046,7 @@ def cluster_median(r):
     ),
 )
 def knn_impute_query(r):
-    table = _bulk_rfm(r)
+    table = materialise(_bulk_rfm(r), "bulk-rfm")
     filled = knn_impute(table.withColumn("imputed", F.col("monetary_value").isNull()), PERSON, RFM)
     return rounded(filled, 4, "monetary_value")
 
@@ -1134,10 +1150,7 @@ def _centroids(r: Roles) -> DataFrame:
 
 
 def _located(r: Roles) -> DataFrame:
-    # The centroid table is stored before the gaps are filled from it.
-    located = materialise(_centroids(r), "centroids")
-    located = materialise(locations.fill_customer_zips(located, r.customers), "customer-zips")
-    return locations.upsert_seller_zips(located, r.sellers)
+    return locations.located_zips(locations.clean_points(r.geolocation), r.customers, r.sellers)
 
 
 def _rfm(r: Roles) -> DataFrame:
@@ -1151,7 +1164,7 @@ def _bulk_rfm(r: Roles) -> DataFrame:
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.col("l_extendedprice").alias("price")
     )
     table = views.rfm(r.orders, r.customers, items, AS_OF)
-    return materialise(table.withColumn("frequency", F.col("frequency").cast("double")), "bulk-rfm")
+    return table.withColumn("frequency", F.col("frequency").cast("double"))
 
 
 def _scored(r: Roles) -> DataFrame:

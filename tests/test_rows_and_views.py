@@ -105,7 +105,6 @@ def test_payments_times_items(table):
 
 @pytest.fixture
 def shop(table):
-    ts = "cast('{}' as timestamp_ntz)"
     orders = table(
         [
             ("o1", "c1", "2018-03-05 10:00:00"),
