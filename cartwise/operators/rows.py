@@ -75,7 +75,7 @@ def upsert(base: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def update_column(base: DataFrame, changes: DataFrame, key: str, column: str) -> DataFrame:
-    """Set ``column`` from ``changes(key, column)`` where the key is listed there."""
+    """Set ``column`` from ``changes(key, column)``, which lists each key once."""
     new = changes.select(key, F.col(column).alias("_new"), F.lit(True).alias("_hit"))
     joined = base.join(new, key, "left")
     value = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column))
@@ -92,6 +92,15 @@ def add_column_if_missing(df: DataFrame, name: str, dtype: str) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(dtype))
 
 
+def sort_descending(df: DataFrame, column: str) -> DataFrame:
+    """Greatest first, nulls before everything.
+
+    The other columns break ties: the order is repeatable, and rows that share one
+    value can be spread over several tasks.
+    """
+    return df.orderBy(F.col(column).desc_nulls_first(), *[c for c in df.columns if c != column])
+
+
 def lookup(df: DataFrame, key: str, value) -> DataFrame:
     """First row with the key, as a table of at most one row."""
     return df.where(F.col(key) == F.lit(value)).limit(1)

@@ -552,7 +552,7 @@ def row_number_dups(r):
 )
 def sort_desc(r):
     key = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).cast("double").alias("id")
-    return r.base("orders").select(key, "o_custkey", "o_totalprice").orderBy(F.col("id").desc_nulls_first())
+    return rows.sort_descending(r.base("orders").select(key, "o_custkey", "o_totalprice"), "id")
 
 
 @query("limit_preview", "SELECT * FROM customer ORDER BY c_custkey LIMIT 15")

@@ -241,8 +241,8 @@ def test_translation(table):
 
 
 def test_sort_puts_nulls_first(table):
-    ordered = table([(1,), (None,), (2,)], "id int").orderBy(F.col("id").desc_nulls_first())
-    assert [r.id for r in ordered.collect()] == [None, 2, 1]
+    ordered = rows.sort_descending(table([(1, "a"), (None, "b"), (2, "d"), (2, "c")], "id int, v string"), "id")
+    assert [tuple(r) for r in ordered.collect()] == [(None, "b"), (2, "c"), (2, "d"), (1, "a")]
 
 
 def test_key_checks(table):
