@@ -175,7 +175,8 @@ def nearest(queries: DataFrame, donors: DataFrame, axes: list[str], k: int) -> D
 def _grid(donors: DataFrame, queries: DataFrame, axes: list[str]) -> tuple[dict[str, float], float, int]:
     """Origin per axis, side of the finest cell, and number of levels.
 
-    Whole-number axes get cells of side 1; others an even split of the range.
+    Whole-number axes get cells of side 1; others as many levels as there may be, so
+    that a far outlier, which widens the range, leaves few points per finest cell.
     """
     stats = donors.agg(
         *[F.min(a).alias(f"min_{a}") for a in axes],
@@ -191,6 +192,6 @@ def _grid(donors: DataFrame, queries: DataFrame, axes: list[str]) -> tuple[dict[
         levels = min(levels, MAX_LEVELS)
         step = max(1.0, (spread + 1) / BRANCHING**levels)
     else:
-        levels = 8
+        levels = MAX_LEVELS
         step = spread / BRANCHING**levels * (1 + 1e-9)
     return low, step or 1.0, levels

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from cartwise.operators.locations import clean_points, located_zips, with_geopoint
 from cartwise.operators.quality import check_tables
@@ -25,7 +25,13 @@ def by_role(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return roles
 
 
-def load_folder(spark: SparkSession, folder: str, warehouse: str, file_name: str | None = None) -> dict[str, DataFrame]:
+def load_folder(
+    spark: SparkSession,
+    folder: str,
+    warehouse: str,
+    file_name: str | None = None,
+    rejects: dict[str, Observation] | None = None,
+) -> dict[str, DataFrame]:
     """Read, clean and write every table of a folder; returns the written tables by role.
 
     The order matters: points are cleaned before they are averaged, and zips that
@@ -37,7 +43,7 @@ def load_folder(spark: SparkSession, folder: str, warehouse: str, file_name: str
     def save(name: str, df: DataFrame) -> None:
         written[name] = replace_table(df, f"{warehouse.rstrip('/')}/{name}")
 
-    for name, df in by_role(read_folder(spark, folder, file_name)).items():
+    for name, df in by_role(read_folder(spark, folder, file_name, rejects)).items():
         if name == "order_reviews":
             df = delete_duplicates(materialise(df, name), ["review_id"])
         elif name == "geolocation":
@@ -56,7 +62,12 @@ def main() -> None:
     parser.add_argument("--file", help="only this file of the folder")
     args = parser.parse_args()
     spark = build_session("cartwise-load")
-    tables = load_folder(spark, args.folder, args.warehouse, args.file)
+    rejects: dict[str, Observation] = {}
+    tables = load_folder(spark, args.folder, args.warehouse, args.file, rejects)
+    for name, counts in rejects.items():
+        for column, n in counts.get.items():
+            if n:
+                print(f"{name}.{column}: {n} values could not be read")
     check_tables({n: t for n, t in tables.items() if n in ENTITIES}).where("violations > 0").show(truncate=False)
 
 

@@ -259,21 +259,15 @@ def rfm_payments(orders: DataFrame, payments: DataFrame, customers: DataFrame, a
     Null keys match each other in its joins, persons without an id are left out,
     and a person whose values are all null gets 0.0.
     """
+    # Payments combine per order before they meet it; a repeated order still counts each time.
     paid = payments.groupBy("order_id").agg(F.sum("payment_value").alias("payment_value"))
-    accounts = (
-        merge(orders.select("order_id", "customer_id", "order_purchase_timestamp"), paid, "order_id")
-        .groupBy("customer_id", "order_id")
-        .agg(
-            F.max("order_purchase_timestamp").alias("last_purchase"),
-            F.sum("payment_value").alias("payment_value"),
-        )
-    )
+    paid_orders = merge(orders.select("order_id", "customer_id", "order_purchase_timestamp"), paid, "order_id")
     people = customers.where("customer_unique_id IS NOT NULL").select("customer_id", "customer_unique_id")
     return (
-        merge(accounts, people, "customer_id")
+        merge(paid_orders, people, "customer_id")
         .groupBy("customer_unique_id")
         .agg(
-            floor_days_between(F.max("last_purchase"), as_of).alias("recency"),
+            floor_days_between(F.max("order_purchase_timestamp"), as_of).alias("recency"),
             F.count_distinct("order_id").alias("frequency"),
             F.coalesce(F.sum("payment_value"), F.lit(0.0)).alias("monetary_value"),
         )

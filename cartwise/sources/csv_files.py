@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,40 +44,49 @@ def nulls_from_tokens(df: DataFrame) -> DataFrame:
     return df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
 
 
-def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+def cast_to(df: DataFrame, schema: T.StructType, rejects: Observation | None = None) -> DataFrame:
     """Cast text columns to the declared types; a value that does not parse gives null.
 
     Columns outside the schema are kept. Whole numbers written with decimals
-    (``40.0``) are accepted for integer columns.
+    (``40.0``) are accepted for integer columns. With ``rejects``, the values that
+    did not parse are counted per column while the table is written; no extra pass
+    is needed.
     """
-    declared = {f.name: f.dataType for f in schema.fields}
+    declared = _converted(df, schema)
 
-    def typed(name: str):
+    def typed(name: str) -> Column:
         dtype, column = declared.get(name), F.col(name)
-        if dtype is None or isinstance(dtype, T.StringType):
+        if dtype is None:
             return column
         if isinstance(dtype, (T.IntegerType, T.LongType)):
             return F.coalesce(column.try_cast(dtype), column.try_cast("double").try_cast(dtype)).alias(name)
         return column.try_cast(dtype).alias(name)
 
+    if rejects is not None and declared:
+        df = df.observe(rejects, *[F.count_if(F.col(c).isNotNull() & typed(c).isNull()).alias(c) for c in declared])
     return df.select(*[typed(c) for c in df.columns])
 
 
 def cast_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Per column, how many present values do not parse as the declared type (one pass)."""
-    columns = [f.name for f in schema.fields if f.name in df.columns and not isinstance(f.dataType, T.StringType)]
-    typed = cast_to(df.select(*[F.col(c) for c in columns], *[F.col(c).alias(f"{c}__raw") for c in columns]), schema)
+    columns = list(_converted(df, schema))
+    typed = cast_to(df.select(*columns, *[F.col(c).alias(f"{c}__raw") for c in columns]), schema)
     counts = typed.agg(*[F.count_if(F.col(f"{c}__raw").isNotNull() & F.col(c).isNull()).alias(c) for c in columns])
     return counts.unpivot([], columns, "column_name", "rejected")
 
 
+def _converted(df: DataFrame, schema: T.StructType) -> dict[str, T.DataType]:
+    """The columns that do not stay text, with their types."""
+    return {f.name: f.dataType for f in schema.fields if f.name in df.columns and not isinstance(f.dataType, T.StringType)}
+
+
 def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Every column as text, header stripped, missing-value tokens null."""
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline)
     return nulls_from_tokens(strip_header(reader.csv(path)))
 
 
-def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, name: str, rejects: Observation | None = None) -> DataFrame:
     """One CSV as a typed table.
 
     A known table gets its declared types, so codes such as zip prefixes stay
@@ -87,13 +96,17 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     if entity is None:
         reader = spark.read.option("header", True).option("escape", '"').option("inferSchema", True)
         return nulls_from_tokens(strip_header(reader.csv(path)))
-    return cast_to(read_raw(spark, path, entity.multiline), entity.schema)
+    return cast_to(read_raw(spark, path, entity.multiline), entity.schema, rejects)
 
 
-def read_folder(spark: SparkSession, folder: str, file_name: str | None = None) -> dict[str, DataFrame]:
+def read_folder(
+    spark: SparkSession, folder: str, file_name: str | None = None, rejects: dict[str, Observation] | None = None
+) -> dict[str, DataFrame]:
     """Table name -> table for every CSV in ``folder``, or for one file of it.
 
-    A named file that is missing is reported and skipped.
+    A named file that is missing is reported and skipped. ``rejects`` is filled with
+    one observation per table that has casts; it holds the counts once the table was
+    written.
     """
     files = list_csv(spark, folder)
     if file_name is not None:
@@ -101,4 +114,11 @@ def read_folder(spark: SparkSession, folder: str, file_name: str | None = None)
             print(f"{file_name}: not found in {folder}, skipped")
             return {}
         files = {file_name: files[file_name]}
-    return {table_name(name): read_table(spark, path, name) for name, path in sorted(files.items())}
+    result = {}
+    for name, path in sorted(files.items()):
+        observation = Observation() if rejects is not None else None
+        result[table_name(name)] = read_table(spark, path, name, observation)
+        entity = entity_for(name)
+        if rejects is not None and entity and _converted(result[table_name(name)], entity.schema):
+            rejects[table_name(name)] = observation
+    return result

@@ -65,6 +65,13 @@ def test_rejected_casts_are_counted(spark, folder):
     assert found == {"order_purchase_timestamp": 0, "order_approved_at": 1}
 
 
+def test_rejects_are_counted_while_writing(spark, folder, tmp_path):
+    rejects = {}
+    orders = csv_files.read_folder(spark, folder, "shop_orders_dataset.csv", rejects)["shop_orders"]
+    tables.replace_table(orders, str(tmp_path / "orders"))
+    assert rejects["shop_orders"].get == {"order_purchase_timestamp": 0, "order_approved_at": 1}
+
+
 def test_whole_numbers_with_decimals(spark):
     raw = spark.createDataFrame([("2.0",), ("3",), ("x",)], "order_item_id string")
     typed = csv_files.cast_to(raw, ENTITIES["order_items"].schema)
@@ -72,7 +79,10 @@ def test_whole_numbers_with_decimals(spark):
 
 
 def test_load_job(spark, folder, tmp_path):
-    written = load_folder(spark, folder, str(tmp_path / "warehouse"))
+    rejects = {}
+    written = load_folder(spark, folder, str(tmp_path / "warehouse"), rejects=rejects)
+    assert rejects["shop_orders"].get["order_approved_at"] == 1
+    assert "shop_customers" not in rejects  # nothing to cast
     assert [r.review_id for r in written["order_reviews"].collect()] == ["r1"]
     located = {r.geolocation_zip_code_prefix: r for r in written["geolocation_bis"].collect()}
     assert located["01037"].n == 2 and located["01037"].geopoint_location.x == pytest.approx(-46.7)
