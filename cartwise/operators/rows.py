@@ -31,19 +31,23 @@ def delete_duplicates(df: DataFrame, keys: list[str], keep: str = "none", order_
     ``keep="none"`` removes every copy. ``keep="first"`` leaves the copy that
     comes first in ``order_by`` (all columns decide when it is not given).
     """
+    # Rows with a null key part never go through the shuffle, where they would all
+    # meet in one task.
+    keyed, unkeyed = df.where(all_present(keys)), df.where(~all_present(keys))
     if keep == "none":
         repeated = duplicate_keys(df, keys)
         # The rows of very frequent keys leave through a bounded broadcast, so the
         # shuffled anti join never gets one key with a large share of the table.
         hot = repeated.orderBy(F.desc("n_rows"), *keys).limit(HOT_KEYS).select(*keys)
-        return df.join(F.broadcast(hot), keys, "left_anti").join(repeated.select(*keys), keys, "left_anti")
+        single = keyed.join(F.broadcast(hot), keys, "left_anti").join(repeated.select(*keys), keys, "left_anti")
+        return single.unionByName(unkeyed)
     if keep != "first":
         raise ValueError("keep is 'none' or 'first'")
     rest = [c for c in df.columns if c not in (order_by or [])]
     ranking = F.struct(*(order_by or []), *rest)
     # min_by combines before the shuffle as well.
-    kept = df.where(all_present(keys)).groupBy(*keys).agg(F.min_by(F.struct(*df.columns), ranking).alias("row"))
-    return kept.select("row.*").unionByName(df.where(~all_present(keys)))
+    kept = keyed.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), ranking).alias("row"))
+    return kept.select("row.*").unionByName(unkeyed)
 
 
 def append_missing(base: DataFrame, key: str, keys: DataFrame, **fill) -> DataFrame:

@@ -31,3 +31,12 @@ def test_query_matches_sql(spark, database, name):
 def test_entry_has_rows(spark):
     assert entry_points.entry(spark).columns == ["customer_unique_id", "recency", "frequency", "monetary_value"]
     assert entry_points.entry(spark).count() > 0
+
+
+def test_iterative_queries_cover_every_person(spark):
+    persons = entry_points.queries()["rfm"](spark, FOLDER).count()
+    assert entry_points.queries()["kmeans4"](spark, FOLDER).count() == persons
+    assert entry_points.queries()["cluster_profile"](spark, FOLDER).count() == 4
+    sweep = entry_points.queries()["kmeans_sweep"](spark, FOLDER).collect()
+    assert sorted(r.k for r in sweep) == list(range(1, 10))
+    assert all(-1 <= r.silhouette <= 1 for r in sweep if r.k > 1)

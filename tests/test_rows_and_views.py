@@ -1,6 +1,7 @@
 """Hand-worked rows for cleaning, joins, views and checks."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -209,6 +210,19 @@ def test_days(table, ts, truncated, floored):
     assert values(row) == [(truncated, floored)]
 
 
+def test_days_equal_python(spark):
+    rng = random.Random(0)
+    anchor = dt.datetime(2018, 11, 4, 0, 30, 0, 7)
+    gaps = [dt.timedelta(days=rng.randint(-400, 400), seconds=rng.randint(0, 86400), microseconds=rng.randint(0, 9)) for _ in range(500)]
+    rows_in = [(i, anchor - gap) for i, gap in enumerate(gaps)]
+    column = F.col("t")
+    found = spark.createDataFrame(rows_in, "i int, t timestamp_ntz").select(
+        "i", dates.whole_days_between(column, str(anchor)), dates.floor_days_between(column, str(anchor))
+    )
+    expected = [(i, float(int(gap / dt.timedelta(days=1))), gap.days) for i, gap in enumerate(gaps)]
+    assert sorted(tuple(r) for r in found.collect()) == expected
+
+
 def test_geopoint_needs_both_coordinates(table):
     data = table([(0.0, 1.0), (None, 1.0), (-23.5, -46.6)], "lat double, lng double")
     points = data.select(geo.geopoint(F.col("lat"), F.col("lng")).alias("p")).select("p.x", "p.y")
