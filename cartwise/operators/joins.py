@@ -27,14 +27,16 @@ def without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right.select(key).distinct(), key, "left_anti")
 
 
-def row_hash_id(*columns: str):
-    """A row id from the row's own values; no global counter is needed."""
-    return F.xxhash64(*columns)
-
-
 def zip_bridge(customers: DataFrame, points: DataFrame) -> DataFrame:
-    """Customer to raw location point by zip; one row per match."""
-    numbered = points.select("geolocation_zip_code_prefix", F.col("geolocation_id"))
-    return customers.join(
-        numbered, customers.customer_zip_code_prefix == numbered.geolocation_zip_code_prefix
-    ).select("customer_id", "customer_zip_code_prefix", "geolocation_id")
+    """Customer to raw location point by zip; one row per match.
+
+    Points without a ``geolocation_id`` get one from their own values, so no global
+    counter is needed; equal points share it.
+    """
+    if "geolocation_id" not in points.columns:
+        points = points.withColumn("geolocation_id", F.xxhash64(*points.columns))
+    numbered = points.select(F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"), "geolocation_id")
+    placed = customers.select("customer_id", "customer_zip_code_prefix")
+    return placed.join(numbered, "customer_zip_code_prefix").select(
+        "customer_id", "customer_zip_code_prefix", "geolocation_id"
+    )

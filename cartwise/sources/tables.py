@@ -30,6 +30,12 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def append_table(df: DataFrame, path: str) -> DataFrame:
+    """Add rows to the Parquet table at ``path`` and return it as read back."""
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Folder of CSV parts with a header each; one file per task, never gathered."""
     df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)

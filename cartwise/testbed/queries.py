@@ -162,6 +162,16 @@ def sink_overwrite(r):
     return tables.replace_table(sellers, path)
 
 
+@query(
+    "sink_append",
+    """SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier""",
+)
+def sink_append(r):
+    path = scratch_path(r.spark, "table")
+    tables.replace_table(r.base("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), path)
+    return tables.append_table(r.sellers.select(F.col("seller_id").alias("id"), F.col("seller_city").alias("name")), path)
+
+
 @query("scan_table", "SELECT * FROM customer")
 def scan_table(r):
     return tables.scan_parquet(r.spark, f"{r.folder}/customer.parquet")
@@ -586,9 +596,8 @@ def delete_dup_single_key(r):
 
 @query(
     "delete_dup_multi_key",
-    """SELECT * FROM lineitem WHERE (l_orderkey, l_linenumber, l_returnflag) NOT IN (
-        SELECT (l_orderkey, l_linenumber, l_returnflag) FROM lineitem GROUP BY l_orderkey, l_linenumber, l_returnflag
-        HAVING count(*) > 1)""",
+    """SELECT * FROM lineitem
+    QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber, l_returnflag) = 1""",
 )
 def delete_dup_multi_key(r):
     return rows.delete_duplicates(r.base("lineitem"), ["l_orderkey", "l_linenumber", "l_returnflag"])

@@ -184,10 +184,9 @@ SQL_ROLES = {
     + ", ".join(f"('{term}', '{word}')" for term, word in DICTIONARY)
     + ") AS d(term, translation)",
     # Derived tables that several checks share.
-    "clean_reviews": "SELECT * FROM reviews WHERE review_id IN (SELECT review_id FROM reviews GROUP BY 1 HAVING count(*) = 1)",
-    "clean_points": """SELECT * FROM geolocation WHERE (geolocation_zip_code_prefix, geolocation_lat, geolocation_lng) NOT IN (
-        SELECT (geolocation_zip_code_prefix, geolocation_lat, geolocation_lng) FROM geolocation
-        GROUP BY geolocation_zip_code_prefix, geolocation_lat, geolocation_lng HAVING count(*) > 1)""",
+    "clean_reviews": "SELECT * FROM reviews QUALIFY count(*) OVER (PARTITION BY review_id) = 1",
+    "clean_points": """SELECT * FROM geolocation QUALIFY count(*) OVER (
+        PARTITION BY geolocation_zip_code_prefix, geolocation_lat, geolocation_lng) = 1""",
     "centroids": """SELECT geolocation_zip_code_prefix, avg(geolocation_lat) AS geolocation_lat,
         avg(geolocation_lng) AS geolocation_lng, max(geolocation_city) AS geolocation_city,
         max(geolocation_state) AS geolocation_state, CAST(count(*) AS INTEGER) AS n

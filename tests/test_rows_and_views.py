@@ -66,6 +66,13 @@ def test_located_zips(table):
     assert [z for (z,) in values(final, ZIP)] == ["z1", "z2", "z9"]
 
 
+def test_zip_bridge_repeats_per_match(table):
+    customers = table([("c1", "z1"), ("c2", "z1"), ("c3", "z2")], "customer_id string, customer_zip_code_prefix string")
+    points = table([("z1", 1.0), ("z1", 2.0), (None, 3.0)], f"{ZIP} string, {LAT} double")
+    bridge = joins.zip_bridge(customers, points)
+    assert bridge.count() == 4 and bridge.select("geolocation_id").distinct().count() == 2
+
+
 def test_upsert_source_wins(table):
     base = table([("a", 1), ("b", 2)], "k string, v int")
     assert values(rows.upsert(base, table([("b", 9), ("c", 3)], "k string, v int"), ["k"])) == [("a", 1), ("b", 9), ("c", 3)]

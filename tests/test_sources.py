@@ -95,6 +95,8 @@ def test_load_job(spark, folder, tmp_path):
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.5), ("b", None)], "k string, v double")
     assert tables.replace_table(df, str(tmp_path / "t")).count() == 2
+    assert tables.append_table(df, str(tmp_path / "t")).count() == 4
+    assert tables.replace_table(df, str(tmp_path / "t")).count() == 2
     tables.write_csv(df, str(tmp_path / "c"))
     back = spark.read.schema(df.schema).option("header", True).csv(str(tmp_path / "c"))
     assert sorted(tuple(r) for r in back.collect()) == [("a", 1.5), ("b", None)]
