@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.operators.scaling import inertia_of_one
@@ -25,6 +26,15 @@ def weighted_points(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
 
 
+def nearest_center(columns: list[str], centers: list[tuple[float, ...]]) -> Column:
+    """Number of the nearest centre; the lower number wins a tie."""
+    distances = []
+    for i, center in enumerate(centers):
+        squares = [(F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x))) for c, x in zip(columns, center)]
+        distances.append(F.struct(reduce(lambda a, b: a + b, squares).alias("distance"), F.lit(i).alias("number")))
+    return (F.least(*distances) if len(distances) > 1 else distances[0])["number"]
+
+
 @dataclass
 class Clustering:
     """A fitted model whose clusters are numbered by the order of their centres."""
@@ -32,12 +42,6 @@ class Clustering:
     model: KMeansModel
     columns: list[str]
 
-    @property
-    def order(self) -> list[int]:
-        centers = [tuple(c) for c in self.model.clusterCenters()]
-        ranked = sorted(range(len(centers)), key=lambda i: centers[i])
-        return [ranked.index(i) for i in range(len(centers))]
-
     @property
     def centers(self) -> list[tuple[float, ...]]:
         return sorted(tuple(float(x) for x in c) for c in self.model.clusterCenters())
@@ -47,10 +51,11 @@ class Clustering:
         return float(self.model.summary.trainingCost)
 
     def label(self, df: DataFrame, name: str = LABEL) -> DataFrame:
-        """``df`` with the cluster number of every row; all columns are kept."""
-        predicted = self.model.transform(_with_vector(df, self.columns))
-        number = F.array(*[F.lit(i) for i in self.order])[F.col("_prediction")]
-        return predicted.withColumn(name, number).drop(VECTOR, "_prediction")
+        """``df`` with the cluster number of every row; all columns are kept.
+
+        Plain column arithmetic: no vector is built and no partner is joined.
+        """
+        return df.withColumn(name, nearest_center(self.columns, self.centers))
 
 
 def _with_vector(df: DataFrame, columns: list[str]) -> DataFrame:

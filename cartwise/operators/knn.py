@@ -124,7 +124,7 @@ def nearest(queries: DataFrame, donors: DataFrame, axes: list[str], k: int) -> D
     order = W.partitionBy(*axes).orderBy("donor")
     kept = donors.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
     kept = materialise(kept, "knn-donors")
-    low, step, levels = _grid(kept, queries, axes)
+    low, step, levels = _grid(kept, axes)
 
     def cell(column: Column, axis: str, level: int) -> Column:
         return F.floor((column - F.lit(low[axis])) / F.lit(step * BRANCHING**level))
@@ -172,15 +172,17 @@ def nearest(queries: DataFrame, donors: DataFrame, axes: list[str], k: int) -> D
     return ranked.where(F.col("rank") <= k).select(*point, "donor", "value", "distance")
 
 
-def _grid(donors: DataFrame, queries: DataFrame, axes: list[str]) -> tuple[dict[str, float], float, int]:
+def _grid(donors: DataFrame, axes: list[str]) -> tuple[dict[str, float], float, int]:
     """Origin per axis, side of the finest cell, and number of levels.
 
-    Whole-number axes get cells of side 1; others as many levels as there may be, so
-    that a far outlier, which widens the range, leaves few points per finest cell.
+    Whole-number axes get cells of side 1; others two levels more than the donors
+    would need if spread evenly, so that a far outlier, which widens the range, still
+    leaves few points per finest cell.
     """
     stats = donors.agg(
         *[F.min(a).alias(f"min_{a}") for a in axes],
         *[F.max(a).alias(f"max_{a}") for a in axes],
+        F.count(F.lit(1)).alias("n"),
         F.max(F.greatest(*[F.abs(F.col(a) - F.floor(a)) for a in axes], F.lit(0.0))).alias("fraction"),
     ).first()
     if stats.fraction is None:
@@ -192,6 +194,6 @@ def _grid(donors: DataFrame, queries: DataFrame, axes: list[str]) -> tuple[dict[
         levels = min(levels, MAX_LEVELS)
         step = max(1.0, (spread + 1) / BRANCHING**levels)
     else:
-        levels = MAX_LEVELS
+        levels = min(math.ceil(math.log(stats.n, BRANCHING)) + 2, MAX_LEVELS)
         step = spread / BRANCHING**levels * (1 + 1e-9)
     return low, step or 1.0, levels

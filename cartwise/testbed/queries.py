@@ -1122,6 +1122,30 @@ def silhouette_euclidean(r):
     return rounded(silhouette.silhouette_euclidean(_labelled(r), RFM, "R"), 6, "silhouette", "lower", "upper")
 
 
+@query(
+    "kmeans_predict",
+    with_roles(
+        """, centers AS (SELECT R, """
+        + ", ".join(f"avg({c}) AS {c}" for c in RFM)
+        + """ FROM points GROUP BY R),
+        numbered AS (SELECT *, row_number() OVER (ORDER BY recency, frequency, monetary_value) - 1 AS number FROM centers)
+        SELECT customer_unique_id, CAST(number AS INTEGER) AS cluster FROM (
+            SELECT a.customer_unique_id, b.number, row_number() OVER (
+                PARTITION BY a.customer_unique_id ORDER BY """
+        + " + ".join(f"(a.{c} - b.{c}) ** 2" for c in RFM)
+        + """, b.number) AS place FROM points a, numbered b) WHERE place = 1""",
+        "scaled",
+        **_labelled_sql(),
+    ),
+)
+def kmeans_predict(r):
+    # The centres of the five recency groups stand in for a fitted model.
+    labelled = _labelled(r)
+    means = labelled.groupBy("R").agg(*[F.avg(c).alias(c) for c in RFM]).collect()  # five rows
+    centers = sorted(tuple(m[c] for c in RFM) for m in means)
+    return labelled.select(PERSON, kmeans.nearest_center(RFM, centers).alias("cluster"))
+
+
 @query("kmeans4")
 def kmeans4(r):
     _, labelled = clustering.segment(clustering.prepare(_bulk_rfm(r)))

@@ -132,9 +132,12 @@ def test_impute_far_outliers(spark):
 
 def test_impute_fractions_and_several_gaps(spark):
     rng = np.random.default_rng(4)
-    rows = [
-        (i, tuple(None if rng.random() < 0.25 else float(v) for v in np.round(rng.normal(0, 10, 3), 3))) for i in range(120)
-    ]
+
+    def gap(value):
+        return None if rng.random() < 0.25 else float(value)
+
+    x = np.round(np.exp(rng.normal(0, 2, (150, 3))), 3)
+    rows = [(i, (float(r), gap(f), gap(m))) for i, (r, f, m) in enumerate(x)]
     same(imputed(spark, rows, k=3), brute_force_impute(rows, k=3))
 
 
