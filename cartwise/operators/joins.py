@@ -10,12 +10,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+MERGE_KEY = ["_is_null", "_value"]
+
+
+def with_merge_key(df: DataFrame, key: str) -> DataFrame:
+    """Add two columns that are equal whenever the keys are, two nulls included.
+
+    Grouping by them partitions the rows as ``merge`` needs them, so an aggregate
+    that feeds a merge is not shuffled again.
+    """
+    if MERGE_KEY[0] in df.columns:
+        return df
+    dtype = df.schema[key].dataType
+    filler = F.lit(0).cast(dtype) if isinstance(dtype, T.NumericType) else F.lit("")
+    value = F.col(key) if isinstance(dtype, (T.NumericType, T.StringType)) else F.col(key).cast("string")
+    return df.withColumns({MERGE_KEY[0]: F.col(key).isNull(), MERGE_KEY[1]: F.coalesce(value, filler)})
 
 
 def merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Inner join in which null keys match each other; one key column."""
-    other = right.withColumnRenamed(key, "_right_key")
-    return left.join(other, F.col(key).eqNullSafe(F.col("_right_key")), "inner").drop("_right_key")
+    other = with_merge_key(right, key).drop(key)
+    return with_merge_key(left, key).join(other, MERGE_KEY).drop(*MERGE_KEY)
 
 
 def without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from cartwise.operators.locations import clean_points, located_zips, with_geopoi
 from cartwise.operators.quality import check_tables
 from cartwise.operators.rows import delete_duplicates
 from cartwise.schemas import ENTITIES, entity_for
-from cartwise.session import build_session, materialise
+from cartwise.session import build_session, clear_scratch, materialise
 from cartwise.sources.csv_files import read_folder
 from cartwise.sources.tables import replace_table
 
@@ -69,6 +69,7 @@ def main() -> None:
             if n:
                 print(f"{name}.{column}: {n} values could not be read")
     check_tables({n: t for n, t in tables.items() if n in ENTITIES}).where("violations > 0").show(truncate=False)
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.dates import floor_days_between, month_start, whole_days_between
-from cartwise.operators.joins import merge
+from cartwise.operators.joins import MERGE_KEY, merge, with_merge_key
 
 CUSTOMER_PLACE = ["customer_zip_code_prefix", "customer_city", "customer_state", "region"]
 RFM_AS_OF = "2019-01-01 00:00:00"
@@ -260,7 +260,7 @@ def rfm_payments(orders: DataFrame, payments: DataFrame, customers: DataFrame, a
     and a person whose values are all null gets 0.0.
     """
     # Payments combine per order before they meet it; a repeated order still counts each time.
-    paid = payments.groupBy("order_id").agg(F.sum("payment_value").alias("payment_value"))
+    paid = with_merge_key(payments, "order_id").groupBy(*MERGE_KEY).agg(F.sum("payment_value").alias("payment_value"))
     paid_orders = merge(orders.select("order_id", "customer_id", "order_purchase_timestamp"), paid, "order_id")
     people = customers.where("customer_unique_id IS NOT NULL").select("customer_id", "customer_unique_id")
     return (

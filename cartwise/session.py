@@ -56,9 +56,20 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables."""
+    return f"{shared_dir(spark)}/cartwise/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/cartwise/{name}-{uuid.uuid4().hex}"
+    """A fresh path among this application's intermediate tables."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables; tables derived from them must be written first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
