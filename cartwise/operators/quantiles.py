@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 2048
+BUCKETS = 4096
 MAX_GROUPS = 1000
 
 

@@ -38,5 +38,6 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
     return sorted(records, key=repr)
 
 
-def kinds(frame: pd.DataFrame) -> dict[str, str]:
-    return {c: frame[c].dtype.kind for c in sorted(frame.columns)}
+def planned(df) -> str:
+    """Text of the physical plan."""
+    return df._jdf.queryExecution().executedPlan().toString()

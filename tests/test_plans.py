@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from compare import planned
 from cartwise.operators import joins, rows
 from cartwise.operators.knn import knn_impute
 from cartwise.plans import views
@@ -15,10 +16,6 @@ from cartwise.testbed.roles import AS_OF, Roles
 FOLDER = "/root/testdata/sf0.001"
 
 
-def planned(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def executed(df) -> str:
     df.collect()
     return planned(df).split("== Initial Plan ==")[0]
@@ -36,16 +33,6 @@ def roles(spark):
     return Roles(spark, FOLDER)
 
 
-def test_no_pairing_of_everything_with_everything(spark):
-    for name, query in entry_points.queries().items():
-        if name.startswith(("kmeans", "cluster")):
-            continue  # the result is a finished table
-        plan = planned(query(spark, FOLDER))
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
-        # A window without partitions would put the whole table in one task.
-        assert not re.search(r"Window \[[^\n]*windowspecdefinition\((?:\w+#\d+L? (ASC|DESC)|specifiedwindowframe)", plan), name
-
-
 def test_rfm_reads_only_its_columns(roles):
     plan = planned(views.rfm(roles.orders, roles.customers, roles.order_items, AS_OF))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan

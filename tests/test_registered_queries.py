@@ -1,9 +1,11 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_points
-from compare import connect, rows
+from compare import connect, planned, rows
 
 FOLDER = "/root/testdata/sf0.001"
 ORACLES = entry_points.oracle_sql()
@@ -22,10 +24,14 @@ def test_only_iterative_queries_lack_sql():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, database, name):
-    found = entry_points.queries()[name](spark, FOLDER).toPandas()
+    df = entry_points.queries()[name](spark, FOLDER)
+    found, plan = df.toPandas(), planned(df)
     expected = database.execute(ORACLES[name]).df()
     assert sorted(found.columns) == sorted(expected.columns)
     assert rows(found) == rows(expected)
+    # Nothing is paired with everything, and no window holds the whole table in one task.
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert not re.search(r"Window \[[^\n]*windowspecdefinition\((?:\w+#\d+L? (ASC|DESC)|specifiedwindowframe)", plan)
 
 
 def test_entry_has_rows(spark):
