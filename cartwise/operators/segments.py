@@ -33,7 +33,10 @@ def quantile_score(value: Column, edges: list[float], reverse: bool = False) ->
 
 
 def rfm_scores(df: DataFrame, q: int = 5, reverse_recency: bool = False) -> DataFrame:
-    """Add R, F and M. R = 1 is the most recent fifth unless reversed."""
+    """Add R, F and M. R = 1 is the most recent fifth unless reversed.
+
+    ``df`` is read several times: hand in a written table.
+    """
     edges = quantile_edges(df, list(SCORES.values()), q)
     return df.withColumns(
         {
@@ -50,7 +53,10 @@ def segment_counts(scored: DataFrame) -> DataFrame:
 
 
 def median_by_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
-    """Median of every column per group, nulls skipped, even counts interpolated."""
+    """Median of every column per group, nulls skipped, even counts interpolated.
+
+    ``df`` is read several times: hand in a written table.
+    """
     medians = exact_quantiles(df, columns, [0.5], by=group)
     groups = sorted({g for g, _ in medians}, key=lambda g: (g is None, g))
     rows = [(g, *[medians[g, c][0] if (g, c) in medians else None for c in columns]) for g in groups if g is not None]
