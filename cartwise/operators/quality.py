@@ -37,7 +37,7 @@ def _flat(limits: dict[str, int]):
 
 
 def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """All declared checks on the tables present: (table, check, columns, violations)."""
+    """All declared checks on the tables and columns present: (table, check, columns, violations)."""
     reports = []
 
     def add(table: str, check: str, columns: str, violations: DataFrame, total) -> None:
@@ -49,15 +49,16 @@ def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
 
     for name, df in tables.items():
         entity = ENTITIES[name]
-        if entity.primary_key:
-            keys = list(entity.primary_key)
+        keys = list(entity.primary_key)
+        if keys and set(keys) <= set(df.columns):
             add(name, "primary key", ", ".join(keys), primary_key_violations(df, keys), F.count(F.lit(1)))
         for column, parent, parent_column in entity.foreign_keys:
-            if parent in tables:
+            if parent in tables and column in df.columns:
                 found = foreign_key_violations(df, column, tables[parent], parent_column)
                 add(name, "foreign key", f"{column} -> {parent}", found, F.sum("n_rows"))
-        if entity.lengths:
-            found = length_violations(df, entity.lengths)
+        limits = {c: n for c, n in entity.lengths.items() if c in df.columns}
+        if limits:
+            found = length_violations(df, limits)
             reports.append(
                 found.select(
                     F.lit(name).alias("table_name"),

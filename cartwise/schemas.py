@@ -26,6 +26,7 @@ class Entity:
     lengths: dict[str, int] = field(default_factory=dict)
     foreign_keys: tuple[tuple[str, str, str], ...] = ()  # (column, parent table, parent column)
     multiline: bool = False  # quoted line breaks occur in the CSV
+    counts: tuple[str, ...] = ()  # whole numbers kept as text
 
 
 ENTITIES: dict[str, Entity] = {
@@ -104,6 +105,7 @@ ENTITIES: dict[str, Entity] = {
                 "product_description_lenght": 50,
                 "product_photos_qty": 50,
             },
+            counts=("product_name_lenght", "product_description_lenght", "product_photos_qty"),
         ),
         Entity(
             "sellers",

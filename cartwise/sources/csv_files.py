@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwise.functions.text import na_to_null
+from cartwise.functions.text import na_to_null, number_to_string
 from cartwise.schemas import entity_for
 
 
@@ -96,7 +96,10 @@ def read_table(spark: SparkSession, path: str, name: str, rejects: Observation |
     if entity is None:
         reader = spark.read.option("header", True).option("escape", '"').option("inferSchema", True)
         return nulls_from_tokens(strip_header(reader.csv(path)))
-    return cast_to(read_raw(spark, path, entity.multiline), entity.schema, rejects)
+    typed = cast_to(read_raw(spark, path, entity.multiline), entity.schema, rejects)
+    # A whole number kept as text has no decimals, however the file writes it.
+    plain = {c: F.coalesce(number_to_string(F.col(c).try_cast("double")), F.col(c)) for c in entity.counts if c in typed.columns}
+    return typed.withColumns(plain) if plain else typed
 
 
 def read_folder(

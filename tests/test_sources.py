@@ -2,7 +2,7 @@
 
 import pytest
 
-from cartwise.operators.quality import profile
+from cartwise.operators.quality import check_tables, profile
 from cartwise.plans.load import load_folder
 from cartwise.schemas import ENTITIES
 from cartwise.sources import csv_files, tables
@@ -78,6 +78,15 @@ def test_whole_numbers_with_decimals(spark):
     assert [r.order_item_id for r in typed.collect()] == [2, 3, None]
 
 
+def test_counts_kept_as_text(spark, tmp_path):
+    (tmp_path / "products.csv").write_text("product_id,product_name_lenght,product_photos_qty\np1,40.0,2\np2,,many\n")
+    products = csv_files.read_folder(spark, str(tmp_path))["products"]
+    rows = sorted(tuple(r) for r in products.collect())
+    assert rows == [("p1", "40", "2"), ("p2", None, "many")]
+    report = check_tables({"products": products}).where("violations > 0")
+    assert report.count() == 0
+
+
 def test_load_job(spark, folder, tmp_path):
     rejects = {}
     written = load_folder(spark, folder, str(tmp_path / "warehouse"), rejects=rejects)
