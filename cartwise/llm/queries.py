@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat_format
+from cartwise.llm import chat_format, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,29 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+# --- 5: quality classifier -----------------------------------------------------------------------
+
+
+def fold(key: str, folds: int):
+    """crc32 of the key as text, modulo ``folds``; null for a null key."""
+    return F.crc32(F.col(key).cast("string")) % folds
+
+
+def quality_model(spark: SparkSession, folder: str) -> quality.Model:
+    """Learned from the labelled rows outside fold 0 of 5."""
+    labelled = table(spark, folder, "labels").filter(fold("doc_id", 5) != 0)
+    return quality.train(table(spark, folder, "documents"), labelled)
+
+
+QUALITY_LIMIT = 0.3
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.score(texts, quality_model(spark, folder)).drop("text")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(True))
+    predicted = (F.col("score") >= QUALITY_LIMIT).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
