@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat_format, quality
+from cartwise.llm import chat_format, language_id, quality
+from cartwise.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +89,17 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(True))
     predicted = (F.col("score") >= QUALITY_LIMIT).cast("int")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+# --- 10: language identification -----------------------------------------------------------------
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    learned = documents.filter(F.col("lang").isNotNull() & (fold("doc_id", 4) != 2)).select("text", "lang")
+    counts = materialise(language_id.count_grams(learned), "grams")
+    filters = language_id.learn(counts)
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(True))
+    found = language_id.predict(documents.select("doc_id", "text"), filters)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
