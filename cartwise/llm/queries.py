@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat_format, language_id, quality
+from cartwise.llm import chat_format, language_id, piece_ids, quality
 from cartwise.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +104,20 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(True))
     found = language_id.predict(documents.select("doc_id", "text"), filters)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+# --- 3: SentencePiece encoding and decoding ------------------------------------------------------
+
+
+@query("op3_sentencepiece")
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    counts = materialise(piece_ids.word_counts(documents), "words")
+    encoded = piece_ids.encode(documents, piece_ids.segment_table(counts, model), model)
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
