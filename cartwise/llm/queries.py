@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat_format, language_id, piece_ids, quality
+from cartwise.llm import chat_format, language_id, piece_ids, quality, token_counts
 from cartwise.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,15 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+# --- 4: token counts -----------------------------------------------------------------------------
+
+TOKEN_LIMIT = 1024
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
