@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat_format, language_id, piece_ids, quality, token_counts
+from cartwise.llm import chat_format, decontaminate, language_id, piece_ids, quality, token_counts
 from cartwise.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,36 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(documents, public_tokenizers.path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+# --- 7: benchmark decontamination ----------------------------------------------------------------
+
+_WORDS = f"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{decontaminate.WORD}')"
+
+
+@query(
+    "op7_decontamination",
+    f"""WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+    i AS (SELECT item_id, w, least(len(w), 10) AS size FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+    iw AS (SELECT item_id, size, array_to_string(w[s + 1 : s + size], ' ') AS win
+        FROM (SELECT *, unnest(range(0, len(w) - size + 1)) AS s FROM i)),
+    dw AS (SELECT doc_id, size, s, array_to_string(w[s + 1 : s + size], ' ') AS win
+        FROM (SELECT doc_id, w, size, unnest(range(0, len(w) - size + 1)) AS s FROM d, (SELECT DISTINCT size FROM i) WHERE len(w) >= size)),
+    hit AS (SELECT doc_id, item_id, s, size FROM dw JOIN iw USING (size, win)),
+    covered AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS place FROM hit) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+)
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
