@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat_format, decontaminate, language_id, piece_ids, quality, token_counts
+from cartwise.llm import chat_format, decontaminate, language_id, piece_ids, pivots, quality, token_counts
 from cartwise.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,11 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+# --- 1: embedding near-duplicates ----------------------------------------------------------------
+
+
+@query("op1_embedding_near_dedup")
+def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding", "label", 0.98)
