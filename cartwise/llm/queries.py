@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat_format, decontaminate, language_id, piece_ids, pivots, quality, token_counts
+from cartwise.llm import chat_format, decontaminate, fuzzy_lines, language_id, piece_ids, pivots, quality, token_counts
 from cartwise.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,17 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_embedding_near_dedup")
 def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding", "label", 0.98)
+
+
+# --- 9: line dedup -------------------------------------------------------------------------------
+
+
+@query("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return fuzzy_lines.dedup_lines(documents).select(
+        "doc_id",
+        F.col("lines").cast("long").alias("n_lines"),
+        F.col("lines_removed").cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
