@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat_format, decontaminate, fuzzy_lines, language_id, piece_ids, pivots, quality, token_counts
+from cartwise.llm import chat_format, decontaminate, fuzzy_lines, language_id, ngram_join, piece_ids, pivots, quality, token_counts
 from cartwise.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,27 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.col("lines_removed").cast("long").alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+# --- 8: n-gram Jaccard join ----------------------------------------------------------------------
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op8_ngram_join",
+    f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + least(5, len(w))], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(0, len(w) - least(5, len(w)) + 1)) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT a AS doc_id, b AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+    m AS (SELECT doc_id, min(other) AS least_other FROM r GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(least_other, doc_id)) AS component_id
+    FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""",
+)
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, folder, "documents"))
