@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat_format, decontaminate, fuzzy_lines, language_id, ngram_join, piece_ids, pivots, quality, token_counts
+from cartwise.llm import chat_format, decontaminate, fuzzy_lines, language_id, ngram_join, piece_ids, pivots, quality, recompression, token_counts
 from cartwise.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +212,24 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 )
 def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, folder, "documents"))
+
+
+# --- 6: substring dedup --------------------------------------------------------------------------
+
+
+@query(
+    "op6_substring_dedup",
+    """WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+    g AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 20], ' ') AS win
+        FROM (SELECT doc_id, w, unnest(range(0, len(w) - 19)) AS i FROM d WHERE len(w) >= 20)),
+    r AS (SELECT doc_id, i FROM g QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS place FROM r),
+    lost AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id),
+    words AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS place FROM d),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+)
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return recompression.remove_repeats(documents).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
