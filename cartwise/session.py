@@ -56,9 +56,18 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+PART = "cartwise.scratch.part"
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder of this application's intermediate tables."""
-    return f"{shared_dir(spark)}/cartwise/{spark.sparkContext.applicationId}"
+    """Folder of this application's intermediate tables, or of the part of it in use."""
+    part = spark.conf.get(PART, "")
+    return f"{shared_dir(spark)}/cartwise/{spark.sparkContext.applicationId}" + (f"/{part}" if part else "")
+
+
+def use_part(spark: SparkSession, part: str) -> None:
+    """Put intermediate tables below a part of their own from now on; ``""`` ends that."""
+    spark.conf.set(PART, part)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
