@@ -9,7 +9,7 @@ must lie inside the document (length bound); then every shingle of the window mu
 
 Shingles are compared by 64-bit hashes; a full window agrees in eight of them at consecutive places.
 
-The benchmark's shingles are broadcast if there are at most ``BROADCAST_ROWS`` of them, counted first;
+The benchmark's shingles are broadcast if there are at most a million of them, counted first;
 more are joined by a shuffle. Nothing else is broadcast by hint.
 
 Defined results: a null text has no words; documents without words, and all documents if the benchmark
@@ -23,11 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.bounded import small
 from cartwise.session import materialise
 
 WINDOW = 10
 SHINGLE = 3
-BROADCAST_ROWS = 1_000_000
 #: Everything but digits, small letters and what is beyond ASCII.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -83,9 +83,7 @@ def occurring(documents: DataFrame, benchmark: DataFrame, key: str, item: str, t
     if not sizes:
         kinds = {"t": "bigint", "at": "int", "length": "int", "item": "string"}
         return documents.select(F.col(key).alias("k"), *[F.lit(None).cast(v).alias(c) for c, v in kinds.items()]).limit(0)
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    found = materialise(places(documents, wanted, sizes, key, text), "places")
+    found = materialise(places(documents, small(wanted), sizes, key, text), "places")
     counted = found.groupBy("h").agg(F.count("*").alias("count"))
     each = cut.dropDuplicates(["window"]).select("window", "length", F.size("own").alias("of"), F.posexplode("own").alias("offset", "h"))
     each = materialise(each.join(counted, "h", "left"), "offsets")

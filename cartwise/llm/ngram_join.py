@@ -30,6 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwise.llm.bounded import small
 from cartwise.llm.linking import linked_components, shared_keys
 from cartwise.llm.slabs import byte_texts, mixed
 from cartwise.llm.word_runs import ngrams, word_arrays
@@ -39,8 +40,6 @@ WORDS = 5
 #: Percent of the union that the intersection must be.
 PERCENT = 75
 LOW = 0.3
-#: Ids of documents with a necessary column are broadcast up to this number, counted first.
-BROADCAST_ROWS = 1_000_000
 _EDGE = np.uint64(int(LOW * 2**48))
 
 
@@ -112,7 +111,7 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
     shared = materialise(shared_keys(necessary(entries, classes, percent)), "shared")
     sizes = classes.groupBy("id").agg(F.max("n").alias("n"))
     nodes = materialise(shared.select(F.col("node").alias("id")).distinct(), "nodes")
-    wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
+    wanted = small(nodes)
     sets = materialise(_whole_sets(documents, wanted, key, text, words), "sets")
 
     def sized(pairs: DataFrame) -> DataFrame:

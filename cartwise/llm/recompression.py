@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwise.llm.bounded import small
 from cartwise.llm.slabs import byte_texts, mixed, run_hashes
 from cartwise.llm.word_runs import word_arrays
 from cartwise.session import materialise
@@ -39,8 +40,6 @@ ROUNDS = 2
 #: A place between symbols is settled by this many words on either side: two after the second round.
 MARGIN = 2
 PHRASE = 5
-#: Ids are broadcast up to this number, counted first.
-BROADCAST_ROWS = 1_000_000
 RESULTS = ("n_words", "n_removed", "kept")
 _OTHER_BASE = 0xA0761D6478BD642F
 
@@ -146,8 +145,7 @@ def _windows(documents: DataFrame, phrases: DataFrame, key: str, text: str) -> D
     """``v, w, k, t, start``: the distinct windows filed under a document's ``phrases``, at their first start there."""
     own = documents.select(F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
     ids = materialise(phrases.select("k", "t"), "ids")
-    if ids.count() <= BROADCAST_ROWS:
-        own = own.join(F.broadcast(ids), _same(own, ids), "left_semi")
+    own = own.join(small(ids), _same(own, ids), "left_semi")
     both = own.join(phrases, _same(own, phrases)).select(own.k, own.t, "text", "phrases")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
