@@ -9,20 +9,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from cartwise.operators.locations import clean_points, located_zips, with_geopoint
 from cartwise.operators.quality import check_tables
 from cartwise.operators.rows import delete_duplicates
-from cartwise.schemas import ENTITIES, entity_for
+from cartwise.schemas import ENTITIES
 from cartwise.session import build_session, clear_scratch, materialise
 from cartwise.sources.csv_files import read_folder
-from cartwise.sources.tables import replace_table
+from cartwise.sources.tables import replace_table, scan_parquet, table_exists
 
 
-def by_role(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Key the tables by their role; tables with an unknown name are left out."""
-    roles = {}
-    for name, df in tables.items():
-        entity = entity_for(name)
-        if entity is not None:
-            roles[entity.name] = df
-    return roles
+#: Tables whose change moves a centroid or adds a zip.
+LOCATED = ("geolocation", "customers", "sellers")
 
 
 def load_folder(
@@ -32,26 +26,36 @@ def load_folder(
     file_name: str | None = None,
     rejects: dict[str, Observation] | None = None,
 ) -> dict[str, DataFrame]:
-    """Read, clean and write every table of a folder; returns the written tables by role.
+    """Read, clean and write every table of a folder; returns the written tables by name.
 
+    Every file is loaded: files of one declared table together under its name, any other under its own.
     The order matters: points are cleaned before they are averaged, and zips that
-    lost all their points come back without a position. Tables that are read more
-    than once are staged, so that each CSV is parsed once.
+    lost all their points come back without a position. Centroids are rebuilt whenever points, customers or sellers
+    were loaded; what this load does not bring is taken from the warehouse. Tables that are
+    read more than once are staged, so that each CSV is parsed once.
     """
     written: dict[str, DataFrame] = {}
 
+    def path(name: str) -> str:
+        return f"{warehouse.rstrip('/')}/{name}"
+
     def save(name: str, df: DataFrame) -> None:
-        written[name] = replace_table(df, f"{warehouse.rstrip('/')}/{name}")
+        written[name] = replace_table(df, path(name))
+
+    def known(name: str) -> DataFrame | None:
+        if name in written:
+            return written[name]
+        return scan_parquet(spark, path(name)) if table_exists(spark, path(name)) else None
 
-    for name, df in by_role(read_folder(spark, folder, file_name, rejects)).items():
+    for name, df in read_folder(spark, folder, file_name, rejects).items():
         if name == "order_reviews":
             df = delete_duplicates(materialise(df, name), ["review_id"])
         elif name == "geolocation":
             df = clean_points(materialise(df, name))
         save(name, df)
-    if "geolocation" in written:
-        located = located_zips(written["geolocation"], written.get("customers"), written.get("sellers"))
-        save("geolocation_bis", with_geopoint(located))
+    points = known("geolocation") if any(n in written for n in LOCATED) else None
+    if points is not None:
+        save("geolocation_bis", with_geopoint(located_zips(points, known("customers"), known("sellers"))))
     return written
 
 

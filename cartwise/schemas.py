@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -164,25 +165,31 @@ ENTITIES: dict[str, Entity] = {
     )
 }
 
-# Part of a file or table name -> table. The first match wins.
-NAME_PARTS = {
-    "customers": "customers",
-    "order_items": "order_items",
-    "order_payments": "order_payments",
-    "order_reviews": "order_reviews",
-    "orders": "orders",
-    "products": "products",
-    "sellers": "sellers",
-    "geolocation_bis": "geolocation_bis",
-    "geolocation": "geolocation",
-    "states": "brazil_states",
-    "translation": "product_category_name_translation",
-}
+# Further names of tables.
+ALIASES = {"states": "brazil_states", "translation": "product_category_name_translation"}
+_NAMES = {name: name for name in ENTITIES} | ALIASES
+
+
+def _base(table: str) -> str:
+    """The name without numbers behind it: ``orders_2017`` holds orders."""
+    return re.sub(r"(_\d+)+$", "", table)
+
+
+def shared_prefixes(tables: list[str]) -> set[str]:
+    """Prefixes that tables of at least two entities carry, as in ``shop_orders`` and ``shop_customers``."""
+    found: dict[str, set[str]] = {}
+    for table in map(_base, tables):
+        ends = [n for n in _NAMES if table.endswith(f"_{n}")]
+        if ends:
+            longest = max(ends, key=len)
+            found.setdefault(table.removesuffix(longest), set()).add(_NAMES[longest])
+    return {prefix for prefix, entities in found.items() if len(entities) > 1}
 
 
-def entity_for(name: str) -> Entity | None:
-    """The declared table a file or table name stands for, or None if unknown."""
-    for part, entity in NAME_PARTS.items():
-        if part in name:
-            return ENTITIES[entity]
+def entity_for(table: str, prefixes: set[str] | tuple[str, ...] = ()) -> Entity | None:
+    """The declared table that a table name stands for, whole or behind one of the prefixes; None if unknown."""
+    base = _base(table)
+    for prefix in ("", *prefixes):
+        if base.startswith(prefix) and base.removeprefix(prefix) in _NAMES:
+            return ENTITIES[_NAMES[base.removeprefix(prefix)]]
     return None

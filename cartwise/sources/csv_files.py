@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise.functions.text import na_to_null, number_to_string
-from cartwise.schemas import entity_for
+from cartwise.schemas import ENTITIES, Entity, entity_for, shared_prefixes
+from cartwise.session import materialise
 
 
 def table_name(file_name: str) -> str:
@@ -15,16 +19,6 @@ def table_name(file_name: str) -> str:
     return file_name.removesuffix(".csv").replace("_dataset", "")
 
 
-def table_name_of(file_name: Column) -> Column:
-    """The same rule on a column of file names."""
-    return F.regexp_replace(F.regexp_replace(file_name, r"\.csv$", ""), "_dataset", "")
-
-
-def renamed_table(name: str) -> str:
-    """Table name without the ``_dataset`` part."""
-    return name.replace("_dataset", "")
-
-
 def list_csv(spark: SparkSession, folder: str) -> dict[str, str]:
     """File name -> path of every ``*.csv`` file (or part folder) in ``folder``."""
     jvm = spark.sparkContext._jvm
@@ -48,7 +42,7 @@ def cast_to(df: DataFrame, schema: T.StructType, rejects: Observation | None = N
     """Cast text columns to the declared types; a value that does not parse gives null.
 
     Columns outside the schema are kept. Whole numbers written with decimals
-    (``40.0``) are accepted for integer columns. With ``rejects``, the values that
+    (``40.0``) are accepted for integer columns, fractions (``40.7``) are not. With ``rejects``, the values that
     did not parse are counted per column while the table is written; no extra pass
     is needed.
     """
@@ -59,7 +53,8 @@ def cast_to(df: DataFrame, schema: T.StructType, rejects: Observation | None = N
         if dtype is None:
             return column
         if isinstance(dtype, (T.IntegerType, T.LongType)):
-            return F.coalesce(column.try_cast(dtype), column.try_cast("double").try_cast(dtype)).alias(name)
+            number = column.try_cast("double")
+            return F.coalesce(column.try_cast(dtype), F.when(number == F.floor(number), number).try_cast(dtype)).alias(name)
         return column.try_cast(dtype).alias(name)
 
     if rejects is not None and declared:
@@ -86,42 +81,89 @@ def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     return nulls_from_tokens(strip_header(reader.csv(path)))
 
 
-def read_table(spark: SparkSession, path: str, name: str, rejects: Observation | None = None) -> DataFrame:
-    """One CSV as a typed table.
+def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Type text columns by their values, missing ones aside: whole numbers, numbers, truth values, else text.
 
-    A known table gets its declared types, so codes such as zip prefixes stay
-    text with their leading zeros. An unknown one has its types inferred.
+    A column without any value stays text. One pass reads the columns; hand in a written table.
     """
-    entity = entity_for(name)
+    if not columns:
+        return df
+    kinds = {"bigint": r"^\s*[+-]?\d+\s*$", "double": None, "boolean": r"(?i)^\s*(true|false)\s*$"}
+
+    def misfit(c: str, kind: str, pattern: str | None) -> Column:
+        column = F.col(f"`{c}`")
+        fits = column.try_cast(kind).isNotNull()
+        return F.count_if(column.isNotNull() & ~(fits & column.rlike(pattern) if pattern else fits))
+
+    checks = [misfit(c, k, p).alias(f"{i} {k}") for i, c in enumerate(columns) for k, p in kinds.items()]
+    counts = df.agg(*checks, *[F.count(f"`{c}`").alias(f"{i} n") for i, c in enumerate(columns)]).first()
+    found = {}
+    for i, c in enumerate(columns):
+        fitting = [k for k in kinds if counts[f"{i} n"] and not counts[f"{i} {k}"]]
+        if fitting:
+            found[c] = fitting[0]
+    return df.select(*[F.col(f"`{c}`").try_cast(found[c]).alias(c) if c in found else F.col(f"`{c}`") for c in df.columns])
+
+
+def read_tables(spark: SparkSession, paths: list[str], entity: Entity | None, rejects: Observation | None = None) -> DataFrame:
+    """The CSV files of one table as one typed table.
+
+    Declared columns get their declared types, so codes such as zip prefixes stay text with
+    their leading zeros. The types of all others are inferred once missing-value tokens are null.
+    """
+    parts = [read_raw(spark, p, entity is None or entity.multiline) for p in paths]
+    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    declared = set(entity.schema.names) if entity else set()
+    free = [c for c in raw.columns if c not in declared]
+    typed = infer_types(materialise(raw, "csv"), free) if free else raw
     if entity is None:
-        reader = spark.read.option("header", True).option("escape", '"').option("inferSchema", True)
-        return nulls_from_tokens(strip_header(reader.csv(path)))
-    typed = cast_to(read_raw(spark, path, entity.multiline), entity.schema, rejects)
+        return typed
+    typed = cast_to(typed, entity.schema, rejects)
     # A whole number kept as text has no decimals, however the file writes it.
     plain = {c: F.coalesce(number_to_string(F.col(c).try_cast("double")), F.col(c)) for c in entity.counts if c in typed.columns}
     return typed.withColumns(plain) if plain else typed
 
 
+@dataclass(frozen=True)
+class Source:
+    """A table to be: its name, the declared table it stands for, and its files."""
+
+    name: str
+    entity: Entity | None
+    paths: tuple[str, ...]
+
+
+def sources(spark: SparkSession, folder: str, file_name: str | None = None) -> list[Source]:
+    """The tables of a folder's CSV files, or of one file of it; every file belongs to exactly one.
+
+    Files of one declared table are its parts; every other file is a table of its own, named after it.
+    A named file that is missing is reported and skipped.
+    """
+    files = list_csv(spark, folder)
+    prefixes = shared_prefixes([table_name(f) for f in files])
+    if file_name is not None and file_name not in files:
+        print(f"{file_name}: not found in {folder}, skipped")
+        return []
+    grouped: dict[tuple[str, bool], list[str]] = {}
+    for name, path in sorted(files.items()):
+        if file_name in (None, name):
+            entity = entity_for(table_name(name), prefixes)
+            grouped.setdefault((entity.name if entity else table_name(name), entity is not None), []).append(path)
+    return [Source(name, ENTITIES[name] if known else None, tuple(paths)) for (name, known), paths in grouped.items()]
+
+
 def read_folder(
     spark: SparkSession, folder: str, file_name: str | None = None, rejects: dict[str, Observation] | None = None
 ) -> dict[str, DataFrame]:
-    """Table name -> table for every CSV in ``folder``, or for one file of it.
+    """Table name -> table for every CSV in ``folder``, or for one file of it (see :func:`sources`).
 
-    A named file that is missing is reported and skipped. ``rejects`` is filled with
-    one observation per table that has casts; it holds the counts once the table was
+    ``rejects`` is filled with one observation per table that has casts; it holds the counts once the table was
     written.
     """
-    files = list_csv(spark, folder)
-    if file_name is not None:
-        if file_name not in files:
-            print(f"{file_name}: not found in {folder}, skipped")
-            return {}
-        files = {file_name: files[file_name]}
     result = {}
-    for name, path in sorted(files.items()):
+    for source in sources(spark, folder, file_name):
         observation = Observation() if rejects is not None else None
-        result[table_name(name)] = read_table(spark, path, name, observation)
-        entity = entity_for(name)
-        if rejects is not None and entity and _converted(result[table_name(name)], entity.schema):
-            rejects[table_name(name)] = observation
+        result[source.name] = read_tables(spark, list(source.paths), source.entity, observation)
+        if rejects is not None and source.entity and _converted(result[source.name], source.entity.schema):
+            rejects[source.name] = observation
     return result

@@ -10,6 +10,12 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something was written to ``path``."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def scan_jdbc(
     spark: SparkSession, url: str, table: str, key: str, lower: int, upper: int, partitions: int, **properties: str
 ) -> DataFrame:

@@ -8,6 +8,7 @@ addition differs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from cartwise.functions.geo import mercator_x, mercator_y
 from cartwise.operators import joins, kmeans, locations, quality, rows, scaling, segments, silhouette, translate
 from cartwise.operators.knn import knn_impute
 from cartwise.plans import clustering, views
+from cartwise.plans.load import load_folder
 from cartwise.session import materialise, scratch_path, tune
 from cartwise.sources import csv_files, tables
 from cartwise.testbed.roles import AS_OF, Roles, with_roles
@@ -143,15 +145,79 @@ def na_tokens_to_null(r):
 
 @query(
     "table_name_from_file",
-    """SELECT c_custkey AS customer_id, 'orders_' || c_mktsegment AS table_name FROM customer""",
+    """SELECT DISTINCT 'orders_' || c_mktsegment || '_dataset.csv' AS file_name, 'orders_' || c_mktsegment AS table_name FROM customer""",
 )
 def table_name_from_file(r):
-    # The naming rule on a folder with one file per market segment.
-    segment_files = r.base("customer").select(
-        F.col("c_custkey").alias("customer_id"),
-        F.concat(F.lit("orders_"), "c_mktsegment", F.lit("_dataset.csv")).alias("file_name"),
-    )
-    return segment_files.select("customer_id", csv_files.table_name_of(F.col("file_name")).alias("table_name"))
+    # One file per market segment, listed and named as a load does.
+    folder = scratch_path(r.spark, "csv")
+    for row in r.base("customer").select("c_mktsegment").distinct().collect():  # a handful of segments
+        tables.write_csv(r.base("region"), f"{folder}/orders_{row.c_mktsegment}_dataset.csv")
+    names = [(name, csv_files.table_name(name)) for name in csv_files.list_csv(r.spark, folder)]
+    return r.spark.createDataFrame(names, "file_name string, table_name string")
+
+
+def _load(r: Roles) -> dict[str, DataFrame]:
+    """A load over files of every kind: parts of one table, a prefix, an unknown table, a byte-order mark."""
+    folder = scratch_path(r.spark, "csv")
+    old = F.col("o_orderdate") < F.lit("2000-01-01")
+    orders = r.orders.join(r.base("orders").select(F.col("o_orderkey").alias("order_id"), old.alias("old")), "order_id")
+    tables.write_csv(orders.filter("old").drop("old"), f"{folder}/shop_orders_2000.csv")
+    tables.write_csv(orders.filter("NOT old").drop("old"), f"{folder}/shop_orders_dataset.csv")
+    tables.write_csv(r.customers, f"{folder}/shop_customers_dataset.csv")
+    tables.write_csv(r.order_items.withColumn("freight", F.when(F.col("price") > 1000, F.col("price"))), f"{folder}/shop_order_items_dataset.csv")
+    spend = F.when(F.col("s_acctbal") < 0, "NA").otherwise(F.col("s_acctbal").cast("string"))
+    campaigns = r.base("supplier").select(F.col("s_suppkey").alias("\ufeffcampaign"), spend.alias("spend"), F.col("s_name").alias(" name "))
+    tables.write_csv(campaigns, f"{folder}/best_sellers.csv")
+    return load_folder(r.spark, folder, scratch_path(r.spark, "warehouse"))
+
+
+@query(
+    "load_folder_all",
+    with_roles(
+        """SELECT 'orders' AS table_name, CAST(order_id AS VARCHAR) AS k, CAST(customer_id AS VARCHAR) AS a, order_status AS b,
+            CAST(NULL AS DOUBLE) AS x, 'timestamp_ntz' AS kind FROM purchases
+        UNION ALL SELECT 'customers', CAST(customer_id AS VARCHAR), customer_zip_code_prefix, customer_state, NULL, 'string' FROM customers
+        UNION ALL SELECT 'order_items', CAST(order_id AS VARCHAR), CAST(order_item_id AS VARCHAR), CAST(product_id AS VARCHAR),
+            CASE WHEN price > 1000 THEN price END, 'double' FROM items
+        UNION ALL SELECT 'best_sellers', CAST(s_suppkey AS VARCHAR), s_name, NULL, CASE WHEN s_acctbal >= 0 THEN s_acctbal END, 'bigint,double,string'
+            FROM supplier""",
+        "purchases",
+        "customers",
+        "items",
+    ),
+)
+def load_folder_all(r):
+    written = _load(r)
+    assert set(written) == {"orders", "customers", "order_items", "best_sellers"}, sorted(written)
+    types = {n: dict(t.dtypes) for n, t in written.items()}
+    none = F.lit(None)
+    shape = {
+        "orders": ("order_id", "customer_id", F.col("order_status"), none, types["orders"]["order_purchase_timestamp"]),
+        "customers": ("customer_id", "customer_zip_code_prefix", F.col("customer_state"), none, types["customers"]["customer_zip_code_prefix"]),
+        "order_items": ("order_id", "order_item_id", F.col("product_id"), F.col("freight"), types["order_items"]["freight"]),
+        "best_sellers": ("campaign", "name", none, F.col("spend"), ",".join(types["best_sellers"].values())),
+    }
+    parts = [
+        written[n].select(
+            F.lit(n).alias("table_name"),
+            F.col(k).cast("string").alias("k"),
+            F.col(a).cast("string").alias("a"),
+            b.cast("string").alias("b"),
+            x.cast("double").alias("x"),
+            F.lit(kind).alias("kind"),
+        )
+        for n, (k, a, b, x, kind) in shape.items()
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+@query("empty_typed_table", "SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders WHERE o_orderstatus = 'F'")
+def empty_typed_table(r):
+    # A table that starts empty with its declared columns and is filled afterwards.
+    path = scratch_path(r.spark, "table")
+    filled = r.orders.filter(F.col("order_status") == "F").select("order_id", "customer_id")
+    tables.replace_table(tables.empty_table(r.spark, filled.schema), path)
+    return tables.append_table(filled, path)
 
 
 @query("sink_overwrite", "SELECT s_suppkey AS seller_id, s_name AS seller_city FROM supplier")
@@ -195,9 +261,10 @@ def sink_csv_rfm(r):
 
 @query("rename_tables", "SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders")
 def rename_tables(r):
-    name = csv_files.renamed_table("orders_dataset")
-    r.orders.createOrReplaceTempView(name)
-    return r.spark.table(name).select("order_id", "customer_id")
+    folder = scratch_path(r.spark, "warehouse")
+    name = csv_files.table_name("orders_dataset.csv")
+    tables.replace_table(r.orders.select("order_id", "customer_id"), f"{folder}/{name}")
+    return tables.scan_parquet(r.spark, f"{folder}/orders")
 
 
 @query(

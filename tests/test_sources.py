@@ -4,7 +4,7 @@ import pytest
 
 from cartwise.operators.quality import check_tables, profile
 from cartwise.plans.load import load_folder
-from cartwise.schemas import ENTITIES
+from cartwise.schemas import ENTITIES, entity_for, shared_prefixes
 from cartwise.sources import csv_files, tables
 
 
@@ -31,25 +31,29 @@ def folder(tmp_path):
 
 def test_table_names():
     assert csv_files.table_name("shop_orders_dataset.csv") == "shop_orders"
-    assert csv_files.renamed_table("shop_geolocation_dataset_bis") == "shop_geolocation_bis"
+    assert csv_files.table_name("shop_geolocation_dataset_bis.csv") == "shop_geolocation_bis"
+    prefixes = shared_prefixes(["shop_orders", "shop_customers", "best_sellers"])
+    assert prefixes == {"shop_"}
+    assert entity_for("shop_orders_2017", prefixes).name == "orders" and entity_for("states").name == "brazil_states"
+    assert entity_for("best_sellers", prefixes) is entity_for("reorders", prefixes) is None
 
 
 def test_folder_becomes_tables(spark, folder):
     loaded = csv_files.read_folder(spark, folder)
     assert len(loaded) == 8
-    customers = loaded["shop_customers"].orderBy("customer_id").collect()
+    customers = loaded["customers"].orderBy("customer_id").collect()
     assert [(r.customer_zip_code_prefix, r.customer_city) for r in customers] == [("01037", "sao paulo"), ("09790", None)]
     states = loaded["brazil_states"]
     assert states.columns[:4] == ["abbreviation", "state", "capitol_city", "region"]
     assert dict(states.dtypes)["size_km2"] == "bigint"
     assert states.first().capitol_city == "São Paulo "
     assert loaded["product_category_name_translation"].columns[0] == "product_category_name"
-    assert dict(loaded["extra"].dtypes) == {"a": "int", "b": "string"}
+    assert dict(loaded["extra"].dtypes) == {"a": "bigint", "b": "string"}
     assert loaded["extra"].where("b IS NULL").count() == 1
 
 
 def test_quoted_line_breaks(spark, folder):
-    reviews = csv_files.read_folder(spark, folder, "shop_order_reviews_dataset.csv")["shop_order_reviews"]
+    reviews = csv_files.read_folder(spark, folder, "shop_order_reviews_dataset.csv")["order_reviews"]
     texts = {(r.review_id, r.review_comment_title, r.review_comment_message) for r in reviews.collect()}
     assert ("r1", None, 'two\nlines, "quoted"') in texts and len(texts) == 2
 
@@ -67,15 +71,37 @@ def test_rejected_casts_are_counted(spark, folder):
 
 def test_rejects_are_counted_while_writing(spark, folder, tmp_path):
     rejects = {}
-    orders = csv_files.read_folder(spark, folder, "shop_orders_dataset.csv", rejects)["shop_orders"]
+    orders = csv_files.read_folder(spark, folder, "shop_orders_dataset.csv", rejects)["orders"]
     tables.replace_table(orders, str(tmp_path / "orders"))
-    assert rejects["shop_orders"].get == {"order_purchase_timestamp": 0, "order_approved_at": 1}
+    assert rejects["orders"].get == {"order_purchase_timestamp": 0, "order_approved_at": 1}
 
 
 def test_whole_numbers_with_decimals(spark):
-    raw = spark.createDataFrame([("2.0",), ("3",), ("x",)], "order_item_id string")
+    raw = spark.createDataFrame([("2.0",), ("3",), ("x",), ("40.7",), ("NaN",)], "order_item_id string")
     typed = csv_files.cast_to(raw, ENTITIES["order_items"].schema)
-    assert [r.order_item_id for r in typed.collect()] == [2, 3, None]
+    assert [r.order_item_id for r in typed.collect()] == [2, 3, None, None, None]
+    assert csv_files.cast_rejects(raw, ENTITIES["order_items"].schema).first().rejected == 3
+
+
+def test_no_file_is_lost(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "orders_2017.csv").write_text("order_id,customer_id,score\no1,c1,1\no2,c2,NA\n")
+    (folder / "orders_2018.csv").write_text("order_id,customer_id,score\no3,c3,2.5\n")
+    (folder / "campaigns.csv").write_text("name,spend\na,2.5\nb,NA\n")
+    written = load_folder(spark, str(folder), str(tmp_path / "out"))
+    assert set(written) == {"orders", "campaigns"}
+    assert sorted(r.order_id for r in written["orders"].collect()) == ["o1", "o2", "o3"]
+    assert dict(written["orders"].dtypes)["score"] == dict(written["campaigns"].dtypes)["spend"] == "double"
+
+
+def test_centroids_follow_a_one_file_load(spark, folder, tmp_path):
+    out = str(tmp_path / "warehouse")
+    load_folder(spark, folder, out)
+    with open(f"{folder}/shop_sellers_dataset.csv", "w", encoding="utf-8") as f:
+        f.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns9,77777,x,SP\n")
+    written = load_folder(spark, folder, out, "shop_sellers_dataset.csv")
+    assert "77777" in {r.geolocation_zip_code_prefix for r in written["geolocation_bis"].collect()}
 
 
 def test_counts_kept_as_text(spark, tmp_path):
@@ -90,8 +116,8 @@ def test_counts_kept_as_text(spark, tmp_path):
 def test_load_job(spark, folder, tmp_path):
     rejects = {}
     written = load_folder(spark, folder, str(tmp_path / "warehouse"), rejects=rejects)
-    assert rejects["shop_orders"].get["order_approved_at"] == 1
-    assert "shop_customers" not in rejects  # nothing to cast
+    assert rejects["orders"].get["order_approved_at"] == 1
+    assert "customers" not in rejects  # nothing to cast
     assert [r.review_id for r in written["order_reviews"].collect()] == ["r1"]
     located = {r.geolocation_zip_code_prefix: r for r in written["geolocation_bis"].collect()}
     assert located["01037"].n == 2 and located["01037"].geopoint_location.x == pytest.approx(-46.7)
