@@ -1,110 +1,101 @@
-"""Exact quantiles of large columns.
+"""Exact quantiles of large columns, whole or by group.
 
 The built-in exact percentile merges a map of every distinct value into one task.
 Here each pass counts the values inside a bracket in a fixed number of equal
-buckets and narrows the bracket to the bucket that holds the wanted rank. Every
-pass combines before its shuffle, returns a bounded number of rows to the driver,
-and ends with the exact value at the rank.
+buckets and narrows the bracket to the bucket that holds the wanted rank, until one value
+is left. Brackets are rows of a table, one for each wanted rank at most, so any number of groups is
+worked on at a time; the driver sees how many are still open, and nothing else.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
-MAX_GROUPS = 1000
-
+from cartwise.session import materialise
 
-@dataclass(frozen=True)
-class _Bracket:
-    group: object
-    column: str
-    low: float
-    high: float
-    below: int  # values under the bracket
+BUCKETS = 4096
+INFINITY = float("inf")
 
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], by: str | None = None
-) -> dict[tuple[object, str], list[float | None]]:
-    """Quantiles with linear interpolation, nulls skipped, per column and group.
+def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float], by: str | None = None) -> DataFrame:
+    """``g, c, p, value``: quantiles with linear interpolation by group, column name and place of the probability.
 
-    Returns {(group, column): [value per probability]}; the group is None when
-    ``by`` is not given. ``by`` must have few groups (clusters, not customers).
-    Several passes read ``df``; hand in a written table.
+    Nulls and NaN are skipped; a group or column without values has no row. ``g`` is null without ``by``.
+    Infinities are values like others. Several passes read ``df``; hand in a written table.
     """
-    group = F.col(by).cast("string") if by else F.lit(None).cast("string")
+    group = F.col(by) if by else F.lit(None).cast("string")
     values = df.select(group.alias("g"), *[F.col(c).cast("double").alias(c) for c in columns])
     values = values.unpivot(["g"], columns, "c", "x").where("x IS NOT NULL AND NOT isnan(x)")
-    limit = MAX_GROUPS * len(columns)
-    ranges = values.groupBy("g", "c").agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-    found = ranges.limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
-
-    exact: dict[tuple[object, str, int], float] = {}
-    open_ranks: dict[tuple[object, str, int], _Bracket] = {}
-    sizes = {(r.g, r.c): r.n for r in found}
-    for r in found:
-        whole = _Bracket(r.g, r.c, r.low, r.high, 0)
-        for rank in {rank for p in probabilities for rank in _ranks(p, r.n)[:2]}:
-            if rank == 0 or r.low == r.high:
-                exact[r.g, r.c, rank] = r.low
-            elif rank == r.n - 1:
-                exact[r.g, r.c, rank] = r.high
-            else:
-                open_ranks[r.g, r.c, rank] = whole
-
-    while open_ranks:
-        counts = _bucket_counts(values, sorted(set(open_ranks.values()), key=repr))
-        still_open = {}
-        for (g, c, rank), bracket in open_ranks.items():
-            below = bracket.below
-            for n, low, high in counts[bracket]:
-                if rank < below + n:
-                    if low == high:
-                        exact[g, c, rank] = low
-                    else:
-                        still_open[g, c, rank] = _Bracket(g, c, low, high, below)
-                    break
-                below += n
-        open_ranks = still_open
-
-    result = {}
-    for (g, c), n in sizes.items():
-        result[g, c] = []
-        for p in probabilities:
-            low, high, fraction = _ranks(p, n)
-            a, b = exact[g, c, low], exact[g, c, high]
-            result[g, c].append(a + (b - a) * fraction)
-    return result
-
-
-def _ranks(p: float, n: int) -> tuple[int, int, float]:
-    position = p * (n - 1)
-    low = math.floor(position)
-    return low, min(low + 1, n - 1) if position > low else low, position - low
-
-
-def _bucket_counts(values: DataFrame, brackets: list[_Bracket]) -> dict[_Bracket, list[tuple[int, float, float]]]:
-    spark = values.sparkSession
-    rows = [(i, b.group, b.column, b.low, b.high) for i, b in enumerate(brackets)]
-    # One row per wanted rank at most, so the broadcast is bounded by the request.
-    table = F.broadcast(spark.createDataFrame(rows, "id int, bg string, bc string, low double, high double"))
-    inside = (F.col("c") == F.col("bc")) & F.col("g").eqNullSafe(F.col("bg")) & F.col("x").between(F.col("low"), F.col("high"))
-    position = (F.col("x") - F.col("low")) / (F.col("high") - F.col("low")) * BUCKETS
-    bucket = F.least(F.floor(position), F.lit(BUCKETS - 1)).alias("bucket")
-    counted = (
-        values.join(table, inside)
-        .groupBy("id", bucket)
-        .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-        .collect()  # at most BUCKETS rows per bracket
+    finite = F.when(F.abs("x") != INFINITY, F.col("x"))
+    ranges = values.groupBy("g", "c").agg(
+        F.count("x").alias("n"),
+        F.count_if(F.col("x") == -INFINITY).alias("below"),
+        F.count(finite).alias("inside"),
+        F.min(finite).alias("low"),
+        F.max(finite).alias("high"),
+    )
+    asked = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(float(p)).alias("share")) for i, p in enumerate(probabilities)])
+    position = F.col("ask.share") * (F.col("n") - 1)
+    asks = ranges.withColumn("ask", F.explode(asked)).withColumn("position", position)
+    asks = asks.withColumn("ranks", F.array_distinct(F.array(F.floor("position"), F.ceil("position"))))
+    asks = asks.select("g", "c", "n", "below", "inside", "low", "high", F.col("ask.p").alias("p"), "position", F.explode("ranks").alias("rank"))
+    asks = materialise(asks, "ranks")
+    known = (
+        F.when(F.col("rank") < F.col("below"), -INFINITY)
+        .when(F.col("rank") >= F.col("below") + F.col("inside"), INFINITY)
+        .when(F.col("low") == F.col("high"), F.col("low"))
+        .when(F.col("rank") == F.col("below"), F.col("low"))
+        .when(F.col("rank") == F.col("below") + F.col("inside") - 1, F.col("high"))
+    )
+    ranks = asks.select("g", "c", "rank", "low", "high", "below", known.alias("value")).distinct()
+    now = materialise(ranks, "brackets")
+    closed = now.filter("value IS NOT NULL").select("g", "c", "rank", "value")
+    open_ranks = now.filter("value IS NULL").drop("value")
+    while not open_ranks.isEmpty():
+        now = materialise(_narrowed(values, open_ranks), "brackets")
+        closed = closed.union(now.filter("low = high").select("g", "c", "rank", F.col("low").alias("value")))
+        open_ranks = now.filter("low < high")
+    found = asks.alias("a").join(closed.alias("v"), _same("a", "v") & (F.col("a.rank") == F.col("v.rank")))
+    ends = found.groupBy("a.g", "a.c", "a.p", "a.position").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    share = F.col("position") - F.floor("position")
+    between = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * share)
+    return ends.select("g", "c", "p", between.alias("value"))
+
+
+def _same(left: str, right: str) -> Column:
+    return F.col(f"{left}.g").eqNullSafe(F.col(f"{right}.g")) & (F.col(f"{left}.c") == F.col(f"{right}.c"))
+
+
+def _narrowed(values: DataFrame, open_ranks: DataFrame) -> DataFrame:
+    """Every rank with the bucket that holds it: ends are values, so each pass leaves out one value at least."""
+    brackets = open_ranks.select("g", "c", "low", "high").distinct()
+    inside = F.col("v.x").between(F.col("b.low"), F.col("b.high"))
+    both = values.alias("v").join(brackets.alias("b"), _same("v", "b") & inside)
+    width = F.col("b.high") - F.col("b.low")
+    # Halved where the width overflows.
+    place = F.when(width < INFINITY, (F.col("x") - F.col("b.low")) / width).otherwise(
+        (F.col("x") / 2 - F.col("b.low") / 2) / (F.col("b.high") / 2 - F.col("b.low") / 2)
     )
-    result: dict[_Bracket, list] = {b: [] for b in brackets}
-    for r in sorted(counted, key=lambda r: (r.id, r.bucket)):
-        result[brackets[r.id]].append((r.n, r.low, r.high))
-    return result
+    bucket = F.least(F.floor(place * BUCKETS), F.lit(BUCKETS - 1)).alias("bucket")
+    counted = both.groupBy("v.g", "v.c", F.col("b.low").alias("of"), bucket)
+    counted = counted.agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    # At most BUCKETS rows of one bracket.
+    upto = F.sum("n").over(W.partitionBy("g", "c", "of").orderBy("bucket")) - F.col("n")
+    counted = counted.withColumn("before", upto)
+    found = open_ranks.alias("r").join(counted.alias("k"), _same("r", "k") & (F.col("r.low") == F.col("k.of")))
+    offset = F.col("r.rank") - F.col("r.below") - F.col("k.before")
+    found = found.filter((offset >= 0) & (offset < F.col("k.n")))
+    return found.select("r.g", "r.c", "r.rank", "k.low", "k.high", (F.col("r.below") + F.col("k.before")).alias("below"))
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float]]:
+    """Column -> value per probability, over all rows; a column without values is left out."""
+    rows = quantile_table(df, columns, probabilities).collect()  # columns x probabilities
+    found: dict[str, list[float]] = {r.c: [math.nan] * len(probabilities) for r in rows}
+    for r in rows:
+        found[r.c][r.p] = r.value
+    return found

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.operators.quantiles import exact_quantiles
+from cartwise.operators.quantiles import exact_quantiles, quantile_table
 
 SCORES = {"R": "recency", "F": "frequency", "M": "monetary_value"}
 
@@ -13,7 +13,7 @@ SCORES = {"R": "recency", "F": "frequency", "M": "monetary_value"}
 def quantile_edges(df: DataFrame, columns: list[str], q: int = 5) -> dict[str, list[float]]:
     """Edges of q equal-frequency bins per column, minimum and maximum included."""
     edges = exact_quantiles(df, columns, [i / q for i in range(q + 1)])
-    return {c: edges.get((None, c), []) for c in columns}
+    return {c: edges.get(c, []) for c in columns}
 
 
 def edges_table(df: DataFrame, columns: list[str], q: int = 5) -> DataFrame:
@@ -29,7 +29,7 @@ def quantile_score(value: Column, edges: list[float], reverse: bool = False) ->
         score = score + F.when(value > F.lit(cut), 1).otherwise(0)
     if reverse:
         score = F.lit(len(cuts) + 2) - score
-    return F.when(value.isNotNull(), score).cast("int")
+    return F.when(value.isNotNull() & ~F.isnan(value.cast("double")), score).cast("int")
 
 
 def rfm_scores(df: DataFrame, q: int = 5, reverse_recency: bool = False) -> DataFrame:
@@ -55,11 +55,11 @@ def segment_counts(scored: DataFrame) -> DataFrame:
 def median_by_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Median of every column per group, nulls skipped, even counts interpolated.
 
+    A group without values has null medians; rows without a group are left out. Any number of groups.
     ``df`` is read several times: hand in a written table.
     """
-    medians = exact_quantiles(df, columns, [0.5], by=group)
-    groups = sorted({g for g, _ in medians}, key=lambda g: (g is None, g))
-    rows = [(g, *[medians[g, c][0] if (g, c) in medians else None for c in columns]) for g in groups if g is not None]
-    schema = "g string, " + ", ".join(f"`{c}` double" for c in columns)
-    table = df.sparkSession.createDataFrame(rows, schema)
-    return table.select(F.col("g").cast(df.schema[group].dataType).alias(group), *columns)
+    own = df.filter(F.col(group).isNotNull())
+    medians = quantile_table(own, columns, [0.5], by=group)
+    wide = medians.groupBy("g").agg(*[F.max(F.when(F.col("c") == c, F.col("value"))).alias(c) for c in columns])
+    groups = own.select(F.col(group).alias("own")).distinct()
+    return groups.join(wide, F.col("own") == F.col("g"), "left").select(F.col("own").alias(group), *columns)

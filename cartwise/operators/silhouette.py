@@ -129,7 +129,7 @@ def _summarise(points: DataFrame, columns: list[str], labels: list[str], max_cel
     edges = exact_quantiles(points, columns, [i / bins for i in range(1, bins)])
     binned, places = points, [f"_bin_{c}" for c in columns]
     for c, place in zip(columns, places):
-        cuts = sorted(set(edges.get((None, c), [])))
+        cuts = sorted(set(edges.get(c, [])))
         binned = binned.withColumn(place, _total([F.lit(0), *[F.when(F.col(c) > F.lit(e), 1).otherwise(0) for e in cuts]]))
     sums = [F.sum("w").alias("w")]
     for c in columns:

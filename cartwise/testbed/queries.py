@@ -1107,6 +1107,16 @@ def cluster_median(r):
     return rounded(segments.median_by_group(materialise(_scored(r), "scored"), "R", RFM), 4, *RFM)
 
 
+@query(
+    "median_by_many_groups",
+    """SELECT l_partkey, round(median(l_extendedprice), 4) AS l_extendedprice, round(median(l_quantity), 4) AS l_quantity
+    FROM lineitem GROUP BY l_partkey""",
+)
+def median_by_many_groups(r):
+    priced = ["l_extendedprice", "l_quantity"]
+    return rounded(segments.median_by_group(r.base("lineitem"), "l_partkey", priced), 4, *priced)
+
+
 @query(
     "knn_impute",
     with_roles(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwise.operators import kmeans, scaling, segments, silhouette
 from cartwise.operators.knn import knn_impute
-from cartwise.operators.quantiles import exact_quantiles
+from cartwise.operators.quantiles import exact_quantiles, quantile_table
 from cartwise.plans import clustering
 
 RFM = clustering.FEATURES
@@ -30,16 +30,39 @@ def test_quantiles_equal_numpy(spark, seed):
     df = spark.createDataFrame(frame).repartition(8)
     found = exact_quantiles(df, ["heavy", "tied"], probabilities)
     for c in ("heavy", "tied"):
-        assert found[None, c] == pytest.approx(list(np.quantile(frame[c], probabilities)), rel=1e-12)
-    grouped = exact_quantiles(df, ["heavy"], [0.5], by="g")
+        assert found[c] == pytest.approx(list(np.quantile(frame[c], probabilities)), rel=1e-12)
+    grouped = {r.g: r.value for r in quantile_table(df, ["heavy"], [0.5], by="g").collect()}
     for g, part in frame.groupby("g"):
-        assert grouped[str(g), "heavy"][0] == pytest.approx(part["heavy"].median(), rel=1e-12)
+        assert grouped[g] == pytest.approx(part["heavy"].median(), rel=1e-12)
+
+
+def test_quantiles_with_infinities_and_extremes(table):
+    inf, nan = float("inf"), float("nan")
+    values = [*map(float, range(10)), inf, -inf, -inf, nan, None, 1.7e308, -1.7e308, 5e-324]
+    data = table([(v,) for v in values], "x double")
+    present = sorted(v for v in values if v is not None and v == v)
+    probabilities = [i / (len(present) - 1) for i in range(len(present))]
+    assert exact_quantiles(data, ["x"], probabilities)["x"] == present
+    assert exact_quantiles(data.filter("x IS NULL"), ["x"], [0.5]) == {}
+
+
+def test_medians_of_many_groups(spark):
+    rows = spark.range(30000).selectExpr("id % 1500 AS g", "CASE WHEN id % 1500 <> 7 THEN CAST(id AS DOUBLE) END AS x")
+    found = {r.g: r.x for r in segments.median_by_group(rows, "g", ["x"]).collect()}
+    assert len(found) == 1500 and found[7] is None
+    assert all(found[g] == g + 1500 * 9.5 for g in found if g != 7)
+
+
+def test_nan_has_no_score(table):
+    data = table([(1.0,), (2.0,), (float("nan"),)], "x double")
+    edges = segments.quantile_edges(data, ["x"])["x"]
+    assert [r.s for r in data.select("x", segments.quantile_score(F.col("x"), edges).alias("s")).collect() if r.x != r.x] == [None]
 
 
 def test_median_skips_nulls(table):
     data = table([(0, 1.0), (0, 4.0), (0, None), (1, None), (2, 5.0), (None, 9.0)], "cluster int, x double")
     found = {r.cluster: r.x for r in segments.median_by_group(data, "cluster", ["x"]).collect()}
-    assert found[0] == 2.5 and found[2] == 5.0 and None not in found
+    assert found[0] == 2.5 and found[1] is None and found[2] == 5.0 and None not in found
 
 
 def test_quantile_scores_by_hand(table):
