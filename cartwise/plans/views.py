@@ -309,16 +309,26 @@ VIEWS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
 }
 
 
-def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
-    """Make every view whose tables are present available to SQL by name."""
-    registered = []
+class _Tables(dict):
+    """Tables by role; remembers that one was missing, so that no other error passes for it."""
+
+    class Missing(Exception):
+        pass
+
+    def __missing__(self, name):
+        raise self.Missing(name)
+
+
+def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
+    """Make every view whose tables are present available to SQL, as ``prefix`` and its name; returns the names."""
+    registered, own = [], _Tables(tables)
     for name, table in tables.items():
-        table.createOrReplaceTempView(name)
+        table.createOrReplaceTempView(prefix + name)
     for name, view in VIEWS.items():
         try:
-            frame = view(tables)
-        except KeyError:
+            frame = view(own)
+        except _Tables.Missing:
             continue
-        frame.createOrReplaceTempView(name)
+        frame.createOrReplaceTempView(prefix + name)
         registered.append(name)
     return registered

@@ -208,14 +208,9 @@ SQL_ROLES = {
         CAST(date_part('day', TIMESTAMP '{AS_OF}' - max(order_purchase_timestamp)) AS DOUBLE) AS recency,
         count(order_id) AS frequency, sum(total_price) AS monetary_value
         FROM person_orders GROUP BY customer_unique_id""",
-    # Monetary value from bulk lines only, so that some persons have none.
-    "bulk_rfm": f"""SELECT customer_unique_id,
-        CAST(date_part('day', TIMESTAMP '{AS_OF}' - max(order_purchase_timestamp)) AS DOUBLE) AS recency,
-        CAST(count(order_id) AS DOUBLE) AS frequency, sum(bulk_price) AS monetary_value
-        FROM purchases JOIN customers USING (customer_id) LEFT JOIN (
-            SELECT l_orderkey AS order_id, sum(l_extendedprice) AS bulk_price FROM lineitem
-            WHERE l_quantity >= 49 GROUP BY 1) USING (order_id)
-        GROUP BY customer_unique_id""",
+    # Every seventh person lacks the monetary value.
+    "gappy_rfm": """SELECT customer_unique_id, recency, CAST(frequency AS DOUBLE) AS frequency,
+        CASE WHEN customer_unique_id % 7 <> 0 THEN monetary_value END AS monetary_value FROM rfm""",
     "scaled": """SELECT customer_unique_id, (recency - avg(recency) OVER ()) / stddev_pop(recency) OVER () AS recency,
         (frequency - avg(frequency) OVER ()) / stddev_pop(frequency) OVER () AS frequency,
         (monetary_value - avg(monetary_value) OVER ()) / stddev_pop(monetary_value) OVER () AS monetary_value FROM rfm""",
@@ -233,7 +228,7 @@ _NEEDS = {
     "order_totals": ["items"],
     "person_orders": ["placed_orders", "order_totals"],
     "rfm": ["person_orders"],
-    "bulk_rfm": ["purchases", "customers"],
+    "gappy_rfm": ["rfm"],
     "scaled": ["rfm"],
 }
 
