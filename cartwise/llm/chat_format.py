@@ -122,6 +122,8 @@ def catalogue(spark: SparkSession, mappings=MAPPINGS) -> DataFrame:
             "parts": F.array(*parts).cast("array<struct<role: string, paths: array<string>>>"),
         }
         for paths in [m.paths(), m.paths()[:1]] if m.items else [m.paths()]:
+            # Whoever has a path has the known ones it leads through.
+            paths = [k for k in known_paths(mappings) if any(p == k or p.startswith((f"{k}.", f"{k}[")) for p in paths)]
             rules.append(F.struct(F.lit(digest_of(paths)).alias("known"), *[c.alias(n) for n, c in columns.items()]))
     return spark.range(1).select(F.inline(F.array(*rules)))
 

@@ -200,14 +200,14 @@ def _kept(text: bytes, words: np.ndarray, starts: np.ndarray) -> tuple[int, byte
 
 def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's other columns with ``n_words``, ``n_removed`` and the ``kept`` text."""
-    found = marks(documents, key, text)
     columns = [c for c in documents.columns if c not in (*RESULTS, text)]
     schema = T.StructType([*documents.select(*[f"`{c}`" for c in columns]).schema.fields])
     schema = schema.add("n_words", T.LongType()).add("n_removed", T.LongType()).add("kept", T.StringType())
     end = "_" * max(map(len, [*documents.columns, ""]))
     own = documents.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").alias("text" + end), F.col(key).cast("long").alias("k" + end), F.xxhash64(text).alias("t" + end))
-    same = own["k" + end].eqNullSafe(found.k) & (own["t" + end] == found.t)
-    both = own.join(found, same, "left").select(*columns, "text" + end, F.col("whole").alias("whole" + end), F.col("starts").alias("starts" + end))
+    found = marks(documents, key, text).select(*[F.col(c).alias(f"marked {c}{end}") for c in ("k", "t", "whole", "starts")])
+    same = F.col("k" + end).eqNullSafe(F.col(f"marked k{end}")) & (F.col("t" + end) == F.col(f"marked t{end}"))
+    both = own.join(found, same, "left").select(*[f"`{c}`" for c in columns], "text" + end, f"marked whole{end}", f"marked starts{end}")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = len(columns)
