@@ -45,14 +45,23 @@ def without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right.select(key).distinct(), key, "left_anti")
 
 
-def zip_bridge(customers: DataFrame, points: DataFrame) -> DataFrame:
-    """Customer to raw location point by zip; one row per match.
+def with_point_ids(points: DataFrame) -> DataFrame:
+    """Add a unique ``geolocation_id`` to every row: a 128-bit digest of its values and a number among equal rows.
 
-    Points without a ``geolocation_id`` get one from their own values, so no global
-    counter is needed; equal points share it.
+    No global counter is needed, and equal rows, however many, meet as a count.
     """
+    columns = points.columns
+    digest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"}))
+    counted = points.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    numbered = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+    named = F.concat_ws("-", digest, F.col("_copy").cast("string"))
+    return numbered.withColumn("geolocation_id", named).drop("_copies", "_copy")
+
+
+def zip_bridge(customers: DataFrame, points: DataFrame) -> DataFrame:
+    """Customer to raw location point by zip; one row per match. Points without an id get one."""
     if "geolocation_id" not in points.columns:
-        points = points.withColumn("geolocation_id", F.xxhash64(*points.columns))
+        points = with_point_ids(points)
     numbered = points.select(F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"), "geolocation_id")
     placed = customers.select("customer_id", "customer_zip_code_prefix")
     return placed.join(numbered, "customer_zip_code_prefix").select(

@@ -525,18 +525,20 @@ def seller_locations(r):
 @query(
     "customer_geo_bridge",
     with_roles(
-        """SELECT s.customer_id, s.customer_zip_code_prefix, c.c_custkey AS geolocation_id FROM customers s
-        JOIN (SELECT *, lpad(CAST(c_nationkey AS VARCHAR), 2, '0')
-            || lpad(CAST(CAST(floor((c_acctbal + 1000) / 110) AS INTEGER) AS VARCHAR), 2, '0') AS zip FROM customer) c
-        ON s.customer_zip_code_prefix = c.zip""",
+        """SELECT customer_id, customer_zip_code_prefix, geolocation_lat, geolocation_lng, CAST(copy AS VARCHAR) AS copy FROM customers
+        JOIN (SELECT DISTINCT geolocation_zip_code_prefix, geolocation_lat, geolocation_lng FROM geolocation)
+        ON customer_zip_code_prefix = geolocation_zip_code_prefix, (VALUES (1), (2)) AS v(copy)""",
         "customers",
+        "geolocation",
     ),
 )
 def customer_geo_bridge(r):
-    points = r.customers.select(
-        F.col("customer_zip_code_prefix").alias(ZIP), F.col("customer_id").alias("geolocation_id")
-    )
-    return joins.zip_bridge(r.customers, points)
+    # Every point of a zip twice: a bounded number of points, whatever the number of customers.
+    once = r.geolocation.select(ZIP, LAT, LNG).distinct()
+    points = joins.with_point_ids(once.union(once))
+    bridge = joins.zip_bridge(r.customers, points).join(points, "geolocation_id")
+    copy = F.split_part("geolocation_id", F.lit("-"), F.lit(2)).alias("copy")
+    return bridge.select("customer_id", "customer_zip_code_prefix", LAT, LNG, copy)
 
 
 @query(

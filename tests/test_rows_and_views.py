@@ -71,6 +71,8 @@ def test_zip_bridge_repeats_per_match(table):
     points = table([("z1", 1.0), ("z1", 2.0), (None, 3.0)], f"{ZIP} string, {LAT} double")
     bridge = joins.zip_bridge(customers, points)
     assert bridge.count() == 4 and bridge.select("geolocation_id").distinct().count() == 2
+    twice = joins.with_point_ids(points.union(points))
+    assert twice.count() == 6 and twice.select("geolocation_id").distinct().count() == 6
 
 
 def test_upsert_source_wins(table):
