@@ -39,21 +39,20 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder; on a cluster
-    a missing setting is an error, because a machine-local path would be lost
-    with its machine.
+    A missing setting is an error: a machine-local path would be lost with its machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        path = tempfile.mkdtemp(prefix="cartwise-")
-        spark.sparkContext.setCheckpointDir(path)
-        return path
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return configured.rstrip("/")
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """Give a local-mode session that has no checkpoint folder one of its own; for tests and trials."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cartwise-"))
+    return spark
 
 
 PART = "cartwise.scratch.part"

@@ -19,7 +19,7 @@ from cartwise.operators import joins, kmeans, locations, quality, rows, scaling,
 from cartwise.operators.knn import knn_impute
 from cartwise.plans import clustering, views
 from cartwise.plans.load import load_folder
-from cartwise.session import materialise, scratch_path, tune
+from cartwise.session import materialise, ready, scratch_path, tune
 from cartwise.sources import csv_files, tables
 from cartwise.testbed.roles import AS_OF, Roles, with_roles
 
@@ -33,7 +33,7 @@ PERSON = "customer_unique_id"
 
 def query(name: str, sql: str | None = None):
     def register(function: Callable[[Roles], DataFrame]):
-        QUERIES[name] = lambda spark, folder: function(Roles(tune(spark), folder))
+        QUERIES[name] = lambda spark, folder: function(Roles(tune(ready(spark)), folder))
         if sql is not None:
             ORACLES[name] = sql
         return function

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from cartwise.session import clear_scratch, materialise, scratch_dir, shared_dir
+from cartwise.session import clear_scratch, materialise, ready, scratch_dir, shared_dir
 
 
 def session(master, configured=None, current=None):
@@ -15,9 +15,18 @@ def session(master, configured=None, current=None):
 def test_shared_folder():
     assert shared_dir(session("yarn", configured="hdfs:///work/")) == "hdfs:///work"
     assert shared_dir(session("yarn", current="hdfs:///set")) == "hdfs:///set"
-    assert "cartwise-" in shared_dir(session("local[2]"))
-    with pytest.raises(RuntimeError):
-        shared_dir(session("yarn"))
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(session(master))
+
+
+def test_only_local_sessions_get_a_folder_of_their_own():
+    given = []
+    for master, configured in (("local[2]", None), ("yarn", None), ("local[2]", "/work")):
+        own = session(master, configured)
+        own.sparkContext.setCheckpointDir = given.append
+        assert ready(own) is own
+    assert len(given) == 1 and "cartwise-" in given[0]
 
 
 def test_materialise_cuts_the_lineage_and_can_be_cleared(spark):
