@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import chat_format, decontaminate, fuzzy_lines, language_id, ngram_join, piece_ids, pivots, quality, recompression, token_counts
-from cartwise.session import materialise
+from cartwise.session import materialise, ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +17,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(function: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = function
+        QUERIES[name] = lambda spark, folder: function(ready(spark), folder)
         if sql is not None:
             ORACLES[name] = sql
         return function

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cartwise.llm import decontaminate, fuzzy_lines, ngram_join, piece_ids, quality
 from cartwise.llm.bounded import small
 from cartwise.llm.queries import QUALITY_LIMIT, fold
-from cartwise.session import clear_scratch, materialise, use_part
+from cartwise.session import clear_scratch, materialise, ready, use_part
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -62,7 +62,7 @@ def _stage(number: int, function: Callable[[SparkSession, DataFrame, str], DataF
 
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         for other in {(number - 1) % 5, number}:
-            use_part(spark, f"stage-{other}")
+            use_part(ready(spark), f"stage-{other}")
             clear_scratch(spark)
         return function(spark, docs, sf_dir)
 
@@ -81,7 +81,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each result written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         result = stage(spark, docs, sf_dir)
         use_part(spark, "")
