@@ -1,24 +1,25 @@
-"""k-means on weighted points with MLlib."""
+"""k-means on weighted points: Lloyd steps as one grouped mean each, from a start that the data fix."""
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.operators.quantiles import exact_quantiles
 from cartwise.operators.scaling import inertia_of_one
 from cartwise.operators.silhouette import silhouette_squared, silhouettes_euclidean
 from cartwise.session import materialise
 
 MAX_ITER = 300
 TOLERANCE = 1e-4
-VECTOR, LABEL, WEIGHT = "_features", "cluster", "_weight"
+DIGITS = 9
+LABEL, WEIGHT = "cluster", "_weight"
 
 
 def weighted_points(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -37,18 +38,11 @@ def nearest_center(columns: list[str], centers: list[tuple[float, ...]]) -> Colu
 
 @dataclass
 class Clustering:
-    """A fitted model whose clusters are numbered by the order of their centres."""
+    """A fitted clustering; clusters are numbered by the order of their centres."""
 
-    model: KMeansModel
+    centers: list[tuple[float, ...]]
     columns: list[str]
-
-    @property
-    def centers(self) -> list[tuple[float, ...]]:
-        return sorted(tuple(float(x) for x in c) for c in self.model.clusterCenters())
-
-    @property
-    def inertia(self) -> float:
-        return float(self.model.summary.trainingCost)
+    inertia: float
 
     def label(self, df: DataFrame, name: str = LABEL) -> DataFrame:
         """``df`` with the cluster number of every row; all columns are kept.
@@ -58,40 +52,56 @@ class Clustering:
         return df.withColumn(name, nearest_center(self.columns, self.centers))
 
 
-def _with_vector(df: DataFrame, columns: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=columns, outputCol=VECTOR).transform(df)
+def start_centers(points: DataFrame, columns: list[str], ks: list[int]) -> dict[int, list[tuple[float, ...]]]:
+    """For every k the k points at the middles of k equal shares of each column: fixed by the data alone."""
+    shares = sorted({(i + 0.5) / k for k in ks for i in range(k)})
+    found = exact_quantiles(points, columns, shares)
+    at = {p: tuple(found[c][i] for c in columns) for i, p in enumerate(shares)}
+    return {k: [at[(i + 0.5) / k] for i in range(k)] for k in ks}
+
 
+def _moved(points: DataFrame, columns: list[str], centers: list[tuple[float, ...]]) -> list[tuple[float, ...]]:
+    """The weighted mean of every centre's points, to nine digits; a centre without points stays."""
+    total = F.sum(WEIGHT)
+    means = [F.round(F.sum(F.col(WEIGHT) * F.col(c)) / total, DIGITS).alias(c) for c in columns]
+    rows = points.groupBy(nearest_center(columns, centers).alias(LABEL)).agg(*means).collect()  # a row for each centre
+    now = {r[LABEL]: tuple(r[c] for c in columns) for r in rows}
+    return [now.get(i, center) for i, center in enumerate(centers)]
 
-def _estimator(k: int, seed: int) -> KMeans:
-    return KMeans(
-        k=k,
-        seed=seed,
-        maxIter=MAX_ITER,
-        tol=TOLERANCE,
-        featuresCol=VECTOR,
-        predictionCol="_prediction",
-        weightCol=WEIGHT,
-    )
+
+def _fitted(points: DataFrame, columns: list[str], centers: list[tuple[float, ...]]) -> Clustering:
+    """Lloyd steps until no centre moves farther than the tolerance.
+
+    Means are rounded, so that the order of additions, and with it the partitioning, does not show.
+    """
+    for _ in range(MAX_ITER):
+        before, centers = centers, _moved(points, columns, centers)
+        if max(math.dist(a, b) for a, b in zip(before, centers)) <= TOLERANCE:
+            break
+    squares = [reduce(lambda a, b: a + b, [(F.col(c) - F.lit(x)) ** 2 for c, x in zip(columns, m)]) for m in centers]
+    nearest = F.least(*squares) if len(squares) > 1 else squares[0]
+    inertia = points.agg(F.sum(F.col(WEIGHT) * nearest).alias("inertia")).first().inertia
+    return Clustering(sorted(centers), columns, float(inertia))
 
 
-def fit(points: DataFrame, columns: list[str], k: int, seed: int = 0) -> Clustering:
+def fit(points: DataFrame, columns: list[str], k: int) -> Clustering:
     """Fit k clusters on weighted points (see ``weighted_points``)."""
-    return Clustering(_estimator(k, seed).fit(_with_vector(points, columns)), columns)
+    return fit_many(points, columns, [k])[k]
 
 
-def fit_many(points: DataFrame, columns: list[str], ks: list[int], seed: int = 0, parallel: int = 8) -> dict[int, Clustering]:
-    """One model per k; several fits share the cluster at a time.
+def fit_many(points: DataFrame, columns: list[str], ks: list[int], parallel: int = 8) -> dict[int, Clustering]:
+    """One clustering per k; several fits share the cluster at a time.
 
-    The vectors are cached once for all fits; given uncached input, every fit
-    would keep its own copy. A lost block is read again from the written table.
+    The points are cached once for all fits. A lost block is read again from the written table.
     """
-    vectors = _with_vector(points, columns).select(VECTOR, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
+    starts = start_centers(points, columns, ks)
+    own = points.select(*columns, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(parallel) as pool:
-            task = inheritable_thread_target(points.sparkSession)(lambda k: Clustering(_estimator(k, seed).fit(vectors), columns))
+            task = inheritable_thread_target(points.sparkSession)(lambda k: _fitted(own, columns, starts[k]))
             return dict(zip(ks, pool.map(task, ks)))
     finally:
-        vectors.unpersist()
+        own.unpersist()
 
 
 def elbow(points: DataFrame, columns: list[str], models: dict[int, Clustering]) -> list[tuple[int, float]]:

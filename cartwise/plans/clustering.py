@@ -41,18 +41,18 @@ def prepare(rfm: DataFrame, neighbours: int = 2) -> Prepared:
     return Prepared(materialise(standard_scale(imputed, SCALED), "rfm-scaled"))
 
 
-def sweep(prepared: Prepared, ks: range = range(2, 10), seed: int = 0, squared: bool = False) -> DataFrame:
+def sweep(prepared: Prepared, ks: range = range(2, 10), squared: bool = False) -> DataFrame:
     """(k, inertia, silhouette) for k = 1 and every k in ``ks``; no silhouette at k = 1."""
     points = materialise(prepared.points, "rfm-points")
-    models = fit_many(points, SCALED, list(ks), seed)
+    models = fit_many(points, SCALED, list(ks))
     scores = silhouettes(points, SCALED, models, squared)
     rows = [(k, inertia, scores.get(k)) for k, inertia in elbow(points, SCALED, models)]
     return prepared.table.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
-def segment(prepared: Prepared, k: int = 4, seed: int = 0) -> tuple[Clustering, DataFrame]:
+def segment(prepared: Prepared, k: int = 4) -> tuple[Clustering, DataFrame]:
     """The fitted model and every person with raw features and cluster number."""
-    model = fit(materialise(prepared.points, "rfm-points"), SCALED, k, seed)
+    model = fit(materialise(prepared.points, "rfm-points"), SCALED, k)
     return model, model.label(prepared.table).select(PERSON, *FEATURES, LABEL)
 
 

@@ -1217,24 +1217,108 @@ def kmeans_predict(r):
     return labelled.select(PERSON, kmeans.nearest_center(RFM, centers).alias("cluster"))
 
 
-@query("kmeans4")
+def _kmeans_roles(ks: list[int]) -> dict[str, str]:
+    """The same steps in SQL: ``run<k>`` holds the centres of every step, ``centers<k>`` the last ones in order."""
+    roles = {
+        "gaps": "SELECT * FROM gappy_rfm WHERE monetary_value IS NULL",
+        "known": "SELECT * FROM gappy_rfm WHERE monetary_value IS NOT NULL",
+        "close": """SELECT a.customer_unique_id, b.monetary_value FROM gaps a, known b
+            QUALIFY row_number() OVER (PARTITION BY a.customer_unique_id ORDER BY
+                (a.recency - b.recency) ** 2 + (a.frequency - b.frequency) ** 2, b.customer_unique_id) <= 2""",
+        "filled": """SELECT customer_unique_id, recency, frequency, monetary_value FROM known UNION ALL
+            SELECT customer_unique_id, recency, frequency, m FROM gaps
+            JOIN (SELECT customer_unique_id, avg(monetary_value) AS m FROM close GROUP BY 1) USING (customer_unique_id)""",
+        "standard": """SELECT customer_unique_id, (recency - avg(recency) OVER ()) / stddev_pop(recency) OVER () AS x,
+            (frequency - avg(frequency) OVER ()) / stddev_pop(frequency) OVER () AS y,
+            (monetary_value - avg(monetary_value) OVER ()) / stddev_pop(monetary_value) OVER () AS z FROM filled""",
+        "points": "SELECT x, y, z, count(*) AS w FROM standard GROUP BY ALL",
+    }
+    for k in ks:
+        shares = [(i + 0.5) / k for i in range(k)]
+        start = ", ".join(f"{{'x': qx[{i}], 'y': qy[{i}], 'z': qz[{i}]}}" for i in range(1, k + 1))
+        roles[f"run{k}"] = f"""SELECT 0 AS step, 1e9::DOUBLE AS moved, [{start}] AS cs
+            FROM (SELECT quantile_cont(x, {shares}) AS qx, quantile_cont(y, {shares}) AS qy, quantile_cont(z, {shares}) AS qz FROM points)
+            UNION ALL
+            SELECT step + 1, max(sqrt((x - cs[no].x) ** 2 + (y - cs[no].y) ** 2 + (z - cs[no].z) ** 2)),
+                list({{'x': x, 'y': y, 'z': z}} ORDER BY no)
+            FROM (SELECT step, any_value(cs) AS cs, no, round(sum(w * x) / sum(w), 9) AS x, round(sum(w * y) / sum(w), 9) AS y,
+                    round(sum(w * z) / sum(w), 9) AS z
+                FROM (SELECT step, cs, x, y, z, w, {_nearest("cs")} AS no FROM run{k}, points WHERE moved > 1e-4 AND step < 300)
+                GROUP BY step, no)
+            GROUP BY step"""
+        roles[f"centers{k}"] = f"SELECT list_sort(cs) AS cs FROM run{k} ORDER BY step DESC LIMIT 1"
+    return roles
+
+
+def _distances(centers: str) -> str:
+    return f"[(x - c.x) ** 2 + (y - c.y) ** 2 + (z - c.z) ** 2 FOR c IN {centers}]"
+
+
+def _nearest(centers: str) -> str:
+    return f"list_position({_distances(centers)}, list_min({_distances(centers)}))"
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_LABELLED = f"""SELECT customer_unique_id, gappy_rfm.recency, gappy_rfm.frequency, gappy_rfm.monetary_value,
+    CAST({_nearest("cs")} - 1 AS INTEGER) AS cluster FROM standard JOIN gappy_rfm USING (customer_unique_id), centers4"""
+
+
+@query(
+    "kmeans4",
+    _recursive(
+        with_roles(
+            """SELECT customer_unique_id, recency, frequency, round(monetary_value, 4) AS monetary_value, cluster FROM labelled""",
+            "gappy_rfm",
+            **_kmeans_roles([4]),
+            labelled=_LABELLED,
+        )
+    ),
+)
 def kmeans4(r):
     _, labelled = clustering.segment(clustering.prepare(_gappy_rfm(r)))
-    return labelled
+    return rounded(labelled, 4, "monetary_value")
 
 
-@query("cluster_profile")
+@query(
+    "cluster_profile",
+    _recursive(
+        with_roles(
+            "SELECT cluster, "
+            + ", ".join(f"round(median({c}), 4) AS {c}" for c in RFM)
+            + " FROM labelled GROUP BY cluster",
+            "gappy_rfm",
+            **_kmeans_roles([4]),
+            labelled=_LABELLED,
+        )
+    ),
+)
 def cluster_profile(r):
     _, labelled = clustering.segment(clustering.prepare(_gappy_rfm(r)))
-    return clustering.cluster_profile(labelled)
+    return rounded(clustering.cluster_profile(labelled), 4, *RFM)
 
 
-@query("kmeans_elbow")
+@query(
+    "kmeans_elbow",
+    _recursive(
+        with_roles(
+            "SELECT CAST(1 AS INTEGER) AS k, round(sum(w * (x * x + y * y + z * z)), 4) AS inertia FROM points"
+            + "".join(
+                f" UNION ALL SELECT {k}, round(sum(w * list_min({_distances('cs')})), 4) FROM points, centers{k}" for k in range(2, 10)
+            ),
+            "gappy_rfm",
+            **_kmeans_roles(list(range(2, 10))),
+        )
+    ),
+)
 def kmeans_elbow(r):
     prepared = clustering.prepare(_gappy_rfm(r))
-    points = materialise(prepared.points, "points")
+    points = materialise(prepared.points, "rfm-points")
     models = kmeans.fit_many(points, clustering.SCALED, list(range(2, 10)))
-    return r.spark.createDataFrame(kmeans.elbow(points, clustering.SCALED, models), "k int, inertia double")
+    found = r.spark.createDataFrame(kmeans.elbow(points, clustering.SCALED, models), "k int, inertia double")
+    return rounded(found, 4, "inertia")
 
 
 @query("kmeans_sweep")

@@ -258,7 +258,7 @@ def test_prepared_features(prepared):
 
 
 def test_four_clear_groups(prepared):
-    model, labelled = clustering.segment(prepared, k=4, seed=1)
+    model, labelled = clustering.segment(prepared, k=4)
     rows = labelled.collect()
     assert len(rows) == 300
     assert model.centers == sorted(model.centers)
@@ -272,7 +272,7 @@ def test_four_clear_groups(prepared):
 
 def test_fit_is_a_fixed_point(prepared):
     """Each centre is the mean of its own points, and each point has its nearest centre."""
-    model, _ = clustering.segment(prepared, k=3, seed=2)
+    model, _ = clustering.segment(prepared, k=3)
     frame = model.label(prepared.table).toPandas()
     x = frame[clustering.SCALED].to_numpy()
     centers = np.array(model.centers)
@@ -283,6 +283,14 @@ def test_fit_is_a_fixed_point(prepared):
         assert x[frame["cluster"] == c].mean(0) == pytest.approx(centers[c], abs=1e-2)
 
 
+@pytest.mark.parametrize("partitions", [2, 5])
+def test_fit_does_not_depend_on_the_partitioning(prepared, partitions):
+    points = prepared.points
+    one = kmeans.fit_many(points, clustering.SCALED, [3, 6])
+    other = kmeans.fit_many(points.repartition(partitions), clustering.SCALED, [3, 6])
+    assert {k: m.centers for k, m in one.items()} == {k: m.centers for k, m in other.items()}
+
+
 def test_sweep(prepared):
     rows = {r.k: r for r in clustering.sweep(prepared, range(2, 6)).collect()}
     assert sorted(rows) == [1, 2, 3, 4, 5]

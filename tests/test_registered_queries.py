@@ -10,7 +10,7 @@ from compare import connect, planned, rows
 FOLDER = "/root/testdata/sf0.001"
 OWN = set(entry_points.QUERIES)
 ORACLES = {name: sql for name, sql in entry_points.oracle_sql().items() if name in OWN}
-WITHOUT_SQL = {"kmeans4", "cluster_profile", "kmeans_elbow", "kmeans_sweep"}
+WITHOUT_SQL = {"kmeans_sweep"}
 
 
 @pytest.fixture(scope="module")
