@@ -60,12 +60,22 @@ def start_centers(points: DataFrame, columns: list[str], ks: list[int]) -> dict[
     return {k: [at[(i + 0.5) / k] for i in range(k)] for k in ks}
 
 
+def _distance(columns: list[str], centers: list[tuple[float, ...]]) -> Column:
+    """Squared distance to the nearest centre."""
+    squares = [reduce(lambda a, b: a + b, [(F.col(c) - F.lit(x)) ** 2 for c, x in zip(columns, m)]) for m in centers]
+    return F.least(*squares) if len(squares) > 1 else squares[0]
+
+
 def _moved(points: DataFrame, columns: list[str], centers: list[tuple[float, ...]]) -> list[tuple[float, ...]]:
-    """The weighted mean of every centre's points, to nine digits; a centre without points stays."""
+    """The weighted mean of every centre's points, to nine digits; a centre without points goes to a farthest point."""
     total = F.sum(WEIGHT)
     means = [F.round(F.sum(F.col(WEIGHT) * F.col(c)) / total, DIGITS).alias(c) for c in columns]
     rows = points.groupBy(nearest_center(columns, centers).alias(LABEL)).agg(*means).collect()  # a row for each centre
     now = {r[LABEL]: tuple(r[c] for c in columns) for r in rows}
+    empty = [i for i in range(len(centers)) if i not in now]
+    if empty:
+        far = points.orderBy(_distance(columns, list(now.values())).desc(), *columns).limit(len(empty)).collect()
+        now |= {i: tuple(float(r[c]) for c in columns) for i, r in zip(empty, far)}
     return [now.get(i, center) for i, center in enumerate(centers)]
 
 
@@ -78,9 +88,7 @@ def _fitted(points: DataFrame, columns: list[str], centers: list[tuple[float, ..
         before, centers = centers, _moved(points, columns, centers)
         if max(math.dist(a, b) for a, b in zip(before, centers)) <= TOLERANCE:
             break
-    squares = [reduce(lambda a, b: a + b, [(F.col(c) - F.lit(x)) ** 2 for c, x in zip(columns, m)]) for m in centers]
-    nearest = F.least(*squares) if len(squares) > 1 else squares[0]
-    inertia = points.agg(F.sum(F.col(WEIGHT) * nearest).alias("inertia")).first().inertia
+    inertia = points.agg(F.sum(F.col(WEIGHT) * _distance(columns, centers)).alias("inertia")).first().inertia
     return Clustering(sorted(centers), columns, float(inertia))
 
 
