@@ -19,6 +19,7 @@ from cartwise.operators import joins, kmeans, locations, quality, rows, scaling,
 from cartwise.operators.knn import knn_impute
 from cartwise.plans import clustering, views
 from cartwise.plans.load import load_folder
+from cartwise.schemas import ENTITIES
 from cartwise.session import materialise, ready, scratch_path, tune
 from cartwise.sources import csv_files, tables
 from cartwise.testbed.roles import AS_OF, Roles, with_roles
@@ -780,34 +781,62 @@ def length_violations(r):
     return quality.length_violations(r.customers, {"customer_city": 8, "customer_state": 1})
 
 
-@query(
-    "check_tables",
-    with_roles(
-        """SELECT 'customers' AS table_name, 'primary key' AS "check", 'customer_id' AS columns,
-            (SELECT count(*) FROM (SELECT customer_id FROM customers GROUP BY 1 HAVING count(*) > 1)) AS violations
-        UNION ALL SELECT 'orders', 'primary key', 'order_id',
-            (SELECT count(*) FROM (SELECT order_id FROM purchases GROUP BY 1 HAVING count(*) > 1))
-        UNION ALL SELECT 'orders', 'foreign key', 'customer_id -> customers',
-            (SELECT count(*) FROM purchases WHERE customer_id NOT IN (SELECT customer_id FROM customers))
-        UNION ALL SELECT 'order_payments', 'primary key', 'order_id, payment_sequential',
-            (SELECT count(*) FROM (SELECT order_id FROM payments GROUP BY order_id, payment_sequential HAVING count(*) > 1))
-        UNION ALL SELECT 'order_payments', 'foreign key', 'order_id -> orders',
-            (SELECT count(*) FROM payments WHERE order_id NOT IN (SELECT order_id FROM purchases))
-        UNION ALL SELECT 'order_payments', 'length', c, 0 FROM (VALUES ('order_id <= 32'), ('payment_type <= 32')) AS t(c)
-        UNION ALL SELECT 'orders', 'length', c, 0
-            FROM (VALUES ('order_id <= 32'), ('customer_id <= 32'), ('order_status <= 32')) AS t(c)
-        UNION ALL SELECT 'customers', 'length', c, v FROM (VALUES ('customer_id <= 100', 0),
-            ('customer_unique_id <= 100', 0), ('customer_city <= 50', 0), ('customer_state <= 2', 0)) AS t(c, v)""",
-        "customers",
-        "purchases",
-        "payments",
-    ),
-)
+# Declared table -> the expression that holds it in SQL.
+_CHECKED = {
+    "customers": "customers",
+    "orders": "purchases",
+    "order_items": "items",
+    "order_payments": "payments",
+    "order_reviews": "reviews",
+    "products": "described",
+    "sellers": "sellers",
+    "geolocation": "geolocation",
+    "geolocation_bis": "located",
+    "brazil_states": "states",
+    "product_category_name_translation": "translation",
+}
+_DESCRIBED = """SELECT *, p_brand || repeat('x', 10 * p_size) AS product_description_lenght, CAST(p_size AS VARCHAR) AS product_photos_qty
+    FROM products JOIN part ON product_id = p_partkey"""
+
+
+def _check_sql() -> str:
+    """Every declared key, reference and length as one row."""
+    parts = []
+    for name, source in _CHECKED.items():
+        entity = ENTITIES[name]
+        keys = list(entity.primary_key)
+        if keys:
+            part = " OR ".join(f"{k} IS NULL" for k in keys)
+            found = f"SELECT 1 FROM {source} GROUP BY {', '.join(keys)} HAVING count(*) > 1 OR {part}"
+            parts.append(f"SELECT '{name}' AS table_name, 'primary key' AS \"check\", '{', '.join(keys)}' AS columns, (SELECT count(*) FROM ({found})) AS violations")
+        for column, parent, other in entity.foreign_keys:
+            found = f"SELECT 1 FROM {source} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {other} FROM {_CHECKED[parent]})"
+            parts.append(f"SELECT '{name}', 'foreign key', '{column} -> {parent}', (SELECT count(*) FROM ({found}))")
+        for column, most in entity.lengths.items():
+            found = f"SELECT 1 FROM {source} WHERE length(rtrim(CAST({column} AS VARCHAR))) > {most}"
+            parts.append(f"SELECT '{name}', 'length', '{column} <= {most}', (SELECT count(*) FROM ({found}))")
+    return " UNION ALL ".join(parts)
+
+
+@query("check_tables", with_roles(_check_sql(), *[r for r in _CHECKED.values() if r != "described"], "products", described=_DESCRIBED))
 def check_tables(r):
-    ids = ("order_id", "customer_id", "customer_unique_id")
-    found = {"customers": r.customers, "orders": r.orders, "order_payments": r.order_payments}
-    found = {n: t.select(*[F.col(c).cast("string") if c in ids else F.col(c) for c in t.columns]) for n, t in found.items()}
-    return quality.check_tables(found)
+    part = r.base("part")
+    described = F.concat("p_brand", F.repeat(F.lit("x"), F.col("p_size") * 10))
+    products = r.products.join(part, F.col("product_id") == F.col("p_partkey")).select(
+        "product_id",
+        "product_category_name",
+        "product_name_lenght",
+        described.alias("product_description_lenght"),
+        F.col("p_size").cast("string").alias("product_photos_qty"),
+    )
+    names = [n for n in _CHECKED if n not in ("products", "geolocation_bis", "product_category_name_translation")]
+    found = {n: getattr(r, n) for n in names} | {"products": products}
+    found |= {"geolocation_bis": materialise(_located(r), "located"), "product_category_name_translation": r.translation}
+    typed = {}
+    for name, df in found.items():
+        texts = set(ENTITIES[name].lengths) | {c for c, *_ in ENTITIES[name].foreign_keys} | set(ENTITIES[name].primary_key)
+        typed[name] = df.withColumns({c: F.col(c).cast("string") for c in texts & set(df.columns)})
+    return quality.check_tables(typed)
 
 
 # --- Views -------------------------------------------------------------------------------------
