@@ -1268,13 +1268,19 @@ def _kmeans_roles(ks: list[int]) -> dict[str, str]:
         roles[f"run{k}"] = f"""SELECT 0 AS step, 1e9::DOUBLE AS moved, [{start}] AS cs
             FROM (SELECT quantile_cont(x, {shares}) AS qx, quantile_cont(y, {shares}) AS qy, quantile_cont(z, {shares}) AS qz FROM points)
             UNION ALL
-            SELECT step + 1, max(sqrt((x - cs[no].x) ** 2 + (y - cs[no].y) ** 2 + (z - cs[no].z) ** 2)),
-                list({{'x': x, 'y': y, 'z': z}} ORDER BY no)
-            FROM (SELECT step, any_value(cs) AS cs, no, round(sum(w * x) / sum(w), 9) AS x, round(sum(w * y) / sum(w), 9) AS y,
-                    round(sum(w * z) / sum(w), 9) AS z
-                FROM (SELECT step, cs, x, y, z, w, {_nearest("cs")} AS no FROM run{k}, points WHERE moved > 1e-4 AND step < 300)
-                GROUP BY step, no)
-            GROUP BY step"""
+            SELECT step + 1, list_max([sqrt((cs[i].x - now[i].x) ** 2 + (cs[i].y - now[i].y) ** 2 + (cs[i].z - now[i].z) ** 2)
+                FOR i IN range(1, {k + 1})]), now
+            FROM (SELECT step, cs, [CASE WHEN list_position(nos, i) IS NULL THEN far[i - len(list_filter(nos, lambda n: n < i))]
+                    ELSE ms[list_position(nos, i)] END FOR i IN range(1, {k + 1})] AS now
+                FROM (SELECT step, any_value(cs) AS cs, any_value(nos) AS nos, any_value(ms) AS ms,
+                        list({{'x': x, 'y': y, 'z': z}} ORDER BY list_min({_distances("ms")}) DESC, x, y, z) AS far
+                    FROM (SELECT step, any_value(cs) AS cs, list(no ORDER BY no) AS nos, list({{'x': x, 'y': y, 'z': z}} ORDER BY no) AS ms
+                        FROM (SELECT step, any_value(cs) AS cs, no, round(sum(w * x) / sum(w), 9) AS x,
+                                round(sum(w * y) / sum(w), 9) AS y, round(sum(w * z) / sum(w), 9) AS z
+                            FROM (SELECT step, cs, x, y, z, w, {_nearest("cs")} AS no FROM run{k}, points WHERE moved > 1e-4 AND step < 300)
+                            GROUP BY step, no)
+                        GROUP BY step), points
+                    GROUP BY step))"""
         roles[f"centers{k}"] = f"SELECT list_sort(cs) AS cs FROM run{k} ORDER BY step DESC LIMIT 1"
     return roles
 
