@@ -39,7 +39,9 @@ WINDOW = 20
 ROUNDS = 2
 #: A place between symbols is settled by this many words on either side: two after the second round.
 MARGIN = 2
-PHRASE = 5
+#: A symbol has four words at most, so the first one wholly inside starts by the sixth word of a window, and a phrase
+#: from there ends before the window does.
+PHRASE = 8
 RESULTS = ("n_words", "n_removed", "kept")
 _OTHER_BASE = 0xA0761D6478BD642F
 
@@ -173,7 +175,7 @@ def marks(documents: DataFrame, key: str, text: str) -> DataFrame:
     copies = copies.filter(~(F.col("k").eqNullSafe(F.col("first.k")) & (F.col("t") == F.col("first.t"))))
     copies = copies.select("k", "t", F.lit(True).alias("whole"), F.array().cast("array<int>").alias("starts")).distinct()
     shared = _shared_phrases(entries, firsts).groupBy("k", "t").agg(F.collect_list("phrase").alias("phrases"))
-    found = materialise(_windows(documents, materialise(shared, "shared"), key, text).distinct(), "windows")
+    found = materialise(_windows(documents, materialise(shared, "shared"), key, text), "windows")
     owners = found.groupBy("v", "w").agg(F.min(place).alias("owner"), F.count("*").alias("n")).filter("n > 1").select("v", "w", "owner")
     later = found.join(owners, ["v", "w"]).filter(~(F.col("k").eqNullSafe(F.col("owner.k")) & (F.col("t") == F.col("owner.t"))))
     # Documents that only repeat themselves have no start here.
