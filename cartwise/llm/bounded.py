@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
-def small(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The rows with a broadcast hint if there are at most ``most``; more are joined by a shuffle.
+def is_small(rows: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+    """Whether there are at most ``most`` rows. Counts them, so they should be written already."""
+    return rows.limit(most + 1).count() <= most
+
 
-    Counts the rows first, so they should be written already and be narrow.
-    """
-    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+def small(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Narrow rows with a broadcast hint if there are at most ``most``; more are joined by a shuffle."""
+    return F.broadcast(rows) if is_small(rows, most) else rows

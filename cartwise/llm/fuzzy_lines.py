@@ -7,7 +7,8 @@ by the exact Jaccard similarity of their shingle sets, links form components, an
 first occurrence stays (by document id, then text hash, then place; a null id comes first).
 
 At a similarity of 0.75 the 8 bands of 3 rows find a pair with a probability of 0.988, at 0.8 of 0.997, at
-0.9 of more than 0.9999; pairs that share no band are missed, no pair below the threshold is linked.
+0.9 of more than 0.9999. Before texts are joined, pairs with fewer than half of ``SKETCH`` further minima in
+common are dropped, which costs a pair at 0.75 a probability of 0.0005. Pairs below the threshold are never linked.
 
 Defined results: a null text stays null and has no lines; an empty text has one empty line; a text whose
 lines are all removed is empty, and its row stays; rows that agree in id and text are one document and
@@ -25,11 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.bounded import is_small, small
 from cartwise.llm.linking import linked_components, shared_keys
 from cartwise.llm.slabs import byte_texts, mixed
 from cartwise.session import materialise
 
 SHINGLE = 8
+#: Minima, a byte of each, that are compared before the texts are.
+SKETCH = 32
 
 
 @dataclass(frozen=True)
@@ -63,51 +67,79 @@ def _shingled(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 SLAB = 1 << 19
 
 
+def _factors(count: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(1, 1 << 32, count, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+
+
+def _minima(lines: list[bytes], factors: np.ndarray) -> Iterator[np.ndarray]:
+    """For each factor the smallest hashed shingle of every line."""
+    packed, starts, stops = _shingled(lines)
+    spread = np.append((mixed(packed) >> np.uint64(32)).astype(np.uint32), np.uint32(0))
+    edges = np.stack([starts, stops], axis=1).ravel()
+    for factor in factors:
+        yield np.minimum.reduceat(spread * factor, edges)[::2]
+
+
+def _slabs(lines: list[bytes]) -> Iterator[tuple[int, int]]:
+    low = 0
+    while low < len(lines):
+        high, size = low, 0
+        while high < len(lines) and (high == low or size + len(lines[high]) <= SLAB):
+            size += len(lines[high])
+            high += 1
+        yield low, high
+        low = high
+
+
 def band_keys(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``key, node``: the band keys of lines ``h, line``; lines that repeat within a batch are taken once."""
-    random = np.random.default_rng(11)
-    factors = random.integers(1, 1 << 32, settings.bands * settings.rows, dtype=np.uint64) | np.uint64(1)
-    shifts = random.integers(0, 1 << 32, settings.bands * settings.rows, dtype=np.uint64)
-
-    def signed(lines: list[bytes]) -> np.ndarray:
-        packed, starts, stops = _shingled(lines)
-        spread = (mixed(packed) >> np.uint64(32)).astype(np.uint32)
-        edges = np.stack([starts, stops], axis=1).ravel()
-        if edges[-1] >= len(spread):
-            spread = np.append(spread, np.uint32(0))
-        keys = np.empty((len(lines), settings.bands), dtype=np.uint64)
-        for band in range(settings.bands):
-            key = np.full(len(lines), band, dtype=np.uint64)
-            for row in range(band * settings.rows, (band + 1) * settings.rows):
-                least = np.minimum.reduceat(spread * np.uint32(factors[row]) + np.uint32(shifts[row]), edges)[::2]
-                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + least)
-            keys[:, band] = key
-        return keys
+    factors = _factors(settings.bands * settings.rows, 11)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, first = np.unique(batch.column("h").to_numpy(), return_index=True)
             lines = byte_texts(batch.column("line").take(pa.array(first)))
-            low = 0
-            while low < len(lines):
-                high, size = low, 0
-                while high < len(lines) and (high == low or size + len(lines[high]) <= SLAB):
-                    size += len(lines[high])
-                    high += 1
-                keys = signed(lines[low:high]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(nodes[low:high], settings.bands))], ["key", "node"])
-                low = high
+            for low, high in _slabs(lines):
+                minima = _minima(lines[low:high], factors)
+                keys = np.empty((high - low, settings.bands), dtype=np.uint64)
+                for band in range(settings.bands):
+                    key = np.full(high - low, band, dtype=np.uint64)
+                    for _ in range(settings.rows):
+                        key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + next(minima))
+                    keys[:, band] = key
+                own = np.repeat(nodes[low:high], settings.bands)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(own)], ["key", "node"])
 
     return lines.select("h", "line").mapInArrow(keyed, "key long, node long")
 
 
+def sketches(lines: DataFrame) -> DataFrame:
+    """``h, line, sketch`` for lines ``h, line``."""
+    factors = _factors(SKETCH, 13)
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, found = byte_texts(batch.column("line")), []
+            for low, high in _slabs(own):
+                rows = np.stack([m >> np.uint32(24) ^ m & np.uint32(255) for m in _minima(own[low:high], factors)], axis=1)
+                found += [r.tobytes() for r in rows.astype(np.uint8)]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("line"), pa.array(found, pa.binary())], ["h", "line", "sketch"])
+
+    return lines.select("h", "line").mapInArrow(sketched, "h long, line string, sketch binary")
+
+
 def similar(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` whose lines' shingle sets are similar; ``lines`` holds ``h, line`` once for each h."""
+    """Pairs ``a, b`` whose lines' shingle sets are similar; ``lines`` holds ``h, line, sketch`` once for each h."""
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, SKETCH) for c in ("x", "y"))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) * 2 >= SKETCH))
 
     def jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, known = [], {}
-            own = byte_texts(batch.column("left")), byte_texts(batch.column("right"))
+            own = byte_texts(batch.column("x")), byte_texts(batch.column("y"))
             for a, x, y in zip(batch.column("a").to_pylist(), *own):
                 if a not in known:
                     known = {a: np.unique(_shingled([x])[0][: len(x) - SHINGLE + 1])}
@@ -116,36 +148,42 @@ def similar(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
                 keep.append(common >= similarity * (len(first) + len(second) - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = lines.select(F.col("h").alias("a"), F.col("line").alias("left"))
-    right = lines.select(F.col("h").alias("b"), F.col("line").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(jaccard, "a long, b long")
+    def both(some: DataFrame, column: str) -> DataFrame:
+        left = lines.select(F.col("h").alias("a"), F.col(column).alias("x"))
+        right = lines.select(F.col("h").alias("b"), F.col(column).alias("y"))
+        return some.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+
+    close = materialise(both(pairs, "sketch").mapInArrow(alike, "a long, b long"), "alike")
+    return both(close, "line").mapInArrow(jaccard, "a long, b long")
 
 
 def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``k, t, at``: the places of lines to remove; ``t`` is the text's ``xxhash64``."""
     every = occurrences(documents, key, text, settings)
+    places = materialise(every.drop("line"), "places")
     place = F.struct("k", "t", "at")
-    entries = every.groupBy("h").agg(F.min("g").alias("g"), F.max("g").alias("last"), F.count("*").alias("n"), F.min(place).alias("first"))
-    entries = materialise(entries, "lines")
-    shared = materialise(shared_keys(band_keys(every, settings)), "bands")
-    wanted = shared.select(F.col("node").alias("h")).distinct()
+    entries = places.groupBy("h").agg(F.min("g").alias("g"), F.max("g").alias("last"), F.count("*").alias("n"), F.min(place).alias("first"))
+    shared = materialise(shared_keys(materialise(band_keys(every, settings), "bands")), "shared")
+    wanted = materialise(shared.select(F.col("node").alias("h")).distinct(), "nodes")
     # Repeats of a line are merged before their shuffle.
-    texts = every.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
-    texts = materialise(texts, "texts")
+    texts = every.select("h", "line").join(small(wanted), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    texts = materialise(sketches(texts), "texts")
     component = linked_components(shared, lambda pairs: similar(pairs, texts, settings.similarity))
     sound = entries.filter("g = last").join(component, entries.h == component.node, "left")
-    sound = sound.select("h", "n", "first", F.coalesce("component", "h").alias("component"))
+    sound = materialise(sound.select("h", "n", "first", F.coalesce("component", "h").alias("component")), "lines")
     roots = sound.groupBy("component").agg(F.min("first").alias("kept"), F.sum("n").alias("of")).filter("of > 1")
     repeated = sound.join(roots, "component").select("h", "kept")
-    here = every.select("k", "t", "at", "h").join(repeated, "h")
+    here = places.select("k", "t", "at", "h").join(repeated, "h")
     other = ~(F.col("k").eqNullSafe(F.col("kept.k")) & (F.col("t") == F.col("kept.t")) & (F.col("at") == F.col("kept.at")))
     return here.filter(other).select("k", "t", "at").distinct()
 
 
 def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """The documents without removed lines, with ``lines`` and ``lines_removed``, counted before (replaced if they are there)."""
-    gone = removed(documents, key, text, settings).groupBy("k", "t").agg(F.collect_list("at").alias("gone"))
+    lost = materialise(removed(documents, key, text, settings), "removed")
+    gone = lost.groupBy("k", "t").agg(F.collect_list("at").alias("gone"))
     gone = gone.select(F.col("k").alias("gone k"), F.col("t").alias("gone t"), "gone")
+    gone = F.broadcast(gone) if is_small(lost) else gone
     columns = [c for c in documents.columns if c not in ("lines", "lines_removed")]
     own = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(key).alias("k"), F.xxhash64(text).alias("t"))
     both = own.join(gone, F.col("k").eqNullSafe(F.col("gone k")) & (F.col("t") == F.col("gone t")), "left")
