@@ -1,10 +1,12 @@
 """Components of near-duplicates from shared keys, without listing all pairs of a group.
 
-Nodes that share a key may be linked; ``verify`` says which pairs are. First every node of a key is
-verified against the key's smallest node, and components are formed. Pairs inside one component need no
-check any more. What is left are pairs of one key in different components: for these, the nodes outside
-the key's largest component meet all nodes of the key in other components. So no possible link between components
-is left unchecked, and a group of n copies costs about n checks instead of n squared.
+Nodes that share a key may be linked; ``verify`` says which pairs are. First every node of a key is verified
+against the key's most connected node, the one that shares most keys with others (of a group of copies with
+changes, the least changed). Components are formed, and in a few rounds the nodes outside a key's largest component
+are verified against some nodes inside it, other ones each round. Pairs inside one component need no check any more.
+What is left are pairs of one key in different components: the nodes outside the key's largest component then
+meet all nodes of the key in other components. So no possible link between components is left unchecked, and a
+group of n copies costs a small multiple of n checks.
 """
 
 from __future__ import annotations
@@ -18,42 +20,81 @@ from cartwise.llm.components import components
 from cartwise.session import materialise
 
 Pairs = Callable[[DataFrame], DataFrame]
+#: Rounds before what is left is checked whole, nodes of the largest component tried in each, and pairs for each row of
+#: the keys that are few enough to be checked at once. They save work only.
+ROUNDS = 4
+TRIED = 3
+LIGHT = 2
 
 
 def shared_keys(incidence: DataFrame) -> DataFrame:
-    """``key, node, first``: rows of keys with at least two nodes; first is the key's smallest node."""
+    """``key, node``: rows of keys with at least two nodes."""
     own = incidence.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    return incidence.join(own.filter("first < last").select("key", "first"), "key").select("key", "node", "first")
+    return incidence.join(own.filter("first < last").select("key"), "key").select("key", "node")
+
+
+def _ordered(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _stars(shared: DataFrame) -> DataFrame:
+    """Each node of a key with the key's most connected one."""
+    degree = shared.groupBy("node").agg(F.count("*").alias("keys"))
+    ranked = shared.join(degree, "node").select("key", "node", F.struct("keys", F.negative("node").alias("by"), "node").alias("rank"))
+    centre = ranked.groupBy("key").agg(F.max("rank").alias("top")).select("key", F.col("top.node").alias("centre"))
+    return shared.join(centre, "key").filter("node <> centre").select(*_ordered("node", "centre")).distinct()
+
+
+def _owned(shared: DataFrame, reached: DataFrame) -> DataFrame:
+    """``key, node, component``."""
+    own = shared.join(reached, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    return materialise(own, "owned")
+
+
+def _largest(owned: DataFrame, number: int) -> DataFrame:
+    """``key, top, tried, pairs`` of keys with several components: the largest one, some of its nodes (others for each
+    number), and how many pairs the nodes outside it make."""
+    some = [F.min(F.struct(F.xxhash64("node", F.lit(number * TRIED + i)).alias("h"), "node"))["node"] for i in range(TRIED)]
+    counts = owned.groupBy("key", "component").agg(F.count("*").alias("n"), F.array(*some).alias("tried"))
+    best = counts.groupBy("key").agg(F.max(F.struct("n", "component", "tried")).alias("best"), F.sum("n").alias("all"))
+    pairs = (F.col("all") - F.col("best.n")) * F.col("all")
+    found = best.filter(F.col("best.n") < F.col("all")).select("key", F.col("best.component").alias("top"), F.col("best.tried").alias("tried"), pairs.alias("pairs"))
+    return materialise(found, "largest")
 
 
 def linked_components(shared: DataFrame, verify: Pairs, prune: Pairs | None = None) -> DataFrame:
     """``node, component`` for every node that is not its component's smallest.
 
     ``shared`` comes from :func:`shared_keys` and is read several times. ``verify`` keeps the linked rows of
-    pairs ``a, b`` (``a < b``). ``prune`` may drop pairs ``a, b, common`` that cannot be linked, where
-    ``common`` counts all keys the two share.
+    pairs ``a, b`` (``a < b``). ``prune`` may drop pairs ``a, b, common`` that cannot be linked, where ``common``
+    counts all keys the two share, if ``shared`` has no row twice.
     """
-    star = shared.filter("node > first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    star = materialise(star, "star")
-    links = materialise(verify(star).select("a", "b"), "verified")
-    reached = components(links)
-    owned = shared.select("key", "node").distinct().join(reached, "node", "left")
-    owned = materialise(owned.select("key", "node", F.coalesce("component", "node").alias("component")), "owned")
-    counts = owned.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-    largest = largest.filter("parts > 1").select("key", F.col("top.component").alias("top"))
-    mixed = owned.join(largest, "key")
+    known = materialise(_stars(shared), "tried")
+    reached = components(materialise(verify(known).select("a", "b"), "verified"))
+    rows = shared.count()
+    for number in range(ROUNDS + 1):
+        owned = _owned(shared, reached)
+        largest = _largest(owned, number)
+        left = largest.agg(F.sum("pairs")).first()[0] or 0
+        if number == ROUNDS or left <= LIGHT * rows:
+            break
+        outside = owned.join(largest, "key").filter(F.col("component") != F.col("top"))
+        pairs = outside.select("node", F.explode("tried").alias("other")).select(*_ordered("node", "other")).distinct()
+        pairs = materialise(pairs.join(known, ["a", "b"], "left_anti"), "tried")
+        links = materialise(verify(pairs).select("a", "b"), "verified")
+        known = known.union(pairs)
+        if links.isEmpty():
+            break
+        reached = components(reached.toDF("a", "b").union(links))
+    if not left:
+        return reached
+    mixed = owned.join(largest.select("key", "top"), "key")
     one = mixed.filter(F.col("component") != F.col("top")).select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
     two = mixed.select("key", F.col("node").alias("y"), F.col("component").alias("cy"), "top")
     # Two nodes outside the largest component meet once, in order.
     apart = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("top")) | (F.col("x") < F.col("y")))
-    rest = one.join(two, "key").filter(apart)
-    rest = rest.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("common"))
+    rest = one.join(two, "key").filter(apart).groupBy(*_ordered("x", "y")).agg(F.count("*").alias("common"))
     rest = prune(rest) if prune else rest
-    rest = materialise(rest.select("a", "b").join(star, ["a", "b"], "left_anti"), "rest")
-    if rest.isEmpty():
-        return reached
-    more = materialise(verify(rest).select("a", "b"), "verified")
-    if more.isEmpty():
-        return reached
-    return components(reached.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    rest = materialise(rest.select("a", "b").join(known, ["a", "b"], "left_anti"), "rest")
+    links = materialise(verify(rest).select("a", "b"), "verified")
+    return reached if links.isEmpty() else components(reached.toDF("a", "b").union(links))

@@ -83,19 +83,19 @@ def described(documents: DataFrame, key: str, text: str, words: int, percent: in
 def necessary(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """``key, node``: columns within the prefixes of the documents, where another document has them too."""
     columns = entries.filter(F.col("columns").isNotNull() & F.col("id").isNotNull())
-    sent = columns.select("id", "d", "e", "n", F.size("columns").alias("sent"), F.explode("columns").alias("key"))
+    sent = columns.select("id", "n", F.size("columns").alias("sent"), F.explode("columns").alias("key"))
     counts = sent.groupBy("key").agg(F.count("*").alias("documents")).filter("documents > 1")
     shared = materialise(sent.join(counts, "key"), "columns")
-    # Of each set once, however many batches sent it.
-    own = shared.join(classes.select("d", "e", F.col("id").alias("node")), ["d", "e"])
-    own = own.groupBy("node", "key").agg(F.max("documents").alias("documents"), F.max("n").alias("n"), F.max("sent").alias("sent"))
     high = F.col("key") >= int(_EDGE)
     order = [high, F.when(high, 0).otherwise(F.col("documents")), F.col("key")]
-    # The documents' own columns only: a set is the largest group here.
-    by = W.partitionBy("node")
-    ranked = own.withColumn("place", F.row_number().over(by.orderBy(*order))).withColumn("held", F.count("*").over(by))
+    # A document's own columns only: a set is the largest group here.
+    by = W.partitionBy("id")
+    ranked = shared.withColumn("place", F.row_number().over(by.orderBy(*order))).withColumn("held", F.count("*").over(by))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return ranked.filter(F.col("place") <= prefix - (F.col("sent") - F.col("held"))).select("key", "node")
+    inside = ranked.filter(F.col("place") <= prefix - (F.col("sent") - F.col("held"))).select("id", "key")
+    # Each set once, however many batches sent it.
+    named = columns.select("id", "d", "e").join(classes.select("d", "e", F.col("id").alias("node")), ["d", "e"])
+    return inside.join(named.select("id", "node"), "id").select("key", "node").distinct()
 
 
 def _large_enough(common, one, two, percent: int):
@@ -108,7 +108,7 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
     entries = materialise(described(documents, key, text, words, percent), "entries")
     classes = entries.filter("n > 0 AND id IS NOT NULL").groupBy("d", "e").agg(F.min("id").alias("id"), F.max("n").alias("n"))
     classes = materialise(classes, "classes")
-    shared = materialise(shared_keys(necessary(entries, classes, percent)), "shared")
+    shared = materialise(shared_keys(materialise(necessary(entries, classes, percent), "prefixes")), "shared")
     sizes = classes.groupBy("id").agg(F.max("n").alias("n"))
     nodes = materialise(shared.select(F.col("node").alias("id")).distinct(), "nodes")
     wanted = small(nodes)
