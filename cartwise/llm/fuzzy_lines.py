@@ -1,7 +1,8 @@
 """Line dedup over a whole corpus, fuzzy lines included, by MinHash.
 
-A line counts as its lower-cased text without spaces around it; lines of fewer than
-``Settings.least_bytes`` bytes are never removed. Equal lines are one entry. Its shingles are all runs of 8 bytes;
+A line counts as its lower-cased text without spaces around it; a line of white space alone is never removed, nor is
+one of fewer than ``Settings.least_bytes`` bytes (``CORPUS``, which the registered query and the pipeline use, has no
+such limit). Equal lines are one entry. Its shingles are all runs of 8 bytes, or the whole line if it is shorter;
 ``bands`` x ``rows`` minima of hashed shingles give its band keys. Lines that share a band key are verified
 by the exact Jaccard similarity of their shingle sets, links form components, and of each component only the
 first occurrence stays (by document id, then text hash, then place; a null id comes first).
@@ -44,25 +45,38 @@ class Settings:
     similarity: float = 0.75
 
 
+#: Every line that is not white space alone, however short.
+CORPUS = Settings(least_bytes=1)
+
+
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
 def occurrences(documents: DataFrame, key: str, text: str, settings: Settings = Settings()) -> DataFrame:
-    """``k, t, at, line, h, g``: every line long enough, with its document, place and two hashes."""
+    """``k, t, at, line, h, g``: every line long enough and not all white space, with its document, place and two hashes."""
     own = documents.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), F.posexplode(_lines(F.col(text))).alias("at", "raw"))
-    own = own.select("k", "t", "at", F.lower(F.trim("raw")).alias("line")).filter(F.octet_length("line") >= settings.least_bytes)
+    own = own.select("k", "t", "at", F.lower(F.trim("raw")).alias("line")).filter((F.octet_length("line") >= settings.least_bytes) & F.col("line").rlike(r"\S"))
     return own.select("k", "t", "at", "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"))
 
 
 def _shingled(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed shingles of joined lines; each line's are those from its start up to its stop."""
+    """Packed shingles of joined lines; each line's are those from its start up to its stop.
+
+    A shorter line is one shingle, filled up with a byte that UTF-8 does not have.
+    """
+    lines = [x.ljust(SHINGLE, b"\xff") for x in lines]
     joined = np.frombuffer(b"".join(lines) + b"\0" * SHINGLE, dtype=np.uint8)
     packed = np.lib.stride_tricks.sliding_window_view(joined, SHINGLE).copy().view("<u8").ravel()
     stops = np.cumsum([len(x) for x in lines])
     return packed, stops - [len(x) for x in lines], stops - SHINGLE + 1
 
 
+def _shingle_set(line: bytes) -> np.ndarray:
+    packed, _, stops = _shingled([line])
+    return np.unique(packed[: stops[0]])
+
+
 #: Bytes of lines whose signatures are worked out at a time; a longer line is worked on by itself.
 SLAB = 1 << 19
 
@@ -142,8 +156,8 @@ def similar(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
             own = byte_texts(batch.column("x")), byte_texts(batch.column("y"))
             for a, x, y in zip(batch.column("a").to_pylist(), *own):
                 if a not in known:
-                    known = {a: np.unique(_shingled([x])[0][: len(x) - SHINGLE + 1])}
-                first, second = known[a], np.unique(_shingled([y])[0][: len(y) - SHINGLE + 1])
+                    known = {a: _shingle_set(x)}
+                first, second = known[a], _shingle_set(y)
                 common = len(np.intersect1d(first, second, assume_unique=True))
                 keep.append(common >= similarity * (len(first) + len(second) - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))

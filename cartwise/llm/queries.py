@@ -182,7 +182,7 @@ def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_line_dedup")
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    return fuzzy_lines.dedup_lines(documents).select(
+    return fuzzy_lines.dedup_lines(documents, settings=fuzzy_lines.CORPUS).select(
         "doc_id",
         F.col("lines").cast("long").alias("n_lines"),
         F.col("lines_removed").cast("long").alias("n_removed"),

@@ -29,7 +29,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier line, exactly or nearly; a document may become empty."""
-    left = fuzzy_lines.dedup_lines(docs).drop("lines", "lines_removed")
+    left = fuzzy_lines.dedup_lines(docs, settings=fuzzy_lines.CORPUS).drop("lines", "lines_removed")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -186,6 +186,13 @@ def test_lines(spark, nothing):
     assert fuzzy_lines.dedup_lines(nothing).count() == 0
 
 
+def test_repeated_short_lines(spark):
+    texts = [(1, "All rights reserved.\nab\n\n \t\né"), (2, "  ALL RIGHTS RESERVED. \nAB\n\n \t\nac"), (3, "é\nab\r\n\r\n\r\nac\nac"), (4, "seven c\neight ch\nseven d")]
+    documents = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: (r.text, r.lines_removed) for r in fuzzy_lines.dedup_lines(documents, settings=fuzzy_lines.CORPUS).collect()}
+    assert found == {1: (texts[0][1], 0), 2: ("\n \t\nac", 2), 3: ("ab\r\n\r\n\r", 3), 4: (texts[3][1], 0)}
+
+
 def test_near_lines_against_all_pairs(spark):
     lines = []
     for _ in range(60):
