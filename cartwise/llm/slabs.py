@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 SPACE = 32
-#: Bytes worked on at a time. Longer texts are cut at white space; only a run of more bytes without any is cut inside.
+#: Bytes worked on at a time. Longer texts are cut at white space; a run of more bytes without any stays whole.
 SLAB_BYTES = 1 << 20
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
@@ -22,20 +22,31 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 
 
 def cut(text: bytes, limit: int = SLAB_BYTES) -> Iterator[bytes]:
-    """Pieces of at most ``limit`` bytes, cut after white space where there is any."""
-    start = 0
+    """Pieces of at most ``limit`` bytes, cut after white space; a longer one only up to the first white space it has."""
+    own, start = np.frombuffer(text, dtype=np.uint8), 0
     while len(text) - start > limit:
-        white = np.flatnonzero(_WHITE[np.frombuffer(text, dtype=np.uint8, count=limit, offset=start)])
-        stop = start + (int(white[-1]) + 1 if len(white) else limit)
+        white = np.flatnonzero(_WHITE[own[start : start + limit]])
+        stop = start + int(white[-1]) + 1 if len(white) else _next_white(own, start + limit, limit) + 1
         yield text[start:stop]
         start = stop
-    yield text[start:]
+    if start < len(text) or not start:
+        yield text[start:]
+
+
+def _next_white(own: np.ndarray, start: int, step: int) -> int:
+    """The first white space from ``start`` on; the last place if there is none."""
+    for low in range(start, len(own), step):
+        white = np.flatnonzero(_WHITE[own[low : low + step]])
+        if len(white):
+            return low + int(white[0])
+    return len(own) - 1
 
 
 def slabs(texts: list[bytes], limit: int = SLAB_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Yield (bytes, text numbers, starts, stops): pieces joined by single spaces, one before and one after.
 
-    A text longer than ``limit`` comes as several pieces, all under its number.
+    A text longer than ``limit`` comes as several pieces, all under its number. No word is in two pieces, so a slab is
+    longer than ``limit`` where a word is.
     """
     held, numbers, size = [], [], 0
 

@@ -219,3 +219,22 @@ def test_very_long_texts(spark):
     joined = {r.doc_id: r.component_id for r in ngram_join.similar_documents(documents).collect()}
     assert joined == {1: 1, 2: 2, 3: 1}
     assert documents.select(F.max(F.length("text"))).first()[0] > 1 << 20
+
+
+def test_a_word_longer_than_a_slab(spark):
+    passage, other = words(30, WIDE), words(40, WIDE)
+    long_word = "".join(random.choices("abcé", k=3 << 20))
+    texts = [
+        (1, " ".join([*passage, long_word, *other, *passage, "end"])),
+        (2, " ".join([*other[:25], long_word, *passage[:19]])),
+        (3, " ".join([*words(18, WIDE), long_word])),
+        (4, " ".join(["new", *passage, long_word, *other, *passage, "end"])),
+        (5, long_word),
+    ]
+    documents = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in recompression.remove_repeats(documents).collect()}
+    assert found == brute_repeats(texts)
+    assert found[1][1] == 30 and found[2][1] == 25 and found[3][0] == 19 and found[4][1] == 102
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for k, w in ((k, t.split()) for k, t in texts)}
+    joined = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_documents(documents).collect()}
+    assert joined == {k: (len(own), 1 if k == 4 else k) for k, own in sets.items()}
