@@ -1,16 +1,19 @@
-"""Mean silhouette of a labelled table, in time linear in its rows.
+"""Mean silhouette of a labelled table.
 
 ``silhouette_squared`` uses squared distances, whose mean to a cluster follows from
-the cluster's size, sum and sum of squares. ``silhouette_euclidean`` uses plain
-distances: every cluster is summarised by a bounded number of cells, each either a
-single point (then the result is exact) or a group of near points with mean and
-spread (then it comes with a guaranteed interval). Nothing is sampled.
+the cluster's size, sum and sum of squares; it is linear in the rows.
+``silhouette_euclidean`` uses plain distances, by one algorithm at every size: Spark
+deals the distinct points into cells of near points, and every point meets every
+cell. A cluster's points in a cell are taken together if their centre and spread
+settle the point's mean distance to them within the stated tolerance, and one by one
+if not. At a tolerance of 0, the default, the result is exact and takes the square of the distinct
+points. Nothing is sampled. A null label is a cluster of its own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -21,8 +24,14 @@ from pyspark.sql import functions as F
 from cartwise.operators.quantiles import exact_quantiles
 from cartwise.session import materialise
 
-MAX_CLUSTERS = 100
-MAX_CELLS = 8192
+#: Most points of a cell.
+POINTS = 128
+#: Distances held at a time.
+HELD = 2_000_000
+#: Cells are boxes between quantiles: at most 2 to this power on an axis.
+MOST_BITS = 6
+#: Both limits leave room for the rounding of sums.
+ROUNDING = 1e-12
 
 
 def _weight(weight: str | None) -> Column:
@@ -33,156 +42,186 @@ def _total(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
+def _score(a: np.ndarray, b: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    top = np.maximum(a, b)
+    found = np.divide(b - a, top, out=np.zeros_like(top), where=top > 0)
+    return np.where(alone | ~np.isfinite(found), 0.0, found)
+
+
+def _coded(df: DataFrame, label: str, clusters: list, code: str) -> DataFrame:
+    """With the place of the row's label in ``clusters``."""
+    schema = df.select(F.col(label).alias(f"{code} label"), F.lit(0).alias(code)).schema
+    codes = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(clusters)], schema)
+    return df.join(F.broadcast(codes), F.col(label).eqNullSafe(F.col(f"{code} label"))).drop(f"{code} label")
+
+
 def silhouette_squared(df: DataFrame, columns: list[str], label: str, weight: str | None = None) -> DataFrame:
     """(n, silhouette) with squared Euclidean distance; a cluster of one counts 0."""
     w = _weight(weight)
     norm = _total([F.col(c) * F.col(c) for c in columns])
-    sums = df.groupBy(label).agg(
+    clusters = df.groupBy(label).agg(
         F.sum(w).alias("n"), F.sum(w * norm).alias("q"), *[F.sum(w * F.col(c)).alias(f"s_{c}") for c in columns]
-    )
-    clusters = sums.limit(MAX_CLUSTERS + 1).collect()
-    if len(clusters) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
-
-    def distance_sum(c) -> Column:
-        return c.n * norm - 2 * _total([F.lit(c[f"s_{name}"]) * F.col(name) for name in columns]) + c.q
-
-    own = F.lit(None).cast("double")
-    other = F.lit(None).cast("double")
-    for c in clusters:
-        mine = F.col(label) == F.lit(c[label])
-        if c.n > 1:
-            own = F.when(mine, distance_sum(c) / (c.n - 1)).otherwise(own)
-        other = F.least(other, F.when(~mine, distance_sum(c) / c.n))
-    a, b = F.greatest(own, F.lit(0.0)), F.greatest(other, F.lit(0.0))
-    # A cluster of one has no own distance; its rows count 0.
-    score = F.coalesce(_score(F.col("a"), F.col("b")), F.lit(0.0))
-    scored = df.select(w.alias("w"), F.when(own.isNotNull(), a).alias("a"), F.when(other.isNotNull(), b).alias("b"))
-    return scored.agg(F.sum("w").cast("long").alias("n"), (F.sum(F.col("w") * score) / F.sum("w")).alias("silhouette"))
+    ).collect()
+    n, q = (np.array([c[name] for c in clusters], dtype=float) for name in ("n", "q"))
+    sums = np.array([[c[f"s_{name}"] for name in columns] for c in clusters], dtype=float).reshape(-1, len(columns))
 
-
-def _score(a: Column, b: Column) -> Column:
-    top = F.greatest(a, b)
-    return F.when(a.isNotNull() & b.isNotNull(), F.when(top > 0, (b - a) / top).otherwise(0.0))
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = max(1, HELD // max(len(n), 1))
+        for batch in batches:
+            for at in range(0, len(batch), step):
+                part = batch.iloc[at : at + step]
+                x, own, weights = part.iloc[:, 2:].to_numpy(float), part["code"].to_numpy(), part["w"].to_numpy(float)
+                distance = np.maximum(n * (x * x).sum(axis=1)[:, None] - 2 * x @ sums.T + q, 0.0)
+                pick = np.arange(len(part)), own
+                alone = n[own] <= 1
+                a = distance[pick] / np.where(alone, 1, n[own] - 1)
+                distance /= n
+                distance[pick] = np.inf
+                yield pd.DataFrame({"w": [weights.sum()], "score": [(weights * _score(a, distance.min(axis=1), alone)).sum()]})
+
+    own = _coded(df.select(w.alias("w"), F.col(label).alias("label"), *[F.col(c).cast("double").alias(f"x_{c}") for c in columns]), "label", [c[0] for c in clusters], "code")
+    parts = own.select("w", "code", *[f"x_{c}" for c in columns]).mapInPandas(scored, "w double, score double")
+    return parts.agg(F.sum("w").cast("long").alias("n"), (F.sum("score") / F.sum("w")).alias("silhouette"))
 
 
 def silhouette_euclidean(
-    df: DataFrame, columns: list[str], label: str, weight: str | None = None, max_cells: int = MAX_CELLS
+    df: DataFrame, columns: list[str], label: str, weight: str | None = None, max_cells: int | None = None, tolerance: float = 0.0
 ) -> DataFrame:
     """(n, silhouette, lower, upper) with Euclidean distance; a cluster of one counts 0.
 
-    Up to ``max_cells`` distinct labelled points the three numbers are equal and
-    exact. Beyond, the true score lies between ``lower`` and ``upper``; a greater
-    ``max_cells`` narrows them at a cost of rows x cells distances.
+    The true score lies between ``lower`` and ``upper``, which are at most ``tolerance`` apart
+    and ``silhouette`` is the middle; 0 is exact. ``max_cells`` asks for larger or smaller cells to start from,
+    of ``POINTS`` points at most. It changes the work, not what the tolerance allows.
     """
-    return silhouettes_euclidean(df, columns, [label], weight, max_cells).drop("label")
+    return silhouettes_euclidean(df, columns, [label], weight, max_cells, tolerance).drop("label")
 
 
 def silhouettes_euclidean(
-    df: DataFrame, columns: list[str], labels: list[str], weight: str | None = None, max_cells: int = MAX_CELLS
+    df: DataFrame, columns: list[str], labels: list[str], weight: str | None = None, max_cells: int | None = None, tolerance: float = 0.0
 ) -> DataFrame:
     """One row per label column: the same distances serve every labelling of the points."""
-    points = df.groupBy(*columns, *labels).agg(F.sum(_weight(weight)).alias("w"))
-    cells = points.limit(max_cells + 1).toPandas()
-    if len(cells) <= max_cells:
-        spread = np.zeros(len(cells))
-        summaries = [_Summary(cells[columns].to_numpy(float), spread, [_Sides(n, cells[n], cells["w"]) for n in labels])]
-        tasks = -(-len(cells) * len(cells) // 4_000_000)
-        points = points.repartition(max(1, min(tasks, df.sparkSession.sparkContext.defaultParallelism)))
-    else:
-        points = materialise(points, "silhouette-points")
-        summaries = _summarise(points, columns, labels, max_cells)
-    schema = "label string, w double, score double, low double, high double"
-    parts = points.mapInPandas(_scorer(summaries, columns), schema).groupBy("label")
-    weighted = [(F.sum(c) / F.sum("w")).alias(name) for c, name in (("score", "silhouette"), ("low", "lower"), ("high", "upper"))]
-    return parts.agg(F.sum("w").cast("long").alias("n"), *weighted)
-
-
-class _Sides:
-    """The clusters of one labelling: names, sizes, and each cell's weight in its cluster."""
-
-    def __init__(self, name: str, label: pd.Series, w: pd.Series):
-        self.name = name
-        self.clusters, code = np.unique(label.to_numpy(), return_inverse=True)
-        if not 2 <= len(self.clusters) <= MAX_CLUSTERS:
-            raise ValueError(f"a silhouette needs 2 to {MAX_CLUSTERS} clusters")
-        self.weights = np.zeros((len(label), len(self.clusters)))
-        self.weights[np.arange(len(label)), code] = w.to_numpy(float)
-        self.sizes = self.weights.sum(axis=0)
-
-
-@dataclass
-class _Summary:
-    """Cells that stand for all points: centre, mean squared distance to it, labellings."""
-
-    centers: np.ndarray
-    spread: np.ndarray
-    sides: list[_Sides]
-
-
-def _summarise(points: DataFrame, columns: list[str], labels: list[str], max_cells: int) -> list[_Summary]:
-    """At most ``max_cells`` cells per labelling: boxes between quantiles, per cluster."""
-    clusters = max(points.agg(*[F.count_distinct(n) for n in labels]).first())
-    if clusters > MAX_CLUSTERS:
-        raise ValueError(f"a silhouette needs 2 to {MAX_CLUSTERS} clusters")
-    bins = max(1, int((max_cells / clusters) ** (1 / len(columns))))
-    edges = exact_quantiles(points, columns, [i / bins for i in range(1, bins)])
-    binned, places = points, [f"_bin_{c}" for c in columns]
-    for c, place in zip(columns, places):
-        cuts = sorted(set(edges.get(c, [])))
-        binned = binned.withColumn(place, _total([F.lit(0), *[F.when(F.col(c) > F.lit(e), 1).otherwise(0) for e in cuts]]))
-    sums = [F.sum("w").alias("w")]
-    for c in columns:
-        sums += [F.sum(F.col("w") * F.col(c)).alias(f"s_{c}"), F.sum(F.col("w") * F.col(c) * F.col(c)).alias(f"q_{c}")]
-    summaries = []
-    for label in labels:
-        table = binned.groupBy(label, *places).agg(*sums).toPandas()  # at most max_cells rows
-        means = np.column_stack([table[f"s_{c}"] / table["w"] for c in columns])
-        squares = np.column_stack([table[f"q_{c}"] / table["w"] for c in columns])
-        spread = np.maximum(squares - means**2, 0.0).sum(axis=1)
-        summaries.append(_Summary(means, spread, [_Sides(label, table[label], table["w"])]))
-    return summaries
-
-
-def _scorer(summaries: list[_Summary], columns: list[str]):
-    """Per batch of points and labelling: the weighted sums of the score and its limits."""
-    # Far from a round cell the mean distance is nearest to this share of the way
-    # from its lower to its upper limit.
-    share = (len(columns) - 1) / len(columns)
-
-    def score(a: np.ndarray, b: np.ndarray, alone: np.ndarray) -> np.ndarray:
-        top = np.maximum(a, b)
-        return np.where(alone, 0.0, np.divide(b - a, top, out=np.zeros_like(top), where=top > 0))
-
-    def sums(sides: _Sides, part: pd.DataFrame, low: np.ndarray, high: np.ndarray) -> list:
-        own = np.searchsorted(sides.clusters, part[sides.name].to_numpy())
-        pick, size = (np.arange(len(part)), own), sides.sizes[own]
-        others, alone = np.maximum(size - 1, 1), size <= 1
+    points = materialise(df.groupBy(*columns, *labels).agg(F.sum(_weight(weight)).alias("w")), "silhouette-points")
+    sizes = []
+    for i, label in enumerate(labels):
+        found = points.groupBy(label).agg(F.sum("w")).collect()  # one row for each cluster
+        if len(found) < 2:
+            raise ValueError("a silhouette needs 2 clusters")
+        sizes.append(np.array([r[1] for r in found], dtype=float))
+        points = _coded(points, label, [r[0] for r in found], f"code {i}")
+    cells = _cells(points, columns, len(labels), max_cells)
+    number = cells.count()
+    other = cells.select(F.col("x").alias("y"), F.col("w").alias("v"), F.col("codes").alias("others"))
+    some = max(1, min(number, df.sparkSession.sparkContext.defaultParallelism))
+    # All pairs of cells, on purpose: every share of the cells gets a copy of all of them, so the sums of a cell are whole.
+    own = cells.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(some)).cast("int")).repartition(some, "share")
+    copies = other.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(some - 1)))).repartition(some, "share")
+    pairs = own.join(copies, "share")
+    # With every mean distance known within this factor, ln(b / a) is within its square's logarithm, and the score within that.
+    scorer = _scorer(labels, sizes, len(columns), number, math.exp(tolerance / 2))
+    parts = pairs.mapInPandas(scorer, "label string, w double, low double, high double").groupBy("label")
+    low, high = (F.sum(c) / F.sum("w") for c in ("low", "high"))
+    return parts.agg(
+        F.sum("w").cast("long").alias("n"),
+        ((low + high) / 2).alias("silhouette"),
+        (low - ROUNDING).alias("lower"),
+        (high + ROUNDING).alias("upper"),
+    )
+
+
+def _cells(points: DataFrame, columns: list[str], labels: int, max_cells: int | None) -> DataFrame:
+    """``id, x, w, codes``: cells of near points, packed."""
+    total = points.count()
+    most = max(1, min(POINTS, total // max_cells if max_cells else POINTS))
+    bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(total / most, 1)) / len(columns))))
+    edges = exact_quantiles(points, columns, [i / 2**bits for i in range(1, 2**bits)]) if bits else {}
+    # Boxes in an order that interleaves the bits of their places, so that neighbours stand together.
+    order = F.lit(0).cast("long")
+    for axis, c in enumerate(columns):
+        place = _total([F.lit(0), *[F.when(F.col(c) > F.lit(e), 1).otherwise(0) for e in sorted(set(edges.get(c, [])))]])
+        for bit in range(bits):
+            order = order + F.shiftleft(F.shiftright(place, bit).bitwiseAND(1).cast("long"), (bit * len(columns) + axis) % 62)
+    parts = max(1, math.ceil(total / (64 * most)))
+    codes = [f"code {i}" for i in range(labels)]
+    own = points.select(order.alias("order"), *[F.col(c).cast("double").alias(f"x_{c}") for c in columns], "w", *[F.col(f"`{c}`") for c in codes])
+    by = ["order", *[f"x_{c}" for c in columns]]
+    d = len(columns)
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x, w = batch.iloc[:, 1 : d + 1].to_numpy(float), batch["w"].to_numpy(float)
+            code = batch.iloc[:, d + 2 :].to_numpy(np.int32)
+            rows = [(x[i : i + most].tobytes(), w[i : i + most].tobytes(), code[i : i + most].tobytes()) for i in range(0, len(x), most)]
+            yield pd.DataFrame(rows, columns=["x", "w", "codes"])
+
+    found = own.repartitionByRange(parts, *by).sortWithinPartitions(*by).mapInPandas(packed, "x binary, w binary, codes binary")
+    return materialise(found.select(F.monotonically_increasing_id().alias("id"), "x", "w", "codes"), "silhouette-cells")
+
+
+def _scorer(labels: list[str], sizes: list[np.ndarray], d: int, number: int, factor: float):
+    """Per cell and labelling, once it met all ``number`` cells: the weighted sums of the score's limits."""
+
+    def unpacked(x: bytes, w: bytes, codes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.frombuffer(x).reshape(-1, d), np.frombuffer(w), np.frombuffer(codes, dtype=np.int32).reshape(-1, len(labels))
+
+    def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        squared = np.zeros((len(x), len(y)))
+        for j in range(d):
+            difference = x[:, j, None] - y[None, :, j]
+            squared += difference * difference
+        return np.sqrt(squared)
+
+    def add(held: list, x: np.ndarray, y: np.ndarray, v: np.ndarray, codes: np.ndarray) -> None:
+        """To every labelling's limits of the sums of distances from x, those to the points y."""
+        exact = distances(x, y) if factor <= 1 else None
+        for (low, high), code in zip(held, codes.T):
+            clusters, own = np.unique(code, return_inverse=True)
+            weights = np.zeros((len(y), len(clusters)))
+            weights[np.arange(len(y)), own] = v
+            if factor <= 1:
+                near = far = exact @ weights
+            else:
+                # The mean distance to a group lies between the distance to its mean (Jensen) and the root mean
+                # squared distance.
+                group = weights.sum(axis=0)
+                centers = weights.T @ y / group[:, None]
+                spread = (weights * ((y - centers[own]) ** 2).sum(axis=1)[:, None]).sum(axis=0) / group
+                near = distances(x, centers)
+                far = np.sqrt(near * near + spread)
+                opened = (far > factor * near).any(axis=1)
+                near, far = near * group, far * group
+                if opened.any():
+                    if exact is None:
+                        exact = distances(x, y)
+                    near[opened] = far[opened] = exact[opened] @ weights
+            low[:, clusters] += near
+            high[:, clusters] += far
+
+    def limits(low: np.ndarray, high: np.ndarray, size: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pick, alone = (np.arange(len(own)), own), size[own] <= 1
+        others = np.where(alone, 1, size[own] - 1)
         a_low, a_high = low[pick] / others, high[pick] / others
-        low, high = low / sides.sizes, high / sides.sizes
+        low, high = low / size, high / size
         low[pick] = high[pick] = np.inf
         b_low, b_high = low.min(axis=1), high.min(axis=1)
-        guess = score(a_low + share * (a_high - a_low), b_low + share * (b_high - b_low), alone)
-        w = part["w"].to_numpy(float)
-        limits = score(a_high, b_low, alone), score(a_low, b_high, alone)
-        return [sides.name, w.sum(), (w * guess).sum(), *[(w * s).sum() for s in limits]]
+        return _score(a_high, b_low, alone), _score(a_low, b_high, alone)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_cells: dict[int, list] = {}
         for batch in batches:
-            x, found = batch[columns].to_numpy(float), []
-            for summary in summaries:
-                rows = max(1, 2_000_000 // len(summary.centers))
-                for at in range(0, len(batch), rows):
-                    squared = np.zeros((len(x[at : at + rows]), len(summary.centers)))
-                    for j in range(x.shape[1]):
-                        difference = x[at : at + rows, j, None] - summary.centers[None, :, j]
-                        squared += difference * difference
-                    # The mean distance to a group lies between the distance to its
-                    # mean (Jensen) and the root mean squared distance.
-                    near = np.sqrt(squared)
-                    far = np.sqrt(squared + summary.spread) if summary.spread.any() else near
-                    for sides in summary.sides:
-                        found.append(sums(sides, batch.iloc[at : at + rows], near @ sides.weights, far @ sides.weights))
-            yield pd.DataFrame(found, columns=["label", "w", "score", "low", "high"])
+            for key, *mine, y, v, others in batch[["id", "x", "w", "codes", "y", "v", "others"]].itertuples(index=False, name=None):
+                x, w, codes = unpacked(*mine)
+                if key not in open_cells:
+                    open_cells[key] = [0, [(np.zeros((len(x), len(s))), np.zeros((len(x), len(s)))) for s in sizes]]
+                state = open_cells[key]
+                add(state[1], x, *unpacked(y, v, others))
+                state[0] += 1
+                if state[0] == number:
+                    found = []
+                    for name, (low, high), size, code in zip(labels, state[1], sizes, codes.T):
+                        found.append([name, w.sum(), *[(w * s).sum() for s in limits(low, high, size, code)]])
+                    del open_cells[key]
+                    yield pd.DataFrame(found, columns=["label", "w", "low", "high"])
+        if open_cells:
+            raise RuntimeError("a cell has not met all others")
 
     return run

@@ -223,6 +223,31 @@ def test_silhouette_with_few_cells_brackets_the_exact_one(clouds):
     assert row.silhouette == pytest.approx(exact, abs=0.02)
 
 
+def test_silhouette_is_one_algorithm_at_every_size(spark, clouds):
+    x, labels, df = clouds
+    exact = brute_force_silhouette(x, labels, 1)
+    row = silhouette.silhouette_euclidean(df, ["a", "b", "c"], "label", max_cells=40).first()
+    assert row.silhouette == pytest.approx(exact, abs=1e-9) and row.upper - row.lower < 1e-9
+    for tolerance in (0.02, 0.2):
+        row = silhouette.silhouette_euclidean(df, ["a", "b", "c"], "label", tolerance=tolerance).first()
+        assert row.lower <= exact <= row.upper and row.upper - row.lower <= tolerance + 1e-9
+    many = np.sort(np.random.default_rng(6).normal(0, 1, 8500))  # distinct points of one column, in two clusters
+    total = np.abs(many[:, None] - many[None, :]) @ np.eye(2)[(many > 0.3).astype(int)]
+    own, size = (many > 0.3).astype(int), np.bincount(many > 0.3)
+    a, b = total[np.arange(8500), own] / (size[own] - 1), total[np.arange(8500), 1 - own] / size[1 - own]
+    row = silhouette.silhouette_euclidean(spark.createDataFrame(pd.DataFrame({"a": many, "label": own})), ["a"], "label").first()
+    assert (row.n, row.silhouette) == (8500, pytest.approx(((b - a) / np.maximum(a, b)).mean(), abs=1e-9))
+
+
+def test_silhouettes_of_many_clusters(spark):
+    rng = np.random.default_rng(7)
+    labels = np.repeat(np.arange(130), 4)
+    x = np.round(rng.normal(0, 0.5, (520, 2)) + labels[:, None] % 13 * [1, 2] + labels[:, None] // 13, 2)
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"]).assign(label=labels))
+    for power, found in ((1, silhouette.silhouette_euclidean), (2, silhouette.silhouette_squared)):
+        assert found(df, ["a", "b"], "label").first().silhouette == pytest.approx(brute_force_silhouette(x, labels, power))
+
+
 def test_silhouette_on_weighted_points(clouds):
     x, labels, df = clouds
     weighted = df.groupBy("a", "b", "c", "label").agg(F.count("*").cast("double").alias("w"))
