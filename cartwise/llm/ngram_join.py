@@ -55,18 +55,19 @@ def _sets(texts: list[bytes], words: int) -> Iterator[tuple[int, np.ndarray]]:
 def described(documents: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
     """``id, n, d, e, emitted, columns``: set size, two digests, and the lowest columns, sorted.
 
-    ``columns`` is null for a text whose set came before in the same batch.
+    ``columns`` is null for a row without an id, and for a text whose set came before in the same batch under an id.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, digests, columns, seen = [], [], [], set()
-            for _, own in _sets(byte_texts(batch.column("text")), words):
+            named = batch.column("id").is_valid().to_pylist()
+            for i, own in _sets(byte_texts(batch.column("text")), words):
                 spread = mixed(own + np.uint64(7))
                 digest = (int(spread.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mixed(spread))) if len(own) else 0)
                 n.append(len(own))
                 digests.append(digest)
-                if not len(own) or digest in seen:
+                if not len(own) or not named[i] or digest in seen:
                     columns.append(None)
                     continue
                 seen.add(digest)

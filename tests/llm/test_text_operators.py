@@ -99,6 +99,14 @@ def test_similar_documents(documents, nothing):
     assert ngram_join.similar_documents(nothing).count() == 0
 
 
+def test_a_copy_without_id_in_first_place(spark):
+    near = " ".join(BASE[:50] + ["other"] + BASE[51:])
+    rows = [(None, " ".join(BASE)), (8, " ".join(BASE)), (3, near)]
+    for some in (rows, rows[::-1]):
+        documents = spark.createDataFrame(some, "doc_id long, text string").coalesce(1)
+        assert {r.doc_id: r.component_id for r in ngram_join.similar_documents(documents).collect()} == {None: None, 8: 3, 3: 3}
+
+
 def brute_repeats(texts):
     """doc -> (number of words, removed, rest), documents in order."""
     seen, out = set(), {}
