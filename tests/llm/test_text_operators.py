@@ -201,6 +201,14 @@ def test_repeated_short_lines(spark):
     assert found == {1: (texts[0][1], 0), 2: ("\n \t\nac", 2), 3: ("ab\r\n\r\n\r", 3), 4: (texts[3][1], 0)}
 
 
+def test_lines_with_one_changed_letter(spark):
+    lines = ["the quick brown fox jumps over the lazy dog of my old aunt", "съешь же ещё этих мягких французских булок да выпей чаю"]
+    rows = [(2 * i, x) for i, x in enumerate(lines)] + [(2 * i + 1, x[:30] + "#" + x[31:]) for i, x in enumerate(lines)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.lines_removed for r in fuzzy_lines.dedup_lines(documents, settings=fuzzy_lines.CORPUS).collect()}
+    assert found == {0: 0, 1: 1, 2: 0, 3: 1}
+
+
 def test_near_lines_against_all_pairs(spark):
     lines = []
     for _ in range(60):
