@@ -21,7 +21,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return None
     if isinstance(value, float) or hasattr(value, "dtype") and value.dtype.kind == "f":
         return float(value) + 0.0
