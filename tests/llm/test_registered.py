@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, name):
 
 def test_one_query_for_each_operator():
     names = set(entry_points.queries()) - set(entry_points.QUERIES)
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 def test_pieces_as_the_library_has_them(spark, texts):
