@@ -1,22 +1,25 @@
 """Line dedup over a whole corpus, fuzzy lines included, by MinHash.
 
-A line counts as its lower-cased text without spaces around it; a line of white space alone is never removed, nor is
-one of fewer than ``Settings.least_bytes`` bytes (``CORPUS``, which the registered query and the pipeline use, has no
-such limit and takes shorter shingles). Equal lines are one entry. Its shingles are all runs of
-``Settings.shingle`` characters, named by 64-bit hashes, or the whole line if it is shorter;
-``bands`` x ``rows`` minima of hashed shingles give its band keys. Lines that share a band key are verified
-by the exact Jaccard similarity of their shingle sets, links form components, and of each component only the
+A line counts as its lower-cased text without spaces around it; a line of white space alone is never removed. Equal lines
+are one entry. Its shingles are all runs of ``Settings.shingle`` characters, named by 64-bit hashes, or the whole line if it is shorter;
+``bands`` x ``rows`` minima of hashed shingles give its band keys, and four bits of each minimum its sketch.
+
+Sketches travel with the band keys. A task that holds a key compares the sketches of its lines and returns, for each pair of
+which at least half agrees, the smaller line as a group and both as its members; a key with more than ``MANY`` lines is dealt over
+several tasks (:mod:`cartwise.llm.linking`). Then the texts of the lines that are left, once for each group, meet in blocks and are verified by
+the exact Jaccard similarity of their shingle sets. Links form components by distributed union-find, and of each component only the
 first occurrence stays (by document id, then text hash, then place; a null id comes first).
 
-At a similarity of 0.75 the 8 bands of 3 rows find a pair with a probability of 0.988, at 0.8 of 0.997, at
-0.9 of more than 0.9999; the 10 bands of ``CORPUS`` with 0.996, 0.999 and more than 0.9999. A changed letter breaks as many
-shingles as one has characters: at 5 a line of 40 characters keeps a similarity of 31/41 = 0.756. Before texts are joined, pairs with fewer than half of ``SKETCH`` further minima in
-common are dropped, which costs a pair at 0.75 a probability of 0.0005. Pairs below the threshold are never linked.
+At a similarity of 0.75 the 10 bands of 3 rows find a pair with a probability of 0.996, at 0.8 of 0.999, at 0.9 of more than
+0.9999. Two lines that share a band agree in its three minima, and at 0.75 in each further one with 0.766, so fewer than half agree with
+a probability of 0.0006. A changed letter breaks as many shingles as one has characters: at 5 a line of 40 characters keeps a
+similarity of 31/41 = 0.756. Pairs below the threshold are never linked.
 
 Defined results: a null text stays null and has no lines; an empty text has one empty line; a text whose
 lines are all removed is empty, and its row stays; rows that agree in id and text are one document and
 keep the same lines; other columns pass through; lines are told apart by two 64-bit hashes, and a line
-that shares only the first with another is never removed; an empty table gives an empty table.
+that shares only the first with another is never removed; an empty table gives an empty table. A line, however long, is whole in one task, which
+takes about 30 bytes for each of its characters; a text is whole in its row only.
 """
 
 from __future__ import annotations
@@ -30,38 +33,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.llm.bounded import is_small, small
-from cartwise.llm.linking import linked_components, shared_keys
+from cartwise.llm.components import components
+from cartwise.llm.linking import block_links, local_roots, similar_sets
 from cartwise.llm.slabs import mixed
 from cartwise.session import materialise
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Fills up a line shorter than a shingle; no text holds half a surrogate pair.
 _FILL = "\udfff"
-#: Minima, a byte of each, that are compared before the texts are.
-SKETCH = 32
+#: Lines of a key that one task compares; pairs are looked for side by side among so few, else in blocks.
+MANY = 1 << 13
+FEW = 32
+#: Lines a task remembers so as to describe a repeated one once.
+SEEN = 1 << 18
 
 
 @dataclass(frozen=True)
 class Settings:
-    least_bytes: int = 32
-    shingle: int = 8
-    bands: int = 8
+    shingle: int = 5
+    bands: int = 10
     rows: int = 3
     similarity: float = 0.75
 
 
-#: Every line that is not white space alone, however short.
-CORPUS = Settings(least_bytes=1, shingle=5, bands=10)
+CORPUS = Settings()
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def occurrences(documents: DataFrame, key: str, text: str, settings: Settings = Settings()) -> DataFrame:
-    """``k, t, at, line, h, g``: every line long enough and not all white space, with its document, place and two hashes."""
+def occurrences(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """``k, t, at, line, h, g``: every line that is not all white space, with its document, place and two hashes."""
     own = documents.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), F.posexplode(_lines(F.col(text))).alias("at", "raw"))
-    own = own.select("k", "t", "at", F.lower(F.trim("raw")).alias("line")).filter((F.octet_length("line") >= settings.least_bytes) & F.col("line").rlike(r"\S"))
+    own = own.select("k", "t", "at", F.lower(F.trim("raw")).alias("line")).filter(F.col("line").rlike(r"\S"))
     return own.select("k", "t", "at", "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"))
 
 
@@ -115,83 +120,178 @@ def _slabs(lines: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def band_keys(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``key, node``: the band keys of lines ``h, line``; lines that repeat within a batch are taken once."""
+    """``key, node, s, t``: the band keys and the sketch of lines ``h, line``."""
     factors = _factors(settings.bands * settings.rows, 11)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             nodes, first = np.unique(batch.column("h").to_numpy(), return_index=True)
+            fresh = np.array([x not in seen for x in nodes.tolist()], dtype=bool)
+            if len(seen) > SEEN:
+                seen = set()
+            nodes, first = nodes[fresh], first[fresh]
+            seen.update(nodes.tolist())
             lines = _texts(batch.column("line").take(pa.array(first)))
             for low, high in _slabs(lines):
-                minima = _minima(lines[low:high], factors, settings.shingle)
                 keys = np.empty((high - low, settings.bands), dtype=np.uint64)
-                for band in range(settings.bands):
-                    key = np.full(high - low, band, dtype=np.uint64)
-                    for _ in range(settings.rows):
-                        key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + next(minima))
-                    keys[:, band] = key
-                own = np.repeat(nodes[low:high], settings.bands)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(own)], ["key", "node"])
-
-    return lines.select("h", "line").mapInArrow(keyed, "key long, node long")
-
-
-def sketches(lines: DataFrame, size: int) -> DataFrame:
-    """``h, line, sketch`` for lines ``h, line``."""
-    factors = _factors(SKETCH, 13)
-
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                sketch = np.zeros((2, high - low), dtype=np.uint64)
+                for number, minimum in enumerate(_minima(lines[low:high], factors, settings.shingle)):
+                    band, row = divmod(number, settings.rows)
+                    key = np.full(high - low, band, dtype=np.uint64) if row == 0 else keys[:, band]
+                    keys[:, band] = mixed(key * _STEP + minimum)
+                    if number < 32:
+                        sketch[number % 2] |= (mixed(minimum + _STEP) >> np.uint64(60)) << np.uint64(4 * (number // 2))
+                columns = [np.repeat(x.view(np.int64), settings.bands) for x in (nodes[low:high], *sketch)]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), *map(pa.array, columns)], ["key", "node", "s", "t"])
+
+    return lines.select("h", "line").mapInArrow(keyed, "key long, node long, s long, t long")
+
+
+_LOW = np.uint64(0x1111111111111111)
+
+
+def agreeing(s: np.ndarray, t: np.ndarray, s2: np.ndarray, t2: np.ndarray) -> np.ndarray:
+    """In how many of 32 places of four bits the sketches agree."""
+    out = np.full(np.broadcast(s, s2).shape, 32, dtype=np.int64)
+    for x in (s ^ s2, t ^ t2):
+        x |= x >> np.uint64(2)
+        x |= x >> np.uint64(1)
+        out -= np.bitwise_count(x & _LOW)
+    return out
+
+
+def _least_agreeing(settings: Settings) -> int:
+    """Half of the minima, and the places no minimum fills."""
+    held = min(settings.bands * settings.rows, 32)
+    return -(-held // 2) + 32 - held
+
+
+def _close(s: np.ndarray, t: np.ndarray, side: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places that make the same components as all pairs of close sketches do; places of one side need no comparison if there are two."""
+    count = len(s)
+    roots, crossed = np.arange(count), bool(side.any())
+    one, two = (np.flatnonzero(side == 0), np.flatnonzero(side)) if crossed else (np.arange(count),) * 2
+    left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for x in one:
+        # A place outside the first one's component is compared with all; so two inside need no comparison, nor one with all others.
+        if (roots[two] == roots[x]).all() if crossed else (x and roots[x] == roots[0]):
+            continue
+        hit = two[agreeing(s[x], t[x], s[two], t[two]) >= least]
+        hit = hit[hit != x]
+        left.append(np.full(len(hit), x))
+        right.append(hit)
+        own = np.unique(roots[np.append(hit, x)])
+        if len(own) > 1:
+            roots[np.isin(roots, own)] = own[0]
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _side_by_side(own: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Group and node of lines in keys of at most ``FEW``: the smaller line of each close pair, with both."""
+    key, node, s, t = own[0], own[1], *own[2:].view(np.uint64)
+    at, far = np.arange(len(key)), 0
+    while len(at):
+        far += 1
+        at = at[at + far < len(key)]
+        at = at[key[at + far] == key[at]]
+        hit = at[agreeing(s[at], t[at], s[at + far], t[at + far]) >= least]
+        yield node[hit], node[hit]
+        yield node[hit], node[hit + far]
+
+
+def _grouped(own: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    """Groups in whole keys; ``own`` is sorted by key and node."""
+    if not own.shape[1]:
+        return
+    own = own[:, np.append(True, (own[:2, 1:] != own[:2, :-1]).any(axis=0))]
+    edges = np.append(np.flatnonzero(np.append(True, own[0][1:] != own[0][:-1])), own.shape[1])
+    sizes = np.diff(edges)
+    few = np.repeat((sizes > 1) & (sizes <= FEW), sizes)
+    found = list(_side_by_side(np.ascontiguousarray(own[:, few]), least))
+    for number in np.flatnonzero(sizes > FEW).tolist():
+        node, s, t = own[1:, edges[number] : edges[number + 1]]
+        i, j = _close(s.view(np.uint64), t.view(np.uint64), np.zeros(len(node), dtype=np.int32), least)
+        roots = local_roots(len(node), i, j)
+        some = np.flatnonzero(np.bincount(roots, minlength=len(node))[roots] > 1)
+        found.append((node[roots[some]], node[some]))
+    if found:
+        pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)]), axis=1)
+        yield _likely(pairs[0], pairs[1], None)
+
+
+def _likely(group: np.ndarray | None, node: np.ndarray, rest: np.ndarray | None) -> pa.RecordBatch:
+    empty = pa.nulls(len(node), pa.int64())
+    others = [empty] * 3 if rest is None else [pa.array(np.ascontiguousarray(x)) for x in rest]
+    return pa.RecordBatch.from_arrays([empty if group is None else pa.array(group), pa.array(node), *others], ["group", "node", "key", "s", "t"])
+
+
+def _likely_rows(keyed: DataFrame, least: int) -> DataFrame:
+    """``group, node`` of lines in a group together, or ``key, node, s, t`` of those of a key with more than ``MANY``."""
+
+    def hot(own: np.ndarray) -> pa.RecordBatch:
+        return _likely(None, np.ascontiguousarray(own[1]), own[[0, 2, 3]])
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, held = np.zeros((4, 0), dtype=np.int64), None
         for batch in batches:
-            own, found = _texts(batch.column("line")), []
-            for low, high in _slabs(own):
-                rows = np.stack([m >> np.uint32(24) ^ m & np.uint32(255) for m in _minima(own[low:high], factors, size)], axis=1)
-                found += [r.tobytes() for r in rows.astype(np.uint8)]
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("line"), pa.array(found, pa.binary())], ["h", "line", "sketch"])
-
-    return lines.select("h", "line").mapInArrow(sketched, "h long, line string, sketch binary")
-
-
-def similar(pairs: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs ``a, b`` whose lines' shingle sets are similar; ``lines`` holds ``h, line, sketch`` once for each h."""
-
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, SKETCH) for c in ("x", "y"))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) * 2 >= SKETCH))
-
-    def jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, known = [], {}
-            own = _texts(batch.column("x")), _texts(batch.column("y"))
-            for a, x, y in zip(batch.column("a").to_pylist(), *own):
-                if a not in known:
-                    known = {a: _shingle_set(x, settings.shingle)}
-                first, second = known[a], _shingle_set(y, settings.shingle)
-                common = len(np.intersect1d(first, second, assume_unique=True))
-                keep.append(common >= settings.similarity * (len(first) + len(second) - common) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    def both(some: DataFrame, column: str) -> DataFrame:
-        left = lines.select(F.col("h").alias("a"), F.col(column).alias("x"))
-        right = lines.select(F.col("h").alias("b"), F.col(column).alias("y"))
-        return some.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-
-    close = materialise(both(pairs, "sketch").mapInArrow(alike, "a long, b long"), "alike")
-    return both(close, "line").mapInArrow(jaccard, "a long, b long")
+            own = np.concatenate([rest, np.stack([batch.column(c).to_numpy() for c in ("key", "node", "s", "t")])], axis=1)
+            if held is not None and own.shape[1]:
+                stop = int(np.searchsorted(own[0], held, side="right"))
+                yield hot(own[:, :stop])
+                own = own[:, stop:]
+            if not own.shape[1]:
+                rest = own
+                continue
+            # The last key may go on in the next batch.
+            cut, held = int(np.searchsorted(own[0], own[0][-1])), None
+            yield from _grouped(own[:, :cut], least)
+            rest = own[:, cut:]
+            if rest.shape[1] > MANY:
+                yield hot(rest)
+                held, rest = rest[0][0], rest[:, :0]
+        yield from _grouped(rest, least)
+
+    schema = "group long, node long, key long, s long, t long"
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(grouped, schema)
+
+
+def likely_groups(keyed: DataFrame, settings: Settings) -> DataFrame:
+    """``group, node``: any two lines that share a band and agree in half their sketches are in a group together."""
+    least = _least_agreeing(settings)
+    rows = materialise(_likely_rows(keyed, least), "likely")
+    found = rows.filter("key IS NULL").select("group", "node")
+    many = rows.filter("key IS NOT NULL")
+    if not many.isEmpty():
+        sketches = many.select("node", F.lit(1).alias("weight"), F.array("s", "t").alias("own")).dropDuplicates(["node"])
+        groups = materialise(many.select(F.col("key").alias("group"), "node").distinct(), "many")
+
+        def close(own: list[pa.Array], side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            both = np.concatenate([x.flatten().to_numpy() for x in own]).reshape(-1, 2).view(np.uint64)
+            return _close(np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1]), side, least)
+
+        stars = materialise(block_links(groups, materialise(sketches, "sketches"), close, nodes=MANY), "stars")
+        found = found.union(stars.select("a", "b")).union(stars.select("a", "a"))
+    return materialise(found.distinct(), "groups")
 
 
 def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``k, t, at``: the places of lines to remove; ``t`` is the text's ``xxhash64``."""
-    every = occurrences(documents, key, text, settings)
+    every = occurrences(documents, key, text)
     places = materialise(every.drop("line"), "places")
     place = F.struct("k", "t", "at")
     entries = places.groupBy("h").agg(F.min("g").alias("g"), F.max("g").alias("last"), F.count("*").alias("n"), F.min(place).alias("first"))
-    shared = materialise(shared_keys(materialise(band_keys(every, settings), "bands")), "shared")
-    wanted = materialise(shared.select(F.col("node").alias("h")).distinct(), "nodes")
+    groups = likely_groups(band_keys(every, settings), settings)
+    wanted = materialise(groups.select(F.col("node").alias("h")).distinct(), "nodes")
     # Repeats of a line are merged before their shuffle.
     texts = every.select("h", "line").join(small(wanted), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
-    texts = materialise(sketches(texts, settings.shingle), "texts")
-    component = linked_components(shared, lambda pairs: similar(pairs, texts, settings))
+    texts = materialise(texts.select(F.col("h").alias("node"), F.length("line").alias("weight"), F.col("line").alias("own")), "texts")
+
+    def similar(own: list[pa.Array], side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sets = [_shingle_set(x, settings.shingle) for part in own for x in _texts(part)]
+        return similar_sets(np.concatenate(sets), np.array([len(x) for x in sets]), side, 100 * settings.similarity)
+
+    component = components(materialise(block_links(groups, texts, similar), "verified"))
     sound = entries.filter("g = last").join(component, entries.h == component.node, "left")
     sound = materialise(sound.select("h", "n", "first", F.coalesce("component", "h").alias("component")), "lines")
     roots = sound.groupBy("component").agg(F.min("first").alias("kept"), F.sum("n").alias("of")).filter("of > 1")

@@ -1,100 +1,186 @@
-"""Components of near-duplicates from shared keys, without listing all pairs of a group.
-
-Nodes that share a key may be linked; ``verify`` says which pairs are. First every node of a key is verified
-against the key's most connected node, the one that shares most keys with others (of a group of copies with
-changes, the least changed). Components are formed, and in a few rounds the nodes outside a key's largest component
-are verified against some nodes inside it, other ones each round. Pairs inside one component need no check any more.
-What is left are pairs of one key in different components: the nodes outside the key's largest component then
-meet all nodes of the key in other components. So no possible link between components is left unchecked, and a
-group of n copies costs a small multiple of n checks.
+"""Links inside groups of nodes, found in blocks within tasks: no pair is a row, and no group is one task's.
+
+Nodes that share a key may be linked. :func:`leader_groups` puts the nodes of a key into the group of the key's smallest
+node, so that keys with much the same nodes, as the shingles of near copies are, become one group. Any two nodes of
+a key are in one group. :func:`block_links` brings what is known of each node to its groups and compares there:
+
+* a group that fits a block is compared whole;
+* the nodes of a larger one meet its smallest node first; those linked to it are in one component and need no check among
+  themselves. The others are dealt into blocks by hash, and every block meets every block, but for two blocks of linked nodes.
+
+So every pair of a group is compared, or known to be in one component. A block returns its components as stars of
+one node with the others, never its pairs. Blocks are bounded by nodes and by what they weigh; one heavy node can make a block by itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.components import components
+from cartwise.llm.bounded import small
 from cartwise.session import materialise
 
-Pairs = Callable[[DataFrame], DataFrame]
-#: Rounds before what is left is checked whole, nodes of the largest component tried in each, and pairs for each row of
-#: the keys that are few enough to be checked at once. They save work only.
-ROUNDS = 4
-TRIED = 3
-LIGHT = 2
-
-
-def shared_keys(incidence: DataFrame) -> DataFrame:
-    """``key, node``: rows of keys with at least two nodes."""
-    own = incidence.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    return incidence.join(own.filter("first < last").select("key"), "key").select("key", "node")
-
+#: Linked places ``i, j`` of a block, from what is known of its nodes; ``side`` is all 0, or only places of different sides need to be compared.
+Compare = Callable[[list[pa.Array], np.ndarray], tuple[np.ndarray, np.ndarray]]
+BLOCK_NODES = 512
+BLOCK_WEIGHT = 2_000_000
+#: Columns of an incidence block that are multiplied at a time.
+COLUMNS = 1 << 13
 
-def _ordered(x: str, y: str) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
+def leader_groups(incidence: DataFrame) -> DataFrame:
+    """``group, node`` from ``key, node``: the nodes of keys that have several, under the smallest node of the key."""
+    own = incidence.groupBy("key").agg(F.min("node").alias("group"), F.max("node").alias("last"))
+    return incidence.join(own.filter("group < last").select("key", "group"), "key").select("group", "node").distinct()
 
-def _stars(shared: DataFrame) -> DataFrame:
-    """Each node of a key with the key's most connected one."""
-    degree = shared.groupBy("node").agg(F.count("*").alias("keys"))
-    ranked = shared.join(degree, "node").select("key", "node", F.struct("keys", F.negative("node").alias("by"), "node").alias("rank"))
-    centre = ranked.groupBy("key").agg(F.max("rank").alias("top")).select("key", F.col("top.node").alias("centre"))
-    return shared.join(centre, "key").filter("node <> centre").select(*_ordered("node", "centre")).distinct()
 
+def local_roots(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest place reachable from each place by the links ``i, j``."""
+    roots = np.arange(count)
+    while True:
+        least = roots.copy()
+        np.minimum.at(least, i, roots[j])
+        np.minimum.at(least, j, roots[i])
+        least = least[least]
+        if (least == roots).all():
+            return roots
+        roots = least
 
-def _owned(shared: DataFrame, reached: DataFrame) -> DataFrame:
-    """``key, node, component``."""
-    own = shared.join(reached, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    return materialise(own, "owned")
 
+def overlaps(columns: np.ndarray, sizes: np.ndarray, side: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Yield a place, the places it is compared with, and how many columns each shares with it.
 
-def _largest(owned: DataFrame, number: int) -> DataFrame:
-    """``key, top, tried, pairs`` of keys with several components: the largest one, some of its nodes (others for each
-    number), and how many pairs the nodes outside it make."""
-    some = [F.min(F.struct(F.xxhash64("node", F.lit(number * TRIED + i)).alias("h"), "node"))["node"] for i in range(TRIED)]
-    counts = owned.groupBy("key", "component").agg(F.count("*").alias("n"), F.array(*some).alias("tried"))
-    best = counts.groupBy("key").agg(F.max(F.struct("n", "component", "tried")).alias("best"), F.sum("n").alias("all"))
-    pairs = (F.col("all") - F.col("best.n")) * F.col("all")
-    found = best.filter(F.col("best.n") < F.col("all")).select("key", F.col("best.component").alias("top"), F.col("best.tried").alias("tried"), pairs.alias("pairs"))
-    return materialise(found, "largest")
-
-
-def linked_components(shared: DataFrame, verify: Pairs, prune: Pairs | None = None) -> DataFrame:
-    """``node, component`` for every node that is not its component's smallest.
-
-    ``shared`` comes from :func:`shared_keys` and is read several times. ``verify`` keeps the linked rows of
-    pairs ``a, b`` (``a < b``). ``prune`` may drop pairs ``a, b, common`` that cannot be linked, where ``common``
-    counts all keys the two share, if ``shared`` has no row twice.
+    ``columns`` are the sets of all places, one behind the other, none with a column twice. The product of the block's
+    incidence matrix with its transpose is added up over runs of columns, as bits, and over columns that several sets have.
     """
-    known = materialise(_stars(shared), "tried")
-    reached = components(materialise(verify(known).select("a", "b"), "verified"))
-    rows = shared.count()
-    for number in range(ROUNDS + 1):
-        owned = _owned(shared, reached)
-        largest = _largest(owned, number)
-        left = largest.agg(F.sum("pairs")).first()[0] or 0
-        if number == ROUNDS or left <= LIGHT * rows:
-            break
-        outside = owned.join(largest, "key").filter(F.col("component") != F.col("top"))
-        pairs = outside.select("node", F.explode("tried").alias("other")).select(*_ordered("node", "other")).distinct()
-        pairs = materialise(pairs.join(known, ["a", "b"], "left_anti"), "tried")
-        links = materialise(verify(pairs).select("a", "b"), "verified")
-        known = known.union(pairs)
-        if links.isEmpty():
-            break
-        reached = components(reached.toDF("a", "b").union(links))
-    if not left:
-        return reached
-    mixed = owned.join(largest.select("key", "top"), "key")
-    one = mixed.filter(F.col("component") != F.col("top")).select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
-    two = mixed.select("key", F.col("node").alias("y"), F.col("component").alias("cy"), "top")
-    # Two nodes outside the largest component meet once, in order.
-    apart = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("top")) | (F.col("x") < F.col("y")))
-    rest = one.join(two, "key").filter(apart).groupBy(*_ordered("x", "y")).agg(F.count("*").alias("common"))
-    rest = prune(rest) if prune else rest
-    rest = materialise(rest.select("a", "b").join(known, ["a", "b"], "left_anti"), "rest")
-    links = materialise(verify(rest).select("a", "b"), "verified")
-    return reached if links.isEmpty() else components(reached.toDF("a", "b").union(links))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(columns, kind="stable")
+    fresh = np.empty(len(columns), dtype=bool)
+    fresh[:1] = True
+    fresh[1:] = columns[order][1:] != columns[order][:-1]
+    code = np.cumsum(fresh) - 1
+    shared = np.bincount(code)[code] > 1
+    owner, code = owner[order][shared], code[shared]
+    code = np.cumsum(np.append(False, code[1:] != code[:-1])) if len(code) else code
+    first = np.flatnonzero(side == 0)
+    rest = np.flatnonzero(side) if side.any() else None
+    total = np.zeros((len(first), len(sizes)), dtype=np.int32)
+    width = COLUMNS if len(code) and code[-1] >= COLUMNS else -(-(int(code[-1]) + 1 if len(code) else 1) // 64) * 64
+    edges = np.searchsorted(code, np.arange(0, (int(code[-1]) if len(code) else -1) + 1 + width, width))
+    for low, start, stop in zip(range(0, len(edges) * width, width), edges, edges[1:]):
+        cells = np.zeros((len(sizes), width), dtype=bool)
+        cells[owner[start:stop], code[start:stop] - low] = True
+        bits = np.packbits(cells, axis=1).view(np.uint64)
+        for n, x in enumerate(first):
+            other = slice(x + 1, None) if rest is None else rest
+            total[n, other] += np.bitwise_count(bits[x] & bits[other]).sum(axis=1, dtype=np.int32)
+    for n, x in enumerate(first):
+        other = np.arange(x + 1, len(sizes)) if rest is None else rest
+        yield x, other, total[n, other]
+
+
+def similar_sets(columns: np.ndarray, sizes: np.ndarray, side: np.ndarray, percent: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of sets whose intersection is at least ``percent`` of their union."""
+    left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for x, other, common in overlaps(columns, sizes, side):
+        hit = other[common * (100 + percent) >= percent * (sizes[x] + sizes[other]) - 1e-9]
+        left.append(np.full(len(hit), x))
+        right.append(hit)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[pa.RecordBatch]]:
+    """The rows of each block, whole, as slices of sorted batches."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = np.stack([batch.column(k).to_numpy() for k in keys])
+        edges = (np.flatnonzero((own[:, 1:] != own[:, :-1]).any(axis=0)) + 1).tolist()
+        for start, stop in zip([0, *edges], [*edges, batch.num_rows]):
+            now = tuple(own[:, start].tolist())
+            if held and now != last:
+                yield held
+                held = []
+            held.append(batch.slice(start, stop - start))
+            last = now
+    if held:
+        yield held
+
+
+def _compared(dealt: DataFrame, items: DataFrame, compare: Compare) -> DataFrame:
+    """``group, a, b``: the components of every block of ``dealt`` (``group, i, j, side, node``), each node ``b`` with one of its own."""
+    keys = ["group", "i", "j"]
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for block in _blocks(batches, keys):
+            nodes = np.concatenate([b.column("node").to_numpy() for b in block])
+            side = np.concatenate([b.column("side").to_numpy() for b in block])
+            if len(nodes) < 2:
+                continue
+            i, j = compare([b.column("own") for b in block], side)
+            if not len(i):
+                continue
+            roots = local_roots(len(nodes), i, j)
+            others = np.flatnonzero(roots != np.arange(len(nodes)))
+            found.append((np.full(len(others), block[0].column("group")[0].as_py()), nodes[roots[others]], nodes[others]))
+            held += len(others)
+            if held > 10_000:
+                yield _batch(found)
+                found, held = [], 0
+        if found:
+            yield _batch(found)
+
+    met = dealt.join(items.select("node", "own"), "node").select(*keys, "side", "node", "own")
+    return met.repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(linked, "group long, a long, b long")
+
+
+def _batch(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["group", "a", "b"])
+
+
+def block_links(groups: DataFrame, items: DataFrame, compare: Compare, nodes: int | None = None, weight: int | None = None) -> DataFrame:
+    """Links ``a, b`` that make the same components as all links inside the groups do.
+
+    ``groups`` has ``group, node`` (64-bit, no row twice) and ``items`` ``node, weight, own``, a node once; both should be written already.
+    """
+
+    nodes, weight = nodes or BLOCK_NODES, weight or BLOCK_WEIGHT
+
+    def parts(n: str, w: str):
+        return F.ceil(F.greatest(F.col(n) / nodes, F.col(w) / weight)).cast("int")
+
+    sized = groups.join(items.select("node", "weight"), "node")
+    counts = sized.groupBy("group").agg(F.count("*").alias("n"), F.sum("weight").alias("w"), F.min("node").alias("leader")).filter("n > 1")
+    counts = materialise(counts.select("group", "leader", parts("n", "w").alias("parts")), "sizes")
+    zero = F.lit(0)
+    whole = groups.join(counts.filter("parts = 1"), "group").select("group", zero.alias("i"), zero.alias("j"), zero.alias("side"), "node")
+    large = counts.filter("parts > 1")
+    if large.isEmpty():
+        return _compared(small(materialise(whole, "dealt")), items, compare).select("a", "b")
+    # With the leader, which goes to every part.
+    rows = groups.join(small(materialise(large, "large")), "group")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    led = F.when(F.col("node") == F.col("leader"), F.sequence(zero, F.col("parts") - 1)).otherwise(F.array(part))
+    stars = rows.select("group", F.explode(led).alias("i"), F.lit(-1).alias("j"), (F.col("node") != F.col("leader")).cast("int").alias("side"), "node")
+    links = materialise(_compared(small(materialise(whole.union(stars), "dealt")), items, compare), "links")
+    reached = rows.select("group", "node", "leader").join(links.select("group", F.col("b").alias("node"), F.col("a").alias("leader")), ["group", "node", "leader"], "left_semi")
+    # The leader comes first in its blocks, so their components are named after it.
+    inside = reached.select("group", "node", F.lit(True).alias("in")).union(rows.filter("node = leader").select("group", "node", F.lit(True))).distinct()
+    marked = rows.select("group", "node").join(inside, ["group", "node"], "left").select("group", "node", F.coalesce("in", F.lit(False)).alias("in"))
+    marked = materialise(marked.join(items.select("node", "weight"), "node"), "marked")
+    sums = {f"{k}{name}": F.coalesce(F.sum(F.when(chosen, v)), zero) for name, chosen in (("in", F.col("in")), ("out", ~F.col("in"))) for k, v in (("n", F.lit(1)), ("w", F.col("weight")))}
+    shares = marked.groupBy("group").agg(*[c.alias(n) for n, c in sums.items()]).filter("nout > 0")
+    shares = materialise(shares.select("group", parts("nin", "win").alias("ins"), parts("nout", "wout").alias("outs")), "shares")
+    spread = marked.join(small(shares), "group")
+    hashed = F.xxhash64("node", F.lit(1))
+    block = F.when(F.col("in"), F.col("outs") + F.pmod(hashed, F.col("ins"))).otherwise(F.pmod(hashed, F.col("outs"))).cast("int")
+    met = F.when(F.col("in"), F.sequence(zero, F.col("outs") - 1)).otherwise(F.sequence(zero, F.col("outs") + F.col("ins") - 1))
+    spread = spread.select("group", "node", block.alias("block"), F.explode(met).alias("other"))
+    dealt = spread.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "node")
+    return links.select("a", "b").union(_compared(small(materialise(dealt, "dealt")), items, compare).select("a", "b"))

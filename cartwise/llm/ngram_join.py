@@ -8,9 +8,9 @@ hash, then the rest by hash. So only the lowest hashes of a document (and as man
 leave its task, their documents are counted, columns of one document take their places in the prefix and go, and
 common columns, such as passages many documents share, fall behind it.
 
-Blocks of the product are the columns; see :mod:`cartwise.llm.linking` for how they are worked off without all
-pairs of a group. Overlaps counted over the necessary columns and the sizes bound the whole overlap from above;
-pairs below what the similarity needs are dropped, and the overlap of the others is completed over all columns.
+The product is worked off in blocks of documents that share a necessary column (:mod:`cartwise.llm.linking`): their whole sets
+meet in one task, which adds up the overlaps over runs of columns and discards pairs below the bound that follows from
+the two sizes. No pair leaves the task; a block returns its components.
 
 The result is exact up to 64-bit hashes of n-grams. Documents with equal sets are one entry.
 
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise.llm.bounded import small
-from cartwise.llm.linking import linked_components, shared_keys
+from cartwise.llm.components import components
+from cartwise.llm.linking import block_links, leader_groups, similar_sets
 from cartwise.llm.slabs import byte_texts, mixed
 from cartwise.llm.word_runs import ngrams, word_arrays
 from cartwise.session import materialise
@@ -99,41 +100,21 @@ def necessary(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     return inside.join(named.select("id", "node"), "id").select("key", "node").distinct()
 
 
-def _large_enough(common, one, two, percent: int):
-    """common / union >= percent / 100."""
-    return common * (100 + percent) >= percent * (one + two)
-
-
 def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``<key>, n_shingles, component_id`` for every row: set size and the smallest id reachable by links."""
     entries = materialise(described(documents, key, text, words, percent), "entries")
     classes = entries.filter("n > 0 AND id IS NOT NULL").groupBy("d", "e").agg(F.min("id").alias("id"), F.max("n").alias("n"))
     classes = materialise(classes, "classes")
-    shared = materialise(shared_keys(materialise(necessary(entries, classes, percent), "prefixes")), "shared")
-    sizes = classes.groupBy("id").agg(F.max("n").alias("n"))
-    nodes = materialise(shared.select(F.col("node").alias("id")).distinct(), "nodes")
-    wanted = small(nodes)
-    sets = materialise(_whole_sets(documents, wanted, key, text, words), "sets")
-
-    def sized(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a")
-        return pairs.join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-
-    def prune(pairs: DataFrame) -> DataFrame:
-        # What is not counted lies behind the prefix of one of the two.
-        behind = F.ceil(F.greatest("na", "nb") * percent / 100) - 1
-        most = F.least(F.col("common") + behind, F.col("na"), F.col("nb"))
-        return sized(pairs).filter(_large_enough(most, F.col("na"), F.col("nb"), percent))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        near = sized(pairs).filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
-        left = sets.select(F.col("id").alias("a"), F.col("own").alias("x"))
-        right = sets.select(F.col("id").alias("b"), F.col("own").alias("y"))
-        both = near.join(left, "a").join(right, "b")
-        common = F.size(F.array_intersect("x", "y"))
-        return both.filter(_large_enough(common, F.size("x"), F.size("y"), percent)).select("a", "b")
-
-    reached = linked_components(shared, verify, prune)
+    groups = materialise(leader_groups(materialise(necessary(entries, classes, percent), "prefixes")), "groups")
+    nodes = materialise(groups.select(F.col("node").alias("id")).distinct(), "nodes")
+    sets = materialise(_whole_sets(documents, small(nodes), key, text, words), "sets")
+
+    def similar(own: list[pa.Array], side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        columns = np.concatenate([x.flatten().to_numpy() for x in own])
+        return similar_sets(columns, np.concatenate([x.value_lengths().to_numpy() for x in own]), side, percent)
+
+    links = materialise(block_links(groups, sets, similar), "found")
+    reached = components(links)
     named = classes.join(reached, classes.id == reached.node, "left")
     named = named.select("d", "e", F.coalesce("component", "id").alias("component"))
     own = entries.select("id", "n", *[F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col(c)).alias(c) for c in ("d", "e")])
@@ -145,13 +126,20 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
 
 
 def _whole_sets(documents: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``id, own``: all n-grams of the documents wanted."""
+    """``node, weight, own``: all n-grams of the documents wanted, and their number; an id that has several texts has as many rows."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # a repeated row is sent once for each task
         for batch in batches:
-            own = [x.view(np.int64) for _, x in _sets(byte_texts(batch.column("text")), words)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(own, pa.list_(pa.int64()))], ["id", "own"])
+            ids, own = [], []
+            for key, (_, found) in zip(batch.column("id").to_pylist(), _sets(byte_texts(batch.column("text")), words)):
+                digest = key, len(found), int(found.sum(dtype=np.uint64))
+                if digest not in seen:
+                    seen.add(digest)
+                    ids.append(key)
+                    own.append(found.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own, pa.list_(pa.int64()))], ["id", "own"])
 
     own = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
     schema = T.StructType().add("id", T.LongType()).add("own", T.ArrayType(T.LongType()))
-    return own.mapInArrow(rows, schema)
+    return own.mapInArrow(rows, schema).select(F.col("id").alias("node"), F.size("own").cast("long").alias("weight"), "own")

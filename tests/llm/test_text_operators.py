@@ -2,12 +2,14 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartwise.llm import decontaminate, fuzzy_lines, ngram_join, recompression
+from cartwise.llm import decontaminate, fuzzy_lines, linking, ngram_join, recompression
+from cartwise.session import materialise
 
 random.seed(5)
 SCHEMA = "doc_id long, text string, k string, t int, n int, node string, key string, kept string, n_words long, lines int"
@@ -187,7 +189,7 @@ def test_lines(spark, nothing):
     for r in fuzzy_lines.dedup_lines(documents).collect():
         found[r.doc_id].append((r.text, r.lines, r.lines_removed))
     assert found[2] == [(texts[0][1], 3, 0)]
-    assert found[3] == [("short\n\nshort", 5, 2)]
+    assert found[3] == [("", 5, 4)]
     assert found[4] == [("", 1, 1)] * 2
     assert found[5] == [(None, 0, 0)] and found[6] == [("", 1, 0)] and found[7] == [("\n\n", 3, 0)]
     assert found[1][0][2] == 0
@@ -209,6 +211,100 @@ def test_lines_with_one_changed_letter(spark):
     assert found == {0: 0, 1: 1, 2: 0, 3: 1}
 
 
+def shingles(line):
+    return {line[i : i + 5] for i in range(max(len(line) - 4, 1))}
+
+
+def all_pairs_removed(texts):
+    """Places (key, at) to remove, by comparing all lines of ``texts`` (key to text)."""
+    places = [(k, i, x.strip(" ").lower()) for k, t in sorted(texts.items()) for i, x in enumerate(t.split("\n"))]
+    places = [p for p in places if p[2].strip()]
+    lines = sorted({p[2] for p in places})
+    sets = [shingles(x) for x in lines]
+    at, linked = defaultdict(list), defaultdict(set)
+    for i, own in enumerate(sets):
+        common = Counter(j for s in own for j in at[s])
+        for j, c in common.items():
+            if c >= 0.75 * (len(own) + len(sets[j]) - c):
+                linked[i].add(j)
+                linked[j].add(i)
+        for s in own:
+            at[s].append(i)
+    root, seen = {}, set()
+    for i in range(len(lines)):
+        todo = [i]
+        while todo:
+            j = todo.pop()
+            if j not in seen:
+                seen.add(j)
+                root[lines[j]] = i
+                todo += linked[j]
+    first, gone = set(), set()
+    for k, i, x in places:
+        if root[x] in first:
+            gone.add((k, i))
+        first.add(root[x])
+    return gone
+
+
+def test_corpus_lines_against_all_pairs(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    documents = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    found = {(r.k, r["at"]) for r in fuzzy_lines.removed(documents).collect()}
+    expected = all_pairs_removed(texts)
+    # A lost link can also make another line the first of what is left.
+    assert len(expected) > 200 and len(found & expected) >= 0.98 * len(expected) and len(found - expected) <= 0.01 * len(expected)
+
+
+def test_keys_of_many_lines(spark, monkeypatch):
+    """A band with more lines than a task compares, and groups of more lines than a block holds."""
+    monkeypatch.setattr(fuzzy_lines, "MANY", 40)
+    monkeypatch.setattr(linking, "BLOCK_NODES", 16)
+    own = words(25, WIDE)
+    family = [" ".join([*own[:i], f"new{i}", *own[i + 1 :]]) for i in range(25)] + [" ".join([*own, f"tail{i}"]) for i in range(150)]
+    rest = [" ".join(words(12, WIDE)) for _ in range(40)]
+    texts = dict(enumerate(family + rest))
+    documents = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {(r.k, r["at"]) for r in fuzzy_lines.removed(documents).collect()} == all_pairs_removed(texts)
+
+
+def reached(nodes, pairs):
+    linked = {frozenset(p) for p in pairs}
+    return groups(nodes, lambda a, b: frozenset((a, b)) in linked)
+
+
+@pytest.mark.parametrize("block, weight", [(500, 10_000), (7, 10_000), (500, 60), (1, 1)])
+def test_blocks_find_every_component(spark, block, weight):
+    """Sets that are just too far apart, chains, and a centre with many, against all pairs of each group."""
+    rng = random.Random(block)
+    base = list(range(20))
+    sets = [base] + [base[:i] + [100 + i] + base[i + 1 :] for i in range(20)] + [base[:k] + rng.sample(range(1000, 2000), 20 - k) for k in range(8, 20) for _ in range(3)]
+    sets += [rng.sample(range(30), 18) for _ in range(40)]
+    members = [(g, n) for g in (-5, 3, 9) for n in range(len(sets)) if (n * 7 + g) % (2 if g == 3 else 3)]
+    rows = spark.createDataFrame(members, "group long, node long")
+    items = spark.createDataFrame([(n, len(x), sorted(x)) for n, x in enumerate(sets)], "node long, weight long, own array<long>")
+
+    def similar(own, side):
+        return linking.similar_sets(np.concatenate([x.flatten().to_numpy() for x in own]), np.concatenate([x.value_lengths().to_numpy() for x in own]), side, 75)
+
+    found = linking.block_links(materialise(rows, "rows"), materialise(items, "items"), similar, block, weight).collect()
+    held = defaultdict(set)
+    for g, n in members:
+        held[g].add(n)
+    pairs = {(a, b) for own in held.values() for a in own for b in own if a < b and len({*sets[a]} & {*sets[b]}) >= 0.75 * len({*sets[a]} | {*sets[b]})}
+    assert len(pairs) > 50 and reached(range(len(sets)), [(r.a, r.b) for r in found]) == reached(range(len(sets)), pairs)
+
+
+def test_overlaps_over_runs_of_columns(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(-(1 << 62), 1 << 62, 300) // (1 << 53)) for _ in range(30)] + [np.zeros(0, dtype=np.int64)]
+    for columns in (64, 1 << 13):
+        monkeypatch.setattr(linking, "COLUMNS", columns)
+        for side in (np.zeros(31, dtype=int), np.arange(31) % 2):
+            for x, other, common in linking.overlaps(np.concatenate(sets), np.array([len(s) for s in sets]), side):
+                assert common.tolist() == [len(np.intersect1d(sets[x], sets[y])) for y in other]
+
+
 def test_near_lines_against_all_pairs(spark):
     lines = []
     for _ in range(60):
@@ -218,7 +314,7 @@ def test_near_lines_against_all_pairs(spark):
                 own[random.randrange(25)] = random.choice(WIDE)
             lines.append(" ".join(own))
     documents = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    sets = [{x.encode()[i : i + 8] for i in range(len(x) - 7)} for x in lines]
+    sets = [shingles(x) for x in lines]
     expected = groups(range(len(lines)), lambda a, b: len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b]))
     removed = {r.doc_id for r in fuzzy_lines.dedup_lines(documents).filter("lines_removed > 0").collect()}
     expected_removed = {k for k, root in expected.items() if k != root}
