@@ -4,15 +4,15 @@ A line counts as its lower-cased text without spaces around it; a line of white
 are one entry. Its shingles are all runs of ``Settings.shingle`` characters, named by 64-bit hashes, or the whole line if it is shorter;
 ``bands`` x ``rows`` minima of hashed shingles give its band keys, and four bits of each minimum its sketch.
 
-Sketches travel with the band keys. A task that holds a key compares the sketches of its lines and returns, for each pair of
-which at least half agrees, the smaller line as a group and both as its members; a key with more than ``MANY`` lines is dealt over
+Sketches travel with the band keys. A task that holds a key compares the sketches of its lines, links those
+that agree in 17 of 30 places, and returns its components as groups; a key with more than ``MANY`` lines is dealt over
 several tasks (:mod:`cartwise.llm.linking`). Then the texts of the lines that are left, once for each group, meet in blocks and are verified by
 the exact Jaccard similarity of their shingle sets. Links form components by distributed union-find, and of each component only the
 first occurrence stays (by document id, then text hash, then place; a null id comes first).
 
 At a similarity of 0.75 the 10 bands of 3 rows find a pair with a probability of 0.996, at 0.8 of 0.999, at 0.9 of more than
-0.9999. Two lines that share a band agree in its three minima, and at 0.75 in each further one with 0.766, so fewer than half agree with
-a probability of 0.0006. A changed letter breaks as many shingles as one has characters: at 5 a line of 40 characters keeps a
+0.9999. Two lines that share a band agree in its three minima, and at 0.75 in each further one with 0.766, so fewer than 17 of 30 agree
+with a probability of 0.0013. A changed letter breaks as many shingles as one has characters: at 5 a line of 40 characters keeps a
 similarity of 31/41 = 0.756. Pairs below the threshold are never linked.
 
 Defined results: a null text stays null and has no lines; an empty text has one empty line; a text whose
@@ -24,6 +24,7 @@ takes about 30 bytes for each of its characters; a text is whole in its row only
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +42,8 @@ from cartwise.session import materialise
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Fills up a line shorter than a shingle; no text holds half a surrogate pair.
 _FILL = "\udfff"
+#: Share of the sketch in which lines must agree before their texts are compared.
+AGREEING = 0.55
 #: Lines of a key that one task compares; pairs are looked for side by side among so few, else in blocks.
 MANY = 1 << 13
 FEW = 32
@@ -86,9 +89,16 @@ def _shingled(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.n
     return hashed, stops - [len(x) for x in lines], stops - size + 1
 
 
-def _shingle_set(line: str, size: int) -> np.ndarray:
-    hashed, _, stops = _shingled([line], size)
-    return np.unique(hashed[: stops[0]])
+def _shingle_sets(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lines' sets, one behind the other, and their sizes."""
+    hashed, starts, stops = _shingled(lines, size)
+    counts = stops - starts
+    owner = np.repeat(np.arange(len(lines)), counts)
+    own = hashed[np.arange(len(owner)) + np.repeat(starts - np.cumsum(counts) + counts, counts)]
+    order = np.lexsort((own, owner))
+    own, owner = own[order], owner[order]
+    fresh = np.append(True, (own[1:] != own[:-1]) | (owner[1:] != owner[:-1]))
+    return own[fresh], np.bincount(owner[fresh], minlength=len(lines))
 
 
 #: Characters of lines whose signatures are worked out at a time; a longer line is worked on by itself.
@@ -162,9 +172,9 @@ def agreeing(s: np.ndarray, t: np.ndarray, s2: np.ndarray, t2: np.ndarray) -> np
 
 
 def _least_agreeing(settings: Settings) -> int:
-    """Half of the minima, and the places no minimum fills."""
+    """``AGREEING`` of the minima, and the places no minimum fills."""
     held = min(settings.bands * settings.rows, 32)
-    return -(-held // 2) + 32 - held
+    return math.ceil(AGREEING * held) + 32 - held
 
 
 def _close(s: np.ndarray, t: np.ndarray, side: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,37 +197,39 @@ def _close(s: np.ndarray, t: np.ndarray, side: np.ndarray, least: int) -> tuple[
     return np.concatenate(left), np.concatenate(right)
 
 
-def _side_by_side(own: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Group and node of lines in keys of at most ``FEW``: the smaller line of each close pair, with both."""
-    key, node, s, t = own[0], own[1], *own[2:].view(np.uint64)
-    at, far = np.arange(len(key)), 0
+def _side_by_side(own: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Close places within each key; no key has many."""
+    key, s, t = own[0], *own[2:].view(np.uint64)
+    at, far, left, right = np.arange(len(key)), 0, [], []
     while len(at):
         far += 1
         at = at[at + far < len(key)]
         at = at[key[at + far] == key[at]]
         hit = at[agreeing(s[at], t[at], s[at + far], t[at + far]) >= least]
-        yield node[hit], node[hit]
-        yield node[hit], node[hit + far]
+        left.append(hit)
+        right.append(hit + far)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _grouped(own: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
-    """Groups in whole keys; ``own`` is sorted by key and node."""
+    """In whole keys, the components of close lines under their smallest; ``own`` is sorted by key and node."""
     if not own.shape[1]:
         return
     own = own[:, np.append(True, (own[:2, 1:] != own[:2, :-1]).any(axis=0))]
     edges = np.append(np.flatnonzero(np.append(True, own[0][1:] != own[0][:-1])), own.shape[1])
     sizes = np.diff(edges)
-    few = np.repeat((sizes > 1) & (sizes <= FEW), sizes)
-    found = list(_side_by_side(np.ascontiguousarray(own[:, few]), least))
+    few = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= FEW), sizes))
+    links = []
+    if len(few):
+        links.append(tuple(few[x] for x in _side_by_side(np.ascontiguousarray(own[:, few]), least)))
     for number in np.flatnonzero(sizes > FEW).tolist():
-        node, s, t = own[1:, edges[number] : edges[number + 1]]
-        i, j = _close(s.view(np.uint64), t.view(np.uint64), np.zeros(len(node), dtype=np.int32), least)
-        roots = local_roots(len(node), i, j)
-        some = np.flatnonzero(np.bincount(roots, minlength=len(node))[roots] > 1)
-        found.append((node[roots[some]], node[some]))
-    if found:
-        pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)]), axis=1)
-        yield _likely(pairs[0], pairs[1], None)
+        low, high = edges[number : number + 2]
+        s, t = own[2:, low:high].view(np.uint64)
+        links.append(tuple(x + low for x in _close(s, t, np.zeros(high - low, dtype=np.int32), least)))
+    if links:
+        roots = local_roots(own.shape[1], *[np.concatenate(x) for x in zip(*links)])
+        some = np.flatnonzero(np.bincount(roots, minlength=len(roots))[roots] > 1)
+        yield _likely(own[1][roots[some]], own[1][some], None)
 
 
 def _likely(group: np.ndarray | None, node: np.ndarray, rest: np.ndarray | None) -> pa.RecordBatch:
@@ -257,7 +269,7 @@ def _likely_rows(keyed: DataFrame, least: int) -> DataFrame:
 
 
 def likely_groups(keyed: DataFrame, settings: Settings) -> DataFrame:
-    """``group, node``: any two lines that share a band and agree in half their sketches are in a group together."""
+    """``group, node``: any two lines that share a band and have close sketches are in a group together."""
     least = _least_agreeing(settings)
     rows = materialise(_likely_rows(keyed, least), "likely")
     found = rows.filter("key IS NULL").select("group", "node")
@@ -266,9 +278,11 @@ def likely_groups(keyed: DataFrame, settings: Settings) -> DataFrame:
         sketches = many.select("node", F.lit(1).alias("weight"), F.array("s", "t").alias("own")).dropDuplicates(["node"])
         groups = materialise(many.select(F.col("key").alias("group"), "node").distinct(), "many")
 
-        def close(own: list[pa.Array], side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def close(own: list[pa.Array], side: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             both = np.concatenate([x.flatten().to_numpy() for x in own]).reshape(-1, 2).view(np.uint64)
-            return _close(np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1]), side, least)
+            edges = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block))
+            found = [_close(*np.ascontiguousarray(both[low:high].T), side[low:high], least) for low, high in zip(edges, edges[1:])]
+            return tuple(np.concatenate([x[k] + low for x, low in zip(found, edges)]) for k in (0, 1))
 
         stars = materialise(block_links(groups, materialise(sketches, "sketches"), close, nodes=MANY), "stars")
         found = found.union(stars.select("a", "b")).union(stars.select("a", "a"))
@@ -287,9 +301,9 @@ def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", setti
     texts = every.select("h", "line").join(small(wanted), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
     texts = materialise(texts.select(F.col("h").alias("node"), F.length("line").alias("weight"), F.col("line").alias("own")), "texts")
 
-    def similar(own: list[pa.Array], side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sets = [_shingle_set(x, settings.shingle) for part in own for x in _texts(part)]
-        return similar_sets(np.concatenate(sets), np.array([len(x) for x in sets]), side, 100 * settings.similarity)
+    def similar(own: list[pa.Array], side: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        columns, sizes = _shingle_sets([x for part in own for x in _texts(part)], settings.shingle)
+        return similar_sets(columns, sizes, side, block, 100 * settings.similarity)
 
     component = components(materialise(block_links(groups, texts, similar), "verified"))
     sound = entries.filter("g = last").join(component, entries.h == component.node, "left")

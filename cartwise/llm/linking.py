@@ -24,12 +24,16 @@ from pyspark.sql import functions as F
 from cartwise.llm.bounded import small
 from cartwise.session import materialise
 
-#: Linked places ``i, j`` of a block, from what is known of its nodes; ``side`` is all 0, or only places of different sides need to be compared.
-Compare = Callable[[list[pa.Array], np.ndarray], tuple[np.ndarray, np.ndarray]]
+#: Linked places ``i, j`` of a block, from what is known of its nodes. ``side`` is all 0, or only places of different sides need to be
+#: compared. Small blocks come many at a time, in runs of equal ``block``; places of two blocks are never linked.
+Compare = Callable[[list[pa.Array], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 BLOCK_NODES = 512
 BLOCK_WEIGHT = 2_000_000
 #: Columns of an incidence block that are multiplied at a time.
 COLUMNS = 1 << 13
+#: Nodes of a small block, and bytes of small blocks that are compared together.
+SMALL, TOGETHER = 24, 1 << 21
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def leader_groups(incidence: DataFrame) -> DataFrame:
@@ -83,8 +87,30 @@ def overlaps(columns: np.ndarray, sizes: np.ndarray, side: np.ndarray) -> Iterat
         yield x, other, total[n, other]
 
 
-def similar_sets(columns: np.ndarray, sizes: np.ndarray, side: np.ndarray, percent: float) -> tuple[np.ndarray, np.ndarray]:
+def _overlaps_by_block(columns: np.ndarray, sizes: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places ``i < j`` of one block, and how many columns they share, where they share any; every block is small."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    spread = columns.view(np.uint64) + block[owner].astype(np.uint64) * _ODD
+    order = np.argsort(spread, kind="stable")
+    own, owner = spread[order], owner[order]
+    at, far, pairs = np.arange(len(own)), 0, [np.zeros(0, dtype=np.int64)]
+    while len(at):
+        far += 1
+        at = at[at + far < len(own)]
+        at = at[own[at + far] == own[at]]
+        pairs.append(owner[at] * len(sizes) + owner[at + far])
+    pairs, common = np.unique(np.concatenate(pairs), return_counts=True)
+    i, j = np.divmod(pairs, max(len(sizes), 1))
+    same = block[i] == block[j]
+    return i[same], j[same], common[same]
+
+
+def similar_sets(columns: np.ndarray, sizes: np.ndarray, side: np.ndarray, block: np.ndarray, percent: float) -> tuple[np.ndarray, np.ndarray]:
     """Places of sets whose intersection is at least ``percent`` of their union."""
+    if len(block) and block[0] != block[-1]:
+        i, j, common = _overlaps_by_block(columns, sizes, block)
+        hit = common * (100 + percent) >= percent * (sizes[i] + sizes[j]) - 1e-9
+        return i[hit], j[hit]
     left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     for x, other, common in overlaps(columns, sizes, side):
         hit = other[common * (100 + percent) >= percent * (sizes[x] + sizes[other]) - 1e-9]
@@ -93,23 +119,38 @@ def similar_sets(columns: np.ndarray, sizes: np.ndarray, side: np.ndarray, perce
     return np.concatenate(left), np.concatenate(right)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[pa.RecordBatch]]:
-    """The rows of each block, whole, as slices of sorted batches."""
+def _blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray]]:
+    """The rows of a block, whole, as slices of sorted batches, with the number of the block; several small ones of one side together."""
     held, last = [], None
     for batch in batches:
         if not batch.num_rows:
             continue
         own = np.stack([batch.column(k).to_numpy() for k in keys])
-        edges = (np.flatnonzero((own[:, 1:] != own[:, :-1]).any(axis=0)) + 1).tolist()
-        for start, stop in zip([0, *edges], [*edges, batch.num_rows]):
-            now = tuple(own[:, start].tolist())
-            if held and now != last:
-                yield held
-                held = []
-            held.append(batch.slice(start, stop - start))
-            last = now
+        edges = np.flatnonzero((own[:, 1:] != own[:, :-1]).any(axis=0)) + 1
+        if last is not None and (own[:, 0] != last).any():
+            edges = np.append(0, edges)
+        stop = int(edges[-1]) if len(edges) else 0
+        last = own[:, -1]
+        if not len(edges):
+            held.append(batch)
+            continue
+        # What ends here, then what is whole within the batch.
+        yield [*held, batch.slice(0, int(edges[0]))], np.zeros(sum(b.num_rows for b in held) + int(edges[0]), dtype=np.int64)
+        held = [batch.slice(stop)]
+        sizes = np.diff(edges)
+        small_ones = (sizes <= SMALL) & (own[2, edges[:-1]] == 0)
+        for n, (start, size) in enumerate(zip(edges[:-1].tolist(), sizes.tolist())):
+            if not small_ones[n]:
+                yield [batch.slice(start, size)], np.zeros(size, dtype=np.int64)
+        chosen = np.flatnonzero(small_ones & (sizes > 1))
+        size = max(batch.column("own").nbytes // batch.num_rows, 1)
+        run = np.cumsum(sizes[chosen]) * size // TOGETHER
+        for some in np.split(chosen, np.flatnonzero(run[1:] != run[:-1]) + 1):
+            if len(some):
+                rows = np.concatenate([np.arange(edges[n], edges[n + 1]) for n in some])
+                yield [batch.take(pa.array(rows))], np.repeat(np.arange(len(some)), sizes[some])
     if held:
-        yield held
+        yield held, np.zeros(sum(b.num_rows for b in held), dtype=np.int64)
 
 
 def _compared(dealt: DataFrame, items: DataFrame, compare: Compare) -> DataFrame:
@@ -118,17 +159,16 @@ def _compared(dealt: DataFrame, items: DataFrame, compare: Compare) -> DataFrame
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
-        for block in _blocks(batches, keys):
-            nodes = np.concatenate([b.column("node").to_numpy() for b in block])
-            side = np.concatenate([b.column("side").to_numpy() for b in block])
-            if len(nodes) < 2:
+        for rows, block in _blocks(batches, keys):
+            if len(block) < 2:
                 continue
-            i, j = compare([b.column("own") for b in block], side)
+            group, side, nodes = (np.concatenate([b.column(c).to_numpy() for b in rows]) for c in ("group", "side", "node"))
+            i, j = compare([b.column("own") for b in rows], side, block)
             if not len(i):
                 continue
             roots = local_roots(len(nodes), i, j)
             others = np.flatnonzero(roots != np.arange(len(nodes)))
-            found.append((np.full(len(others), block[0].column("group")[0].as_py()), nodes[roots[others]], nodes[others]))
+            found.append((group[others], nodes[roots[others]], nodes[others]))
             held += len(others)
             if held > 10_000:
                 yield _batch(found)

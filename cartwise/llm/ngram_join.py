@@ -109,9 +109,9 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
     nodes = materialise(groups.select(F.col("node").alias("id")).distinct(), "nodes")
     sets = materialise(_whole_sets(documents, small(nodes), key, text, words), "sets")
 
-    def similar(own: list[pa.Array], side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def similar(own: list[pa.Array], side: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         columns = np.concatenate([x.flatten().to_numpy() for x in own])
-        return similar_sets(columns, np.concatenate([x.value_lengths().to_numpy() for x in own]), side, percent)
+        return similar_sets(columns, np.concatenate([x.value_lengths().to_numpy() for x in own]), side, block, percent)
 
     links = materialise(block_links(groups, sets, similar), "found")
     reached = components(links)

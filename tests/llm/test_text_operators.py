@@ -281,11 +281,13 @@ def test_blocks_find_every_component(spark, block, weight):
     sets = [base] + [base[:i] + [100 + i] + base[i + 1 :] for i in range(20)] + [base[:k] + rng.sample(range(1000, 2000), 20 - k) for k in range(8, 20) for _ in range(3)]
     sets += [rng.sample(range(30), 18) for _ in range(40)]
     members = [(g, n) for g in (-5, 3, 9) for n in range(len(sets)) if (n * 7 + g) % (2 if g == 3 else 3)]
+    members += [(100 + g, n) for g in range(200) for n in rng.sample(range(len(sets)), rng.choice([1, 2, 3, 20]))]  # small groups, side by side
     rows = spark.createDataFrame(members, "group long, node long")
     items = spark.createDataFrame([(n, len(x), sorted(x)) for n, x in enumerate(sets)], "node long, weight long, own array<long>")
 
-    def similar(own, side):
-        return linking.similar_sets(np.concatenate([x.flatten().to_numpy() for x in own]), np.concatenate([x.value_lengths().to_numpy() for x in own]), side, 75)
+    def similar(own, side, block):
+        columns, sizes = np.concatenate([x.flatten().to_numpy() for x in own]), np.concatenate([x.value_lengths().to_numpy() for x in own])
+        return linking.similar_sets(columns, sizes, side, block, 75)
 
     found = linking.block_links(materialise(rows, "rows"), materialise(items, "items"), similar, block, weight).collect()
     held = defaultdict(set)
