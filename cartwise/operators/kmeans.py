@@ -1,13 +1,19 @@
-"""k-means on weighted points: Lloyd steps as one grouped mean each, from a start that the data fix."""
+"""k-means on weighted points: Lloyd steps from a start that the data fix.
+
+A step is one pass over the cached points for all fits that still move: every task adds up its points by nearest centre in numpy and
+returns one row for each centre, which Spark adds up. Centres go in as data, so the plan and its compiled code are the same at every step.
+"""
 
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel, inheritable_thread_target
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +26,10 @@ MAX_ITER = 300
 TOLERANCE = 1e-4
 DIGITS = 9
 LABEL, WEIGHT = "cluster", "_weight"
+#: Distances held at a time.
+HELD = 2_000_000
+
+Centers = list[tuple[float, ...]]
 
 
 def weighted_points(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -66,30 +76,59 @@ def _distance(columns: list[str], centers: list[tuple[float, ...]]) -> Column:
     return F.least(*squares) if len(squares) > 1 else squares[0]
 
 
-def _moved(points: DataFrame, columns: list[str], centers: list[tuple[float, ...]]) -> list[tuple[float, ...]]:
-    """The weighted mean of every centre's points, to nine digits; a centre without points goes to a farthest point."""
-    total = F.sum(WEIGHT)
-    means = [F.round(F.sum(F.col(WEIGHT) * F.col(c)) / total, DIGITS).alias(c) for c in columns]
-    rows = points.groupBy(nearest_center(columns, centers).alias(LABEL)).agg(*means).collect()  # a row for each centre
-    now = {r[LABEL]: tuple(r[c] for c in columns) for r in rows}
-    empty = [i for i in range(len(centers)) if i not in now]
-    if empty:
-        far = points.orderBy(_distance(columns, list(now.values())).desc(), *columns).limit(len(empty)).collect()
-        now |= {i: tuple(float(r[c]) for c in columns) for i, r in zip(empty, far)}
-    return [now.get(i, center) for i, center in enumerate(centers)]
-
-
-def _fitted(points: DataFrame, columns: list[str], centers: list[tuple[float, ...]]) -> Clustering:
-    """Lloyd steps until no centre moves farther than the tolerance.
+def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each point's nearest centre (the lower one of a tie) and its squared distance; ``x`` has a row for each column."""
+    squares = np.zeros((len(centers), x.shape[1]))
+    for own, center in zip(x, centers.T):
+        difference = own - center[:, None]
+        squares += difference * difference
+    number = squares.argmin(axis=0)
+    return number, squares[number, np.arange(x.shape[1])]
+
+
+def _totals(points: DataFrame, columns: list[str], centers: dict[int, Centers]) -> DataFrame:
+    """``k, number, w, inertia, s0, s1, ...`` for every centre that has points: their weight, weighted distance and weighted sums."""
+    known = {k: np.array(m, dtype=float) for k, m in centers.items()}
+    names = ["w", "inertia", *[f"s{j}" for j in range(len(columns))]]
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {k: np.zeros((len(names), len(m))) for k, m in known.items()}
+        for batch in batches:
+            x = np.stack([batch.column(j).to_numpy(zero_copy_only=False) for j in range(len(columns))])
+            w = batch.column(len(columns)).to_numpy(zero_copy_only=False)
+            for k, m in known.items():
+                step = max(1, HELD // len(m))
+                for low in range(0, len(w), step):
+                    own, weight = x[:, low : low + step], w[low : low + step]
+                    number, squares = _nearest(own, m)
+                    for total, value in zip(totals[k], [weight, weight * squares, *(weight * own)]):
+                        total += np.bincount(number, value, minlength=len(m))
+        ks = np.repeat(list(known), [len(m) for m in known.values()])
+        numbers = np.concatenate([np.arange(len(m)) for m in known.values()])
+        sums = np.concatenate(list(totals.values()), axis=1)
+        some = sums[0] > 0
+        yield pa.RecordBatch.from_arrays([pa.array(v[some]) for v in (ks, numbers, *sums)], ["k", "number", *names])
+
+    schema = "k long, number long, " + ", ".join(f"{n} double" for n in names)
+    parts = points.select(*[F.col(c).cast("double") for c in columns], F.col(WEIGHT).cast("double")).mapInArrow(added, schema)
+    return parts.groupBy("k", "number").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _moved(points: DataFrame, columns: list[str], centers: dict[int, Centers]) -> dict[int, Centers]:
+    """The weighted mean of every centre's points, to nine digits; a centre without points goes to a farthest point.
 
     Means are rounded, so that the order of additions, and with it the partitioning, does not show.
     """
-    for _ in range(MAX_ITER):
-        before, centers = centers, _moved(points, columns, centers)
-        if max(math.dist(a, b) for a, b in zip(before, centers)) <= TOLERANCE:
-            break
-    inertia = points.agg(F.sum(F.col(WEIGHT) * _distance(columns, centers)).alias("inertia")).first().inertia
-    return Clustering(sorted(centers), columns, float(inertia))
+    means = [F.round(F.col(f"s{j}") / F.col("w"), DIGITS).alias(c) for j, c in enumerate(columns)]
+    now: dict[int, dict[int, tuple]] = {k: {} for k in centers}
+    for r in _totals(points, columns, centers).select("k", "number", *means).collect():  # a row for each centre
+        now[r.k][r.number] = tuple(r[c] for c in columns)
+    for k, own in now.items():
+        empty = [i for i in range(len(centers[k])) if i not in own]
+        if empty and own:
+            far = points.orderBy(_distance(columns, list(own.values())).desc(), *columns).limit(len(empty)).collect()
+            own |= {i: tuple(float(r[c]) for c in columns) for i, r in zip(empty, far)}
+    return {k: [now[k].get(i, center) for i, center in enumerate(own)] for k, own in centers.items()}
 
 
 def fit(points: DataFrame, columns: list[str], k: int) -> Clustering:
@@ -97,19 +136,26 @@ def fit(points: DataFrame, columns: list[str], k: int) -> Clustering:
     return fit_many(points, columns, [k])[k]
 
 
-def fit_many(points: DataFrame, columns: list[str], ks: list[int], parallel: int = 8) -> dict[int, Clustering]:
-    """One clustering per k; several fits share the cluster at a time.
+def fit_many(points: DataFrame, columns: list[str], ks: list[int]) -> dict[int, Clustering]:
+    """One clustering per k, all of them in the same passes, each until no centre moves farther than the tolerance.
 
-    The points are cached once for all fits. A lost block is read again from the written table.
+    The points are cached once for all steps. A lost block is read again from the written table.
     """
-    starts = start_centers(points, columns, ks)
+    centers = start_centers(points, columns, ks)
     own = points.select(*columns, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPoolExecutor(parallel) as pool:
-            task = inheritable_thread_target(points.sparkSession)(lambda k: _fitted(own, columns, starts[k]))
-            return dict(zip(ks, pool.map(task, ks)))
+        moving = dict(centers)
+        for _ in range(MAX_ITER):
+            moved = _moved(own, columns, moving)
+            centers |= moved
+            moving = {k: m for k, m in moved.items() if max(math.dist(a, b) for a, b in zip(moving[k], m)) > TOLERANCE}
+            if not moving:
+                break
+        inertia = _totals(own, columns, centers).groupBy("k").agg(F.sum("inertia").alias("inertia"))
+        found = {r.k: float(r.inertia) for r in inertia.collect()}
     finally:
         own.unpersist()
+    return {k: Clustering(sorted(centers[k]), columns, found[k]) for k in ks}
 
 
 def elbow(points: DataFrame, columns: list[str], models: dict[int, Clustering]) -> list[tuple[int, float]]:
