@@ -16,7 +16,8 @@ whatever the size of the corpus.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing
 was learned. Ties go to the language that sorts first. Repeated rows get the same answer each; a key
-column may be null; texts are read whole, in pieces of bounded size.
+column may be null; texts are read whole, in pieces of bounded size. More than ``Settings.most_languages`` learned values raise
+``ValueError``, since a slot takes a bit for each of them: raise the setting for more.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.arrow import map_batches
 from cartwise.llm.slabs import SPACE, byte_texts, slabs
 
 UNKNOWN = "und"
@@ -182,7 +184,7 @@ def predict(texts: DataFrame, filters: Filters, text: str = "text", settings: Se
             columns = [batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores)], schema.names)
 
-    return with_letters(texts, kept, text).mapInArrow(predicted, schema)
+    return map_batches(with_letters(texts, kept, text), predicted, schema)
 
 
 def with_letters(texts: DataFrame, kept: list[str], text: str) -> DataFrame:

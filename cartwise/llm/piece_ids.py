@@ -25,6 +25,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.arrow import map_batches
+
 MARK = "▁"
 TABLE_ROWS = 1 << 20
 #: Distinct marked words that a task holds, while counting and while encoding, before it starts anew.
@@ -164,4 +166,4 @@ def encode(documents: DataFrame, table: DataFrame, model: str, text: str = "text
                     ids, decoded, size, first = [], [], 0, i + 1
 
     own = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("text" + "_" * max(map(len, [*kept, ""]))))
-    return own.mapInArrow(encoded, schema)
+    return map_batches(own, encoded, schema)

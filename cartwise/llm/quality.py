@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.arrow import map_batches
 from cartwise.llm.slabs import SPACE, byte_texts, mixed, run_hashes, slabs, white_words
 
 BITS = 17
@@ -155,7 +156,7 @@ def score(documents: DataFrame, model: Model, text: str = "text", into: str = "s
     """Every row of ``documents`` with the probability of label 1 in the column ``into`` (replaced if it is there)."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in documents.columns if c != into]
-    schema = documents.select(kept).schema.add(into, "double")
+    schema = documents.select(*[f"`{c}`" for c in kept]).schema.add(into, "double")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = shared.value
@@ -170,4 +171,4 @@ def score(documents: DataFrame, model: Model, text: str = "text", into: str = "s
             yield pa.RecordBatch.from_arrays([*columns, pa.array(learned.score(totals, counts))], [*kept, into])
 
     own = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("text" + "_" * max(map(len, kept))))
-    return own.mapInArrow(scored, schema)
+    return map_batches(own, scored, schema)

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwise.llm.arrow import map_batches
 from cartwise.llm.bounded import small
 from cartwise.llm.slabs import byte_texts, mixed, run_hashes
 from cartwise.llm.word_runs import word_arrays
@@ -228,4 +229,4 @@ def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text"
             arrays = [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(at)], *arrays], schema.names)
 
-    return both.mapInArrow(rows, schema)
+    return map_batches(both, rows, schema)

@@ -10,7 +10,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cartwise.llm import chat_format, language_id, piece_ids, pivots, quality, token_counts
+from cartwise.llm import chat_format, language_id, piece_ids, pivots, quality, recompression, token_counts
 from cartwise.llm.components import components
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -230,3 +230,18 @@ def test_near_vectors_against_all_pairs(spark):
     assert sum(found[i].n_links for i in good) >= 0.9 * total
     assert all(found[i].kept == (found[i].component_id == i) for i in found)
     assert pivots.near_duplicates(table.limit(0), "vec_id", "embedding", "label").count() == 0
+
+
+def test_columns_with_dots_pass_through(spark):
+    rows = spark.createDataFrame([(1, "one two three", 5), (2, None, 6)], "doc_id long, text string, `a.b` int")
+    model = quality.Model(np.zeros(1 << quality.BITS, dtype=np.float32), 0.0)
+    table = piece_ids.segment_table(piece_ids.word_counts(rows), PIECES)
+    found = [
+        piece_ids.encode(rows, table, PIECES),
+        token_counts.count_tokens(rows, BYTES),
+        language_id.predict(rows, language_id.learn(language_id.count_grams(rows.select("text", F.lit("en").alias("lang"))))),
+        recompression.remove_repeats(rows),
+        quality.score(rows, model),
+    ]
+    for df in found:
+        assert {r.doc_id: r["a.b"] for r in df.collect()} == {1: 5, 2: 6}
