@@ -2,12 +2,10 @@
 
 ``silhouette_squared`` uses squared distances, whose mean to a cluster follows from
 the cluster's size, sum and sum of squares; it is linear in the rows.
-``silhouette_euclidean`` uses plain distances, by one algorithm at every size: Spark
-deals the distinct points into cells of near points, and every point meets every
-cell. A cluster's points in a cell are taken together if their centre and spread
-settle the point's mean distance to them within the stated tolerance, and one by one
-if not. At a tolerance of 0, the default, the result is exact and takes the square of the distinct
-points. Nothing is sampled. A null label is a cluster of its own.
+``silhouette_euclidean`` uses plain distances. At a tolerance of 0, the default, the result is exact, which
+takes every distance: Spark deals the distinct points into cells of near points, and every cell meets
+every cell. Above 0, points go down the trees of the clusters (``distance_tree``), whose
+limits settle far nodes as a whole. Nothing is sampled. A null label is a cluster of its own; coordinates are finite numbers.
 """
 
 from __future__ import annotations
@@ -21,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.operators import distance_tree
 from cartwise.operators.quantiles import exact_quantiles
 from cartwise.session import materialise
 
@@ -101,6 +100,8 @@ def silhouettes_euclidean(
 ) -> DataFrame:
     """One row per label column: the same distances serve every labelling of the points."""
     points = materialise(df.groupBy(*columns, *labels).agg(F.sum(_weight(weight)).alias("w")), "silhouette-points")
+    if tolerance > 0:
+        return _within(points, columns, labels, tolerance)
     sizes = []
     for i, label in enumerate(labels):
         found = points.groupBy(label).agg(F.sum("w")).collect()  # one row for each cluster
@@ -116,11 +117,13 @@ def silhouettes_euclidean(
     own = cells.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(some)).cast("int")).repartition(some, "share")
     copies = other.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(some - 1)))).repartition(some, "share")
     pairs = own.join(copies, "share")
-    # With every mean distance known within this factor, ln(b / a) is within its square's logarithm, and the score within that.
-    scorer = _scorer(labels, sizes, len(columns), number, math.exp(tolerance / 2))
-    parts = pairs.mapInPandas(scorer, "label string, w double, low double, high double").groupBy("label")
+    scorer = _scorer(labels, sizes, len(columns), number)
+    return _summed(pairs.mapInPandas(scorer, "label string, w double, low double, high double"))
+
+
+def _summed(parts: DataFrame) -> DataFrame:
     low, high = (F.sum(c) / F.sum("w") for c in ("low", "high"))
-    return parts.agg(
+    return parts.groupBy("label").agg(
         F.sum("w").cast("long").alias("n"),
         ((low + high) / 2).alias("silhouette"),
         (low - ROUNDING).alias("lower"),
@@ -128,6 +131,56 @@ def silhouettes_euclidean(
     )
 
 
+def _within(points: DataFrame, columns: list[str], labels: list[str], tolerance: float) -> DataFrame:
+    """Every labelling's score by the trees of its clusters."""
+    axes, d = [f"x{i}" for i in range(len(columns))], len(columns)
+    place = [F.col(c).cast("double").alias(a) for a, c in zip(axes, columns)]
+    each = F.array(*[F.struct(F.lit(i).alias("lab"), F.col(c).cast("string").alias("of")) for i, c in enumerate(labels)])
+    long = points.select(*place, "w", F.explode(each).alias("l"))
+    tree = F.concat(F.col("l.lab"), F.when(F.col("l.of").isNull(), "").otherwise(F.concat(F.lit("="), "l.of")))
+    # With one labelling the points of a tree are distinct already; with more, other labels have split them.
+    long = long.groupBy(F.col("l.lab").alias("lab"), tree.alias("tree"), *axes).agg(F.sum("w").alias("w"))
+    roots, families, blocks = distance_tree.build(materialise(long, "silhouette-long"), axes)
+    if roots.groupBy("lab").count().filter("count < 2").count():
+        raise ValueError("a silhouette needs 2 clusters")
+    # With every mean distance known within this factor, ln(b / a) is within its square's logarithm, and the score within that.
+    means = distance_tree.mean_distances(roots, families, blocks, d, math.exp(tolerance / 2))
+    own = blocks.select("q", F.lit(True).alias("mine"), F.lit(0.0).alias("size"), "data", "lab")
+    rows = own.unionByName(means.select("q", "mine", "size", "data", F.lit(None).cast("int").alias("lab")))
+    parts = max(points.sparkSession.sparkContext.defaultParallelism, rows.count() // distance_tree.ROWS)
+    rows = rows.repartition(parts, "q").sortWithinPartitions("q", F.col("lab").isNull(), F.desc("mine"))
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A block's row comes first, then its own cluster's, then those that may be the nearest."""
+        sums = {i: np.zeros(3) for i in range(len(labels))}
+        block: dict = {}
+
+        def closed() -> None:
+            if block:
+                w, (a_low, a_high), (b_low, b_high), alone = block["w"], block["a"], block["b"], block["alone"]
+                low, high = _score(a_high, b_low, alone), _score(a_low, b_high, alone)
+                sums[block["lab"]] += w.sum(), (w * low).sum(), (w * high).sum()
+
+        for batch in batches:
+            for lab, mine, size, data in batch[["lab", "mine", "size", "data"]].itertuples(index=False, name=None):
+                if not pd.isna(lab):
+                    closed()
+                    w = np.asarray(data).reshape(-1, d + 1)[:, d]
+                    block = {"lab": int(lab), "w": w, "b": np.full((2, len(w)), np.inf)}
+                    continue
+                limits = np.asarray(data).reshape(2, -1)
+                if mine:
+                    block["alone"] = np.full(limits.shape[1], size <= 1)
+                    block["a"] = limits * (1.0 if size <= 1 else size / (size - 1))
+                else:
+                    block["b"] = np.minimum(block["b"], limits)
+        closed()
+        found = [(labels[i], *s) for i, s in sums.items() if s[0]]
+        yield pd.DataFrame(found, columns=["label", "w", "low", "high"])
+
+    return _summed(rows.mapInPandas(scored, "label string, w double, low double, high double"))
+
+
 def _cells(points: DataFrame, columns: list[str], labels: int, max_cells: int | None) -> DataFrame:
     """``id, x, w, codes``: cells of near points, packed."""
     total = points.count()
@@ -157,53 +210,31 @@ def _cells(points: DataFrame, columns: list[str], labels: int, max_cells: int |
     return materialise(found.select(F.monotonically_increasing_id().alias("id"), "x", "w", "codes"), "silhouette-cells")
 
 
-def _scorer(labels: list[str], sizes: list[np.ndarray], d: int, number: int, factor: float):
-    """Per cell and labelling, once it met all ``number`` cells: the weighted sums of the score's limits."""
+def _scorer(labels: list[str], sizes: list[np.ndarray], d: int, number: int):
+    """Per cell and labelling, once it met all ``number`` cells: the weighted sums of the scores, as both limits."""
 
     def unpacked(x: bytes, w: bytes, codes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.frombuffer(x).reshape(-1, d), np.frombuffer(w), np.frombuffer(codes, dtype=np.int32).reshape(-1, len(labels))
 
-    def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def add(held: list[np.ndarray], x: np.ndarray, y: np.ndarray, v: np.ndarray, codes: np.ndarray) -> None:
+        """To every labelling's sums of the distances from x, those to the points y."""
         squared = np.zeros((len(x), len(y)))
         for j in range(d):
             difference = x[:, j, None] - y[None, :, j]
             squared += difference * difference
-        return np.sqrt(squared)
-
-    def add(held: list, x: np.ndarray, y: np.ndarray, v: np.ndarray, codes: np.ndarray) -> None:
-        """To every labelling's limits of the sums of distances from x, those to the points y."""
-        exact = distances(x, y) if factor <= 1 else None
-        for (low, high), code in zip(held, codes.T):
+        exact = np.sqrt(squared)
+        for sums, code in zip(held, codes.T):
             clusters, own = np.unique(code, return_inverse=True)
             weights = np.zeros((len(y), len(clusters)))
             weights[np.arange(len(y)), own] = v
-            if factor <= 1:
-                near = far = exact @ weights
-            else:
-                # The mean distance to a group lies between the distance to its mean (Jensen) and the root mean
-                # squared distance.
-                group = weights.sum(axis=0)
-                centers = weights.T @ y / group[:, None]
-                spread = (weights * ((y - centers[own]) ** 2).sum(axis=1)[:, None]).sum(axis=0) / group
-                near = distances(x, centers)
-                far = np.sqrt(near * near + spread)
-                opened = (far > factor * near).any(axis=1)
-                near, far = near * group, far * group
-                if opened.any():
-                    if exact is None:
-                        exact = distances(x, y)
-                    near[opened] = far[opened] = exact[opened] @ weights
-            low[:, clusters] += near
-            high[:, clusters] += far
-
-    def limits(low: np.ndarray, high: np.ndarray, size: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            sums[:, clusters] += exact @ weights
+
+    def scores(sums: np.ndarray, size: np.ndarray, own: np.ndarray) -> np.ndarray:
         pick, alone = (np.arange(len(own)), own), size[own] <= 1
-        others = np.where(alone, 1, size[own] - 1)
-        a_low, a_high = low[pick] / others, high[pick] / others
-        low, high = low / size, high / size
-        low[pick] = high[pick] = np.inf
-        b_low, b_high = low.min(axis=1), high.min(axis=1)
-        return _score(a_high, b_low, alone), _score(a_low, b_high, alone)
+        a = sums[pick] / np.where(alone, 1, size[own] - 1)
+        means = sums / size
+        means[pick] = np.inf
+        return _score(a, means.min(axis=1), alone)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_cells: dict[int, list] = {}
@@ -211,14 +242,14 @@ def _scorer(labels: list[str], sizes: list[np.ndarray], d: int, number: int, fac
             for key, *mine, y, v, others in batch[["id", "x", "w", "codes", "y", "v", "others"]].itertuples(index=False, name=None):
                 x, w, codes = unpacked(*mine)
                 if key not in open_cells:
-                    open_cells[key] = [0, [(np.zeros((len(x), len(s))), np.zeros((len(x), len(s)))) for s in sizes]]
+                    open_cells[key] = [0, [np.zeros((len(x), len(s))) for s in sizes]]
                 state = open_cells[key]
                 add(state[1], x, *unpacked(y, v, others))
                 state[0] += 1
                 if state[0] == number:
                     found = []
-                    for name, (low, high), size, code in zip(labels, state[1], sizes, codes.T):
-                        found.append([name, w.sum(), *[(w * s).sum() for s in limits(low, high, size, code)]])
+                    for name, sums, size, code in zip(labels, state[1], sizes, codes.T):
+                        found.append([name, w.sum(), *[(w * scores(sums, size, code)).sum()] * 2])
                     del open_cells[key]
                     yield pd.DataFrame(found, columns=["label", "w", "low", "high"])
         if open_cells:

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwise.operators import kmeans, scaling, segments, silhouette
+from cartwise.operators import distance_tree, kmeans, scaling, segments, silhouette
 from cartwise.operators.knn import knn_impute
 from cartwise.operators.quantiles import exact_quantiles, quantile_table
 from cartwise.plans import clustering
@@ -223,7 +223,7 @@ def test_silhouette_with_few_cells_brackets_the_exact_one(clouds):
     assert row.silhouette == pytest.approx(exact, abs=0.02)
 
 
-def test_silhouette_is_one_algorithm_at_every_size(spark, clouds):
+def test_silhouette_is_exact_at_tolerance_zero_and_bracketed_above(spark, clouds):
     x, labels, df = clouds
     exact = brute_force_silhouette(x, labels, 1)
     row = silhouette.silhouette_euclidean(df, ["a", "b", "c"], "label", max_cells=40).first()
@@ -248,6 +248,53 @@ def test_silhouettes_of_many_clusters(spark):
         assert found(df, ["a", "b"], "label").first().silhouette == pytest.approx(brute_force_silhouette(x, labels, power))
 
 
+def test_limits_of_nodes_bracket_every_mean_distance():
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(0, 3, (40, 2)), np.zeros((1, 2))])
+    nodes, exact = [], []
+    for scale in (0.0, 0.01, 0.5, 4.0):
+        y, w = rng.normal(0, 1, (30, 2)) * scale + rng.normal(0, 2, 2), rng.integers(1, 4, 30)
+        c = w @ y / w.sum()
+        h = y - c
+        cov = (w[:, None, None] * h[:, :, None] * h[:, None, :]).sum(0) / w.sum()
+        nodes.append([w.sum(), *c, np.sqrt((h * h).sum(1)).max(), cov[0, 0], cov[0, 1], cov[1, 1]])
+        exact.append(np.sqrt(((x[:, None] - y[None]) ** 2).sum(-1)) @ w / w.sum())
+    low, high = distance_tree.limits(x, np.array(nodes))
+    assert (low <= np.array(exact).T + 1e-9).all() and (np.array(exact).T <= high + 1e-9).all()
+    assert np.allclose(low[:, 0], high[:, 0]) and (high - low)[:, 1].max() < 1e-4
+
+
+def test_silhouette_trees_with_outlier_copies_nulls_and_two_labellings(spark):
+    rng = np.random.default_rng(9)
+    x = np.round(rng.normal(0, 1, (1200, 2)), 3)
+    x[:300] += 3
+    x[0] = 1e7, 1e7  # all other points fall into one small cube of the upper levels
+    x[1100:] = x[100:200]  # copies
+    first, second = np.repeat([0, 1, 2], [300, 500, 400]), np.arange(1200) % 2
+    second[x[:, 0] > 2] = 2
+    frame = pd.DataFrame(x, columns=["a", "b"]).assign(one=first, two=second)
+    df = spark.createDataFrame(frame).withColumn("one", F.when(F.col("one") > 0, F.col("one")))  # null is a cluster
+    rows = silhouette.silhouettes_euclidean(df, ["a", "b"], ["one", "two"], tolerance=0.001).collect()
+    assert {r.label for r in rows} == {"one", "two"}
+    for row in rows:
+        exact = brute_force_silhouette(x, first if row.label == "one" else second, 1)
+        assert row.n == 1200 and row.lower - 1e-9 <= exact <= row.upper + 1e-9 and row.upper - row.lower <= 0.001
+
+
+def test_silhouette_trees_of_many_clusters_and_few_points(spark):
+    rng = np.random.default_rng(7)
+    labels = np.repeat(np.arange(130), 4)
+    labels[0] = 130  # alone
+    x = np.round(rng.normal(0, 0.5, (520, 2)) + labels[:, None] % 13 * [1, 2] + labels[:, None] // 13, 2)
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"]).assign(label=labels))
+    row = silhouette.silhouette_euclidean(df, ["a", "b"], "label", tolerance=0.001).first()
+    assert row.silhouette == pytest.approx(brute_force_silhouette(x, labels, 1), abs=0.001)
+    same = spark.createDataFrame([(1.0, 0), (1.0, 1), (1.0, 1)], "a double, label int")
+    assert silhouette.silhouette_euclidean(same, ["a"], "label", tolerance=0.1).first().silhouette == 0
+    with pytest.raises(ValueError):
+        silhouette.silhouette_euclidean(same.filter("label = 1"), ["a"], "label", tolerance=0.1)
+
+
 def test_silhouette_on_weighted_points(clouds):
     x, labels, df = clouds
     weighted = df.groupBy("a", "b", "c", "label").agg(F.count("*").cast("double").alias("w"))
