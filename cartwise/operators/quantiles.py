@@ -1,10 +1,11 @@
-"""Exact quantiles of large columns, whole or by group.
+"""Exact quantiles of large columns, whole or by group, in two reads of the data.
 
-The built-in exact percentile merges a map of every distinct value into one task.
-Here each pass counts the values inside a bracket in a fixed number of equal
-buckets and narrows the bracket to the bucket that holds the wanted rank, until one value
-is left. Brackets are rows of a table, one for each wanted rank at most, so any number of groups is
-worked on at a time; the driver sees how many are still open, and nothing else.
+The built-in exact percentile merges a map of every distinct value into one task. Here the first read
+merges rank sketches (Greenwald and Khanna, Spark's ``percentile_approx``), whose stated error brackets
+each wanted rank. The second counts the values below each bracket and, by value, those inside. A count
+says whether a bracket holds its ranks; one that does not is widened to all values. What was
+counted inside is a small table: where it has more than ``BUCKETS`` values for a bracket, passes
+over that table alone narrow it. ``approximate_quantiles`` is the first read by itself.
 """
 
 from __future__ import annotations
@@ -17,79 +18,155 @@ from pyspark.sql import functions as F
 
 from cartwise.session import materialise
 
+#: Values of a bracket that one task may sort; groups of as many values are a bracket as they are.
 BUCKETS = 4096
+#: A sketch's ranks are off by at most a share of 1 / ACCURACY of the values.
+ACCURACY = 10_000
+#: Share of the values that a bracket reaches to either side: the error, and more than one rank beyond ``BUCKETS`` values.
+REACH = 4 / ACCURACY
 INFINITY = float("inf")
+GROUP = ["g", "c", "b"]
+
+
+def _values(df: DataFrame, columns: list[str], by: str | None) -> DataFrame:
+    group = F.col(by) if by else F.lit(None).cast("string")
+    values = df.select(group.alias("g"), *[F.col(c).cast("double").alias(c) for c in columns])
+    return values.unpivot(["g"], columns, "c", "x").where("x IS NOT NULL AND NOT isnan(x)")
+
+
+def approximate_quantiles(df: DataFrame, columns: list[str], probabilities: list[float], error: float, by: str | None = None) -> DataFrame:
+    """``g, c, p, value``: values of the data whose rank is off by at most ``error`` x the number of values, in one read.
+
+    Nulls, NaN, groups and places are as in ``quantile_table``.
+    """
+    if not 0 < error < 1:
+        raise ValueError("an error is a share between 0 and 1")
+    accuracy = math.ceil(1 / error)
+    found = _values(df, columns, by).groupBy("g", "c").agg(F.percentile_approx("x", [float(p) for p in probabilities], accuracy).alias("found"))
+    return found.select("g", "c", F.posexplode("found").alias("p", "value"))
 
 
 def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float], by: str | None = None) -> DataFrame:
     """``g, c, p, value``: quantiles with linear interpolation by group, column name and place of the probability.
 
     Nulls and NaN are skipped; a group or column without values has no row. ``g`` is null without ``by``.
-    Infinities are values like others. Several passes read ``df``; hand in a written table.
+    Infinities are values like others. ``df`` is read twice; hand in a written table.
     """
-    group = F.col(by) if by else F.lit(None).cast("string")
-    values = df.select(group.alias("g"), *[F.col(c).cast("double").alias(c) for c in columns])
-    values = values.unpivot(["g"], columns, "c", "x").where("x IS NOT NULL AND NOT isnan(x)")
-    finite = F.when(F.abs("x") != INFINITY, F.col("x"))
-    ranges = values.groupBy("g", "c").agg(
+    values = _values(df, columns, by)
+    ends = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-REACH, REACH)]
+    sketched = values.groupBy("g", "c").agg(
         F.count("x").alias("n"),
-        F.count_if(F.col("x") == -INFINITY).alias("below"),
-        F.count(finite).alias("inside"),
-        F.min(finite).alias("low"),
-        F.max(finite).alias("high"),
+        F.min("x").alias("least"),
+        F.max("x").alias("most"),
+        F.percentile_approx("x", ends, ACCURACY).alias("ends"),
     )
     asked = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(float(p)).alias("share")) for i, p in enumerate(probabilities)])
-    position = F.col("ask.share") * (F.col("n") - 1)
-    asks = ranges.withColumn("ask", F.explode(asked)).withColumn("position", position)
-    asks = asks.withColumn("ranks", F.array_distinct(F.array(F.floor("position"), F.ceil("position"))))
-    asks = asks.select("g", "c", "n", "below", "inside", "low", "high", F.col("ask.p").alias("p"), "position", F.explode("ranks").alias("rank"))
+    asks = sketched.withColumn("ask", F.explode(asked)).withColumn("position", F.col("ask.share") * (F.col("n") - 1))
+    few = F.col("n") <= BUCKETS
+    low = F.when(few | (F.col("ask.share") <= REACH), F.col("least")).otherwise(F.element_at("ends", 2 * F.col("ask.p") + 1))
+    high = F.when(few | (F.col("ask.share") >= 1 - REACH), F.col("most")).otherwise(F.element_at("ends", 2 * F.col("ask.p") + 2))
+    ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
+    asks = asks.select(
+        "g", "c", F.col("ask.p").alias("p"), F.when(few, -1).otherwise(F.col("ask.p")).alias("b"),
+        "position", F.explode(ranks).alias("rank"), low.alias("low"), high.alias("high"), "least", "most",
+    )
     asks = materialise(asks, "ranks")
-    known = (
-        F.when(F.col("rank") < F.col("below"), -INFINITY)
-        .when(F.col("rank") >= F.col("below") + F.col("inside"), INFINITY)
-        .when(F.col("low") == F.col("high"), F.col("low"))
-        .when(F.col("rank") == F.col("below"), F.col("low"))
-        .when(F.col("rank") == F.col("below") + F.col("inside") - 1, F.col("high"))
-    )
-    ranks = asks.select("g", "c", "rank", "low", "high", "below", known.alias("value")).distinct()
-    now = materialise(ranks, "brackets")
-    closed = now.filter("value IS NOT NULL").select("g", "c", "rank", "value")
-    open_ranks = now.filter("value IS NULL").drop("value")
-    while not open_ranks.isEmpty():
-        now = materialise(_narrowed(values, open_ranks), "brackets")
-        closed = closed.union(now.filter("low = high").select("g", "c", "rank", F.col("low").alias("value")))
-        open_ranks = now.filter("low < high")
+    while True:
+        counted = materialise(_counted(values, asks.select(*GROUP, "low", "high").distinct()), "inside")
+        placed = materialise(_placed(counted, asks), "brackets")
+        state = placed.agg(F.count_if("missed").alias("missed"), F.max("distinct").alias("distinct")).first()
+        if not state.missed:
+            break
+        wide = placed.filter("missed").select(*[F.col(c).alias(f"w_{c}") for c in GROUP]).distinct()
+        same = F.col("g").eqNullSafe(F.col("w_g")) & (F.col("c") == F.col("w_c")) & (F.col("b") == F.col("w_b"))
+        widened = asks.join(wide, same, "left")
+        for end, limit in (("low", "least"), ("high", "most")):
+            widened = widened.withColumn(end, F.when(F.col("w_b").isNotNull(), F.col(limit)).otherwise(F.col(end)))
+        asks = materialise(widened.drop("w_g", "w_c", "w_b"), "ranks")
+    known = placed.filter("value IS NOT NULL").select(*GROUP, "rank", "value")
+    rest = placed.filter("value IS NULL").select(*GROUP, "rank", "low", "high", "below").distinct()
+    most = state.distinct or 0
+    while most > BUCKETS:
+        narrowed = materialise(_narrowed(counted, rest), "brackets")
+        rest, most = narrowed.drop("distinct"), narrowed.agg(F.max("distinct")).first()[0] or 0
+    closed = known.distinct().unionByName(_sorted(counted, rest))
     found = asks.alias("a").join(closed.alias("v"), _same("a", "v") & (F.col("a.rank") == F.col("v.rank")))
-    ends = found.groupBy("a.g", "a.c", "a.p", "a.position").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    both = found.groupBy("a.g", "a.c", "a.p", "a.position").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     share = F.col("position") - F.floor("position")
     between = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * share)
-    return ends.select("g", "c", "p", between.alias("value"))
+    return both.select("g", "c", "p", between.alias("value"))
+
+
+def _same(left: str, right: str, names: tuple[str, ...] = ("c", "b")) -> Column:
+    found = F.col(f"{left}.g").eqNullSafe(F.col(f"{right}.g"))
+    for name in names:
+        found = found & (F.col(f"{left}.{name}") == F.col(f"{right}.{name}"))
+    return found
+
+
+def _counted(values: DataFrame, brackets: DataFrame) -> DataFrame:
+    """``g, c, b, x, m``: how many rows have each value inside a bracket; x is null for all below it."""
+    both = values.alias("v").join(brackets.alias("b"), _same("v", "b", ("c",)) & (F.col("v.x") <= F.col("b.high")))
+    # 0.0 and -0.0 are one value.
+    inside = F.when(F.col("x") >= F.col("b.low"), F.col("x") + F.lit(0.0)).alias("x")
+    return both.groupBy("v.g", "v.c", "b.b", inside).agg(F.count("*").alias("m"))
+
+
+def _placed(counted: DataFrame, asks: DataFrame) -> DataFrame:
+    """Every rank with its bracket between finite values and the rows below; an infinite value is known at once."""
+    finite = F.when(F.abs("x") != INFINITY, F.col("x"))
+
+    def rows(which: Column) -> Column:
+        return F.coalesce(F.sum(F.when(which, F.col("m"))), F.lit(0))
+
+    sums = counted.groupBy(*GROUP).agg(
+        rows(F.col("x").isNull()).alias("under"),
+        rows(F.col("x").isNotNull()).alias("inside"),
+        rows(F.col("x") == -INFINITY).alias("first"),
+        rows(F.col("x") == INFINITY).alias("last"),
+        F.count(finite).alias("distinct"),
+        F.min(finite).alias("low"),
+        F.max(finite).alias("high"),
+    )
+    both = asks.drop("low", "high").alias("a").join(sums.alias("s"), _same("a", "s"))
+    below, upto = F.col("under") + F.col("first"), F.col("under") + F.col("inside")
+    value = F.when(F.col("rank") < below, -INFINITY).when(F.col("rank") >= upto - F.col("last"), INFINITY).when(F.col("low") == F.col("high"), F.col("low"))
+    missed = (F.col("rank") < F.col("under")) | (F.col("rank") >= upto)
+    return both.select("a.g", "a.c", "a.b", "rank", "low", "high", below.alias("below"), "distinct", value.alias("value"), missed.alias("missed"))
+
+
+def _within(counted: DataFrame, ranks: DataFrame) -> DataFrame:
+    brackets = ranks.select(*GROUP, "low", "high").distinct()
+    return counted.alias("v").join(brackets.alias("b"), _same("v", "b") & F.col("v.x").between(F.col("b.low"), F.col("b.high")))
 
 
-def _same(left: str, right: str) -> Column:
-    return F.col(f"{left}.g").eqNullSafe(F.col(f"{right}.g")) & (F.col(f"{left}.c") == F.col(f"{right}.c"))
+def _sorted(counted: DataFrame, ranks: DataFrame) -> DataFrame:
+    """The value at every rank; a bracket holds at most ``BUCKETS`` values."""
+    rows = _within(counted, ranks).select("v.g", "v.c", "v.b", "x", "m", F.col("b.low").alias("of"))
+    before = F.sum("m").over(W.partitionBy(*GROUP, "of").orderBy("x")) - F.col("m")
+    rows = rows.withColumn("before", before)
+    found = ranks.alias("r").join(rows.alias("k"), _same("r", "k") & (F.col("r.low") == F.col("k.of")))
+    offset = F.col("rank") - F.col("below") - F.col("before")
+    return found.filter((offset >= 0) & (offset < F.col("m"))).select("r.g", "r.c", "r.b", "rank", F.col("x").alias("value"))
 
 
-def _narrowed(values: DataFrame, open_ranks: DataFrame) -> DataFrame:
+def _narrowed(counted: DataFrame, ranks: DataFrame) -> DataFrame:
     """Every rank with the bucket that holds it: ends are values, so each pass leaves out one value at least."""
-    brackets = open_ranks.select("g", "c", "low", "high").distinct()
-    inside = F.col("v.x").between(F.col("b.low"), F.col("b.high"))
-    both = values.alias("v").join(brackets.alias("b"), _same("v", "b") & inside)
     width = F.col("b.high") - F.col("b.low")
-    # Halved where the width overflows.
-    place = F.when(width < INFINITY, (F.col("x") - F.col("b.low")) / width).otherwise(
-        (F.col("x") / 2 - F.col("b.low") / 2) / (F.col("b.high") / 2 - F.col("b.low") / 2)
+    # Halved where the width overflows; a bracket of one value has one bucket.
+    place = F.when(width == 0, 0.0).when(width < INFINITY, F.try_divide(F.col("x") - F.col("b.low"), width)).otherwise(
+        F.try_divide(F.col("x") / 2 - F.col("b.low") / 2, F.col("b.high") / 2 - F.col("b.low") / 2)
     )
     bucket = F.least(F.floor(place * BUCKETS), F.lit(BUCKETS - 1)).alias("bucket")
-    counted = both.groupBy("v.g", "v.c", F.col("b.low").alias("of"), bucket)
-    counted = counted.agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    buckets = _within(counted, ranks).groupBy("v.g", "v.c", "v.b", F.col("b.low").alias("of"), bucket)
+    buckets = buckets.agg(F.sum("m").alias("m"), F.count("x").alias("distinct"), F.min("x").alias("low"), F.max("x").alias("high"))
     # At most BUCKETS rows of one bracket.
-    upto = F.sum("n").over(W.partitionBy("g", "c", "of").orderBy("bucket")) - F.col("n")
-    counted = counted.withColumn("before", upto)
-    found = open_ranks.alias("r").join(counted.alias("k"), _same("r", "k") & (F.col("r.low") == F.col("k.of")))
-    offset = F.col("r.rank") - F.col("r.below") - F.col("k.before")
-    found = found.filter((offset >= 0) & (offset < F.col("k.n")))
-    return found.select("r.g", "r.c", "r.rank", "k.low", "k.high", (F.col("r.below") + F.col("k.before")).alias("below"))
+    before = F.sum("m").over(W.partitionBy(*GROUP, "of").orderBy("bucket")) - F.col("m")
+    buckets = buckets.withColumn("before", before)
+    found = ranks.alias("r").join(buckets.alias("k"), _same("r", "k") & (F.col("r.low") == F.col("k.of")))
+    offset = F.col("rank") - F.col("below") - F.col("before")
+    found = found.filter((offset >= 0) & (offset < F.col("m")))
+    return found.select("r.g", "r.c", "r.b", "rank", "k.low", "k.high", (F.col("below") + F.col("before")).alias("below"), "distinct")
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float]]:

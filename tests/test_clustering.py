@@ -5,9 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwise.operators import distance_tree, kmeans, scaling, segments, silhouette
+from cartwise.operators import distance_tree, kmeans, quantiles, scaling, segments, silhouette
 from cartwise.operators.knn import knn_impute
-from cartwise.operators.quantiles import exact_quantiles, quantile_table
+from cartwise.operators.quantiles import approximate_quantiles, exact_quantiles, quantile_table
 from cartwise.plans import clustering
 
 RFM = clustering.FEATURES
@@ -46,6 +46,39 @@ def test_quantiles_with_infinities_and_extremes(table):
     assert exact_quantiles(data.filter("x IS NULL"), ["x"], [0.5]) == {}
 
 
+def test_quantiles_of_large_groups_from_brackets(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    x = np.concatenate([np.exp(rng.normal(0, 4, 30_000)), np.full(9_000, 2.5), [-np.inf, np.inf, np.inf, 0.0, -0.0]])
+    frame = pd.DataFrame({"x": x, "g": rng.integers(0, 2, len(x))})
+    df = spark.createDataFrame(frame).repartition(6)
+    probabilities = [0, 0.001, 0.2, 0.5, 0.77777, 0.9999, 1]
+    exact = [np.quantile(x, p) for p in probabilities]
+    reads = []
+    counted = quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *a: reads.append(1) or counted(*a))
+    assert exact_quantiles(df, ["x"], probabilities)["x"][1:-1] == pytest.approx(exact[1:-1], rel=1e-12)
+    assert len(reads) == 1  # no bracket missed its rank
+    monkeypatch.setattr(quantiles, "BUCKETS", 8)  # many passes over what was counted
+    assert exact_quantiles(df, ["x"], probabilities)["x"][1:-1] == pytest.approx(exact[1:-1], rel=1e-12)
+    monkeypatch.setattr(quantiles, "REACH", 0.0)  # brackets too narrow for most ranks are widened
+    monkeypatch.setattr(quantiles, "ACCURACY", 20)
+    assert exact_quantiles(df, ["x"], probabilities)["x"][1:-1] == pytest.approx(exact[1:-1], rel=1e-12)
+
+
+def test_approximate_quantiles_keep_their_error(spark):
+    x = np.random.default_rng(13).permutation(20_000).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "g": x % 2})).repartition(7)
+    probabilities = [0.01, 0.25, 0.5, 0.9]
+    for error in (0.05, 0.001):
+        rows = approximate_quantiles(df, ["x"], probabilities, error).collect()
+        assert sorted(r.p for r in rows) == [0, 1, 2, 3]
+        assert all(abs(r.value - probabilities[r.p] * 20_000) <= error * 20_000 + 1 for r in rows)
+    grouped = approximate_quantiles(df, ["x"], [0.5], 0.01, by="g").collect()
+    assert len(grouped) == 2 and all(abs(r.value - 10_000) <= 202 for r in grouped)
+    with pytest.raises(ValueError):
+        approximate_quantiles(df, ["x"], [0.5], 0)
+
+
 def test_medians_of_many_groups(spark):
     rows = spark.range(30000).selectExpr("id % 1500 AS g", "CASE WHEN id % 1500 <> 7 THEN CAST(id AS DOUBLE) END AS x")
     found = {r.g: r.x for r in segments.median_by_group(rows, "g", ["x"]).collect()}
