@@ -7,18 +7,17 @@ quadratic. Instead:
 
 1. Rows with the same coordinates are one point. A point needs at most its k first
    donors (by row key), since further ones can never be among the k nearest.
-2. Donor points are counted in a pyramid of grid cells, four cells per axis and
-   level, each with the box its points really span.
-3. Every receiver point walks down the pyramid and drops each cell that is farther
-   than the distance within which it already has k donors. What is left at the
-   finest level is compared point by point.
+2. Donors are parted by a k-d tree: Spark cuts every cell of too many donors at quantiles of
+   its widest axis, all cells of a level in one pass, until a cell has ``LEAF`` donors at most. A
+   far outlier takes a cell of its own and squeezes no others. Each cell has the box its points really span.
+3. Every receiver point walks down the tree and drops each cell that is farther
+   than the distance within which it already has k donors. The leaves that remain are compared point by point.
 
 The result is the exact one; ties go to the smaller row key.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,8 +26,12 @@ from pyspark.sql import functions as F
 
 from cartwise.session import materialise
 
-BRANCHING = 4
-MAX_LEVELS = 12
+#: Most donors of a leaf (or k, if that is more).
+LEAF = 64
+#: Parts that the quantiles of a cell make.
+PARTS = 16
+#: The cuts need no exact rank, since a cell that is still too large is cut again.
+ACCURACY = 1_000
 
 
 def knn_impute(df: DataFrame, key: str, features: list[str], k: int = 2) -> DataFrame:
@@ -123,77 +126,65 @@ def nearest(queries: DataFrame, donors: DataFrame, axes: list[str], k: int) -> D
     # many donors sends only k rows per task.
     order = W.partitionBy(*axes).orderBy("donor")
     kept = donors.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
-    kept = materialise(kept, "knn-donors")
-    low, step, levels = _grid(kept, axes)
+    cells, placed = partition(kept, axes, max(LEAF, k))
 
-    def cell(column: Column, axis: str, level: int) -> Column:
-        return F.floor((column - F.lit(low[axis])) / F.lit(step * BRANCHING**level))
-
-    ids = [f"c_{a}" for a in axes]
-    rows = kept.select(*axes, F.explode(F.array(*[F.lit(n) for n in range(levels)])).alias("level"))
-    width = F.lit(step) * F.pow(F.lit(float(BRANCHING)), F.col("level"))
-    rows = rows.withColumns({f"c_{a}": F.floor((F.col(a) - F.lit(low[a])) / width) for a in axes})
-    boxes = [f(F.col(a)).alias(f"{side}_{a}") for a in axes for side, f in (("min", F.min), ("max", F.max))]
-    pyramid = materialise(rows.groupBy("level", *ids).agg(F.count(F.lit(1)).alias("n"), *boxes), "knn-cells")
-
-    # Every query starts at all cells of the highest level, at most four per axis.
     point = [f"q_{a}" for a in axes]
-    frontier = queries.select(*[F.col(a).alias(f"q_{a}") for a in axes])
+    near, far = F.lit(0.0), F.lit(0.0)
     for a in axes:
-        frontier = frontier.withColumn(f"p_{a}", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(BRANCHING - 1).cast("long"))))
-    top = levels - 1
-    for level in reversed(range(levels)):
-        children = pyramid.where(F.col("level") == level).select(
-            "n",
-            *ids,
-            *[F.col(f"{side}_{a}") for a in axes for side in ("min", "max")],
-            *[(F.col(f"c_{a}") if level == top else F.floor(F.col(f"c_{a}") / BRANCHING)).alias(f"p_{a}") for a in axes],
-        )
-        near, far = F.lit(0.0), F.lit(0.0)
-        for a in axes:
-            q, lo, hi = F.col(f"q_{a}"), F.col(f"min_{a}"), F.col(f"max_{a}")
-            gap = F.greatest(lo - q, q - hi, F.lit(0.0))
-            span = F.greatest(F.abs(lo - q), F.abs(q - hi))
-            near, far = near + gap * gap, far + span * span
-        seen = frontier.join(children, [f"p_{a}" for a in axes]).withColumns({"near": near, "far": far})
+        q, lo, hi = F.col(f"q_{a}"), F.col(f"min_{a}"), F.col(f"max_{a}")
+        gap = F.greatest(lo - q, q - hi, F.lit(0.0))
+        span = F.greatest(F.abs(lo - q), F.abs(q - hi))
+        near, far = near + gap * gap, far + span * span
+    # Every query starts at all children of the root, 2 * PARTS at most, or at a root that is a leaf.
+    start = F.array(*[F.lit(r.cell) for r in cells[:2][-1].select("cell").collect()]).cast("array<string>")
+    frontier = queries.select(*[F.col(a).alias(f"q_{a}") for a in axes], F.explode(start).alias("at"))
+    leaves = None
+    for i, level in enumerate(cells[:2][-1:] + cells[2:]):
+        seen = frontier.join(level.withColumn("at", F.col("parent" if i else "cell")), "at")
+        seen = seen.select(*point, "cell", "n", "leaf", near.alias("near"), far.alias("far"))
+        if leaves is not None:
+            seen = seen.unionByName(leaves)
         # Smallest distance within which k donors are certain.
         by_far = W.partitionBy(*point).orderBy("far").rangeBetween(W.unboundedPreceding, W.currentRow)
         seen = seen.withColumn("within", F.sum("n").over(by_far))
         reach = F.min(F.when(F.col("within") >= k, F.col("far"))).over(W.partitionBy(*point))
         seen = seen.withColumn("reach", reach).where(F.col("reach").isNull() | (F.col("near") <= F.col("reach")))
-        frontier = seen.select(*point, *[F.col(f"c_{a}").alias(f"p_{a}") for a in axes])
+        seen = materialise(seen.select(*point, "cell", "n", "leaf", "near", "far"), "knn-frontier")
+        frontier, leaves = seen.where("NOT leaf").select(*point, F.col("cell").alias("at")), seen.where("leaf")
 
     distance = F.lit(0.0)
     for a in axes:
         distance = distance + (F.col(f"q_{a}") - F.col(a)) * (F.col(f"q_{a}") - F.col(a))
-    placed = kept.withColumns({f"p_{a}": cell(F.col(a), a, 0) for a in axes})
-    pairs = frontier.join(placed, [f"p_{a}" for a in axes]).withColumn("distance", distance)
+    pairs = leaves.select(*point, "cell").join(placed, "cell").withColumn("distance", distance)
     ranked = pairs.withColumn("rank", F.row_number().over(W.partitionBy(*point).orderBy("distance", "donor")))
     return ranked.where(F.col("rank") <= k).select(*point, "donor", "value", "distance")
 
 
-def _grid(donors: DataFrame, axes: list[str]) -> tuple[dict[str, float], float, int]:
-    """Origin per axis, side of the finest cell, and number of levels.
+def partition(donors: DataFrame, axes: list[str], most: int) -> tuple[list[DataFrame], DataFrame]:
+    """The cells by level, from the root down, and the donors with their leaf (``cell``).
 
-    Whole-number axes get cells of side 1; others two levels more than the donors
-    would need if spread evenly, so that a far outlier, which widens the range, still
-    leaves few points per finest cell.
+    A cell: ``cell, parent, n, leaf`` and the box of its donors. A leaf has at most ``most`` donors, which needs
+    that no point has more.
     """
-    stats = donors.agg(
-        *[F.min(a).alias(f"min_{a}") for a in axes],
-        *[F.max(a).alias(f"max_{a}") for a in axes],
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.greatest(*[F.abs(F.col(a) - F.floor(a)) for a in axes], F.lit(0.0))).alias("fraction"),
-    ).first()
-    if stats.fraction is None:
-        return {a: 0.0 for a in axes}, 1.0, 1
-    spread = max(stats[f"max_{a}"] - stats[f"min_{a}"] for a in axes)
-    low = {a: stats[f"min_{a}"] for a in axes}
-    if stats.fraction == 0.0:
-        levels = max(1, math.ceil(math.log(spread + 1, BRANCHING)))
-        levels = min(levels, MAX_LEVELS)
-        step = max(1.0, (spread + 1) / BRANCHING**levels)
-    else:
-        levels = min(math.ceil(math.log(stats.n, BRANCHING)) + 2, MAX_LEVELS)
-        step = spread / BRANCHING**levels * (1 + 1e-9)
-    return low, step or 1.0, levels
+    rest = materialise(donors.withColumns({"cell": F.lit("0"), "parent": F.lit("")}), "knn-donors")
+    cuts = [i / PARTS for i in range(1, PARTS)]
+    levels, leaves = [], []
+    while True:
+        boxes = [f(F.col(a)).alias(f"{side}_{a}") for a in axes for side, f in (("min", F.min), ("max", F.max))]
+        cells = rest.groupBy("cell", "parent").agg(F.count(F.lit(1)).alias("n"), *boxes).withColumn("leaf", F.col("n") <= most)
+        cells = materialise(cells, "knn-cells")
+        levels.append(cells)
+        widths = F.array(*[F.col(f"max_{a}") - F.col(f"min_{a}") for a in axes])
+        widest = F.array_position(widths, F.array_max(widths)).cast("int").alias("axis")
+        marked = rest.drop("parent").join(cells.select("cell", "leaf", widest), "cell")
+        leaves.append(marked.where("leaf").drop("leaf", "axis"))
+        if cells.where("NOT leaf").isEmpty():
+            return levels, reduce(DataFrame.unionByName, leaves)
+        opened = marked.where("NOT leaf").withColumn("along", F.element_at(F.array(*axes), F.col("axis")))
+        edges = opened.groupBy("cell").agg(F.percentile_approx("along", cuts, ACCURACY).alias("edges"))
+        cut = opened.join(materialise(edges, "knn-edges"), "cell")
+        # Values below, at and above an edge part, so that every cut of two different values makes smaller cells.
+        part = F.size(F.filter("edges", lambda e: e < F.col("along"))) + F.size(F.filter("edges", lambda e: e <= F.col("along")))
+        child = F.concat_ws(".", "cell", part.cast("string"))
+        rest = cut.select(*donors.columns, child.alias("cell"), F.col("cell").alias("parent"))
+        rest = materialise(rest, "knn-donors")

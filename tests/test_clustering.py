@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwise.operators import distance_tree, kmeans, quantiles, scaling, segments, silhouette
+from cartwise.operators import distance_tree, kmeans, knn, quantiles, scaling, segments, silhouette
 from cartwise.operators.knn import knn_impute
 from cartwise.operators.quantiles import approximate_quantiles, exact_quantiles, quantile_table
 from cartwise.plans import clustering
@@ -186,6 +186,26 @@ def test_impute_far_outliers(spark):
     same(imputed(spark, rows), brute_force_impute(rows))
 
 
+def test_donors_squeezed_by_an_outlier_part_into_small_leaves(spark):
+    rng = np.random.default_rng(21)
+    points = rng.random((200_000, 2))
+    points[0] = 1e12, -1e12  # on an even grid all other donors share one cell
+    points[1:50_000, 0] = 0.25  # a hot value of one axis
+    frame = pd.DataFrame(points, columns=["a", "b"]).assign(donor=range(len(points)), value=rng.random(len(points)))
+    df = spark.createDataFrame(frame).repartition(8)
+    cells, placed = knn.partition(df, ["a", "b"], 64)
+    sizes = [r["count"] for r in placed.groupBy("cell").count().collect()]
+    assert max(sizes) <= 64 and sum(sizes) == 200_000 and len(cells) <= 6
+    queries = np.concatenate([rng.random((20, 2)), [[0.25, 0.5], [1e12, 0.0], [-5.0, 5.0]]])
+    found = knn.nearest(spark.createDataFrame(pd.DataFrame(queries, columns=["a", "b"])), df, ["a", "b"], 3).collect()
+    assert len(found) == 3 * len(queries)
+    for q in queries:
+        distance = ((points - q) ** 2).sum(1)
+        expected = sorted(zip(distance, range(len(points))))[:3]
+        near = sorted((r.distance, r.donor) for r in found if (r.q_a, r.q_b) == tuple(q))
+        assert [n[1] for n in near] == [e[1] for e in expected]
+
+
 def test_impute_fractions_and_several_gaps(spark):
     rng = np.random.default_rng(4)
 
