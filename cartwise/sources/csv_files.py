@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,7 +79,73 @@ def _converted(df: DataFrame, schema: T.StructType) -> dict[str, T.DataType]:
 def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Every column as text, header stripped, missing-value tokens null."""
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline)
-    return nulls_from_tokens(strip_header(reader.csv(path)))
+    if not multiline:
+        return nulls_from_tokens(strip_header(reader.csv(path)))
+    schema = reader.csv(path).schema  # reads the header alone
+    parsed = F.from_csv("record", _ddl(schema), CSV_OPTIONS)
+    rows = csv_records(spark, path).where("NOT header").select(parsed.alias("row"))
+    return nulls_from_tokens(strip_header(rows.select("row.*")))
+
+
+CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true"}
+#: What stands inside quotes, and whole fields with the comma behind them; possessive, since neither can end elsewhere.
+_QUOTED = r'(?:[^"]++|"")*+'
+_FIELDS = rf'(?:[^",][^,]*+,|,|"{_QUOTED}"[^,]*+,)*+'
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """``record, header``: the records of a CSV whose quoted fields hold line breaks, read by many tasks.
+
+    Every line is a map from the state it is entered in (outside or inside quotes) to the one it leaves. A split of a
+    file composes the maps of its lines, and the composed maps of the splits before it say how it is entered; only
+    then is a line known to begin a record or to go on with one. Only records of several lines are put
+    together in a shuffle. A line ends with a line feed, with or without a carriage return, and a quoted line break is a line
+    feed in the record; empty lines are skipped; a quote that never closes takes the rest of its file. A record is held whole by one task.
+    """
+    place = {"file": F.col("_metadata.file_path"), "split": F.col("_metadata.file_block_start")}
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), *[c.alias(n) for n, c in place.items()], F.monotonically_increasing_id().alias("at"))
+    from_outside = F.col("value").rlike(rf'^{_FIELDS}"{_QUOTED}$').cast("int")
+    from_inside = F.col("value").rlike(rf'^{_QUOTED}(?:$|"[^,]*+,{_FIELDS}"{_QUOTED}$)').cast("int")
+    # A line that has no quote keeps the state; one map in four turns it, the others set it.
+    lines = lines.withColumns({"o": from_outside, "i": from_inside})
+    lines = lines.withColumns({"turns": ((F.col("o") == 1) & (F.col("i") == 0)).cast("int"), "sets": F.when(F.col("o") == F.col("i"), F.col("o"))})
+    in_split = W.partitionBy("file", "split").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)
+    lines = lines.withColumn("turned", F.sum("turns").over(in_split) % 2)
+    # The last line that sets the state, less the turns up to it; the turns since then follow from those up to here.
+    lines = lines.withColumn("set", F.last(F.col("sets").bitwiseXOR(F.col("turned").cast("int")), ignorenulls=True).over(in_split))
+    split = lines.groupBy("file", "split").agg(F.max_by("turned", "at").alias("turned"), F.max_by(F.struct("set"), "at").alias("set"))
+    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    upto = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # One row for each split of a file.
+    split = split.withColumn("turns", F.sum("turned").over(upto) % 2)
+    exits = F.col("set.set").bitwiseXOR(F.col("turned").cast("int")).bitwiseXOR(F.col("turns").cast("int"))
+    entered = F.coalesce(F.last(exits, ignorenulls=True).over(before), F.lit(0))
+    split = split.withColumn("entered", entered.bitwiseXOR(F.coalesce(F.sum("turned").over(before) % 2, F.lit(0)).cast("int")))
+    split = materialise(split.select("file", "split", "entered"), "csv-splits")
+    lines = lines.join(split, ["file", "split"])
+    leaves = F.coalesce(F.col("set"), F.col("entered")).bitwiseXOR(F.col("turned").cast("int"))
+    lines = lines.withColumn("leaves", leaves)
+    step = W.partitionBy("file", "split").orderBy("at")
+    lines = lines.withColumn("enters", F.coalesce(F.lag("leaves").over(step), F.col("entered")))
+    lines = lines.withColumn("first", (F.col("enters") == 0).cast("int"))
+    lines = lines.withColumn("number", F.sum("first").over(in_split)).select("value", "file", "split", "at", "first", "leaves", "number")
+    lines = materialise(lines, "csv-lines")
+    whole = lines.where("first = 1 AND leaves = 0").select("file", "split", "number", F.col("value").alias("record"))
+    # Lines before a split's first record go on with the last record of the nearest split before that has one.
+    counts = lines.groupBy("file", "split").agg(F.max("number").alias("records"))
+    owner = F.last(F.when(F.col("records") > 0, F.struct(F.col("split").alias("s"), F.col("records").alias("r"))), ignorenulls=True).over(before)
+    owners = materialise(counts.withColumn("owner", owner).select("file", "split", "owner"), "csv-owners")
+    parts = lines.where("first = 0 OR leaves = 1").join(owners, ["file", "split"])
+    of = F.when(F.col("number") > 0, F.struct(F.col("split").alias("s"), F.col("number").alias("r"))).otherwise(F.col("owner"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("split", "at", "value"))), lambda p: p.value), "\n")
+    parts = parts.groupBy("file", of.alias("of")).agg(joined.alias("record"))
+    records = whole.unionByName(parts.select("file", F.col("of.s").alias("split"), F.col("of.r").alias("number"), "record"))
+    records = records.where("record <> ''")
+    return records.select("record", (F.struct("split", "number") == F.struct(F.lit(0).cast("long"), F.lit(1).cast("long"))).alias("header"))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
 
 
 def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:

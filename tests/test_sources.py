@@ -1,5 +1,7 @@
 """CSV folders, type declarations and the load job."""
 
+import random
+
 import pytest
 
 from cartwise.operators.quality import check_tables, profile
@@ -58,6 +60,32 @@ def test_quoted_line_breaks(spark, folder):
     assert ("r1", None, 'two\nlines, "quoted"') in texts and len(texts) == 2
 
 
+def test_quoted_line_breaks_on_split_edges(spark, tmp_path):
+    rng = random.Random(4)
+    words = ["plain", "5 inch", 'say ""hi""', "a,b", "\n", "\n\n", '""', "\nx,\"\"y\"\"\n", "", "é\n"]
+    lines = ["id,text,note"]
+    for i in range(600):
+        quoted = "".join(rng.choices(words, k=rng.randrange(9)))
+        lines.append(f'{i},"{quoted}",' + rng.choice(["", "NA", "end", '5" pipe', '"\n"', '"last, one"']))
+        if i % 50 == 0:
+            lines.append("")
+    lines[300] = '299,"' + "long\nline," * 900 + '",x'  # goes on over several splits
+    (tmp_path / "many.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    (tmp_path / "windows.csv").write_bytes(b'a,b\r\n1,"x\r\ny"\r\n2,z\r\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        for name in ("many.csv", "windows.csv"):
+            path = str(tmp_path / name)
+            one = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(path)  # one task
+            expected = sorted(map(str, csv_files.nulls_from_tokens(one).collect()))
+            assert sorted(map(str, csv_files.read_raw(spark, path, multiline=True).collect())) == expected
+        assert len(expected) == 2
+        assert spark.read.option("lineSep", "\n").text(str(tmp_path / "many.csv")).rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_missing_file_is_skipped(spark, folder, capsys):
     assert csv_files.read_folder(spark, folder, "nowhere.csv") == {}
     assert "skipped" in capsys.readouterr().out
