@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions import dates, text
 from cartwise.functions.geo import mercator_x, mercator_y
-from cartwise.operators import joins, kmeans, locations, quality, rows, scaling, segments, silhouette, translate
+from cartwise.operators import distinct, joins, kmeans, locations, quality, quantiles, rows, scaling, segments, silhouette, translate
 from cartwise.operators.knn import knn_impute
 from cartwise.plans import clustering, views
 from cartwise.plans.load import load_folder
@@ -212,11 +212,11 @@ def load_folder_all(r):
     return reduce(DataFrame.union, parts)
 
 
-@query("empty_typed_table", "SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders WHERE o_orderstatus = 'F'")
+@query("empty_typed_table", "SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders")
 def empty_typed_table(r):
     # A table that starts empty with its declared columns and is filled afterwards.
     path = scratch_path(r.spark, "table")
-    filled = r.orders.filter(F.col("order_status") == "F").select("order_id", "customer_id")
+    filled = r.orders.select("order_id", "customer_id")
     tables.replace_table(tables.empty_table(r.spark, filled.schema), path)
     return tables.append_table(filled, path)
 
@@ -599,6 +599,40 @@ def column_cardinality(r):
     return table.agg(*[F.count_distinct(c).alias(c) for c in RFM])
 
 
+@query(
+    "distinct_sketches",
+    """SELECT o_orderstatus AS order_status, count(DISTINCT o_custkey) AS customers, TRUE AS within FROM orders GROUP BY 1
+    UNION ALL SELECT 'all', count(DISTINCT o_custkey), TRUE FROM orders""",
+)
+def distinct_sketches(r):
+    # Sketches by status, merged to one of all orders, next to the exact counts.
+    parts = materialise(distinct.distinct_sketches(r.orders, ["order_status"], ["customer_id"]), "sketches")
+    everything = distinct.merge_sketches(parts.withColumn("order_status", F.lit("all")), ["order_status"], ["customer_id"])
+    found = distinct.estimates(parts.unionByName(everything), ["customer_id"])
+    orders = r.orders.withColumn("order_status", F.explode(F.array("order_status", F.lit("all"))))
+    exact = orders.groupBy("order_status").agg(F.count_distinct("customer_id").alias("customers"))
+    close = F.abs(F.col("customer_id") - F.col("customers")) <= F.col("customers") * distinct.relative_error()
+    return exact.join(found, "order_status").select("order_status", "customers", close.alias("within"))
+
+
+@query(
+    "quantile_approximate",
+    with_roles(" UNION ALL ".join(f"SELECT '{c}' AS column_name, i AS place, count({c}) AS n, TRUE AS within FROM rfm, range(5) AS t(i) GROUP BY i" for c in RFM), "rfm"),
+)
+def quantile_approximate(r):
+    # The rank of every value found lies within the stated error of the wanted one.
+    table, error, asked = materialise(_rfm(r), "rfm"), 0.01, [0.1, 0.25, 0.5, 0.75, 0.9]
+    found = quantiles.approximate_quantiles(table, RFM, asked, error)
+    long = table.select(*[F.col(c).cast("double") for c in RFM]).unpivot([], RFM, "c", "x").where("x IS NOT NULL")
+    share = F.element_at(F.array(*[F.lit(a) for a in asked]), F.col("p").cast("int") + 1)
+    counts = long.join(found, "c").groupBy("c", "p").agg(
+        F.count("*").alias("n"), F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto")
+    )
+    slack = F.col("n") * error + 1
+    close = (F.col("below") <= F.col("n") * share + slack) & (F.col("upto") >= F.col("n") * share - slack)
+    return counts.select(F.col("c").alias("column_name"), F.col("p").cast("long").alias("place"), "n", close.alias("within"))
+
+
 @query(
     "quantile_edges",
     with_roles(
@@ -1222,6 +1256,15 @@ def silhouette_euclidean(r):
     return rounded(silhouette.silhouette_euclidean(_labelled(r), RFM, "R"), 6, "silhouette", "lower", "upper")
 
 
+@query("silhouette_within", with_roles("SELECT count(*) AS n, TRUE AS narrow, TRUE AS encloses FROM points", "scaled", **_labelled_sql()))
+def silhouette_within(r):
+    # By the trees of the clusters, next to the exact score.
+    table = materialise(_labelled(r), "labelled")
+    exact = silhouette.silhouette_euclidean(table, RFM, "R").select("n", F.col("silhouette").alias("exact"))
+    found = silhouette.silhouette_euclidean(table, RFM, "R", tolerance=0.01).join(exact, "n")
+    return found.select("n", (F.col("upper") - F.col("lower") <= 0.01).alias("narrow"), F.col("exact").between(F.col("lower"), F.col("upper")).alias("encloses"))
+
+
 @query(
     "kmeans_predict",
     with_roles(

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cartwise.operators import distance_tree, kmeans, knn, quantiles, scaling, segments, silhouette
+from cartwise.operators import distance_tree, distinct, kmeans, knn, quantiles, scaling, segments, silhouette
 from cartwise.operators.knn import knn_impute
 from cartwise.operators.quantiles import approximate_quantiles, exact_quantiles, quantile_table
 from cartwise.plans import clustering
@@ -86,6 +86,17 @@ def test_medians_of_many_groups(spark):
     assert all(found[g] == g + 1500 * 9.5 for g in found if g != 7)
 
 
+def test_distinct_sketches_merge_like_the_whole(spark):
+    df = spark.range(60_000).selectExpr("id % 3 AS part", "id % 20000 AS a", "CASE WHEN id % 2 = 0 THEN id % 7 END AS b")
+    parts = distinct.distinct_sketches(df, ["part"], ["a", "b"])
+    whole = distinct.estimates(distinct.distinct_sketches(df, [], ["a", "b"]), ["a", "b"]).first()
+    merged = distinct.estimates(distinct.merge_sketches(parts, [], ["a", "b"]), ["a", "b"]).first()
+    assert merged.b == whole.b == 7
+    for row in (merged, whole):
+        assert abs(row.a - 20_000) <= 20_000 * distinct.relative_error()
+    assert abs(merged.a - whole.a) <= 20_000 * distinct.relative_error()
+
+
 def test_nan_has_no_score(table):
     data = table([(1.0,), (2.0,), (float("nan"),)], "x double")
     edges = segments.quantile_edges(data, ["x"])["x"]
