@@ -15,11 +15,17 @@ from pyspark.sql import functions as F
 from cartwise.functions.dates import floor_days_between, month_start, whole_days_between
 from cartwise.operators.joins import MERGE_KEY, merge, with_merge_key
 
+Join = Callable[[DataFrame, DataFrame, str], DataFrame]
 CUSTOMER_PLACE = ["customer_zip_code_prefix", "customer_city", "customer_state", "region"]
 RFM_AS_OF = "2019-01-01 00:00:00"
 MARGIN_RATE = 0.03
 
 
+def plain_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """How views join facts unless ``operators.hot_keys.hot_join`` is handed in."""
+    return left.join(right, key)
+
+
 def _regions(states: DataFrame) -> DataFrame:
     return states.select(F.col("abbreviation").alias("customer_state"), "region")
 
@@ -42,26 +48,25 @@ def customers_region_left(customers: DataFrame, states: DataFrame) -> DataFrame:
     return joined.select("customer_id", "customer_unique_id", *CUSTOMER_PLACE)
 
 
-def payments_orders_customers(payments: DataFrame, orders: DataFrame, customers: DataFrame, states: DataFrame) -> DataFrame:
+def payments_orders_customers(
+    payments: DataFrame, orders: DataFrame, customers: DataFrame, states: DataFrame, join: Join = plain_join
+) -> DataFrame:
     """Payments with order and customer place."""
     # Customers go to their orders first: orders are fewer and less skewed than payments.
     placed = orders.select("order_id", "customer_id", "order_purchase_timestamp").join(
         customers_region_inner(customers, states), "customer_id"
     )
-    return (
-        payments.select("order_id", "payment_value")
-        .join(placed, "order_id")
-        .select("order_id", "payment_value", "customer_id", "order_purchase_timestamp", *CUSTOMER_PLACE)
+    return join(payments.select("order_id", "payment_value"), placed, "order_id").select(
+        "order_id", "payment_value", "customer_id", "order_purchase_timestamp", *CUSTOMER_PLACE
     )
 
 
 def payments_orders_customers_items(
-    payments: DataFrame, orders: DataFrame, customers: DataFrame, states: DataFrame, items: DataFrame
+    payments: DataFrame, orders: DataFrame, customers: DataFrame, states: DataFrame, items: DataFrame, join: Join = plain_join
 ) -> DataFrame:
     """Payments times items of the same order: values repeat, do not sum them."""
-    return payments_orders_customers(payments, orders, customers, states).join(
-        items.select("order_id", "product_id", "seller_id", "price"), "order_id"
-    )
+    paid = payments_orders_customers(payments, orders, customers, states, join)
+    return join(paid, items.select("order_id", "product_id", "seller_id", "price"), "order_id")
 
 
 def payments_orders_customers_items_products(
@@ -98,7 +103,13 @@ def payments_orders_customers_items_products(
 
 
 def order_infos(
-    orders: DataFrame, items: DataFrame, reviews: DataFrame, sellers: DataFrame, customers: DataFrame, located: DataFrame
+    orders: DataFrame,
+    items: DataFrame,
+    reviews: DataFrame,
+    sellers: DataFrame,
+    customers: DataFrame,
+    located: DataFrame,
+    join: Join = plain_join,
 ) -> DataFrame:
     """Delivery dates with both positions and the review; one row per item and review."""
 
@@ -126,22 +137,19 @@ def order_infos(
     ]
     placed_orders = orders.select("order_id", "customer_id", *dates).join(placed_customers, "customer_id")
     placed_items = items.select("order_id", "seller_id").join(placed_sellers, "seller_id")
-    return (
-        placed_orders.join(placed_items, "order_id")
-        .join(reviews.select("order_id", "review_id", "review_creation_date"), "order_id")
-        .select(
-            "customer_id",
-            *dates,
-            "customer_zip_code_prefix",
-            "customer_lat",
-            "customer_lng",
-            "seller_id",
-            "seller_zip_code_prefix",
-            "seller_lat",
-            "seller_lng",
-            "review_id",
-            "review_creation_date",
-        )
+    reviewed = reviews.select("order_id", "review_id", "review_creation_date")
+    return join(join(placed_items, placed_orders, "order_id"), reviewed, "order_id").select(
+        "customer_id",
+        *dates,
+        "customer_zip_code_prefix",
+        "customer_lat",
+        "customer_lng",
+        "seller_id",
+        "seller_zip_code_prefix",
+        "seller_lat",
+        "seller_lng",
+        "review_id",
+        "review_creation_date",
     )
 
 

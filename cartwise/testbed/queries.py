@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from cartwise.functions import dates, text
 from cartwise.functions.geo import mercator_x, mercator_y
 from cartwise.operators import distinct, joins, kmeans, locations, quality, quantiles, rows, scaling, segments, silhouette, translate
+from cartwise.operators.hot_keys import frequent_keys, hot_join
 from cartwise.operators.knn import knn_impute
-from cartwise.plans import clustering, views
+from cartwise.plans import clustering, refresh, views
 from cartwise.plans.load import load_folder
 from cartwise.schemas import ENTITIES
 from cartwise.session import materialise, ready, scratch_path, tune
-from cartwise.sources import csv_files, tables
+from cartwise.sources import csv_files, snapshots, tables
 from cartwise.testbed.roles import AS_OF, Roles, with_roles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -780,6 +781,40 @@ def dimension_append(r):
     return rows.append_rows(r.translation, new, ["product_category_name"])
 
 
+@query("snapshot_upsert_sellers", ORACLES["geo_upsert_sellers"])
+def snapshot_upsert_sellers(r):
+    # The same centroid table, changed in place: only partitions that hold new zips are written again.
+    path = scratch_path(r.spark, "snapshot")
+    snapshots.overwrite(_centroids(r), path, [ZIP])
+    snapshots.append_missing(path, r.customers.select("customer_zip_code_prefix"), n=0)
+    missing = rows.missing_rows(snapshots.read(r.spark, path), ZIP, r.sellers.select("seller_zip_code_prefix"), n=0)
+    snapshots.upsert(path, missing)
+    return rounded(snapshots.read(r.spark, path), 6, LAT, LNG)
+
+
+@query("snapshot_update", ORACLES["update_by_key"])
+def snapshot_update(r):
+    path = scratch_path(r.spark, "snapshot")
+    snapshots.overwrite(r.base("customer").select("c_custkey", "c_name", "c_mktsegment"), path, ["c_custkey"])
+    changes = r.base("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderpriority").alias("c_mktsegment"))
+    snapshots.update_column(path, changes, "c_mktsegment")
+    return snapshots.read(r.spark, path)
+
+
+@query(
+    "snapshot_delete_append",
+    """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'
+    UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'""",
+)
+def snapshot_delete_append(r):
+    path = scratch_path(r.spark, "snapshot")
+    orders = r.base("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    snapshots.overwrite(orders, path, ["o_orderkey"])
+    snapshots.delete(path, orders.where("o_orderstatus = 'F'").select("o_orderkey"))
+    snapshots.append(path, orders.where("o_orderstatus = 'O'").withColumn("o_orderkey", -F.col("o_orderkey")))
+    return snapshots.read(r.spark, path)
+
+
 # --- Data quality ------------------------------------------------------------------------------
 
 
@@ -979,6 +1014,38 @@ def order_infos(r):
     return views.order_infos(r.orders, r.order_items, _clean_reviews(r), r.sellers, r.customers, located)
 
 
+def _hot(sizes: dict[str, DataFrame]):
+    """A join for views that spreads hot keys; the first side's keys are those of the facts it was made from."""
+    return lambda left, right, key: hot_join(left, right, key, left_keys=sizes[key], right_keys=None)
+
+
+@query("order_infos_hot_keys", ORACLES["order_infos"])
+def order_infos_hot_keys(r):
+    located = rounded(materialise(_located(r), "located"), 6, LAT, LNG)
+    join = _hot({"order_id": r.order_items})
+    return views.order_infos(r.orders, r.order_items, _clean_reviews(r), r.sellers, r.customers, located, join)
+
+
+@query("payments_orders_customers_items_hot_keys", ORACLES["payments_orders_customers_items"])
+def payments_orders_customers_items_hot_keys(r):
+    join = _hot({"order_id": r.order_payments})
+    return views.payments_orders_customers_items(r.order_payments, r.orders, r.customers, r.brazil_states, r.order_items, join)
+
+
+@query(
+    "frequent_keys",
+    """SELECT l_suppkey AS seller_id, count(*) AS n_rows FROM lineitem GROUP BY 1
+    HAVING count(*) >= 0.005 * (SELECT count(*) FROM lineitem)""",
+)
+def frequent_keys_exactly(r):
+    # The sketch names the candidates; their rows are counted.
+    share = 0.005
+    items = r.order_items.select("seller_id")
+    candidates = frequent_keys(items, "seller_id", share).select("seller_id")
+    counts = items.join(F.broadcast(candidates), "seller_id", "left_semi").groupBy("seller_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.where(F.col("n_rows") >= items.count() * share)
+
+
 @query("orders_customers", with_roles("SELECT * FROM placed_orders", "placed_orders"))
 def orders_customers(r):
     return views.orders_customers(r.orders, r.customers, r.brazil_states)
@@ -1082,6 +1149,39 @@ def last_frequency_monetary(r):
     return rounded(views.last_frequency_monetary(r.orders, r.customers, r.order_items), 2, "monetary_value")
 
 
+def _loads(r: Roles):
+    """Orders as they come in, in three loads by date; the last is handed in twice."""
+    cuts = ["1900-01-01", "1996-01-01", "2000-01-01", "2100-01-01"]
+    for load in (1, 2, 3, 3):
+        low, high = (F.lit(c).cast("timestamp_ntz") for c in cuts[load - 1 : load + 1])
+        yield load, r.orders.where((F.col("order_purchase_timestamp") >= low) & (F.col("order_purchase_timestamp") < high))
+
+
+@query("refreshed_persons", ORACLES["last_frequency_monetary"])
+def refreshed_persons(r):
+    path = scratch_path(r.spark, "state")
+    for load, orders in _loads(r):
+        items = r.order_items.join(orders.select("order_id"), "order_id", "left_semi")
+        refresh.load_persons(path, orders, r.customers, items, load)
+    return rounded(refresh.last_frequency_monetary(r.spark, path), 2, "monetary_value")
+
+
+@query("refreshed_new_customers_month", ORACLES["new_customers_month"])
+def refreshed_new_customers_month(r):
+    path = scratch_path(r.spark, "state")
+    for load, orders in _loads(r):
+        refresh.load_months(path, orders, r.customers, load)
+    return refresh.new_customers_month(r.spark, path)
+
+
+@query("refreshed_repurchases_month", ORACLES["repurchases_month"])
+def refreshed_repurchases_month(r):
+    path = scratch_path(r.spark, "state")
+    for load, orders in _loads(r):
+        refresh.load_months(path, orders, r.customers, load)
+    return refresh.repurchases_month(r.spark, path)
+
+
 @query("rfm", with_roles("SELECT * REPLACE (round(monetary_value, 2) AS monetary_value) FROM rfm", "rfm"))
 def rfm(r):
     return rounded(_rfm(r), 2, "monetary_value")
