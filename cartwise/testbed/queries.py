@@ -1499,9 +1499,39 @@ def kmeans_elbow(r):
     return rounded(found, 4, "inertia")
 
 
-@query("kmeans_sweep")
+def _sweep_roles(ks: list[int]) -> dict[str, str]:
+    """``scores``: the Euclidean silhouette of each k, every point weighing as often as it occurs."""
+    between = "sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2)"
+    return {
+        "sides_of": " UNION ALL ".join(f"SELECT {k} AS k, x, y, z, w, {_nearest('cs')} AS no FROM points, centers{k}" for k in ks),
+        "means": f"""SELECT a.k, a.x, a.y, a.z, a.w, a.no, b.no AS other, sum(b.w) AS n, sum(b.w * {between}) AS total
+            FROM sides_of a JOIN sides_of b ON a.k = b.k GROUP BY ALL""",
+        "sides": """SELECT k, x, y, z, w, max(CASE WHEN no = other THEN n END) AS n,
+            max(CASE WHEN no = other AND n > 1 THEN total / (n - 1) END) AS a, min(CASE WHEN no <> other THEN total / n END) AS b
+            FROM means GROUP BY k, x, y, z, w""",
+        "scores": f"SELECT k, round(sum(w * {_SCORE.removeprefix('avg')}) / sum(w), 6) AS silhouette FROM sides GROUP BY k",
+    }
+
+
+@query(
+    "kmeans_sweep",
+    _recursive(
+        with_roles(
+            "SELECT CAST(1 AS INTEGER) AS k, round(sum(w * (x * x + y * y + z * z)), 4) AS inertia, NULL::DOUBLE AS silhouette FROM points"
+            + "".join(
+                f""" UNION ALL SELECT {k}, round(sum(w * list_min({_distances('cs')})), 4), (SELECT silhouette FROM scores WHERE k = {k})
+                FROM points, centers{k}"""
+                for k in range(2, 10)
+            ),
+            "gappy_rfm",
+            **_kmeans_roles(list(range(2, 10))),
+            **_sweep_roles(list(range(2, 10))),
+        )
+    ),
+)
 def kmeans_sweep(r):
-    return clustering.sweep(clustering.prepare(_gappy_rfm(r)))
+    found = clustering.sweep(clustering.prepare(_gappy_rfm(r)))
+    return found.withColumns({"inertia": F.round("inertia", 4), "silhouette": F.round("silhouette", 6)})
 
 
 # --- Shared inputs -----------------------------------------------------------------------------

@@ -10,7 +10,6 @@ from compare import connect, planned, rows
 FOLDER = "/root/testdata/sf0.001"
 OWN = set(entry_points.QUERIES)
 ORACLES = {name: sql for name, sql in entry_points.oracle_sql().items() if name in OWN}
-WITHOUT_SQL = {"kmeans_sweep"}
 
 
 @pytest.fixture(scope="module")
@@ -18,8 +17,8 @@ def database():
     return connect(FOLDER)
 
 
-def test_only_iterative_queries_lack_sql():
-    assert OWN - set(ORACLES) == WITHOUT_SQL
+def test_every_query_has_sql():
+    assert OWN == set(ORACLES)
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
