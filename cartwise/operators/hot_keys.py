@@ -1,15 +1,16 @@
 """Joins in which a few keys hold much of a side.
 
-A frequent-items sketch of each side, merged over its tasks, names the keys that hold more than a share of the rows. Their
-rows are dealt over salts and the other side's copied to each salt; all others join as usual. When both sides are
-hot on a key, its rows form a grid: left rows are dealt over the grid's rows, right ones over its columns, and every
-pair meets in one cell. Sketches read the key columns alone, and a table without hot keys is joined as if they had not
-been asked for.
+A frequent-items sketch of each side, merged over its tasks, names the keys that hold more than a share of the rows; all
+others join as usual. The rows of hot keys are counted on the other side. Where those are few, they are broadcast, so the
+many stay where they are. A key with many rows on both sides forms a grid: left rows are dealt over the grid's rows, right
+ones over its columns, each is copied along the other way, and every pair meets in one cell. Sketches and counts read
+the key columns alone, and a table without hot keys is joined as if they had not been asked for.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ TRACKED = 16
 LEAST_SHARE = 1 / 5_000
 #: Sketches left after the first of two merges.
 MERGED = 256
+#: Rows of hot keys, counted before, that are broadcast at most.
+MOST_BROADCAST = 100_000
 #: Most equal rows that travel as one.
 MOST_COPIES = 65_536
 
@@ -72,40 +75,61 @@ def hot_join(
     result of a join; the sketch then does not compute it. ``share`` is the part of a side's rows from which a key is
     hot, by default one shuffle partition's; the key has one type on both sides. Rows with a null key match
     nothing and are not shuffled. Rows that are equal in all columns are dealt as counts, so they spread as well, and
-    dealing depends on the values alone: a task that is run again deals them alike. Of a hot key's rows, columns must be
-    of types that can be grouped by, and -0.0 becomes 0.0.
+    dealing depends on the values alone: a task that is run again deals them alike. Of a key that is hot on both sides,
+    columns must be of types that can be grouped by, and -0.0 becomes 0.0.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
     spark = left.sparkSession
     share = share or default_share(spark)
-    sides = [(left_keys if left_keys is not None else left, "_rows"), (right_keys if right_keys is not None else right, "_columns")]
+    columns = [key, *[c for c in left.columns if c != key], *[c for c in right.columns if c != key]]
+    sides = [(left if left_keys is None else left_keys, "_rows"), (right if right_keys is None else right_keys, "_columns")]
     sketches = [frequent_keys(df, key, share).select(key, F.col("slots").alias(name)) for df, name in sides]
     # Both sketches are bounded by the share, and so is what is brought here: 4 / share small rows.
     hot = sketches[0].join(sketches[1], key, "full").fillna(1, ["_rows", "_columns"]).collect()
-    columns = [key, *[c for c in left.columns if c != key], *[c for c in right.columns if c != key]]
-    keyed = left.where(F.col(key).isNotNull())
-    if not hot:
-        joined = keyed.join(right.where(F.col(key).isNotNull()), key, how).select(*columns)
-        return _with_unmatched(joined, left.where(F.col(key).isNull()), how)
-    grid = F.broadcast(spark.createDataFrame(hot, left.select(key).schema.add("_rows", "integer").add("_columns", "integer")))
-    cold = keyed.join(grid.select(key), key, "left_anti").join(right.join(grid.select(key), key, "left_anti"), key, how)
-    spread_left = _dealt(left, grid, key, "_rows", "_columns")
-    spread_right = _dealt(right, grid, key, "_columns", "_rows")
-    met = spread_left.withColumnRenamed("_copies", "_copies_left").join(
-        spread_right.withColumnRenamed("_copies", "_copies_right"), [key, "_rows", "_columns"]
-    )
-    result = cold.select(*columns).unionByName(_repeated(met, "_copies_left", "_copies_right").select(*columns))
+    schema = left.select(key).schema.add("_rows", "integer").add("_columns", "integer")
+
+    def listed(keys: set) -> DataFrame:
+        return F.broadcast(spark.createDataFrame([r for r in hot if r[key] in keys], schema))
+
+    def of(df: DataFrame, keys: set, kind: str = "left_semi") -> DataFrame:
+        return df.join(listed(keys).select(key), key, kind) if keys else df
+
+    keys = {r[key] for r in hot}
+    few_right = _few(of(right, keys), keys, key)
+    # Rows without a partner are kept on the left, so only an inner join can broadcast that side; a result is not counted.
+    few_left = _few(of(left, keys - few_right), keys - few_right, key) if how == "inner" and left_keys is None else set()
+    both = keys - few_right - few_left
+    keyed, partners = left.where(F.col(key).isNotNull()), right.where(F.col(key).isNotNull())
+    found = [of(keyed, keys, "left_anti").join(of(partners, keys, "left_anti"), key, how)]
+    if few_right:
+        found.append(of(left, few_right).join(F.broadcast(of(right, few_right)), key, how))
+    if few_left:
+        found.append(of(right, few_left).join(F.broadcast(of(left, few_left)), key))
+    if both:
+        # These keys have rows on the right, so no row of the left is without a partner.
+        grid = listed(both)
+        dealt = _dealt(left, grid, key, "_rows", "_columns").withColumnRenamed("_copies", "_copies_left")
+        other = _dealt(right, grid, key, "_columns", "_rows").withColumnRenamed("_copies", "_copies_right")
+        found.append(_repeated(dealt.join(other, [key, "_rows", "_columns"]), "_copies_left", "_copies_right"))
+    result = reduce(DataFrame.unionByName, [df.select(*columns) for df in found])
     if how == "inner":
         return result
-    # Cells of the grid can be empty on the right, so what has no partner at all is found by key, without a shuffle of rows.
-    matched = right.join(grid.select(key), key, "left_semi").select(key).distinct()
-    alone = left.join(grid.select(key), key, "left_semi").join(F.broadcast(matched.limit(len(hot))), key, "left_anti")
-    return _with_unmatched(result, alone.unionByName(left.where(F.col(key).isNull())), how)
-
-
-def _with_unmatched(joined: DataFrame, unmatched: DataFrame, how: str) -> DataFrame:
-    return joined.unionByName(unmatched, allowMissingColumns=True) if how == "left" else joined
+    return result.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
+def _few(held: DataFrame, keys: set, key: str) -> set:
+    """Keys, those with the fewest rows first, whose rows in ``held`` are ``MOST_BROADCAST`` at most together."""
+    if not keys:
+        return set()
+    counts = {k: 0 for k in keys} | {r[key]: r["n"] for r in held.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total, few = 0, set()
+    for k, n in sorted(counts.items(), key=lambda c: c[1]):
+        total += n
+        if total > MOST_BROADCAST:
+            break
+        few.add(k)
+    return few
 
 
 def _dealt(df: DataFrame, grid: DataFrame, key: str, own: str, other: str) -> DataFrame:

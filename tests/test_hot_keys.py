@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from cartwise.operators import hot_keys
 from cartwise.operators.hot_keys import default_share, frequent_keys, hot_join
 
 SHARE = 1 / 8
@@ -51,13 +52,29 @@ def test_frequent_keys_of_nothing(table):
         frequent_keys(table([], "k string"), "k", 0.0)
 
 
+@pytest.fixture(params=[0, 60, 100_000])
+def broadcast_rows(request, monkeypatch):
+    """None, some and all of the hot keys' rows are broadcast."""
+    monkeypatch.setattr(hot_keys, "MOST_BROADCAST", request.param)
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("equal", [False, True])
-def test_hot_join_equals_the_plain_join(spark, how, equal):
+def test_hot_join_equals_the_plain_join(spark, how, equal, broadcast_rows):
     left, right = facts(spark, 3_000, "a", equal), facts(spark, 300, "b", equal)
     assert rows(hot_join(left, right, "k", how, SHARE)) == rows(left.join(right, "k", how))
 
 
+@pytest.mark.parametrize("most", [0, 2, 1_000])
+def test_few_rows_of_either_side_are_broadcast(spark, most, monkeypatch):
+    monkeypatch.setattr(hot_keys, "MOST_BROADCAST", most)
+    few = spark.range(0, 20).select(F.col("id").alias("k"), F.col("id").alias("c"))
+    many = facts(spark, 2_000, "a")
+    for left, right in ((few, many), (many, few)):
+        assert rows(hot_join(left, right, "k", "inner", SHARE)) == rows(left.join(right, "k"))
+        assert rows(hot_join(left, right, "k", "left", SHARE)) == rows(left.join(right, "k", "left"))
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_key_without_partner(spark, how):
     left = facts(spark, 3_000, "a")
@@ -83,9 +100,11 @@ def test_text_keys_and_dotted_columns(table):
     assert rows(found) == rows(left.withColumnRenamed("a.b", "a").join(right, "k", "left"))
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
 @pytest.mark.parametrize("equal", [False, True])
-def test_no_task_has_three_times_the_median(fixed_partitions, equal):
+def test_no_task_has_three_times_the_median(fixed_partitions, equal, most, monkeypatch):
     spark = fixed_partitions
+    monkeypatch.setattr(hot_keys, "MOST_BROADCAST", most)
     left = facts(spark, 240_000, "a", equal)
     right = spark.range(0, 997).select(F.col("id").alias("k"), F.col("id").alias("b"))
     joined = hot_join(left, right, "k", "inner", default_share(spark))
@@ -97,8 +116,9 @@ def test_no_task_has_three_times_the_median(fixed_partitions, equal):
     assert plain[-1] > 3 * plain[len(plain) // 2]
 
 
-def test_both_sides_hot_meet_in_a_grid(fixed_partitions):
+def test_both_sides_hot_meet_in_a_grid(fixed_partitions, monkeypatch):
     spark = fixed_partitions
+    monkeypatch.setattr(hot_keys, "MOST_BROADCAST", 500)
     left, right = facts(spark, 3_000, "a"), facts(spark, 3_000, "b")
     joined = hot_join(left, right, "k", "inner", SHARE)
     sizes = sorted(r["count"] for r in joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect())
