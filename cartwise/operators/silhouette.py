@@ -3,8 +3,8 @@
 ``silhouette_squared`` uses squared distances, whose mean to a cluster follows from
 the cluster's size, sum and sum of squares; it is linear in the rows.
 ``silhouette_euclidean`` uses plain distances. At a tolerance of 0, the default, the result is exact, which
-takes every distance: Spark deals the distinct points into cells of near points, and every cell meets
-every cell. Above 0, points go down the trees of the clusters (``distance_tree``), whose
+takes every distance: Spark deals the distinct points into shares, and every cell of points meets
+every share. Above 0, points go down the trees of the clusters (``distance_tree``), whose
 limits settle far nodes as a whole. Nothing is sampled. A null label is a cluster of its own; coordinates are finite numbers.
 """
 
@@ -20,15 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.operators import distance_tree
-from cartwise.operators.quantiles import exact_quantiles
 from cartwise.session import materialise
 
-#: Most points of a cell.
-POINTS = 128
+#: Most points of a cell, and points of a task's own that meet one at a time: their distances stay in a core's cache.
+POINTS = 512
+ROWS = 64
+#: Most points of a task's own, and sums of theirs that it holds.
+OWN = 1 << 16
+STATE = 1 << 22
 #: Distances held at a time.
 HELD = 2_000_000
-#: Cells are boxes between quantiles: at most 2 to this power on an axis.
-MOST_BITS = 6
 #: Both limits leave room for the rounding of sums.
 ROUNDING = 1e-12
 
@@ -89,7 +90,7 @@ def silhouette_euclidean(
     """(n, silhouette, lower, upper) with Euclidean distance; a cluster of one counts 0.
 
     The true score lies between ``lower`` and ``upper``, which are at most ``tolerance`` apart
-    and ``silhouette`` is the middle; 0 is exact. ``max_cells`` asks for larger or smaller cells to start from,
+    and ``silhouette`` is the middle; 0 is exact. ``max_cells`` asks for larger or smaller cells,
     of ``POINTS`` points at most. It changes the work, not what the tolerance allows.
     """
     return silhouettes_euclidean(df, columns, [label], weight, max_cells, tolerance).drop("label")
@@ -110,15 +111,13 @@ def silhouettes_euclidean(
         sizes.append(np.array([r[1] for r in found], dtype=float))
         points = _coded(points, label, [r[0] for r in found], f"code {i}")
     cells = _cells(points, columns, len(labels), max_cells)
-    number = cells.count()
-    other = cells.select(F.col("x").alias("y"), F.col("w").alias("v"), F.col("codes").alias("others"))
-    some = max(1, min(number, df.sparkSession.sparkContext.defaultParallelism))
-    # All pairs of cells, on purpose: every share of the cells gets a copy of all of them, so the sums of a cell are whole.
-    own = cells.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(some)).cast("int")).repartition(some, "share")
-    copies = other.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(some - 1)))).repartition(some, "share")
-    pairs = own.join(copies, "share")
-    scorer = _scorer(labels, sizes, len(columns), number)
-    return _summed(pairs.mapInPandas(scorer, "label string, w double, low double, high double"))
+    held = max(1, min(OWN, STATE // sum(map(len, sizes))))
+    some = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(cells.agg(F.sum("n")).first()[0] / held))
+    # All pairs of points, on purpose: a task has a share of them, its own, which meets a copy of every cell, so their sums are whole.
+    own = cells.select(F.pmod(F.xxhash64("id"), F.lit(some)).cast("int").alias("share"), F.lit(True).alias("mine"), "x", "w", "codes")
+    copies = cells.select(F.explode(F.sequence(F.lit(0), F.lit(some - 1))).alias("share"), F.lit(False).alias("mine"), "x", "w", "codes")
+    met = own.unionByName(copies).repartitionById(some, F.col("share")).sortWithinPartitions("share", F.desc("mine"))
+    return _summed(met.mapInPandas(_scorer(labels, sizes, len(columns)), "label string, w double, low double, high double"))
 
 
 def _summed(parts: DataFrame) -> DataFrame:
@@ -182,52 +181,45 @@ def _within(points: DataFrame, columns: list[str], labels: list[str], tolerance:
 
 
 def _cells(points: DataFrame, columns: list[str], labels: int, max_cells: int | None) -> DataFrame:
-    """``id, x, w, codes``: cells of near points, packed."""
-    total = points.count()
-    most = max(1, min(POINTS, total // max_cells if max_cells else POINTS))
-    bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(total / most, 1)) / len(columns))))
-    edges = exact_quantiles(points, columns, [i / 2**bits for i in range(1, 2**bits)]) if bits else {}
-    # Boxes in an order that interleaves the bits of their places, so that neighbours stand together.
-    order = F.lit(0).cast("long")
-    for axis, c in enumerate(columns):
-        place = _total([F.lit(0), *[F.when(F.col(c) > F.lit(e), 1).otherwise(0) for e in sorted(set(edges.get(c, [])))]])
-        for bit in range(bits):
-            order = order + F.shiftleft(F.shiftright(place, bit).bitwiseAND(1).cast("long"), (bit * len(columns) + axis) % 62)
-    parts = max(1, math.ceil(total / (64 * most)))
+    """``id, n, x, w, codes``: cells of points, packed; those of one label stand together as far as a task has them."""
+    most = max(1, min(POINTS, points.count() // max_cells if max_cells else POINTS))
     codes = [f"code {i}" for i in range(labels)]
-    own = points.select(order.alias("order"), *[F.col(c).cast("double").alias(f"x_{c}") for c in columns], "w", *[F.col(f"`{c}`") for c in codes])
-    by = ["order", *[f"x_{c}" for c in columns]]
+    own = points.select(*[F.col(c).cast("double").alias(f"x_{c}") for c in columns], "w", *[F.col(f"`{c}`") for c in codes])
     d = len(columns)
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x, w = batch.iloc[:, 1 : d + 1].to_numpy(float), batch["w"].to_numpy(float)
-            code = batch.iloc[:, d + 2 :].to_numpy(np.int32)
-            rows = [(x[i : i + most].tobytes(), w[i : i + most].tobytes(), code[i : i + most].tobytes()) for i in range(0, len(x), most)]
-            yield pd.DataFrame(rows, columns=["x", "w", "codes"])
+            x, w = batch.iloc[:, :d].to_numpy(float), batch["w"].to_numpy(float)
+            code = batch.iloc[:, d + 1 :].to_numpy(np.int32)
+            rows = [(len(w[i : i + most]), x[i : i + most].tobytes(), w[i : i + most].tobytes(), code[i : i + most].tobytes()) for i in range(0, len(x), most)]
+            yield pd.DataFrame(rows, columns=["n", "x", "w", "codes"])
 
-    found = own.repartitionByRange(parts, *by).sortWithinPartitions(*by).mapInPandas(packed, "x binary, w binary, codes binary")
-    return materialise(found.select(F.monotonically_increasing_id().alias("id"), "x", "w", "codes"), "silhouette-cells")
+    found = own.sortWithinPartitions(*[f"`{c}`" for c in codes]).mapInPandas(packed, "n long, x binary, w binary, codes binary")
+    return materialise(found.select(F.monotonically_increasing_id().alias("id"), "n", "x", "w", "codes"), "silhouette-cells")
 
 
-def _scorer(labels: list[str], sizes: list[np.ndarray], d: int, number: int):
-    """Per cell and labelling, once it met all ``number`` cells: the weighted sums of the scores, as both limits."""
+def _scorer(labels: list[str], sizes: list[np.ndarray], d: int):
+    """Per share and labelling, once its own points met all cells: the weighted sums of the scores, as both limits."""
+    offsets = np.cumsum([0, *map(len, sizes)])
 
     def unpacked(x: bytes, w: bytes, codes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.frombuffer(x).reshape(-1, d), np.frombuffer(w), np.frombuffer(codes, dtype=np.int32).reshape(-1, len(labels))
 
-    def add(held: list[np.ndarray], x: np.ndarray, y: np.ndarray, v: np.ndarray, codes: np.ndarray) -> None:
+    def add(sums: np.ndarray, x: np.ndarray, y: np.ndarray, v: np.ndarray, codes: np.ndarray) -> None:
         """To every labelling's sums of the distances from x, those to the points y."""
-        squared = np.zeros((len(x), len(y)))
-        for j in range(d):
-            difference = x[:, j, None] - y[None, :, j]
-            squared += difference * difference
-        exact = np.sqrt(squared)
-        for sums, code in zip(held, codes.T):
-            clusters, own = np.unique(code, return_inverse=True)
-            weights = np.zeros((len(y), len(clusters)))
-            weights[np.arange(len(y)), own] = v
-            sums[:, clusters] += exact @ weights
+        places = codes + offsets[:-1]
+        clusters, at = np.unique(places, return_inverse=True)
+        weights = np.zeros((len(y), len(clusters)))
+        np.put_along_axis(weights, at.reshape(places.shape), v[:, None], axis=1)
+        axes = np.ascontiguousarray(y.T)
+        for low in range(0, len(x), ROWS):
+            own = x[low : low + ROWS]
+            squared, difference = np.zeros((2, len(own), len(y)))
+            for j in range(d):
+                np.subtract(own[:, j, None], axes[j], out=difference)
+                np.multiply(difference, difference, out=difference)
+                np.add(squared, difference, out=squared)
+            sums[low : low + ROWS, clusters] += np.sqrt(squared, out=squared) @ weights
 
     def scores(sums: np.ndarray, size: np.ndarray, own: np.ndarray) -> np.ndarray:
         pick, alone = (np.arange(len(own)), own), size[own] <= 1
@@ -237,22 +229,29 @@ def _scorer(labels: list[str], sizes: list[np.ndarray], d: int, number: int):
         return _score(a, means.min(axis=1), alone)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_cells: dict[int, list] = {}
+        own: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        at, x, sums = None, np.zeros((0, d)), np.zeros((0, offsets[-1]))
+
+        def closed() -> pd.DataFrame:
+            w, codes = (np.concatenate([o[i] for o in own]) for i in (1, 2))
+            each = [(name, sums[:, a:b], size, code) for name, a, b, size, code in zip(labels, offsets, offsets[1:], sizes, codes.T)]
+            found = [[name, w.sum(), *[(w * scores(part, size, code)).sum()] * 2] for name, part, size, code in each]
+            return pd.DataFrame(found, columns=["label", "w", "low", "high"])
+
         for batch in batches:
-            for key, *mine, y, v, others in batch[["id", "x", "w", "codes", "y", "v", "others"]].itertuples(index=False, name=None):
-                x, w, codes = unpacked(*mine)
-                if key not in open_cells:
-                    open_cells[key] = [0, [np.zeros((len(x), len(s))) for s in sizes]]
-                state = open_cells[key]
-                add(state[1], x, *unpacked(y, v, others))
-                state[0] += 1
-                if state[0] == number:
-                    found = []
-                    for name, sums, size, code in zip(labels, state[1], sizes, codes.T):
-                        found.append([name, w.sum(), *[(w * scores(sums, size, code)).sum()] * 2])
-                    del open_cells[key]
-                    yield pd.DataFrame(found, columns=["label", "w", "low", "high"])
-        if open_cells:
-            raise RuntimeError("a cell has not met all others")
+            for share, mine, *cell in batch[["share", "mine", "x", "w", "codes"]].itertuples(index=False, name=None):
+                if share != at:
+                    if own:
+                        yield closed()
+                    at, own, x = share, [], x[:0]
+                if mine:
+                    own.append(unpacked(*cell))
+                elif own:
+                    if not len(x):
+                        x = np.concatenate([o[0] for o in own])
+                        sums = np.zeros((len(x), offsets[-1]))
+                    add(sums, x, *unpacked(*cell))
+        if own:
+            yield closed()
 
     return run

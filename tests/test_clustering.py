@@ -303,6 +303,20 @@ def test_silhouette_is_exact_at_tolerance_zero_and_bracketed_above(spark, clouds
     assert (row.n, row.silhouette) == (8500, pytest.approx(((b - a) / np.maximum(a, b)).mean(), abs=1e-9))
 
 
+def test_exact_silhouette_deals_points_into_bounded_even_shares(spark, clouds, monkeypatch):
+    x, labels, df = clouds
+    monkeypatch.setattr(silhouette, "OWN", 30)
+    monkeypatch.setattr(silhouette, "POINTS", 5)
+    monkeypatch.setattr(silhouette, "ROWS", 4)
+    dealt = []
+    summed = silhouette._summed
+    monkeypatch.setattr(silhouette, "_summed", lambda parts: dealt.append(parts.withColumn("task", F.spark_partition_id()).collect()) or summed(parts))
+    row = silhouette.silhouette_euclidean(df, ["a", "b", "c"], "label").first()
+    assert (row.n, row.silhouette) == (451, pytest.approx(brute_force_silhouette(x, labels, 1), abs=1e-9))
+    tasks = [r.task for r in dealt[0]]
+    assert len(tasks) == len(set(tasks)) >= 10  # a share has a task of its own
+
+
 def test_silhouettes_of_many_clusters(spark):
     rng = np.random.default_rng(7)
     labels = np.repeat(np.arange(130), 4)
