@@ -5,7 +5,7 @@ merges rank sketches (Greenwald and Khanna, Spark's ``percentile_approx``), whos
 each wanted rank. The second counts the values below each bracket and, by value, those inside. A count
 says whether a bracket holds its ranks; one that does not is widened to all values. What was
 counted inside is a small table: where it has more than ``BUCKETS`` values for a bracket, passes
-over that table alone narrow it. ``approximate_quantiles`` is the first read by itself.
+over that table alone narrow it. Groups of at most ``BUCKETS`` values have no sketch: a count by group finds them, and they are sorted as they are. ``approximate_quantiles`` is the first read by itself.
 """
 
 from __future__ import annotations
@@ -50,9 +50,44 @@ def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float]
     """``g, c, p, value``: quantiles with linear interpolation by group, column name and place of the probability.
 
     Nulls and NaN are skipped; a group or column without values has no row. ``g`` is null without ``by``.
-    Infinities are values like others. ``df`` is read twice; hand in a written table.
+    Infinities are values like others. ``df`` is read twice, by group once more to count; hand in a written table.
     """
-    values = _values(df, columns, by)
+    if by is None:
+        return _of_large(_values(df, columns, by), probabilities)
+    counts = df.groupBy(F.col(by).alias("group of")).agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(c) for c in columns])
+    large = counts.filter(F.greatest(*columns, F.lit(0)) > BUCKETS).select("group of")
+    large = materialise(large, "large-groups")  # a row for BUCKETS rows at least
+    if large.isEmpty():
+        return _of_small(_values(df, columns, by), probabilities)
+    same = F.col(by).eqNullSafe(F.col("group of"))
+    small = _of_small(_values(df.join(large, same, "left_anti"), columns, by), probabilities)
+    return small.unionByName(_of_large(_values(df.join(large, same, "left_semi"), columns, by), probabilities))
+
+
+def _asked(probabilities: list[float]) -> Column:
+    return F.array(*[F.struct(F.lit(i).alias("p"), F.lit(float(p)).alias("share")) for i, p in enumerate(probabilities)])
+
+
+def _between(low: Column, high: Column, position: Column) -> Column:
+    """The quantile at a position between the values of the ranks beside it."""
+    return F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position)))
+
+
+def _of_small(values: DataFrame, probabilities: list[float]) -> DataFrame:
+    """``g, c, p, value`` of groups of at most ``BUCKETS`` values: each is sorted by one task."""
+    group = W.partitionBy("g", "c")
+    # 0.0 and -0.0 are one value.
+    ranked = values.withColumn("x", F.col("x") + F.lit(0.0))
+    ranked = ranked.withColumns({"rank": F.row_number().over(group.orderBy("x")) - 1, "n": F.count("x").over(group)})
+    places = F.transform(_asked(probabilities), lambda a: F.struct(a.p.alias("p"), (a.share * (F.col("n") - 1)).alias("position")))
+    beside = F.filter(places, lambda a: F.col("rank").between(F.floor(a.position), F.ceil(a.position)))
+    rows = ranked.select("g", "c", "x", F.explode(beside).alias("a"))
+    both = rows.groupBy("g", "c", F.col("a.p").alias("p"), F.col("a.position").alias("position")).agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    return both.select("g", "c", "p", _between(F.col("low"), F.col("high"), F.col("position")).alias("value"))
+
+
+def _of_large(values: DataFrame, probabilities: list[float]) -> DataFrame:
+    """``g, c, p, value`` by sketches and brackets, for groups of any size."""
     ends = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-REACH, REACH)]
     sketched = values.groupBy("g", "c").agg(
         F.count("x").alias("n"),
@@ -60,8 +95,7 @@ def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float]
         F.max("x").alias("most"),
         F.percentile_approx("x", ends, ACCURACY).alias("ends"),
     )
-    asked = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(float(p)).alias("share")) for i, p in enumerate(probabilities)])
-    asks = sketched.withColumn("ask", F.explode(asked)).withColumn("position", F.col("ask.share") * (F.col("n") - 1))
+    asks = sketched.withColumn("ask", F.explode(_asked(probabilities))).withColumn("position", F.col("ask.share") * (F.col("n") - 1))
     few = F.col("n") <= BUCKETS
     low = F.when(few | (F.col("ask.share") <= REACH), F.col("least")).otherwise(F.element_at("ends", 2 * F.col("ask.p") + 1))
     high = F.when(few | (F.col("ask.share") >= 1 - REACH), F.col("most")).otherwise(F.element_at("ends", 2 * F.col("ask.p") + 2))
@@ -92,9 +126,7 @@ def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float]
     closed = known.distinct().unionByName(_sorted(counted, rest))
     found = asks.alias("a").join(closed.alias("v"), _same("a", "v") & (F.col("a.rank") == F.col("v.rank")))
     both = found.groupBy("a.g", "a.c", "a.p", "a.position").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    share = F.col("position") - F.floor("position")
-    between = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * share)
-    return both.select("g", "c", "p", between.alias("value"))
+    return both.select("g", "c", "p", _between(F.col("low"), F.col("high"), F.col("position")).alias("value"))
 
 
 def _same(left: str, right: str, names: tuple[str, ...] = ("c", "b")) -> Column:

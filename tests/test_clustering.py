@@ -46,6 +46,27 @@ def test_quantiles_with_infinities_and_extremes(table):
     assert exact_quantiles(data.filter("x IS NULL"), ["x"], [0.5]) == {}
 
 
+def test_quantiles_of_small_groups_need_no_sketch(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    frame = pd.DataFrame({"g": np.append(rng.integers(0, 300, 3000), np.full(5000, 300)).astype(float), "x": np.round(rng.normal(0, 9, 8000)), "y": rng.normal(0, 1, 8000)})
+    frame.loc[frame.g == 7, "x"] = np.inf
+    frame.loc[:400, "y"] = np.nan
+    rows = [(None if g == 5 else g, x, y) for g, x, y in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "g double, x double, y double").repartition(4)
+    sketched = []
+    of_large = quantiles._of_large
+    monkeypatch.setattr(quantiles, "_of_large", lambda values, p: sketched.append(values.select("g").distinct().collect()) or of_large(values, p))
+    found = {(r.g, r.c, r.p): r.value for r in quantile_table(df, ["x", "y"], [0, 0.3, 0.5, 1], by="g").collect()}
+    assert [[r.g for r in groups] for groups in sketched] == [[300.0]]
+    expected = {}
+    for g, part in frame.groupby("g"):
+        for c in ("x", "y"):
+            present = part[c].dropna()
+            for i, p in enumerate([0, 0.3, 0.5, 1] if len(present) else []):
+                expected[None if g == 5 else g, c, i] = np.inf if g == 7 and c == "x" else np.quantile(present, p)
+    assert found == pytest.approx(expected, rel=1e-12)
+
+
 def test_quantiles_of_large_groups_from_brackets(spark, monkeypatch):
     rng = np.random.default_rng(12)
     x = np.concatenate([np.exp(rng.normal(0, 4, 30_000)), np.full(9_000, 2.5), [-np.inf, np.inf, np.inf, 0.0, -0.0]])
