@@ -155,12 +155,13 @@ def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     if not columns:
         return df
-    kinds = {"bigint": r"^\s*[+-]?\d+\s*$", "double": None, "boolean": r"(?i)^\s*(true|false)\s*$"}
+    # Every number starts so. A cast that fails is a raised and caught error, so only values of the right form are cast.
+    number = r"(?s)^[\x00-\x20]*[+-]?[0-9.iInN]"
+    kinds = {"bigint": r"^\s*[+-]?\d+\s*$", "double": number, "boolean": r"(?i)^\s*(true|false)\s*$"}
 
-    def misfit(c: str, kind: str, pattern: str | None) -> Column:
+    def misfit(c: str, kind: str, pattern: str) -> Column:
         column = F.col(f"`{c}`")
-        fits = column.try_cast(kind).isNotNull()
-        return F.count_if(column.isNotNull() & ~(fits & column.rlike(pattern) if pattern else fits))
+        return F.count_if(column.isNotNull() & F.when(column.rlike(pattern), column.try_cast(kind)).isNull())
 
     checks = [misfit(c, k, p).alias(f"{i} {k}") for i, c in enumerate(columns) for k, p in kinds.items()]
     counts = df.agg(*checks, *[F.count(f"`{c}`").alias(f"{i} n") for i, c in enumerate(columns)]).first()

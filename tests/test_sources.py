@@ -169,3 +169,16 @@ def test_sinks(spark, tmp_path):
 def test_profile(spark):
     df = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
     assert {tuple(r) for r in profile(df).collect()} == {("k", "string", 1), ("v", "int", 2)}
+
+
+def test_only_values_of_the_right_form_are_cast_for_inference(spark, table, monkeypatch):
+    numbers = ["1", " -2.5e3 ", "Infinity", "-inf", "NaN", "+.5", "0x1p3", "1d", "\t7", None]
+    columns = {"number": numbers, "text": [*numbers[:-1], "x"], "whole": [" 1", "+2"] * 5, "long": ["1", "9" * 30] * 5, "truth": [" TRUE", "false "] * 5, "t": ["t", "f"] * 5}
+    df = table(list(zip(*columns.values())), ", ".join(f"{c} string" for c in columns))
+    asked = []
+    agg = type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *e: asked.extend(map(str, e)) or agg(self, *e))
+    found = dict(csv_files.infer_types(df, df.columns).dtypes)
+    assert found == {"number": "double", "text": "string", "whole": "bigint", "long": "double", "truth": "boolean", "t": "string"}
+    casts = [e for e in asked if "TRY_CAST" in e.upper()]
+    assert len(casts) == 18 and all("THEN TRY_CAST" in e.upper() for e in casts)  # a failing cast is a caught error, for each value
