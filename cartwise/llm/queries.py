@@ -23,6 +23,7 @@ from cartwise.llm import (
     secret_owners,
     token_counts,
 )
+from cartwise.llm.arrow import bounded
 from cartwise.session import materialise, ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,7 +32,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(function: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, folder: function(ready(spark), folder)
+        QUERIES[name] = lambda spark, folder: function(bounded(ready(spark)), folder)
         if sql is not None:
             ORACLES[name] = sql
         return function

@@ -5,12 +5,13 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cartwise.llm import chat_format, language_id, piece_ids, pivots, quality, recompression, token_counts
+from cartwise.llm import arrow, chat_format, language_id, piece_ids, pivots, quality, recompression, token_counts
 from cartwise.llm.components import components
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -245,3 +246,14 @@ def test_columns_with_dots_pass_through(spark):
     ]
     for df in found:
         assert {r.doc_id: r["a.b"] for r in df.collect()} == {1: 5, 2: 6}
+
+
+def test_batches_for_python_are_bounded_by_their_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    rows = arrow.bounded(spark).range(0, 6000, 1, 1)
+    wide = rows.selectExpr("repeat('x', 4000) AS text").mapInArrow(sizes, "n long")
+    assert max(r.n for r in wide.collect()) < 2 * arrow.BATCH_BYTES / 4000
+    assert [r.n for r in rows.mapInArrow(sizes, "n long").collect()] == [6000]
