@@ -6,9 +6,9 @@ bytes that touch spaces only at their ends. Each feature is hashed to one of ``B
 The text's vector is the mean over all its features; a softmax over two classes gives the score.
 
 Training takes a bounded sample of labelled rows (``Settings.sample_rows``, those with the smallest hash
-of their id), since the vectors are learned by stochastic gradient descent in numpy on the driver. Executors
-turn the sampled texts into feature counts, so what the driver gathers is bounded by rows x buckets. Scoring
-goes over every whole text in pieces of bounded size, and needs one number for each bucket.
+of their id), since the vectors are learned by stochastic gradient descent in numpy. One task turns the
+sampled texts into feature counts and learns from them, so what it holds is bounded by rows x buckets; the driver
+gets the model alone, one number for each bucket. Scoring goes over every whole text in pieces of bounded size.
 
 Defined results: a null or empty text has no feature and gets the score of the bias alone; rows
 with a null ``doc_id`` or label are not learned from; without any label, or with one class only,
@@ -118,9 +118,18 @@ def train(documents: DataFrame, labelled: DataFrame, key: str = "doc_id", text:
     texts = texts.join(chosen, "k").select("k", "label", "text")
     # A key may repeat in the documents; the bound holds for rows as well.
     texts = texts.orderBy(F.xxhash64("k", "text"), "label").limit(settings.sample_rows).select("label", "text")
-    rows = texts.mapInArrow(_counted, "label int, ids binary, shares binary").toPandas()
-    examples = [(int(y), np.frombuffer(i, "<u4"), np.frombuffer(s, "<f4")) for y, i, s in zip(rows.label, rows.ids, rows.shares)]
-    return fit(examples, settings)
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples = [
+            (y, np.frombuffer(i, "<u4"), np.frombuffer(s, "<f4")) for batch in _counted(batches) for y, i, s in zip(*(c.to_pylist() for c in batch.columns))
+        ]
+        model = fit(examples, settings)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype("<f4").tobytes()]), pa.array([model.bias])], ["weights", "bias"])
+
+    # The task has the rows of the limit. The driver gathers the model, not the examples.
+    model = texts.coalesce(1).mapInArrow(learned, "weights binary, bias double").first()
+    # Without any row there may be no task.
+    return Model(np.frombuffer(model.weights, "<f4"), model.bias) if model else fit([], settings)
 
 
 def fit(examples: list[tuple[int, np.ndarray, np.ndarray]], settings: Settings = Settings()) -> Model:

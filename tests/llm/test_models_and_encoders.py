@@ -1,6 +1,7 @@
 """Formatting, tokenizers, classifiers and the pivot index, with odd rows."""
 
 import json
+import os
 import random
 
 import numpy as np
@@ -161,6 +162,15 @@ def test_quality(spark):
     assert quality.score(documents.limit(0), untrained).count() == 0
 
 
+def test_quality_is_learned_in_a_task(spark, monkeypatch):
+    """The driver gathers the model, not the examples it is learned from."""
+    monkeypatch.setattr(quality, "fit", lambda examples, settings: quality.Model(np.full(quality.BUCKETS, len(examples), dtype=np.float32), float(os.getpid())))
+    documents = spark.createDataFrame([(i, f"text {i}") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    model = quality.train(documents, labels)
+    assert model.bias != os.getpid() and model.weights.tolist() == [20] * quality.BUCKETS
+
+
 def test_languages(spark):
     en, fr = "the house of the man and that was in with ", "le chat est dans la maison avec une pour qui "
     rows = [(i, en * 3, "en") for i in range(20)] + [(i, fr * 3, "fr") for i in range(20, 40)] + [(50, "x", None), (51, None, "en")]
