@@ -46,7 +46,11 @@ _FILL = "\udfff"
 AGREEING = 0.55
 #: Lines of a key that one task compares; pairs are looked for side by side among so few, else in blocks.
 MANY = 1 << 13
-FEW = 32
+FEW = 64
+#: Rows of a key of ``MANY`` lines that are compared with it at a time; of smaller keys more.
+ROWS = 4
+#: Rows a task takes from its batches at a time.
+TOGETHER = 1 << 17
 #: Lines a task remembers so as to describe a repeated one once.
 SEEN = 1 << 18
 
@@ -68,8 +72,8 @@ def _lines(text: Column) -> Column:
 
 def occurrences(documents: DataFrame, key: str, text: str) -> DataFrame:
     """``k, t, at, line, h, g``: every line that is not all white space, with its document, place and two hashes."""
-    own = documents.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), F.posexplode(_lines(F.col(text))).alias("at", "raw"))
-    own = own.select("k", "t", "at", F.lower(F.trim("raw")).alias("line")).filter(F.col("line").rlike(r"\S"))
+    own = documents.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), F.posexplode(_lines(F.lower(text))).alias("at", "raw"))
+    own = own.filter(F.ltrim("raw", F.lit(" \t\x0b\f\r")) != "").select("k", "t", "at", F.trim("raw").alias("line"))
     return own.select("k", "t", "at", "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"))
 
 
@@ -84,7 +88,8 @@ def _shingled(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.n
     places = len(codes) - size + 1
     hashed = codes[:places]
     for i in range(1, size):
-        hashed = hashed * _STEP + codes[i : i + places]
+        hashed = hashed * _STEP
+        hashed += codes[i : i + places]
     stops = np.cumsum([len(x) for x in lines])
     return hashed, stops - [len(x) for x in lines], stops - size + 1
 
@@ -95,14 +100,15 @@ def _shingle_sets(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     counts = stops - starts
     owner = np.repeat(np.arange(len(lines)), counts)
     own = hashed[np.arange(len(owner)) + np.repeat(starts - np.cumsum(counts) + counts, counts)]
-    order = np.lexsort((own, owner))
-    own, owner = own[order], owner[order]
+    stops = np.cumsum(counts)
+    for low, high in zip((stops - counts).tolist(), stops.tolist()):
+        own[low:high].sort()
     fresh = np.append(True, (own[1:] != own[:-1]) | (owner[1:] != owner[:-1]))
     return own[fresh], np.bincount(owner[fresh], minlength=len(lines))
 
 
 #: Characters of lines whose signatures are worked out at a time; a longer line is worked on by itself.
-SLAB = 1 << 19
+SLAB = 1 << 16
 
 
 def _factors(count: int, seed: int) -> np.ndarray:
@@ -114,8 +120,9 @@ def _minima(lines: list[str], factors: np.ndarray, size: int) -> Iterator[np.nda
     hashed, starts, stops = _shingled(lines, size)
     spread = np.append((mixed(hashed) >> np.uint64(32)).astype(np.uint32), np.uint32(0))
     edges = np.stack([starts, stops], axis=1).ravel()
+    own = np.empty_like(spread)
     for factor in factors:
-        yield np.minimum.reduceat(spread * factor, edges)[::2]
+        yield np.minimum.reduceat(np.multiply(spread, factor, out=own), edges)[::2]
 
 
 def _slabs(lines: list[str]) -> Iterator[tuple[int, int]]:
@@ -143,17 +150,21 @@ def band_keys(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
             nodes, first = nodes[fresh], first[fresh]
             seen.update(nodes.tolist())
             lines = _texts(batch.column("line").take(pa.array(first)))
+            least = np.empty((len(factors), len(lines)), dtype=np.uint32)
             for low, high in _slabs(lines):
-                keys = np.empty((high - low, settings.bands), dtype=np.uint64)
-                sketch = np.zeros((2, high - low), dtype=np.uint64)
                 for number, minimum in enumerate(_minima(lines[low:high], factors, settings.shingle)):
-                    band, row = divmod(number, settings.rows)
-                    key = np.full(high - low, band, dtype=np.uint64) if row == 0 else keys[:, band]
-                    keys[:, band] = mixed(key * _STEP + minimum)
-                    if number < 32:
-                        sketch[number % 2] |= (mixed(minimum + _STEP) >> np.uint64(60)) << np.uint64(4 * (number // 2))
-                columns = [np.repeat(x.view(np.int64), settings.bands) for x in (nodes[low:high], *sketch)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), *map(pa.array, columns)], ["key", "node", "s", "t"])
+                    least[number, low:high] = minimum
+            keys = np.empty((len(lines), settings.bands), dtype=np.uint64)
+            sketch = np.zeros((2, len(lines)), dtype=np.uint64)
+            for number, minimum in enumerate(least):
+                band, row = divmod(number, settings.rows)
+                key = np.full(1, band, dtype=np.uint64) if row == 0 else key
+                key = mixed(key * _STEP + minimum)
+                keys[:, band] = key
+                if number < 32:
+                    sketch[number % 2] |= (mixed(minimum + _STEP) >> np.uint64(60)) << np.uint64(4 * (number // 2))
+            columns = [np.repeat(x.view(np.int64), settings.bands) for x in (nodes, *sketch)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), *map(pa.array, columns)], ["key", "node", "s", "t"])
 
     return lines.select("h", "line").mapInArrow(keyed, "key long, node long, s long, t long")
 
@@ -163,12 +174,14 @@ _LOW = np.uint64(0x1111111111111111)
 
 def agreeing(s: np.ndarray, t: np.ndarray, s2: np.ndarray, t2: np.ndarray) -> np.ndarray:
     """In how many of 32 places of four bits the sketches agree."""
-    out = np.full(np.broadcast(s, s2).shape, 32, dtype=np.int64)
+    apart = []
     for x in (s ^ s2, t ^ t2):
         x |= x >> np.uint64(2)
         x |= x >> np.uint64(1)
-        out -= np.bitwise_count(x & _LOW)
-    return out
+        x &= _LOW
+        apart.append(x)
+    apart[1] <<= np.uint64(1)
+    return 32 - np.bitwise_count(apart[0] | apart[1]).astype(np.int8)
 
 
 def _least_agreeing(settings: Settings) -> int:
@@ -181,20 +194,28 @@ def _close(s: np.ndarray, t: np.ndarray, side: np.ndarray, least: int) -> tuple[
     """Places that make the same components as all pairs of close sketches do; places of one side need no comparison if there are two."""
     count = len(s)
     roots, crossed = np.arange(count), bool(side.any())
-    one, two = (np.flatnonzero(side == 0), np.flatnonzero(side)) if crossed else (np.arange(count),) * 2
-    left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    for x in one:
+    todo, two = (np.flatnonzero(side == 0), np.flatnonzero(side)) if crossed else (np.arange(count),) * 2
+    size = 1
+    while len(todo):
         # A place outside the first one's component is compared with all; so two inside need no comparison, nor one with all others.
-        if (roots[two] == roots[x]).all() if crossed else (x and roots[x] == roots[0]):
-            continue
-        hit = two[agreeing(s[x], t[x], s[two], t[two]) >= least]
-        hit = hit[hit != x]
-        left.append(np.full(len(hit), x))
-        right.append(hit)
-        own = np.unique(roots[np.append(hit, x)])
-        if len(own) > 1:
-            roots[np.isin(roots, own)] = own[0]
-    return np.concatenate(left), np.concatenate(right)
+        if crossed:
+            todo = todo[roots[todo] != roots[two[0]]] if (roots[two] == roots[two[0]]).all() else todo
+        elif size > 1:
+            todo = todo[roots[todo] != roots[0]]
+        now, todo = todo[:size], todo[size:]
+        if not len(now):
+            break
+        i, j = np.nonzero(agreeing(s[now, None], t[now, None], s[two], t[two]) >= least)
+        i, j = now[i], two[j]
+        new = roots[i] != roots[j]
+        if new.any():
+            others = np.flatnonzero(roots != np.arange(count))
+            roots = local_roots(count, np.append(roots[others], i[new]), np.append(others, j[new]))
+        if not crossed:
+            two = two[~np.isin(two, now, assume_unique=True)]  # compared with all that are left
+        size = max(ROWS * MANY // max(len(two), 1), 1) if size == 1 else size
+    others = np.flatnonzero(roots != np.arange(count))
+    return roots[others], others
 
 
 def _side_by_side(own: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,11 +233,14 @@ def _side_by_side(own: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _grouped(own: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
-    """In whole keys, the components of close lines under their smallest; ``own`` is sorted by key and node."""
+    """In whole keys, the components of close lines under their smallest, or the rows of a key with many; ``own`` is sorted by key."""
     if not own.shape[1]:
         return
-    own = own[:, np.append(True, (own[:2, 1:] != own[:2, :-1]).any(axis=0))]
-    edges = np.append(np.flatnonzero(np.append(True, own[0][1:] != own[0][:-1])), own.shape[1])
+    sizes = np.diff(np.append(np.flatnonzero(np.append(True, own[0][1:] != own[0][:-1])), own.shape[1]))
+    own = own[:, np.repeat(sizes > 1, sizes)]
+    own = own[:, np.lexsort(own[1::-1])]
+    own = own[:, np.append(True, (own[:2, 1:] != own[:2, :-1]).any(axis=0))[: own.shape[1]]]
+    edges = np.append(np.flatnonzero(np.append(True, own[0][1:] != own[0][:-1])[: own.shape[1]]), own.shape[1])
     sizes = np.diff(edges)
     few = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= FEW), sizes))
     links = []
@@ -224,6 +248,9 @@ def _grouped(own: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
         links.append(tuple(few[x] for x in _side_by_side(np.ascontiguousarray(own[:, few]), least)))
     for number in np.flatnonzero(sizes > FEW).tolist():
         low, high = edges[number : number + 2]
+        if high - low > MANY:
+            yield _many(own[:, low:high])
+            continue
         s, t = own[2:, low:high].view(np.uint64)
         links.append(tuple(x + low for x in _close(s, t, np.zeros(high - low, dtype=np.int32), least)))
     if links:
@@ -232,6 +259,23 @@ def _grouped(own: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
         yield _likely(own[1][roots[some]], own[1][some], None)
 
 
+def _many(own: np.ndarray) -> pa.RecordBatch:
+    return _likely(None, np.ascontiguousarray(own[1]), own[[0, 2, 3]])
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The columns of the batches, as many rows at a time as numpy is worth it."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(np.stack([batch.column(c).to_numpy() for c in ("key", "node", "s", "t")]))
+        size += batch.num_rows
+        if size >= TOGETHER:
+            yield np.concatenate(held, axis=1)
+            held, size = [], 0
+    if size:
+        yield np.concatenate(held, axis=1)
+
+
 def _likely(group: np.ndarray | None, node: np.ndarray, rest: np.ndarray | None) -> pa.RecordBatch:
     empty = pa.nulls(len(node), pa.int64())
     others = [empty] * 3 if rest is None else [pa.array(np.ascontiguousarray(x)) for x in rest]
@@ -241,16 +285,13 @@ def _likely(group: np.ndarray | None, node: np.ndarray, rest: np.ndarray | None)
 def _likely_rows(keyed: DataFrame, least: int) -> DataFrame:
     """``group, node`` of lines in a group together, or ``key, node, s, t`` of those of a key with more than ``MANY``."""
 
-    def hot(own: np.ndarray) -> pa.RecordBatch:
-        return _likely(None, np.ascontiguousarray(own[1]), own[[0, 2, 3]])
-
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest, held = np.zeros((4, 0), dtype=np.int64), None
-        for batch in batches:
-            own = np.concatenate([rest, np.stack([batch.column(c).to_numpy() for c in ("key", "node", "s", "t")])], axis=1)
+        for rows in _together(batches):
+            own = np.concatenate([rest, rows], axis=1)
             if held is not None and own.shape[1]:
                 stop = int(np.searchsorted(own[0], held, side="right"))
-                yield hot(own[:, :stop])
+                yield _many(own[:, :stop])
                 own = own[:, stop:]
             if not own.shape[1]:
                 rest = own
@@ -260,12 +301,12 @@ def _likely_rows(keyed: DataFrame, least: int) -> DataFrame:
             yield from _grouped(own[:, :cut], least)
             rest = own[:, cut:]
             if rest.shape[1] > MANY:
-                yield hot(rest)
+                yield _many(rest)
                 held, rest = rest[0][0], rest[:, :0]
         yield from _grouped(rest, least)
 
     schema = "group long, node long, key long, s long, t long"
-    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(grouped, schema)
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(grouped, schema)
 
 
 def likely_groups(keyed: DataFrame, settings: Settings) -> DataFrame:
@@ -324,9 +365,12 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", s
     columns = [c for c in documents.columns if c not in ("lines", "lines_removed")]
     own = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(key).alias("k"), F.xxhash64(text).alias("t"))
     both = own.join(gone, F.col("k").eqNullSafe(F.col("gone k")) & (F.col("t") == F.col("gone t")), "left")
-    lines = _lines(F.col(f"row.`{text}`"))
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    left = F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
-    out = [F.when(F.col("gone").isNull(), F.col(f"row.`{text}`")).otherwise(left).alias(c) if c == text else F.col(f"row.`{c}`") for c in columns]
-    counts = [F.size(lines).alias("lines"), F.size("gone").alias("lines_removed")]
+    whole = F.col(f"row.`{text}`")
+    # A text is cut into lines once, not again for each of them, and only if it loses some.
+    both = both.withColumn("cut", F.when(F.col("gone").isNotNull(), _lines(whole)))
+    places = F.array_except(F.sequence(F.lit(0), F.size("cut") - 1), F.col("gone"))
+    left = F.array_join(F.transform(places, lambda i: F.get(F.col("cut"), i)), "\n")
+    lines = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1
+    out = [F.when(F.col("gone").isNull(), whole).otherwise(left).alias(c) if c == text else F.col(f"row.`{c}`") for c in columns]
+    counts = [lines, F.size("gone")]
     return both.select(*out, *[F.greatest(c, F.lit(0)).alias(n) for c, n in zip(counts, ("lines", "lines_removed"))])

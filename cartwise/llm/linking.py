@@ -91,14 +91,15 @@ def _overlaps_by_block(columns: np.ndarray, sizes: np.ndarray, block: np.ndarray
     """Places ``i < j`` of one block, and how many columns they share, where they share any; every block is small."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
     spread = columns.view(np.uint64) + block[owner].astype(np.uint64) * _ODD
-    order = np.argsort(spread, kind="stable")
+    order = np.argsort(spread)
     own, owner = spread[order], owner[order]
     at, far, pairs = np.arange(len(own)), 0, [np.zeros(0, dtype=np.int64)]
     while len(at):
         far += 1
         at = at[at + far < len(own)]
         at = at[own[at + far] == own[at]]
-        pairs.append(owner[at] * len(sizes) + owner[at + far])
+        one, two = owner[at], owner[at + far]
+        pairs.append(np.minimum(one, two) * len(sizes) + np.maximum(one, two))
     pairs, common = np.unique(np.concatenate(pairs), return_counts=True)
     i, j = np.divmod(pairs, max(len(sizes), 1))
     same = block[i] == block[j]

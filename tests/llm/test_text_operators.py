@@ -268,6 +268,41 @@ def test_keys_of_many_lines(spark, monkeypatch):
     assert {(r.k, r["at"]) for r in fuzzy_lines.removed(documents).collect()} == all_pairs_removed(texts)
 
 
+def test_groups_of_close_sketches(monkeypatch):
+    """Keys of any size in one batch, against all pairs; those with more than MANY lines are dealt, not compared by one task."""
+    monkeypatch.setattr(fuzzy_lines, "MANY", 150)
+    rng = np.random.default_rng(3)
+    least, own, expected = fuzzy_lines._least_agreeing(fuzzy_lines.CORPUS), [], set()
+    for key, size in enumerate([1, 2, 5, 40, 64, 65, 100, 150, 151, 400]):
+        base = rng.integers(0, 1 << 62, (2, 1 + size // 10), dtype=np.int64)
+        nodes = np.sort(rng.choice(10_000, size, replace=False)) + 10_000 * key
+        sketches = base[:, rng.integers(0, base.shape[1], size)]
+        for _ in range(3):
+            sketches = sketches ^ (rng.integers(0, 16, (2, size)) << 4 * rng.integers(0, 15, (2, size)))
+        own.append(np.stack([np.full(size, key), nodes, *sketches]))
+        s, t = sketches.view(np.uint64)
+        alike = fuzzy_lines.agreeing(s[:, None], t[:, None], s, t) >= least
+        assert alike[0, -1] == (sum((int(a) ^ int(b)) >> 4 * i & 15 == 0 for a, b in ((s[0], s[-1]), (t[0], t[-1])) for i in range(16)) >= least)
+        pairs = [(int(nodes[i]), int(nodes[j])) for i, j in zip(*np.nonzero(alike)) if i < j]
+        if size <= 150:
+            expected |= {(root, k) for k, root in reached([int(x) for x in nodes], pairs).items() if any(k in p for p in pairs)}
+    rows = np.concatenate(own, axis=1)
+    rows = np.concatenate([rows, rows[:, ::3]], axis=1)
+    rows = rows[:, np.argsort(rows[0], kind="stable")]  # nodes in any order, some twice
+    found = [r for batch in fuzzy_lines._grouped(rows, least) for r in batch.to_pylist()]
+    assert {(r["group"], r["node"]) for r in found if r["key"] is None} == expected
+    assert sorted(r["node"] for r in found if r["key"] is not None) == sorted(np.concatenate([own[8][1], own[9][1]]).tolist())
+
+
+def test_texts_are_cut_into_lines_once(spark):
+    """Not again for each of their lines."""
+    texts = [(1, "\n".join(f"line {i} of {i * i}" for i in range(50))), (2, "a\nline 7 of 49\n\nb"), (3, None), (4, "")]
+    left = fuzzy_lines.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert left._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    found = {r.doc_id: (r.text, r.lines, r.lines_removed) for r in left.collect()}
+    assert found[2] == ("a\n\nb", 4, 1) and found[3] == (None, 0, 0) and found[4] == ("", 1, 0) and found[1][1] == 50
+
+
 def reached(nodes, pairs):
     linked = {frozenset(p) for p in pairs}
     return groups(nodes, lambda a, b: frozenset((a, b)) in linked)
