@@ -221,14 +221,14 @@ def _close(s: np.ndarray, t: np.ndarray, side: np.ndarray, least: int) -> tuple[
 def _side_by_side(own: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Close places within each key; no key has many."""
     key, s, t = own[0], *own[2:].view(np.uint64)
-    at, far, left, right = np.arange(len(key)), 0, [], []
+    at, far, left, right = np.flatnonzero(key[1:] == key[:-1]), 1, [], []
     while len(at):
-        far += 1
-        at = at[at + far < len(key)]
-        at = at[key[at + far] == key[at]]
         hit = at[agreeing(s[at], t[at], s[at + far], t[at + far]) >= least]
         left.append(hit)
         right.append(hit + far)
+        far += 1
+        at = at[at + far < len(key)]
+        at = at[key[at + far] == key[at]]
     return np.concatenate(left), np.concatenate(right)
 
 

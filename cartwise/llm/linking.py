@@ -93,13 +93,13 @@ def _overlaps_by_block(columns: np.ndarray, sizes: np.ndarray, block: np.ndarray
     spread = columns.view(np.uint64) + block[owner].astype(np.uint64) * _ODD
     order = np.argsort(spread)
     own, owner = spread[order], owner[order]
-    at, far, pairs = np.arange(len(own)), 0, [np.zeros(0, dtype=np.int64)]
+    at, far, pairs = np.flatnonzero(own[1:] == own[:-1]), 1, [np.zeros(0, dtype=np.int64)]
     while len(at):
+        one, two = owner[at], owner[at + far]
+        pairs.append(np.minimum(one, two) * len(sizes) + np.maximum(one, two))
         far += 1
         at = at[at + far < len(own)]
         at = at[own[at + far] == own[at]]
-        one, two = owner[at], owner[at + far]
-        pairs.append(np.minimum(one, two) * len(sizes) + np.maximum(one, two))
     pairs, common = np.unique(np.concatenate(pairs), return_counts=True)
     i, j = np.divmod(pairs, max(len(sizes), 1))
     same = block[i] == block[j]
