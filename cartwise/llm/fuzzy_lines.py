@@ -86,9 +86,9 @@ def _shingled(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.n
     lines = [x.ljust(size, _FILL) for x in lines]
     codes = np.frombuffer("".join([*lines, "\0" * size]).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     places = len(codes) - size + 1
-    hashed = codes[:places]
+    hashed = codes[:places].copy()
     for i in range(1, size):
-        hashed = hashed * _STEP
+        hashed *= _STEP
         hashed += codes[i : i + places]
     stops = np.cumsum([len(x) for x in lines])
     return hashed, stops - [len(x) for x in lines], stops - size + 1
@@ -98,8 +98,12 @@ def _shingle_sets(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     """The lines' sets, one behind the other, and their sizes."""
     hashed, starts, stops = _shingled(lines, size)
     counts = stops - starts
-    owner = np.repeat(np.arange(len(lines)), counts)
-    own = hashed[np.arange(len(owner)) + np.repeat(starts - np.cumsum(counts) + counts, counts)]
+    owner = np.repeat(np.arange(len(lines), dtype=np.int32), counts)
+    inside = np.append(np.ones(len(hashed) - 1, dtype=bool), False)
+    for k in range(size - 1):
+        inside[stops + k] = False
+    own = hashed[inside]
+    del hashed, inside
     stops = np.cumsum(counts)
     for low, high in zip((stops - counts).tolist(), stops.tolist()):
         own[low:high].sort()

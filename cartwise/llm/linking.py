@@ -31,8 +31,8 @@ BLOCK_NODES = 512
 BLOCK_WEIGHT = 2_000_000
 #: Columns of an incidence block that are multiplied at a time.
 COLUMNS = 1 << 13
-#: Nodes of a small block, and bytes of small blocks that are compared together.
-SMALL, TOGETHER = 24, 1 << 21
+#: Nodes of a small block, and list values, or bytes of text, of small blocks that are compared together.
+SMALL, TOGETHER = 24, 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -144,7 +144,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tupl
             if not small_ones[n]:
                 yield [batch.slice(start, size)], np.zeros(size, dtype=np.int64)
         chosen = np.flatnonzero(small_ones & (sizes > 1))
-        size = max(batch.column("own").nbytes // batch.num_rows, 1)
+        kind = batch.column("own").type
+        width = kind.value_type.bit_width // 8 if pa.types.is_list(kind) else 1
+        size = max(batch.column("own").nbytes // batch.num_rows // width, 1)
         run = np.cumsum(sizes[chosen]) * size // TOGETHER
         for some in np.split(chosen, np.flatnonzero(run[1:] != run[:-1]) + 1):
             if len(some):

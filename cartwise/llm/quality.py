@@ -32,6 +32,8 @@ from cartwise.llm.slabs import SPACE, byte_texts, mixed, run_hashes, slabs, whit
 BITS = 17
 BUCKETS = 1 << BITS
 _REPEATED = 1
+#: Bytes of texts whose features are counted at a time, one row at least; the counts take about 50 bytes for each.
+COUNTED_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -68,25 +70,32 @@ def features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
         code = flat.astype(np.uint32)
         three = code[:-2] | code[1:-1] << np.uint32(8) | code[2:] << np.uint32(16)
         four = three[:-1] | code[3:] << np.uint32(24)
-        at3 = np.flatnonzero(solid[1:-1])
-        at4 = np.flatnonzero(solid[1:-2] & solid[2:-1])
+        del flat, code
+        for kind, grams, solids in ((1, three, solid[1:-1]), (2, four, solid[1:-2] & solid[2:-1])):
+            at = np.flatnonzero(solids)
+            found = numbers, _bucket(grams[at], kind), np.searchsorted(at, starts - 1), np.searchsorted(at, stops - 1)
+            del at
+            yield found
+        del three, four, grams, solid, solids, found
         words = run_hashes(slab, first, last)
+        yield numbers, _bucket((words >> np.uint64(32)).astype(np.uint32), 3), np.searchsorted(first, starts), np.searchsorted(first, stops)
         pairs = mixed(words[:-1] * np.uint64(3) + words[1:])
         pairs[words[:-1] == words[1:]] = _REPEATED
         piece = np.searchsorted(starts, first, side="right") - 1
         inside = np.flatnonzero(piece[1:] == piece[:-1])
-        kinds = (
-            (at3 + 1, _bucket(three[at3], 1)),
-            (at4 + 1, _bucket(four[at4], 2)),
-            (first, _bucket((words >> np.uint64(32)).astype(np.uint32), 3)),
-            (first[inside], _bucket((pairs[inside] >> np.uint64(3)).astype(np.uint32), 4)),
-        )
-        for places, buckets in kinds:
-            yield numbers, buckets, np.searchsorted(places, starts), np.searchsorted(places, stops)
+        places = first[inside]
+        yield numbers, _bucket((pairs[inside] >> np.uint64(3)).astype(np.uint32), 4), np.searchsorted(places, starts), np.searchsorted(places, stops)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        rows = max(batch.num_rows * COUNTED_BYTES // max(batch.nbytes, 1), 1)
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches):
         texts = byte_texts(batch.column("text"))
         found = [[] for _ in texts]
         for numbers, buckets, starts, stops in features(texts):
@@ -173,7 +182,8 @@ def score(documents: DataFrame, model: Model, text: str = "text", into: str = "s
             texts = byte_texts(batch.column(len(kept)))
             totals, counts = np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64)
             for numbers, buckets, starts, stops in features(texts):
-                sums = np.concatenate([[0.0], np.cumsum(learned.weights[buckets], dtype=np.float64)])
+                sums = np.zeros(len(buckets) + 1)
+                np.cumsum(learned.weights[buckets], dtype=np.float64, out=sums[1:])
                 np.add.at(totals, numbers, sums[stops] - sums[starts])
                 np.add.at(counts, numbers, stops - starts)
             columns = [batch.column(i) for i in range(len(kept))]
