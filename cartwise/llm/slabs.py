@@ -10,6 +10,8 @@ import pyarrow as pa
 SPACE = 32
 #: Bytes worked on at a time. Longer texts are cut at white space; a run of more bytes without any stays whole.
 SLAB_BYTES = 1 << 20
+#: Steps in which the tables of powers grow; they are as long as the longest slab so far.
+_GROWTH = 1 << 16
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -42,13 +44,16 @@ def _next_white(own: np.ndarray, start: int, step: int) -> int:
     return len(own) - 1
 
 
-def slabs(texts: list[bytes], limit: int = SLAB_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def slabs(texts: list[bytes], limit: int = SLAB_BYTES, together: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Yield (bytes, text numbers, starts, stops): pieces joined by single spaces, one before and one after.
 
+    Pieces are packed up to ``together`` bytes (as many as ``limit`` if not given); a longer piece is a slab by itself.
+
     A text longer than ``limit`` comes as several pieces, all under its number. No word is in two pieces, so a slab is
     longer than ``limit`` where a word is.
     """
     held, numbers, size = [], [], 0
+    together = limit if together is None else together
 
     def packed():
         stops = np.cumsum([len(p) + 1 for p in held])
@@ -58,7 +63,7 @@ def slabs(texts: list[bytes], limit: int = SLAB_BYTES) -> Iterator[tuple[np.ndar
 
     for number, text in enumerate(texts):
         for piece in cut(text, limit) if len(text) > limit else (text,):
-            if held and size + len(piece) > limit:
+            if held and size + len(piece) > together:
                 yield packed()
                 held, numbers, size = [], [], 0
             held.append(piece)
@@ -91,12 +96,15 @@ def run_hashes(codes: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: i
     if len(starts) == 0:
         return np.zeros(0, dtype=np.uint64)
     if base not in _TABLES or len(_TABLES[base][0]) < len(codes) + 1:
-        count = max(len(codes) + 1, 2 * SLAB_BYTES + 16)
+        count = -(-(len(codes) + 1) // _GROWTH) * _GROWTH
         _TABLES[base] = _powers(base, count), _powers(pow(base, -1, 1 << 64), count)
     powers, inverse = _TABLES[base]
     sums = np.empty(len(codes) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * powers[: len(codes)], out=sums[1:])
+    own = sums[1:]
+    np.add(codes, np.uint64(1), out=own, dtype=np.uint64)
+    own *= powers[: len(codes)]
+    np.cumsum(own, out=own)
     lengths = (stops - starts).astype(np.uint64)
     return mixed((sums[stops] - sums[starts]) * inverse[starts] + lengths * _ODD)
 

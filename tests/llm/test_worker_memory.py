@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from cartwise.llm import linking, quality, slabs
+from cartwise.llm import linking, quality, slabs, word_runs
 
 WORDS = ["".join(map(chr, codes)) for codes in np.random.default_rng(1).integers(97, 123, (2000, 5))]
 
@@ -27,6 +27,21 @@ def peak_mb(work) -> float:
         tracemalloc.stop()
 
 
+def test_word_hashes_of_many_short_texts(texts):
+    own = [x.encode() for x in texts]
+    assert peak_mb(lambda: [None for _ in word_runs.word_arrays(own, lower=True)]) < 25
+
+
+def test_packing_does_not_change_hashes(texts, monkeypatch):
+    own = [x.encode() for x in [*texts[:50], "", "é 日本", " ".join(texts[:40])]]
+    small = list(word_runs.word_arrays(own, lower=True))
+    for together in (1, 1000, 1 << 20):
+        monkeypatch.setattr(word_runs, "TOGETHER", together)
+        other = list(word_runs.word_arrays(own, lower=True))
+        assert [n for n, _ in other] == [n for n, _ in small] == list(range(len(own)))
+        assert all((a == b).all() for (_, a), (_, b) in zip(small, other))
+
+
 def test_feature_counts_of_a_batch(texts):
     batch = pa.RecordBatch.from_arrays([pa.array([1] * len(texts)), pa.array(texts)], ["label", "text"])
     assert peak_mb(lambda: [None for _ in quality._counted(iter([batch]))]) < 60
