@@ -9,10 +9,12 @@ whether two neighbours are joined depends on them alone: equal word sequences ge
 A phrase is the shortest row of symbols of at least ``PHRASE`` words. The inside of every window holds at least one
 phrase, and the window is filed under the one with the smallest hash, which equal windows share. Only phrases
 that several documents file windows under are worked on: their windows are hashed, and Spark finds for each
-the first document that has it. Repeats within a document never leave its task. Documents of equal words
-are settled by a digest, so groups of copies send nothing but their first.
+the first document that has it. Consecutive windows under one phrase go as one row to the phrase's task; only under a
+phrase of more than ``SELDOM`` documents each window goes by itself. Repeats within a document never leave its task.
+Documents of equal words are settled by a digest, so groups of copies send nothing but their first.
 
-Windows are compared by two 64-bit hashes of their words.
+Windows are compared by two 64-bit hashes: that of the phrase and that of all words, or under a phrase of more than
+``SELDOM`` documents two of all words.
 
 Defined results: documents are ordered by id (null first), then ``xxhash64`` of the text; rows that agree in
 both are one document and keep the same words; a null text has no words; a text of fewer words than a window
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +45,8 @@ MARGIN = 2
 #: A symbol has four words at most, so the first one wholly inside starts by the sixth word of a window, and a phrase
 #: from there ends before the window does.
 PHRASE = 8
+#: Windows under a phrase of at most this many documents meet in one task.
+SELDOM = 1000
 RESULTS = ("n_words", "n_removed", "kept")
 _OTHER_BASE = 0xA0761D6478BD642F
 
@@ -135,34 +139,65 @@ def _same(left: DataFrame, right: DataFrame):
 
 
 def _shared_phrases(entries: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``k, t, phrase`` of first documents where another first document has the phrase."""
+    """``k, t, phrase, often`` of first documents where another first document has the phrase; ``often`` if more than ``SELDOM`` have."""
     sent = entries.filter(F.col("phrases").isNotNull()).select("k", "t", F.explode("phrases").alias("phrase"))
     counts = sent.groupBy("phrase").agg(F.count("*").alias("n")).filter("n > 1").select("phrase")
     some = materialise(sent.join(counts, "phrase"), "phrases")
     own = some.join(firsts, _same(some, firsts), "left_semi").distinct()
-    again = own.groupBy("phrase").agg(F.count("*").alias("n")).filter("n > 1").select("phrase")
+    again = own.groupBy("phrase").agg(F.count("*").alias("n")).filter("n > 1").select("phrase", (F.col("n") > SELDOM).alias("often"))
     return own.join(again, "phrase")
 
 
 def _windows(documents: DataFrame, phrases: DataFrame, key: str, text: str) -> DataFrame:
-    """``v, w, k, t, start``: the distinct windows filed under a document's ``phrases``, at their first start there."""
+    """``phrase, often, k, t, start, v, w``: the distinct windows filed under a document's ``phrases``, at their first start there.
+
+    Consecutive ones under one phrase are a row; ``w`` is empty unless ``often``.
+    """
     own = documents.select(F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
     ids = materialise(phrases.select("k", "t"), "ids")
     own = own.join(small(ids), _same(own, ids), "left_semi")
-    both = own.join(phrases, _same(own, phrases)).select(own.k, own.t, "text", "phrases")
+    both = own.join(phrases, _same(own, phrases)).select(own.k, own.t, "text", "phrases", "often")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, wanted = (batch.column("k"), batch.column("t")), batch.column("phrases")
+            ids, wanted, common = (batch.column("k"), batch.column("t")), batch.column("phrases"), batch.column("often")
             for i, words in word_arrays(byte_texts(batch.column("text")), lower=False):
-                first = _first_starts(window_hashes(words))[1]
+                hashes = window_hashes(words)
+                first = _first_starts(hashes)[1]
                 under = filed(words)[first].view(np.int64)
-                first = first[np.isin(under, wanted[i].values.to_numpy())]
-                v, w = (window_hashes(words, b)[first].view(np.int64) for b in (None, _OTHER_BASE))
-                owner = pa.array(np.full(len(first), i))
-                yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(w), *[c.take(owner) for c in ids], pa.array(first.astype(np.int32))], ["v", "w", "k", "t", "start"])
-
-    return both.mapInArrow(rows, "v long, w long, k long, t long, start int")
+                here = np.isin(under, wanted[i].values.to_numpy())
+                first, under = first[here], under[here]
+                begins = np.flatnonzero(np.append(True, (np.diff(first) != 1) | (under[1:] != under[:-1]))[: len(first)])
+                sizes = np.diff(np.append(begins, len(first)))
+                often = np.isin(under[begins], common[i].values.to_numpy())
+                v, w = hashes[first], np.zeros(0, dtype=np.uint64)
+                if often.any():
+                    w = window_hashes(words, _OTHER_BASE)[first][np.repeat(often, sizes)]
+                owner = pa.array(np.full(len(begins), i))
+                lists = [_lists(v, sizes), _lists(w, sizes * often)]
+                arrays = [pa.array(under[begins]), pa.array(often), *[c.take(owner) for c in ids], pa.array(first[begins].astype(np.int32)), *lists]
+                yield pa.RecordBatch.from_arrays(arrays, ["phrase", "often", "k", "t", "start", "v", "w"])
+
+    return both.mapInArrow(rows, "phrase long, often boolean, k long, t long, start int, v array<long>, w array<long>")
+
+
+def _lists(hashes: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(hashes.view(np.int64)))
+
+
+def _later(found: DataFrame) -> DataFrame:
+    """``k, t, start`` of windows that an earlier document has too."""
+    place, owner = F.struct("k", "t"), F.col("owner")
+    second = ~(F.col("k").eqNullSafe(owner.k) & (F.col("t") == owner.t))
+    start = (F.col("start") + F.col("at")).alias("start")
+    # Dealt by phrase alone, so a row is taken apart only where it arrived.
+    runs = found.filter("NOT often").select("phrase", "k", "t", "start", "v").repartition("phrase")
+    each = runs.select("phrase", "k", "t", "start", F.posexplode("v").alias("at", "v")).select("phrase", "v", "k", "t", start)
+    seldom = each.withColumn("owner", F.min(place).over(Window.partitionBy("phrase", "v"))).filter(second)
+    each = found.filter("often").select("k", "t", "start", F.posexplode(F.arrays_zip("v", "w")).alias("at", "x")).select("x.v", "x.w", "k", "t", start)
+    owners = each.groupBy("v", "w").agg(F.min(place).alias("owner"), F.count("*").alias("n")).filter("n > 1").select("v", "w", "owner")
+    often = each.join(owners, ["v", "w"]).filter(second)
+    return seldom.select("k", "t", "start").union(often.select("k", "t", "start"))
 
 
 def marks(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -175,13 +210,12 @@ def marks(documents: DataFrame, key: str, text: str) -> DataFrame:
     copies = entries.select("k", "t", "d", "e").join(classes, ["d", "e"])
     copies = copies.filter(~(F.col("k").eqNullSafe(F.col("first.k")) & (F.col("t") == F.col("first.t"))))
     copies = copies.select("k", "t", F.lit(True).alias("whole"), F.array().cast("array<int>").alias("starts")).distinct()
-    shared = _shared_phrases(entries, firsts).groupBy("k", "t").agg(F.collect_list("phrase").alias("phrases"))
+    often = F.collect_list(F.when(F.col("often"), F.col("phrase")))  # of the others null, which no list keeps
+    shared = _shared_phrases(entries, firsts).groupBy("k", "t").agg(F.collect_list("phrase").alias("phrases"), often.alias("often"))
     found = materialise(_windows(documents, materialise(shared, "shared"), key, text), "windows")
-    owners = found.groupBy("v", "w").agg(F.min(place).alias("owner"), F.count("*").alias("n")).filter("n > 1").select("v", "w", "owner")
-    later = found.join(owners, ["v", "w"]).filter(~(F.col("k").eqNullSafe(F.col("owner.k")) & (F.col("t") == F.col("owner.t"))))
     # Documents that only repeat themselves have no start here.
     inner = entries.filter("inner").select("k", "t", F.lit(None).cast("int").alias("start"))
-    some = later.select("k", "t", "start").union(inner).groupBy("k", "t").agg(F.collect_list("start").alias("starts"))
+    some = _later(found).union(inner).groupBy("k", "t").agg(F.collect_list("start").alias("starts"))
     some = some.join(copies, _same(some, copies), "left_anti").select("k", "t", F.lit(False).alias("whole"), "starts")
     return materialise(copies.union(some), "marks")
 

@@ -80,13 +80,26 @@ def clear_scratch(spark: SparkSession) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Lets Spark delete the shuffle files of a job when the job ends, instead of whenever the driver collects its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and keeps column pruning and
-    filter pushdown for the jobs that read the table several times.
+    filter pushdown for the jobs that read the table several times. Nothing else
+    can read the shuffles of the write, so their files go with it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -152,6 +152,47 @@ def test_repeats_in_few_words(spark, vocabulary):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in recompression.remove_repeats(documents).collect()} == expected
 
 
+@pytest.mark.parametrize("seldom", [0, 3, 1000])
+def test_repeats_under_seldom_and_frequent_phrases(spark, monkeypatch, seldom):
+    monkeypatch.setattr(recompression, "SELDOM", seldom)
+    passage, texts = words(60, WIDE), []
+    for i in range(30):
+        low = random.randrange(30)
+        shared = passage[low : low + 30] if i % 2 else passage[:25] + [f"n{i}"] + passage[26:]
+        texts.append((i // 2 if i < 6 else i, " ".join(words(random.randrange(9), WIDE) + shared + words(random.randrange(9), WIDE) + shared[: i % 4 * 7])))
+    texts += [(None, texts[7][1]), (50, " ".join(passage)), (51, " ".join(passage + ["end"] + passage))]
+    documents = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    # Rows that share an id are in the order of a hash of the text.
+    ordered = [(r.doc_id, r.text) for r in documents.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()]
+    seen, expected = set(), {}
+    for key, text in ordered:
+        own, gone = text.split(), set()
+        for i in range(len(own) - 19):
+            window = tuple(own[i : i + 20])
+            gone |= set(range(i, i + 20)) if window in seen else set()
+            seen.add(window)
+        expected[key, text] = len(own), len(gone), " ".join(w for i, w in enumerate(own) if i not in gone)
+    found = recompression.remove_repeats(documents.withColumn("whole", F.col("text"))).collect()
+    assert len(found) == len(texts) and {(r.doc_id, r.whole): (r.n_words, r.n_removed, r.kept) for r in found} == expected
+
+
+def test_windows_under_a_seldom_phrase_travel_together(spark, monkeypatch):
+    rows = {}
+
+    def counted(frame, name):
+        out = materialise(frame, name)
+        rows[name] = out
+        return out
+
+    monkeypatch.setattr(recompression, "materialise", counted)
+    base = words(2000, WIDE)
+    texts = [(i, " ".join(words(5, WIDE) + base[: 400 * i])) for i in range(1, 6)]
+    recompression.marks(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), "doc_id", "text")
+    windows = rows["windows"].select(F.count("*"), F.sum(F.size("v")), F.sum(F.size("w"))).first()
+    assert windows[1] > 5000 and windows[2] == 0
+    assert windows[0] < windows[1] / 2
+
+
 def test_contamination(spark, documents, nothing):
     long_item, short_item = " ".join(PASSAGE[3:33]).title(), "A, b!"
     benchmark = spark.createDataFrame(
