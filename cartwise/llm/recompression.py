@@ -196,6 +196,7 @@ def _later(found: DataFrame) -> DataFrame:
     seldom = each.withColumn("owner", F.min(place).over(Window.partitionBy("phrase", "v"))).filter(second)
     each = found.filter("often").select("k", "t", "start", F.posexplode(F.arrays_zip("v", "w")).alias("at", "x")).select("x.v", "x.w", "k", "t", start)
     owners = each.groupBy("v", "w").agg(F.min(place).alias("owner"), F.count("*").alias("n")).filter("n > 1").select("v", "w", "owner")
+    owners = materialise(owners, "owners")  # apart, so that the join can split the rows of one window over tasks
     often = each.join(owners, ["v", "w"]).filter(second)
     return seldom.select("k", "t", "start").union(often.select("k", "t", "start"))
 
