@@ -2,9 +2,10 @@
 
 ``silhouette_squared`` uses squared distances, whose mean to a cluster follows from
 the cluster's size, sum and sum of squares; it is linear in the rows.
-``silhouette_euclidean`` uses plain distances. At a tolerance of 0, the default, the result is exact, which
-takes every distance: Spark deals the distinct points into shares, and every cell of points meets
-every share. Above 0, points go down the trees of the clusters (``distance_tree``), whose
+``silhouette_euclidean`` uses plain distances. At a tolerance of 0, the default, every pair of points counts with its
+distance: Spark deals the distinct points into shares of points that stand together, and every cell of points meets
+every share. Pairs that stand near each other are taken one by one, far ones by interpolation that is off by 1e-10 of
+each distance at most (``distance_sums``), which ``lower`` and ``upper`` allow for. Above 0, points go down the trees of the clusters (``distance_tree``), whose
 limits settle far nodes as a whole. Nothing is sampled. A null label is a cluster of its own; coordinates are finite numbers.
 """
 
@@ -16,14 +17,17 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.operators import distance_tree
+from cartwise.operators import distance_sums, distance_tree
 from cartwise.session import materialise
 
-#: Most points of a cell, and points of a task's own that meet one at a time: their distances stay in a core's cache.
+#: Most points of a box that is not opened further, and such boxes of a cell.
 POINTS = 512
+BOXES = 32
+#: Points of a task's own that meet one at a time: their distances stay in a core's cache.
 ROWS = 64
 #: Most points of a task's own, and sums of theirs that it holds.
 OWN = 1 << 16
@@ -90,8 +94,8 @@ def silhouette_euclidean(
     """(n, silhouette, lower, upper) with Euclidean distance; a cluster of one counts 0.
 
     The true score lies between ``lower`` and ``upper``, which are at most ``tolerance`` apart
-    and ``silhouette`` is the middle; 0 is exact. ``max_cells`` asks for larger or smaller cells,
-    of ``POINTS`` points at most. It changes the work, not what the tolerance allows.
+    and ``silhouette`` is the middle. At 0 no pair is left out, and the limits are 5e-10 apart at most. ``max_cells`` asks for larger or
+    smaller boxes, of ``POINTS`` points at most. It changes the work, not what the tolerance allows.
     """
     return silhouettes_euclidean(df, columns, [label], weight, max_cells, tolerance).drop("label")
 
@@ -110,14 +114,15 @@ def silhouettes_euclidean(
             raise ValueError("a silhouette needs 2 clusters")
         sizes.append(np.array([r[1] for r in found], dtype=float))
         points = _coded(points, label, [r[0] for r in found], f"code {i}")
-    cells = _cells(points, columns, len(labels), max_cells)
-    held = max(1, min(OWN, STATE // sum(map(len, sizes))))
-    some = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(cells.agg(F.sum("n")).first()[0] / held))
+    held, count = max(1, min(OWN, STATE // sum(map(len, sizes)))), points.count()
+    some = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(count / held))
+    most = max(1, min(POINTS, count // max_cells if max_cells else POINTS))
+    cells = _cells(points, columns, len(labels), some, most)
     # All pairs of points, on purpose: a task has a share of them, its own, which meets a copy of every cell, so their sums are whole.
-    own = cells.select(F.pmod(F.xxhash64("id"), F.lit(some)).cast("int").alias("share"), F.lit(True).alias("mine"), "x", "w", "codes")
+    own = cells.select("share", F.lit(True).alias("mine"), "x", "w", "codes")
     copies = cells.select(F.explode(F.sequence(F.lit(0), F.lit(some - 1))).alias("share"), F.lit(False).alias("mine"), "x", "w", "codes")
     met = own.unionByName(copies).repartitionById(some, F.col("share")).sortWithinPartitions("share", F.desc("mine"))
-    return _summed(met.mapInPandas(_scorer(labels, sizes, len(columns)), "label string, w double, low double, high double"))
+    return _summed(met.mapInPandas(_scorer(labels, sizes, len(columns), most, ROWS), "label string, w double, low double, high double"))
 
 
 def _summed(parts: DataFrame) -> DataFrame:
@@ -180,46 +185,59 @@ def _within(points: DataFrame, columns: list[str], labels: list[str], tolerance:
     return _summed(rows.mapInPandas(scored, "label string, w double, low double, high double"))
 
 
-def _cells(points: DataFrame, columns: list[str], labels: int, max_cells: int | None) -> DataFrame:
-    """``id, n, x, w, codes``: cells of points, packed; those of one label stand together as far as a task has them."""
-    most = max(1, min(POINTS, points.count() // max_cells if max_cells else POINTS))
+def _cells(points: DataFrame, columns: list[str], labels: int, some: int, most: int) -> DataFrame:
+    """``share, x, w, codes``: shares of points that stand together, along a curve that fills their box, in cells, packed."""
     codes = [f"code {i}" for i in range(labels)]
-    own = points.select(*[F.col(c).cast("double").alias(f"x_{c}") for c in columns], "w", *[F.col(f"`{c}`") for c in codes])
     d = len(columns)
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    axes = [f"x_{i}" for i in range(d)]
+    own = points.select(*[F.col(c).cast("double").alias(a) for a, c in zip(axes, columns)], "w", *[F.col(f"`{c}`") for c in codes])
+    ends = own.agg(*[f(a).alias(f"{n}_{a}") for a in axes for n, f in (("low", F.min), ("high", F.max))]).first()
+    low = np.array([ends[f"low_{a}"] for a in axes], dtype=float)
+    side = np.nanmax([0.0, *(np.array([ends[f"high_{a}"] for a in axes], dtype=float) - low)]) or 1.0
+    bits = max(1, min(50, 60 // d))
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x, w = batch.iloc[:, :d].to_numpy(float), batch["w"].to_numpy(float)
-            code = batch.iloc[:, d + 1 :].to_numpy(np.int32)
-            rows = [(len(w[i : i + most]), x[i : i + most].tobytes(), w[i : i + most].tobytes(), code[i : i + most].tobytes()) for i in range(0, len(x), most)]
-            yield pd.DataFrame(rows, columns=["n", "x", "w", "codes"])
-
-    found = own.sortWithinPartitions(*[f"`{c}`" for c in codes]).mapInPandas(packed, "n long, x binary, w binary, codes binary")
-    return materialise(found.select(F.monotonically_increasing_id().alias("id"), "n", "x", "w", "codes"), "silhouette-cells")
+            x = np.nan_to_num((batch.iloc[:, :d].to_numpy(float) - low) / side)[:, :60]
+            at = np.clip(x * 2.0**bits, 0, 2.0**bits - 1).astype(np.int64)
+            parts = [((at[:, j] >> bit) & 1) << (bit * at.shape[1] + j) for bit in range(bits) for j in range(at.shape[1])]
+            yield batch.assign(place=np.bitwise_or.reduce(parts))
 
-
-def _scorer(labels: list[str], sizes: list[np.ndarray], d: int):
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        every = [*batches]
+        if not any(map(len, every)):
+            return
+        task = pd.concat(every, ignore_index=True)
+        x, w = task.iloc[:, :d].to_numpy(float), task["w"].to_numpy(float)
+        code = task.iloc[:, d + 1 : -1].to_numpy(np.int32)
+        order, boxes = distance_sums.tree(x, most * BOXES)
+        leaves = [order[start:stop] for start, stop, opened, _ in boxes if not opened]
+        share = TaskContext.get().partitionId()
+        yield pd.DataFrame([(share, x[i].tobytes(), w[i].tobytes(), code[i].tobytes()) for i in leaves], columns=["share", "x", "w", "codes"])
+
+    # Points of one place are told apart by a hash, so that no share grows with them.
+    ranged = own.mapInPandas(placed, own.withColumn("place", F.lit(0).cast("long")).schema).repartitionByRange(some, "place", F.xxhash64(*axes))
+    return materialise(ranged.mapInPandas(packed, "share int, x binary, w binary, codes binary"), "silhouette-cells")
+
+
+def _scorer(labels: list[str], sizes: list[np.ndarray], d: int, most: int, rows: int):
     """Per share and labelling, once its own points met all cells: the weighted sums of the scores, as both limits."""
     offsets = np.cumsum([0, *map(len, sizes)])
 
     def unpacked(x: bytes, w: bytes, codes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.frombuffer(x).reshape(-1, d), np.frombuffer(w), np.frombuffer(codes, dtype=np.int32).reshape(-1, len(labels))
 
-    def add(sums: np.ndarray, x: np.ndarray, y: np.ndarray, v: np.ndarray, codes: np.ndarray) -> None:
-        """To every labelling's sums of the distances from x, those to the points y."""
+    def add(sums: distance_sums.Sums, y: np.ndarray, v: np.ndarray, codes: np.ndarray) -> None:
+        """To every labelling's sums, those of the distances to the points y; with very many clusters, to some of them at a time."""
         places = codes + offsets[:-1]
         clusters, at = np.unique(places, return_inverse=True)
+        if len(y) > most and len(y) * len(clusters) > STATE:
+            for part in (slice(None, len(y) // 2), slice(len(y) // 2, None)):
+                add(sums, y[part], v[part], codes[part])
+            return
         weights = np.zeros((len(y), len(clusters)))
         np.put_along_axis(weights, at.reshape(places.shape), v[:, None], axis=1)
-        axes = np.ascontiguousarray(y.T)
-        for low in range(0, len(x), ROWS):
-            own = x[low : low + ROWS]
-            squared, difference = np.zeros((2, len(own), len(y)))
-            for j in range(d):
-                np.subtract(own[:, j, None], axes[j], out=difference)
-                np.multiply(difference, difference, out=difference)
-                np.add(squared, difference, out=squared)
-            sums[low : low + ROWS, clusters] += np.sqrt(squared, out=squared) @ weights
+        sums.meet(y, weights, clusters)
 
     def scores(sums: np.ndarray, size: np.ndarray, own: np.ndarray) -> np.ndarray:
         pick, alone = (np.arange(len(own)), own), size[own] <= 1
@@ -230,12 +248,15 @@ def _scorer(labels: list[str], sizes: list[np.ndarray], d: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        at, x, sums = None, np.zeros((0, d)), np.zeros((0, offsets[-1]))
+        at, sums = None, None
 
         def closed() -> pd.DataFrame:
             w, codes = (np.concatenate([o[i] for o in own]) for i in (1, 2))
-            each = [(name, sums[:, a:b], size, code) for name, a, b, size, code in zip(labels, offsets, offsets[1:], sizes, codes.T)]
-            found = [[name, w.sum(), *[(w * scores(part, size, code)).sum()] * 2] for name, part, size, code in each]
+            totals, off = sums.totals(), 2 * sums.error * w.sum()  # of either mean in their quotient
+            found = []
+            for name, a, b, size, code in zip(labels, offsets, offsets[1:], sizes, codes.T):
+                total = (w * scores(totals[:, a:b], size, code)).sum()
+                found.append([name, w.sum(), total - off, total + off])
             return pd.DataFrame(found, columns=["label", "w", "low", "high"])
 
         for batch in batches:
@@ -243,14 +264,13 @@ def _scorer(labels: list[str], sizes: list[np.ndarray], d: int):
                 if share != at:
                     if own:
                         yield closed()
-                    at, own, x = share, [], x[:0]
+                    at, own, sums = share, [], None
                 if mine:
                     own.append(unpacked(*cell))
                 elif own:
-                    if not len(x):
-                        x = np.concatenate([o[0] for o in own])
-                        sums = np.zeros((len(x), offsets[-1]))
-                    add(sums, x, *unpacked(*cell))
+                    if sums is None:
+                        sums = distance_sums.Sums(np.concatenate([o[0] for o in own]), offsets[-1], most, rows)
+                    add(sums, *unpacked(*cell))
         if own:
             yield closed()
 
